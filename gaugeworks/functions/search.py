@@ -6,19 +6,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def boundaries_not_above(boundaries: Column, count: int, key: Column) -> Column:
-    """Number of boundaries ``<= key`` in a sorted array literal of ``count`` items.
+def boundaries_not_above(boundaries: Column, most: int, key: Column) -> Column:
+    """Number of boundaries ``<= key`` in a sorted array of at most ``most`` items.
 
-    A bisection over the array: the cost grows with log2(count) per row.
+    A bisection over the array: the cost grows with log2(most) per row.
+    Positions past the end read as null and count as above the key.
     """
-    if count == 0:
+    if most == 0:
         return F.lit(0)
-    steps = F.array(*[F.lit(1 << bit) for bit in range(count.bit_length() - 1, -1, -1)])
+    steps = F.array(*[F.lit(1 << bit) for bit in range(most.bit_length() - 1, -1, -1)])
     return F.aggregate(
         steps,
         F.lit(0),
         lambda below, step: F.when(
-            (below + step <= count) & (F.try_element_at(boundaries, below + step) <= key),
-            below + step,
+            F.try_element_at(boundaries, below + step) <= key, below + step
         ).otherwise(below),
     )
