@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeworks.functions.columns import epoch_seconds, instant, ratio, ref, refs
-from gaugeworks.functions.search import boundaries_not_above
 from gaugeworks.roles import SeriesRoles
 
 NO_FAILURE = "NO_FAILURE"
@@ -17,7 +16,9 @@ NO_FAILURE = "NO_FAILURE"
 MOST_LITERAL_WINDOWS = 64
 # Segments that may be broadcast: a few ten bytes each.
 MOST_BROADCAST_SEGMENTS = 500_000
-MOST_SEGMENTS_PER_SLICE = 1 << 20
+# Widths of the time slices readings and windows meet in, in seconds.
+SLICE_WIDTHS = (86_400, 3_600, 60)
+MOST_WINDOWS_PER_SLICE = 64
 
 
 @dataclass(frozen=True)
@@ -67,9 +68,8 @@ def disjoint_segments(
 ) -> DataFrame:
     """Cut overlapping windows into disjoint half-open segments with one winner each.
 
-    ``windows`` has ``ordinal, failure_id, start, end`` and the machine columns.
-    The result, ``(machine, slice, start, stop, failure_id)``, lists a segment
-    under every time slice it touches.
+    ``windows`` has ``ordinal, failure_id, start, end`` and the machine columns;
+    the result ``machine, start, stop, failure_id``.
     """
     closed = windows.select(
         *refs(machine),
@@ -87,28 +87,41 @@ def disjoint_segments(
     cells = points.withColumn("next_point", F.lead("point").over(by_time)).filter(
         F.col("next_point").isNotNull()
     )
-
-    def slice_of(column: str) -> Column:
-        return F.floor(epoch_seconds(F.col(column)) / slice_seconds)
-
     # A window covers a cell exactly when it covers the start of the cell, so
     # cells meet windows through the slice that start falls in.
-    spread = closed.withColumn("slice", F.explode(F.sequence(slice_of("start"), slice_of("stop"))))
-    keys = [*machine, "point", "next_point"]
-    won = (
-        cells.withColumn("slice", slice_of("point"))
-        .join(spread, [*machine, "slice"])
+    cells = cells.withColumn("slice", _slice("point", slice_seconds))
+    spread = _by_slice(closed, slice_seconds)
+    return (
+        cells.join(spread, [*machine, "slice"])
         .filter((F.col("start") <= F.col("point")) & (F.col("stop") > F.col("point")))
-        .groupBy(*refs(keys))
+        .groupBy(*refs(machine), "point", "next_point")
         .agg(F.max_by("failure_id", "ordinal").alias("failure_id"))
+        .select(*refs(machine), F.col("point").alias("start"), F.col("next_point").alias("stop"), "failure_id")
     )
-    return won.select(
-        *refs(machine),
-        F.explode(F.sequence(slice_of("point"), slice_of("next_point"))).alias("slice"),
-        F.col("point").alias("start"),
-        F.col("next_point").alias("stop"),
-        "failure_id",
-    )
+
+
+def _slice(column: str, seconds: int) -> Column:
+    return F.floor(epoch_seconds(ref(column)) / seconds)
+
+
+def _by_slice(intervals: DataFrame, seconds: int) -> DataFrame:
+    """Every interval under each time slice it touches."""
+    touched = F.sequence(_slice("start", seconds), _slice("stop", seconds))
+    return intervals.withColumn("slice", F.explode(touched))
+
+
+def _choose_slice(windows: DataFrame, machine: Sequence[str]) -> int:
+    """The widest slice in which no machine has more than a few windows."""
+    for seconds in SLICE_WIDTHS[:-1]:
+        crowd = (
+            windows.groupBy(*refs(machine), _slice("start", seconds).alias("slice"))
+            .count()
+            .agg(F.max("count"))
+            .first()[0]
+        )
+        if crowd is None or crowd <= MOST_WINDOWS_PER_SLICE:
+            return seconds
+    return SLICE_WIDTHS[-1]
 
 
 def label_by_table(
@@ -116,41 +129,43 @@ def label_by_table(
     windows: DataFrame,
     roles: SeriesRoles,
     machine: Sequence[str] = (),
-    slice_seconds: int = 86_400,
+    slice_seconds: int | None = None,
     most_broadcast: int = MOST_BROADCAST_SEGMENTS,
     salts: int = 32,
 ) -> DataFrame:
     """Label from a table of any number of windows, globally or per machine.
 
-    Each reading looks up the segments of its machine and time slice by an
-    equi join (one row per key, so readings are never multiplied) and finds
-    its segment there by bisection.  A counted, small segment table is
-    broadcast; a larger one is joined by shuffle, with the readings of a slice
-    spread over ``salts`` tasks.
+    Overlaps are settled among the windows first, so a reading meets at most
+    one segment and is never multiplied.  Readings find segments by an equi
+    join on machine and time slice with the interval as residual condition.
+    A counted, small segment table is broadcast; a larger one is joined by
+    shuffle, with the readings of a slice spread over ``salts`` tasks.
     """
     time_type = df.schema[roles.time].dataType.simpleString()
-    segments = disjoint_segments(windows, time_type, machine, slice_seconds)
-    keys = [*machine, "slice"]
-    lookup = segments.groupBy(*refs(keys)).agg(
-        F.sort_array(F.collect_list(F.struct("start", "stop", "failure_id"))).alias("segments")
+    typed = windows.withColumns({name: F.col(name).cast(time_type) for name in ("start", "end")})
+    seconds = slice_seconds or _choose_slice(typed, machine)
+    segments = _by_slice(disjoint_segments(typed, time_type, machine, seconds), seconds)
+    count = segments.count()
+    left = df.withColumn("__slice", _slice(roles.time, seconds)).alias("reading")
+    right = segments.select(
+        *[ref(name).alias(f"__{name}") for name in (*machine, "slice", "start", "stop", "failure_id")]
+    ).withColumnRenamed("__slice", "__touched")
+    meets = (
+        (F.col("__slice") == F.col("__touched"))
+        & (ref(roles.time) >= F.col("__start"))
+        & (ref(roles.time) < F.col("__stop"))
     )
-    keyed = df.withColumn("slice", F.floor(epoch_seconds(ref(roles.time)) / slice_seconds))
-    if segments.count() <= most_broadcast:
-        joined = keyed.join(F.broadcast(lookup), keys, "left")
+    for name in machine:
+        meets = meets & (ref(name) == ref(f"__{name}"))
+    if count <= most_broadcast:
+        joined = left.join(F.broadcast(right), meets, "left")
     else:
-        salt = F.pmod(F.xxhash64(*refs(roles.order)), F.lit(salts))
-        spread = lookup.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-        joined = keyed.withColumn("salt", salt).join(spread, [*keys, "salt"], "left").drop("salt")
-    position = boundaries_not_above(F.col("segments.start"), MOST_SEGMENTS_PER_SLICE, ref(roles.time))
-    found = F.try_element_at("segments", F.nullif(position, F.lit(0)))
-    labelled = (
-        joined.withColumn("__segment", found)
-        .withColumn(
-            roles.failure_id,
-            F.when(ref(roles.time) < F.col("__segment.stop"), F.col("__segment.failure_id")),
-        )
-        .drop("__segment", "segments", "slice")
-    )
+        left = left.withColumn("__salt", F.pmod(F.xxhash64(*refs(roles.order)), F.lit(salts)))
+        every_salt = F.array(*[F.lit(salt).cast("long") for salt in range(salts)])
+        right = right.withColumn("__copy", F.explode(every_salt))
+        joined = left.join(right, meets & (F.col("__salt") == F.col("__copy")), "left").drop("__salt", "__copy")
+    extra = [f"__{name}" for name in (*machine, "start", "stop")]
+    labelled = joined.drop(*extra, "__slice", "__touched").withColumnRenamed("__failure_id", roles.failure_id)
     return _finish(labelled, roles)
 
 
