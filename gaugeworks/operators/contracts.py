@@ -66,13 +66,18 @@ def check_header(header: Sequence[str]) -> None:
         raise ContractError(f"duplicate column names: {repeated}")
 
 
-def check_source(df: DataFrame, time: str = "timestamp", machine: str = "machine_id", header: Sequence[str] | None = None) -> DataFrame:
-    """Columns present, unique, with a time, without machine column, at least one row."""
-    check_header(list(header) if header is not None else df.columns)
-    if time not in df.columns:
+def check_columns(columns: Sequence[str], time: str = "timestamp", machine: str = "machine_id") -> None:
+    """A time column is there, a machine column is not yet."""
+    check_header(list(columns))
+    if time not in columns:
         raise ContractError(f"required column {time} is missing")
-    if machine in df.columns:
+    if machine in columns:
         raise ContractError(f"the source already has a column {machine}")
+
+
+def check_source(df: DataFrame, time: str = "timestamp", machine: str = "machine_id") -> DataFrame:
+    """Columns present and unique, with a time, without machine column, at least one row."""
+    check_columns(df.columns, time, machine)
     if df.isEmpty():
         raise ContractError("the source has no rows")
     return df

@@ -55,15 +55,6 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
     )
 
 
-def read_header(spark: SparkSession, path: str) -> list[str]:
-    """Header line as written in the file, before Spark renames duplicates."""
-    line = spark.read.text(path).limit(1).collect()
-    if not line:
-        return []
-    names = line[0][0].lstrip("﻿").split(",")
-    return [name.strip().strip('"') for name in names]
-
-
 def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.parquet(*paths)
 
@@ -113,6 +104,34 @@ def classify_files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     )
 
 
+def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    import csv
+    import io
+
+    for batch in batches:
+        headers, filled = [], []
+        for uri in batch["path"]:
+            with _open(uri) as stream:
+                text = io.TextIOWrapper(io.BufferedReader(stream), encoding="utf-8-sig", errors="replace", newline="")
+                rows = csv.reader(text)
+                headers.append(next(rows, []))
+                filled.append(next(rows, None) is not None)
+        yield batch.assign(header=headers, has_rows=filled)
+
+
+def read_headers(files: DataFrame) -> DataFrame:
+    """Header of every listed CSV file as written, before Spark renames duplicates,
+    and whether a row follows it.  Tasks read the first lines of their files only."""
+    schema = T.StructType(
+        [
+            *files.schema.fields,
+            T.StructField("header", T.ArrayType(T.StringType())),
+            T.StructField("has_rows", T.BooleanType()),
+        ]
+    )
+    return files.mapInPandas(_first_lines, schema)
+
+
 def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     import hashlib
 

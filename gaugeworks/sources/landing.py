@@ -2,23 +2,30 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeworks.functions.columns import ref
-from gaugeworks.operators.contracts import check_source
+from gaugeworks.operators.contracts import ContractError, check_columns, check_header
 from gaugeworks.operators.quality import find_index_column
-from gaugeworks.sources.files import fingerprint_files, read_csv, read_header
+from gaugeworks.sources.files import fingerprint_files, read_csv, read_headers
 
 LINEAGE = ("machine_id", "_source_file", "_source_file_sha256", "_ingested_at", "_run_id")
 LOG_SCHEMA = "machine_id string, source_file string, sha256 string, row_count long, ingested_at timestamp, run_id string"
 
 
-def with_lineage(df: DataFrame, machine_id: str, source_file: str, sha256: str, run_id: str) -> DataFrame:
+# File names and hashes, about 300 bytes each.
+MOST_BROADCAST_FILES = 100_000
+
+
+def with_lineage(
+    df: DataFrame, machine_id: str, source_file: str | Column, sha256: str | Column, run_id: str
+) -> DataFrame:
+    """Add machine, source file, content hash, ingest time and run; names may be literals or columns."""
     return df.withColumns(
         {
             "machine_id": F.lit(machine_id),
@@ -81,39 +88,56 @@ class Landing:
         return self.spark.read.parquet(self.table_path)
 
     def ingest(self, path: str, machine_id: str, schema: T.StructType | None = None) -> int:
-        """Land every new file under ``path``; returns the number of files landed.
+        """Land every new content under ``path``; returns the number of files landed.
 
-        The loop runs over files that are new, each read and written by Spark.
+        Files with the same header are read and written by one job, whatever
+        their number.  The driver sees file names and hashes, never rows.
         """
         found = fingerprint_files(self.spark, path).withColumn("machine_id", F.lit(machine_id))
-        fresh = not_yet_ingested(found, self.log()).select("path", "sha256").orderBy("path").collect()
-        landed: set[str] = set()
-        for file in fresh:
-            if file["sha256"] in landed:
-                continue
-            self._land(file["path"], file["sha256"], machine_id, schema)
-            landed.add(file["sha256"])
-        return len(landed)
-
-    def _land(self, path: str, sha256: str, machine_id: str, schema: T.StructType | None) -> None:
+        fresh = (
+            not_yet_ingested(found, self.log())
+            .groupBy("sha256")
+            .agg(F.min("path").alias("path"))
+        )
+        by_header: dict[tuple[str, ...], list[tuple[str, str]]] = {}
+        for file in read_headers(fresh).collect():
+            check_header(file["header"])
+            if not file["has_rows"]:
+                raise ContractError(f"{file['path']} has no rows")
+            by_header.setdefault(tuple(file["header"]), []).append((file["path"], file["sha256"]))
+        for files in by_header.values():
+            self._land(files, machine_id, schema)
+        return sum(len(files) for files in by_header.values())
+
+    def _land(self, files: list[tuple[str, str]], machine_id: str, schema: T.StructType | None) -> None:
         run_id = str(uuid.uuid4())
-        raw = read_csv(self.spark, path, schema)
-        header = read_header(self.spark, path)
-        if schema is None:
-            index = find_index_column(raw.columns)
-            raw = raw if index is None else raw.withColumnRenamed(index, "seq")
-        check_source(raw, header=header)
-        name = path.rsplit("/", 1)[-1]
-        append_once(with_lineage(raw, machine_id, name, sha256, run_id), self.table_path)
-        batch = self.table().filter(
-            (ref("machine_id") == machine_id) & (ref("_source_file_sha256") == sha256)
+        raw = read_csv(self.spark, [path for path, _ in files], schema)
+        check_columns(raw.columns)
+        index = find_index_column(raw.columns)
+        if index is not None:
+            raw = raw.withColumnRenamed(index, "seq")
+        names = self.spark.createDataFrame(
+            [(_plain(path), path.rsplit("/", 1)[-1], sha256) for path, sha256 in files],
+            "__path string, __name string, __sha256 string",
         )
-        entry = batch.agg(F.count("*").alias("row_count")).select(
+        if len(files) <= MOST_BROADCAST_FILES:
+            names = F.broadcast(names)
+        located = raw.withColumn("__path", F.regexp_replace("_metadata.file_path", "^file:/+", "file:/"))
+        landed = with_lineage(
+            located.join(names, "__path"), machine_id, F.col("__name"), F.col("__sha256"), run_id
+        ).drop("__path", "__name", "__sha256")
+        append_once(landed, self.table_path)
+        batch = self.table().filter((F.col("machine_id") == machine_id) & (F.col("_run_id") == run_id))
+        entries = batch.groupBy("_source_file", "_source_file_sha256").agg(F.count("*").alias("row_count"))
+        entries.select(
             F.lit(machine_id).alias("machine_id"),
-            F.lit(name).alias("source_file"),
-            F.lit(sha256).alias("sha256"),
+            F.col("_source_file").alias("source_file"),
+            F.col("_source_file_sha256").alias("sha256"),
             "row_count",
             F.current_timestamp().alias("ingested_at"),
             F.lit(run_id).alias("run_id"),
-        )
-        entry.write.mode("append").parquet(self.log_path)
+        ).write.mode("append").parquet(self.log_path)
+
+
+def _plain(path: str) -> str:
+    return re.sub("^file:/+", "file:/", path)
