@@ -297,16 +297,18 @@ def class_gate(train: DataFrame, validation: DataFrame, label: str = "fault_labe
 
     Both class distributions are reported.
     """
-    totals = []
-    for name, frame in (("training", train), ("validation", validation)):
-        totals.append(
-            frame.agg(
-                F.count_if(ref(label) == 0).alias(f"{name}_normal_rows"),
-                F.count_if(ref(label) == 1).alias(f"{name}_fault_rows"),
-                F.lit(1).alias("__one"),
-            )
-        )
-    both = totals[0].join(totals[1], "__one").drop("__one")
+    names = ("training", "validation")
+    labels = [
+        frame.select(ref(label).alias("y"), F.lit(name).alias("part"))
+        for name, frame in zip(names, (train, validation))
+    ]
+    both = labels[0].unionByName(labels[1]).agg(
+        *[
+            F.count_if((F.col("part") == name) & (F.col("y") == group)).alias(f"{name}_{kind}_rows")
+            for name in names
+            for group, kind in ((0, "normal"), (1, "fault"))
+        ]
+    )
 
     def lacks(name: str) -> Column:
         return (F.col(f"{name}_normal_rows") == 0) | (F.col(f"{name}_fault_rows") == 0)
