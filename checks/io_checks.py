@@ -129,10 +129,18 @@ def compared(spark, sf_dir, **options):
     return table.select("model", "threshold", *[F.round(m, 6).alias(m) for m in MEASURES], *CELLS)
 
 
+def write_documents(documents) -> str:
+    """One JSON file per model."""
+    path = scratch_path(documents.sparkSession, "metrics")
+    kept = written(documents, "documents")
+    for model in "ab":
+        kept.filter(F.col("model") == model).coalesce(1).write.mode("append").json(path)
+    return path
+
+
 @checks.add("src6_metric_documents", f"SELECT model, f1, roc_auc, tp FROM ({COMPARED_SQL})")
 def _(spark, sf_dir):
-    path = scratch_path(spark, "metrics")
-    compared(spark, sf_dir).write.json(path)
+    path = write_documents(compared(spark, sf_dir))
     return files.read_metric_documents(spark, path).select("model", "f1", "roc_auc", "tp")
 
 
@@ -149,7 +157,6 @@ def _(spark, sf_dir):
     UNION ALL SELECT model, 'param', 'feature_count', NULL, '2' FROM c""",
 )
 def _(spark, sf_dir):
-    path = scratch_path(spark, "metrics")
     documents = compared(spark, sf_dir).withColumns(
         {
             "parameters": F.struct(F.lit(1).alias("step")),
@@ -157,7 +164,7 @@ def _(spark, sf_dir):
             "finished": F.lit(True),
         }
     )
-    documents.write.json(path)
+    path = write_documents(documents)
     entries = files.registry_entries(files.read_metric_documents(spark, path))
     is_metric = F.col("kind") == "metric"
     return entries.select(
