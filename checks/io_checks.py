@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from checks.base import EV, LABELLED_SQL, ONE_MODEL_SQL, SCORES_SQL, Registry, events, labelled, lineitem, scores
+from checks.base import SCORES_SQL, SPLIT_SQL, Registry, events, labelled, scores
 from gaugeworks.functions.columns import epoch_seconds
 from gaugeworks.operators import quality, runs, splits
 from gaugeworks.operators.evaluation import compare_models
@@ -284,19 +284,6 @@ def _(spark, sf_dir):
     return tables.verify_saved(written(source, "saved"), source)
 
 
-SPLIT_SQL = f"""
-SELECT *, CASE WHEN rank <= train_end THEN 'train' WHEN rank <= validation_end THEN 'validation' ELSE 'test' END AS split
-FROM (
-  SELECT *, least(greatest(train_end + 1, CAST(floor(total * CAST(0.85 AS DOUBLE)) AS BIGINT)), total - 1) AS validation_end
-  FROM (
-    SELECT *, least(greatest(1, CAST(floor(total * CAST(0.70 AS DOUBLE)) AS BIGINT)), total - 2) AS train_end
-    FROM (
-      SELECT *, row_number() OVER (PARTITION BY fault_label ORDER BY md5('42:' || event_id), event_id) AS rank,
-             count(*) OVER (PARTITION BY fault_label) AS total
-      FROM ({LABELLED_SQL}))))
-"""
-
-
 @checks.add(
     "snk7_split_directories",
     f"""SELECT split, count(*) AS row_count, sum(fault_label)::BIGINT AS faults, sum(event_id)::BIGINT AS id_sum

@@ -187,11 +187,17 @@ def leakage_check(df: DataFrame, time: str, split: str = "split") -> DataFrame:
     return rows_from_wide(wide, [row(TRAIN, VALIDATION), row(VALIDATION, TEST)])
 
 
-def partition_check(df: DataFrame, split: str = "split") -> DataFrame:
-    """Split sizes against the total: nothing lost, nothing empty."""
-    totals = df.agg(
-        F.count("*").alias("total_rows"),
-        *[F.count_if(ref(split) == part).alias(f"{part}_rows") for part in SPLITS],
+def partition_check(df: DataFrame, keys: Sequence[str], split: str = "split") -> DataFrame:
+    """Split sizes against the total: nothing lost, nothing empty, no key in two splits."""
+    per_key = df.groupBy(*refs(keys)).agg(
+        F.count("*").alias("__rows"),
+        *[F.count_if(ref(split) == part).alias(f"__{part}") for part in SPLITS],
+    )
+    present = [(F.col(f"__{part}") > 0).cast("int") for part in SPLITS]
+    totals = per_key.agg(
+        F.sum("__rows").alias("total_rows"),
+        *[F.sum(f"__{part}").alias(f"{part}_rows") for part in SPLITS],
+        F.count_if(present[0] + present[1] + present[2] > 1).alias("shared_keys"),
     )
     parts = [F.col(f"{part}_rows") for part in SPLITS]
     return totals.withColumns(
