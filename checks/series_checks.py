@@ -33,16 +33,16 @@ FRAME = "ROWS BETWEEN 29 PRECEDING AND CURRENT ROW"
 KINDS = ("mean", "std", "min", "max")
 
 
-def rolling_sql(name: str, over: str) -> str:
+def rolling_sql(name: str, over: str, digits: int = 6) -> str:
     functions = dict(zip(KINDS, ("avg", "stddev_samp", "min", "max")))
     return ", ".join(
-        f"round({function}({name}) OVER ({over} {FRAME}), 6) AS {name}_rolling_{kind}_5m"
+        f"round({function}({name}) OVER ({over} {FRAME}), {digits}) AS {name}_rolling_{kind}_5m"
         for kind, function in functions.items()
     )
 
 
-def rolled(name: str):
-    return rounded(*[f"{name}_rolling_{kind}_5m" for kind in KINDS])
+def rolled(name: str, digits: int = 6):
+    return rounded(*[f"{name}_rolling_{kind}_5m" for kind in KINDS], digits=digits)
 
 
 # --- windows -------------------------------------------------------------------------------
@@ -303,12 +303,12 @@ LINE_OVER = f"PARTITION BY l_suppkey ORDER BY {LI_ORDER}"
 @checks.add(
     "features_wide_table",
     f"""SELECT {', '.join(LINE_KEY)}, epoch_us(l_shipdate) AS ship_micros,
-               {', '.join(f'round({n} - lag({n}) OVER ({LINE_OVER}), 6) AS {n}_delta, {rolling_sql(n, LINE_OVER)}' for n in LI.analog)}
+               {', '.join(f'round({n} - lag({n}) OVER ({LINE_OVER}), 6) AS {n}_delta, {rolling_sql(n, LINE_OVER, 4)}' for n in LI.analog)}
         FROM lineitem""",
 )
 def _(spark, sf_dir):
     found = with_features(lineitem(spark, sf_dir), LI)
-    made = [c for n in LI.analog for c in (*rounded(f"{n}_delta"), *rolled(n))]
+    made = [c for n in LI.analog for c in (*rounded(f"{n}_delta"), *rolled(n, digits=4))]
     return found.select(*LINE_KEY, F.unix_micros(F.col("l_shipdate").cast("timestamp")).alias("ship_micros"), *made)
 
 

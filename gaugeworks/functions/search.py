@@ -15,10 +15,15 @@ def boundaries_not_above(boundaries: Column, most: int, key: Column) -> Column:
     if most == 0:
         return F.lit(0)
     steps = F.array(*[F.lit(1 << bit) for bit in range(most.bit_length() - 1, -1, -1)])
-    return F.aggregate(
-        steps,
-        F.lit(0),
-        lambda below, step: F.when(
-            F.try_element_at(boundaries, below + step) <= key, below + step
-        ).otherwise(below),
-    )
+
+    def position(one: Column) -> Column:
+        return F.aggregate(
+            steps,
+            F.lit(0),
+            lambda below, step: F.when(
+                F.try_element_at(boundaries, below + step) <= one, below + step
+            ).otherwise(below),
+        )
+
+    # Through a one-element array the key is built once, not once per step.
+    return F.element_at(F.transform(F.array(key), position), 1)

@@ -30,11 +30,11 @@ BORROWED = "__borrowed"
 RANK_BACK = "__rank_back"
 
 # One sort task handles about this many rows comfortably.
-DEFAULT_ROWS_PER_RANGE = 2_000_000
-# Bounds what the driver holds: cut points and one count per cell.
-MAX_RANGES = 4096
-CELLS_PER_RANGE = 4
-SAMPLES_PER_CELL = 8
+DEFAULT_ROWS_PER_RANGE = 4_000_000
+# Bounds what the driver holds: a sample of the keys, two cut points per range
+# and one row count per cell between cuts.
+MAX_RANGES = 32_768
+SAMPLES_PER_RANGE = 16
 
 _JSON_OPTIONS = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
@@ -82,17 +82,16 @@ class OrderedRanges:
         if total <= rows_per_range:
             return OrderedRanges(order, 1, total, F.lit(0), F.lit(False))
 
-        keys = _key_frame(df, order)
         wanted = min(MAX_RANGES, math.ceil(total / rows_per_range))
-        cuts = _cut_points(keys, total, wanted * CELLS_PER_RANGE, seed)
-        cell = _cell_expression(df, order, cuts)
+        cuts = _cut_points(_key_frame(df, order), total, wanted, seed)
+        cell = _cell_expression(order, cuts)
         found = {
             row["cell"]: row["n"]
             for row in df.groupBy(cell.alias("cell")).agg(F.count("*").alias("n")).collect()
         }
         sizes = [found.get(index, 0) for index in range(len(cuts.values) + 1)]
         rows = sum(sizes)
-        owner = _pack(sizes, max(1, math.ceil(rows / wanted)), keep_last)
+        owner = _pack(sizes, [True, *cuts.starts], max(rows / wanted / 2, keep_last))
         tails = _tail_cells(sizes, owner, keep_last)
         return OrderedRanges(
             order,
@@ -105,7 +104,10 @@ class OrderedRanges:
 
 @dataclass(frozen=True)
 class _Cuts:
-    values: list[dict]
+    """Sorted cut points; ``starts`` tells those that may begin a range."""
+
+    values: list
+    starts: list[bool]
     width: int
     schema: str
 
@@ -117,41 +119,62 @@ def _key_frame(df: DataFrame, order: Sequence[str]) -> DataFrame:
     return df.select(*[ref(name).alias(f"k{i}") for i, name in enumerate(order)])
 
 
-def _cut_points(keys: DataFrame, total: int, cells: int, seed: int) -> _Cuts:
-    """Every ``SAMPLES_PER_CELL``-th key of a sorted sample of bounded size."""
-    fraction = min(1.0, cells * SAMPLES_PER_CELL / total)
-    sample = (
+def _cut_points(keys: DataFrame, total: int, ranges: int, seed: int) -> _Cuts:
+    """From a sorted sample of bounded size: where ranges begin, and where their last bit begins.
+
+    The second kind of cut keeps the search for the last rows of a range to a
+    sixteenth of the data.
+    """
+    fraction = min(1.0, ranges * SAMPLES_PER_RANGE / total)
+    rows = (
         keys.sample(fraction, seed=seed)
         .repartition(1)
         .sortWithinPartitions(*keys.columns)
         .select(F.to_json(F.struct(*keys.columns), _JSON_OPTIONS).alias("key"))
         .collect()
     )
-    step = max(1, len(sample) // cells)
-    chosen = [json.loads(row["key"]) for row in sample[step::step]]
+    sample = [json.loads(row["key"]) for row in rows]
+    step = max(2, len(sample) // ranges)
+    chosen = []
+    for begin in range(0, len(sample), step):
+        if begin:
+            chosen.append((sample[begin], True))
+        if begin + step - 1 < len(sample):
+            chosen.append((sample[begin + step - 1], False))
     # Shorter keys compare faster: use the shortest prefix of the order that
     # still tells nearly all cut points apart.
     target = len(_distinct(chosen, len(keys.columns)))
     for width in range(1, len(keys.columns) + 1):
-        values = _distinct(chosen, width)
-        if len(values) >= 0.9 * target:
+        kept = _distinct(chosen, width)
+        if len(kept) >= 0.9 * target:
             break
+    starts = [start for _, start in kept]
+    if width == 1:
+        # Null keys sort first and compare as null, which is below every cut.
+        values = [key["k0"] for key, _ in kept if "k0" in key]
+        starts = starts[len(starts) - len(values) :]
+        return _Cuts(values, starts, width, f"array<{keys.schema[0].dataType.simpleString()}>")
     fields = ",".join(f"k{i}:{keys.schema[i].dataType.simpleString()}" for i in range(width))
-    return _Cuts(values, width, f"array<struct<{fields}>>")
+    return _Cuts([key for key, _ in kept], starts, width, f"array<struct<{fields}>>")
 
 
-def _distinct(rows: list[dict], width: int) -> list[dict]:
-    kept: list[dict] = []
-    for row in rows:
-        prefix = {f"k{i}": row[f"k{i}"] for i in range(width) if f"k{i}" in row}
-        if not kept or kept[-1] != prefix:
-            kept.append(prefix)
+def _distinct(cuts: list[tuple[dict, bool]], width: int) -> list[tuple[dict, bool]]:
+    kept: list[tuple[dict, bool]] = []
+    for key, start in cuts:
+        prefix = {f"k{i}": key[f"k{i}"] for i in range(width) if f"k{i}" in key}
+        if kept and kept[-1][0] == prefix:
+            kept[-1] = (prefix, kept[-1][1] or start)
+        else:
+            kept.append((prefix, start))
     return kept
 
 
-def _cell_expression(df: DataFrame, order: Sequence[str], cuts: _Cuts) -> Column:
+def _cell_expression(order: Sequence[str], cuts: _Cuts) -> Column:
     boundaries = _literal(cuts.values, cuts.schema)
-    key = F.struct(*[ref(name).alias(f"k{i}") for i, name in enumerate(order[: cuts.width])])
+    if cuts.width == 1:
+        key = ref(order[0])
+    else:
+        key = F.struct(*[ref(name).alias(f"k{i}") for i, name in enumerate(order[: cuts.width])])
     return boundaries_not_above(boundaries, len(cuts.values), key)
 
 
@@ -160,15 +183,15 @@ def _literal(values: list, schema: str) -> Column:
     return F.from_json(F.lit(json.dumps(values)), schema, _JSON_OPTIONS)
 
 
-def _pack(sizes: list[int], target: int, minimum: int) -> list[int]:
-    """Join neighbouring cells until each group reaches ``target`` and ``minimum`` rows."""
+def _pack(sizes: list[int], may_begin: list[bool], least: float) -> list[int]:
+    """Number the ranges: a new one begins where it may, once the last has ``least`` rows."""
     owner, group, held = [], 0, 0
-    for size in sizes:
-        if held >= target and held >= minimum:
+    for size, begins in zip(sizes, may_begin):
+        if begins and held >= least and held:
             group, held = group + 1, 0
         owner.append(group)
         held += size
-    if group and held < max(minimum, target // 4):
+    if group and held < least:
         owner = [min(item, group - 1) for item in owner]
     return owner
 
