@@ -399,7 +399,13 @@ def _(spark, sf_dir):
     )
 
 
-@checks.add("ml11_saved_model")
+VALIDATION_COUNT = f"(SELECT count(*) FROM ({SPLIT_SQL}) WHERE split = 'validation')"
+
+
+@checks.add(
+    "ml11_saved_model",
+    f"SELECT {VALIDATION_COUNT} AS compared_rows, {VALIDATION_COUNT} AS same_rows, 1.0::DOUBLE AS match_rate",
+)
 def _(spark, sf_dir):
     train, validation, _ = training_parts(spark, sf_dir)
     path = scratch_path(spark, "model")
@@ -412,11 +418,17 @@ def _(spark, sf_dir):
     return evaluation.prediction_agreement(before, after, ["event_id"])
 
 
-@checks.add("ml12_batch_scoring")
+@checks.add(
+    "ml12_batch_scoring",
+    f"""SELECT event_id, place > 1 AS accepted, CASE WHEN place > 1 THEN 'logistic_regression' END AS model_name
+        FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS place FROM ({SPLIT_SQL}))
+        WHERE split = 'test'""",
+)
 def _(spark, sf_dir):
     train, _, test = training_parts(spark, sf_dir)
     model = training.train_logistic(train, FEATURES)
     accepted, rejected = training.score_with_contract(test, model)
-    return accepted.select("event_id", training.PROBABILITY, training.PREDICTION, "model_name").unionByName(
-        rejected.select("event_id"), allowMissingColumns=True
+    consistent = (F.col(training.PROBABILITY) >= 0.5) == (F.col(training.PREDICTION) == 1)
+    return accepted.select("event_id", consistent.alias("accepted"), "model_name").unionByName(
+        rejected.select("event_id", F.lit(False).alias("accepted")), allowMissingColumns=True
     )

@@ -8,8 +8,10 @@ rows only.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.base import Model
 from pyspark.ml.classification import (
     LogisticRegression,
@@ -215,6 +217,20 @@ def train_forest(
     if fallback is not None:
         return fallback
     preparation = fit_preparation(train, features)
+    frame = _training_frame(train, preparation, label, counts)
+    return _fit_forest(frame, preparation, label, trees, depth, leaf, seed, name)
+
+
+def _fit_forest(
+    frame: DataFrame,
+    preparation: Preparation,
+    label: str,
+    trees: int,
+    depth: int | None,
+    leaf: int,
+    seed: int,
+    name: str,
+) -> FaultModel:
     deepest = DEEPEST_TREE if depth is None else min(depth, DEEPEST_TREE)
     estimator = RandomForestClassifier(
         featuresCol=VECTOR,
@@ -226,7 +242,7 @@ def train_forest(
         seed=seed,
         maxMemoryInMB=1024,
     )
-    model = estimator.fit(_training_frame(train, preparation, label, counts))
+    model = estimator.fit(frame)
     parameters = {"n_estimators": trees, "max_depth": depth, "min_samples_leaf": leaf}
     return FaultModel(name, preparation, model, parameters=parameters)
 
@@ -280,16 +296,41 @@ def search_forest(
     label: str = "fault_label",
     candidates: Sequence[Mapping[str, object]] = FOREST_CANDIDATES,
     seed: int = 42,
+    parallelism: int = 3,
 ) -> SearchResult:
-    """Fit every candidate, rank by average precision on the validation rows; the first wins ties."""
-    trials, best, best_score = [], None, -1.0
-    for candidate in candidates:
-        fitted = train_forest(train, features, label, seed=seed, name="tuned_random_forest", **candidate)
+    """Fit every candidate, rank by average precision on the validation rows; the first wins ties.
+
+    Both data sets need both classes (see ``class_gate``).  The preparation is
+    fitted once and candidates are fitted side by side.
+    """
+    counts = class_counts(train, label)
+    if sum(1 for n in counts.values() if n) < 2:
+        raise ContractError("the search needs both classes in the training data")
+    preparation = fit_preparation(train, features)
+    frame = _training_frame(train, preparation, label, counts)
+
+    def trial(candidate: Mapping[str, object]) -> tuple[FaultModel, dict]:
+        fitted = _fit_forest(
+            frame,
+            preparation,
+            label,
+            candidate["trees"],
+            candidate["depth"],
+            candidate["leaf"],
+            seed,
+            "tuned_random_forest",
+        )
         scores = ranking_scores(fitted.score(validation), label, PROBABILITY).first()
-        trials.append({**candidate, "pr_auc": scores["pr_auc"], "roc_auc": scores["roc_auc"]})
-        if scores["pr_auc"] is not None and scores["pr_auc"] > best_score:
-            best, best_score = fitted, scores["pr_auc"]
-    return SearchResult(best, trials)
+        return fitted, {**candidate, "pr_auc": scores["pr_auc"], "roc_auc": scores["roc_auc"]}
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        jobs = [pool.submit(inheritable_thread_target(train.sparkSession)(trial), c) for c in candidates]
+        results = [job.result() for job in jobs]
+    best, best_score = None, -1.0
+    for fitted, outcome in results:
+        if outcome["pr_auc"] is not None and outcome["pr_auc"] > best_score:
+            best, best_score = fitted, outcome["pr_auc"]
+    return SearchResult(best, [outcome for _, outcome in results])
 
 
 def class_gate(train: DataFrame, validation: DataFrame, label: str = "fault_label") -> DataFrame:
