@@ -60,7 +60,7 @@ def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
 
 
 def list_files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """``(path, length, modificationTime)``; the contents are not read."""
+    """``(path, length, modificationTime)`` of files that are not empty; contents are not read."""
     paths = [path] if isinstance(path, str) else list(path)
     return (
         spark.read.format("binaryFile")

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from gaugeworks.operators.contracts import ContractError, check_columns, check_header
 from gaugeworks.operators.quality import find_index_column
-from gaugeworks.sources.files import fingerprint_files, read_csv, read_headers
+from gaugeworks.sources.files import fingerprint_files, list_files, read_csv, read_headers
 
 LINEAGE = ("machine_id", "_source_file", "_source_file_sha256", "_ingested_at", "_run_id")
 LOG_SCHEMA = "machine_id string, source_file string, sha256 string, row_count long, ingested_at timestamp, run_id string"
@@ -93,6 +93,8 @@ class Landing:
         Files with the same header are read and written by one job, whatever
         their number.  The driver sees file names and hashes, never rows.
         """
+        if list_files(self.spark, path).isEmpty():
+            raise ContractError(f"no file with content under {path}")
         found = fingerprint_files(self.spark, path).withColumn("machine_id", F.lit(machine_id))
         fresh = (
             not_yet_ingested(found, self.log())
