@@ -210,10 +210,15 @@ def _(spark, sf_dir):
     return found.select("event_id", "fault_label", "failure_id")
 
 
-@checks.add("jn1_windows_by_shuffle", MACHINE_WINDOWS_SQL)
+@checks.add("jn1_windows_merged_in_time_order", MACHINE_WINDOWS_SQL)
 def _(spark, sf_dir):
     found = labeling.label_by_table(
-        events(spark, sf_dir), machine_windows(spark, sf_dir), EV, machine=["user_id"], most_broadcast=0
+        events(spark, sf_dir),
+        machine_windows(spark, sf_dir),
+        EV,
+        machine=["user_id"],
+        most_broadcast=0,
+        rows_per_range=1000,
     )
     return found.select("event_id", "fault_label", "failure_id")
 

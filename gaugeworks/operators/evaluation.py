@@ -20,8 +20,8 @@ from gaugeworks.operators.ranges import (
     DEFAULT_ROWS_PER_RANGE,
     RANGE,
     OrderedRanges,
+    from_earlier_ranges,
     join_range_offsets,
-    rows_in_earlier_ranges,
 )
 from gaugeworks.operators.shape import rows_from_wide
 from gaugeworks.sources.scratch import written
@@ -116,7 +116,7 @@ def ranking_curve(
     groups = written(groups, "scores")
     ranges = OrderedRanges.plan(groups, (*models, "score"), scores_per_range)
     tagged = groups.withColumn(RANGE, ranges.range_id)
-    above = rows_in_earlier_ranges(
+    above = from_earlier_ranges(
         tagged,
         models,
         {"tp_above": F.sum("pos"), "n_above": F.sum(F.col("pos") + F.col("neg"))},

@@ -9,16 +9,24 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeworks.functions.columns import epoch_seconds, instant, ratio, ref, refs
+from gaugeworks.operators.ranges import (
+    DEFAULT_ROWS_PER_RANGE,
+    RANGE,
+    OrderedRanges,
+    from_earlier_ranges,
+    join_range_offsets,
+    with_group_row_number,
+)
 from gaugeworks.roles import SeriesRoles
+from gaugeworks.sources.scratch import written
 
 NO_FAILURE = "NO_FAILURE"
 # More literal windows than this and a lookup table is the better plan.
 MOST_LITERAL_WINDOWS = 64
 # Segments that may be broadcast: a few ten bytes each.
 MOST_BROADCAST_SEGMENTS = 500_000
-# Widths of the time slices readings and windows meet in, in seconds.
-SLICE_WIDTHS = (86_400, 3_600, 60)
-MOST_WINDOWS_PER_SLICE = 64
+# Widths of the time slices readings and segments meet in, in seconds.
+SLICE_WIDTHS = (1, 60, 3_600, 86_400)
 
 
 @dataclass(frozen=True)
@@ -64,12 +72,21 @@ def _finish(df: DataFrame, roles: SeriesRoles) -> DataFrame:
 
 
 def disjoint_segments(
-    windows: DataFrame, time_type: str, machine: Sequence[str] = (), slice_seconds: int = 86_400
+    windows: DataFrame,
+    time_type: str,
+    machine: Sequence[str] = (),
+    rows_per_range: int = DEFAULT_ROWS_PER_RANGE,
 ) -> DataFrame:
-    """Cut overlapping windows into disjoint half-open segments with one winner each.
+    """Cut overlapping windows at every start and end and settle who wins in between.
 
     ``windows`` has ``ordinal, failure_id, start, end`` and the machine columns;
-    the result ``machine, start, stop, failure_id``.
+    the result ``machine, start, stop, failure_id`` covers all time between the
+    first and the last cut: ``failure_id`` is null where no window is open and
+    ``stop`` is null after the last one.
+
+    A window is spread over the few nodes of a binary tree above the segments
+    that make it up, and a segment looks at the nodes above it.  The work grows
+    with n log n even where all windows overlap.
     """
     closed = windows.select(
         *refs(machine),
@@ -78,25 +95,51 @@ def disjoint_segments(
         F.col("start").cast(time_type).alias("start"),
         (F.col("end").cast(time_type) + F.expr("INTERVAL '0.000001' SECOND")).alias("stop"),
     ).filter(F.col("start") < F.col("stop"))
-    points = (
-        closed.select(*refs(machine), F.col("start").alias("point"))
-        .unionByName(closed.select(*refs(machine), F.col("stop").alias("point")))
+    for name in machine:
+        closed = closed.filter(ref(name).isNotNull())
+    cuts = (
+        closed.select(*refs(machine), F.col("start").alias("cut"))
+        .unionByName(closed.select(*refs(machine), F.col("stop").alias("cut")))
         .distinct()
     )
-    by_time = Window.partitionBy(*refs(machine)).orderBy("point")
-    cells = points.withColumn("next_point", F.lead("point").over(by_time)).filter(
-        F.col("next_point").isNotNull()
+    cuts = written(with_group_row_number(cuts, machine, ["cut"], "place", rows_per_range), "cuts")
+    levels = max(1, cuts.count().bit_length())
+    following = cuts.select(*refs(machine), (F.col("place") - 1).alias("place"), F.col("cut").alias("stop"))
+    segments = cuts.withColumnRenamed("cut", "start").join(following, [*machine, "place"], "left")
+
+    def placed(column: str, name: str) -> DataFrame:
+        return cuts.select(*refs(machine), F.col("cut").alias(column), F.col("place").alias(name))
+
+    every_level = F.sequence(F.lit(0), F.lit(levels))
+    width = F.expr("shiftleft(1L, level)")
+    spans = (
+        closed.join(placed("start", "first"), [*machine, "start"])
+        .join(placed("stop", "last"), [*machine, "stop"])
+        .select(*refs(machine), "ordinal", "failure_id", "first", "last", F.explode(every_level).alias("level"))
     )
-    # A window covers a cell exactly when it covers the start of the cell, so
-    # cells meet windows through the slice that start falls in.
-    cells = cells.withColumn("slice", _slice("point", slice_seconds))
-    spread = _by_slice(closed, slice_seconds)
-    return (
-        cells.join(spread, [*machine, "slice"])
-        .filter((F.col("start") <= F.col("point")) & (F.col("stop") > F.col("point")))
-        .groupBy(*refs(machine), "point", "next_point")
-        .agg(F.max_by("failure_id", "ordinal").alias("failure_id"))
-        .select(*refs(machine), F.col("point").alias("start"), F.col("next_point").alias("stop"), "failure_id")
+    low = F.floor((F.col("first") + width - 1) / width)
+    high = F.floor(F.col("last") / width)
+    nodes = spans.withColumns({"low": low, "high": high}).filter(F.col("low") < F.col("high"))
+    ends = F.array(
+        F.when(F.col("low") % 2 == 1, F.col("low")), F.when(F.col("high") % 2 == 1, F.col("high") - 1)
+    )
+    winners = (
+        nodes.select(*refs(machine), "level", "ordinal", "failure_id", F.explode(F.array_compact(ends)).alias("node"))
+        .groupBy(*refs(machine), "level", "node")
+        .agg(F.max(F.struct("ordinal", "failure_id")).alias("winner"))
+    )
+    above = segments.filter(F.col("stop").isNotNull()).select(
+        *refs(machine), "place", F.explode(every_level).alias("level")
+    )
+    above = above.withColumn("node", F.floor(F.col("place") / width))
+    decided = (
+        above.join(winners, [*machine, "level", "node"])
+        .groupBy(*refs(machine), "place")
+        .agg(F.max("winner").alias("winner"))
+        .select(*refs(machine), "place", F.col("winner.failure_id").alias("failure_id"))
+    )
+    return segments.join(decided, [*machine, "place"], "left").select(
+        *refs(machine), "start", "stop", "failure_id"
     )
 
 
@@ -104,71 +147,105 @@ def _slice(column: str, seconds: int) -> Column:
     return F.floor(epoch_seconds(ref(column)) / seconds)
 
 
-def _by_slice(intervals: DataFrame, seconds: int) -> DataFrame:
-    """Every interval under each time slice it touches."""
-    touched = F.sequence(_slice("start", seconds), _slice("stop", seconds))
-    return intervals.withColumn("slice", F.explode(touched))
-
-
-def _choose_slice(windows: DataFrame, machine: Sequence[str]) -> int:
-    """The widest slice in which no machine has more than a few windows."""
-    for seconds in SLICE_WIDTHS[:-1]:
-        crowd = (
-            windows.groupBy(*refs(machine), _slice("start", seconds).alias("slice"))
-            .count()
-            .agg(F.max("count"))
-            .first()[0]
-        )
-        if crowd is None or crowd <= MOST_WINDOWS_PER_SLICE:
-            return seconds
-    return SLICE_WIDTHS[-1]
-
-
 def label_by_table(
     df: DataFrame,
     windows: DataFrame,
     roles: SeriesRoles,
     machine: Sequence[str] = (),
-    slice_seconds: int | None = None,
     most_broadcast: int = MOST_BROADCAST_SEGMENTS,
-    salts: int = 32,
+    rows_per_range: int = DEFAULT_ROWS_PER_RANGE,
 ) -> DataFrame:
     """Label from a table of any number of windows, globally or per machine.
 
-    Overlaps are settled among the windows first, so a reading meets at most
-    one segment and is never multiplied.  Readings find segments by an equi
-    join on machine and time slice with the interval as residual condition.
-    A counted, small segment table is broadcast; a larger one is joined by
-    shuffle, with the readings of a slice spread over ``salts`` tasks.
+    Overlaps are settled among the windows first, so a reading lies in at most
+    one segment and is never multiplied.  A counted, small set of segments is
+    broadcast; a larger one is merged with the readings in time order.
     """
     time_type = df.schema[roles.time].dataType.simpleString()
-    typed = windows.withColumns({name: F.col(name).cast(time_type) for name in ("start", "end")})
-    seconds = slice_seconds or _choose_slice(typed, machine)
-    segments = _by_slice(disjoint_segments(typed, time_type, machine, seconds), seconds)
-    count = segments.count()
-    left = df.withColumn("__slice", _slice(roles.time, seconds)).alias("reading")
-    right = segments.select(
-        *[ref(name).alias(f"__{name}") for name in (*machine, "slice", "start", "stop", "failure_id")]
-    ).withColumnRenamed("__slice", "__touched")
-    meets = (
-        (F.col("__slice") == F.col("__touched"))
-        & (ref(roles.time) >= F.col("__start"))
-        & (ref(roles.time) < F.col("__stop"))
-    )
-    for name in machine:
-        meets = meets & (ref(name) == ref(f"__{name}"))
-    if count <= most_broadcast:
-        joined = left.join(F.broadcast(right), meets, "left")
+    segments = written(disjoint_segments(windows, time_type, machine, rows_per_range), "segments")
+    sliced = _by_length(segments.filter(F.col("failure_id").isNotNull()))
+    sizes = {row["width"]: row["count"] for row in sliced.groupBy("width").count().collect()}
+    if sum(sizes.values()) <= most_broadcast:
+        labelled = _look_up(df, sliced, sorted(sizes), roles, machine)
     else:
-        left = left.withColumn("__salt", F.pmod(F.xxhash64(*refs(roles.order)), F.lit(salts)))
-        every_salt = F.array(*[F.lit(salt).cast("long") for salt in range(salts)])
-        right = right.withColumn("__copy", F.explode(every_salt))
-        joined = left.join(right, meets & (F.col("__salt") == F.col("__copy")), "left").drop("__salt", "__copy")
-    extra = [f"__{name}" for name in (*machine, "start", "stop")]
-    labelled = joined.drop(*extra, "__slice", "__touched").withColumnRenamed("__failure_id", roles.failure_id)
+        labelled = _merge(df, segments, roles, machine, rows_per_range)
     return _finish(labelled, roles)
 
 
+def _by_length(segments: DataFrame) -> DataFrame:
+    """Each segment under the time slices it touches, in slices about as wide as it is long.
+
+    Segments are disjoint, so a slice holds some sixty of them at most and a
+    segment touches two slices, or one for each of its days.
+    """
+    length = epoch_seconds(F.col("stop")) - epoch_seconds(F.col("start"))
+    width = F.lit(SLICE_WIDTHS[-1])
+    for seconds in reversed(SLICE_WIDTHS[:-1]):
+        width = F.when(length <= seconds, seconds).otherwise(width)
+    sized = segments.withColumn("width", width)
+    first = F.floor(epoch_seconds(F.col("start")) / F.col("width"))
+    last = F.floor(epoch_seconds(F.col("stop")) / F.col("width"))
+    return sized.withColumn("slice", F.explode(F.sequence(first, last)))
+
+
+def _look_up(
+    df: DataFrame, sliced: DataFrame, widths: Sequence[int], roles: SeriesRoles, machine: Sequence[str]
+) -> DataFrame:
+    """Broadcast joins on machine and slice, one per slice width, the interval as residual condition."""
+    found, labelled = [], df
+    for width in widths:
+        right = sliced.filter(F.col("width") == width).select(
+            *[ref(name).alias(f"__{name}") for name in (*machine, "slice", "start", "stop", "failure_id")]
+        )
+        meets = (
+            (_slice(roles.time, width) == F.col("__slice"))
+            & (ref(roles.time) >= F.col("__start"))
+            & (ref(roles.time) < F.col("__stop"))
+        )
+        for name in machine:
+            meets = meets & (ref(name) == ref(f"__{name}"))
+        labelled = (
+            labelled.join(F.broadcast(right), meets, "left")
+            .drop(*[f"__{name}" for name in (*machine, "slice", "start", "stop")])
+            .withColumnRenamed("__failure_id", f"__found_{width}")
+        )
+        found.append(f"__found_{width}")
+    latest = F.coalesce(*[F.col(name) for name in found]) if found else F.lit(None).cast("string")
+    return labelled.withColumn(roles.failure_id, latest).drop(*found)
+
+
+def _merge(
+    df: DataFrame, segments: DataFrame, roles: SeriesRoles, machine: Sequence[str], rows_per_range: int
+) -> DataFrame:
+    """Readings and segment starts in one time order; each reading takes the last start before it.
+
+    The order is cut into balanced ranges, so neither a busy machine nor a busy
+    instant fills a task; what is open at the start of a range is carried in.
+    """
+    starts = segments.select(
+        *refs(machine),
+        F.col("start").alias(roles.time),
+        F.lit(0).alias("__kind"),
+        F.struct(F.col("start").alias("since"), F.col("failure_id")).alias("__open"),
+    )
+    both = df.withColumn("__kind", F.lit(1)).unionByName(starts, allowMissingColumns=True)
+    order = (roles.time, "__kind", *roles.seq)
+    ranges = OrderedRanges.plan(both, (*machine, *order), rows_per_range)
+    tagged = both.withColumn(RANGE, ranges.range_id)
+    window = Window.partitionBy(RANGE, *refs(machine)).orderBy(*refs(order))
+    upto = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    merged = tagged.withColumn("__last", F.last("__open", ignorenulls=True).over(upto))
+    if ranges.count > 1:
+        carried = from_earlier_ranges(tagged, machine, {"__before": F.max("__open")}, combine=F.max)
+        merged = join_range_offsets(merged.filter(F.col("__kind") == 1), carried, machine)
+        merged = merged.withColumn("__last", F.coalesce("__last", "__before")).drop("__before")
+    return (
+        merged.filter(F.col("__kind") == 1)
+        .withColumn(roles.failure_id, F.col("__last.failure_id"))
+        .drop(RANGE, "__kind", "__open", "__last")
+    )
+
+
 def label_distribution(df: DataFrame, label: str) -> DataFrame:
     return df.groupBy(ref(label)).agg(F.count("*").alias("row_count")).orderBy(ref(label))
 

@@ -272,7 +272,7 @@ def with_group_row_number(
         return df.withColumn(name, F.row_number().over(window).cast("long"))
 
     tagged = df.withColumn(RANGE, ranges.range_id)
-    before = rows_in_earlier_ranges(tagged, group_by, {"__before": F.count("*")})
+    before = from_earlier_ranges(tagged, group_by, {"__before": F.count("*")})
     window = Window.partitionBy(RANGE, *refs(group_by)).orderBy(*refs(order_by))
     numbered = tagged.withColumn("__in_range", F.row_number().over(window).cast("long"))
     return (
@@ -282,13 +282,14 @@ def with_group_row_number(
     )
 
 
-def rows_in_earlier_ranges(
+def from_earlier_ranges(
     tagged: DataFrame,
     group_by: Sequence[str],
     totals: dict[str, Column],
     descending: bool = False,
+    combine: Callable[[str], Column] = F.sum,
 ) -> DataFrame:
-    """Totals per (range, group) summed over the ranges before it in the same group.
+    """Aggregates per (range, group), combined over the ranges before it in the same group.
 
     Only pairs with something before them are kept: at most one group per
     range continues from its neighbour, so the result has fewer rows than
@@ -303,8 +304,8 @@ def rows_in_earlier_ranges(
     per_range = tagged.groupBy(RANGE, *refs(group_by)).agg(
         *[total.alias(label) for label, total in totals.items()]
     )
-    summed = per_range.withColumns({label: F.sum(label).over(earlier) for label in totals})
-    return summed.filter(F.col(next(iter(totals))).isNotNull())
+    carried = per_range.withColumns({label: combine(label).over(earlier) for label in totals})
+    return carried.filter(F.col(next(iter(totals))).isNotNull())
 
 
 def join_range_offsets(tagged: DataFrame, offsets: DataFrame, group_by: Sequence[str]) -> DataFrame:

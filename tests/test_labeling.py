@@ -45,7 +45,7 @@ def test_many_literal_windows_are_refused(spark):
         labeling.label_by_windows(readings(spark, "2024-01-01 00:00:00"), ROLES, windows)
 
 
-@pytest.mark.parametrize("options", [{}, {"most_broadcast": 0}, {"slice_seconds": 60}, {"slice_seconds": 86_400, "most_broadcast": 0, "salts": 3}])
+@pytest.mark.parametrize("options", [{}, {"most_broadcast": 0}, {"most_broadcast": 0, "rows_per_range": 50}, {"rows_per_range": 20}])
 @pytest.mark.parametrize("per_machine", [False, True])
 def test_window_table_equals_brute_force(spark, options, per_machine):
     rng = random.Random(11)
