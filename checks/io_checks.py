@@ -13,6 +13,7 @@ from gaugeworks.operators import quality, runs, splits
 from gaugeworks.operators.evaluation import compare_models
 from gaugeworks.sources import files, landing, tables
 from gaugeworks.sources.scratch import scratch_path, written
+from gaugeworks.streaming import ingest as streaming
 
 checks = Registry()
 
@@ -229,6 +230,58 @@ def _(spark, sf_dir):
     )
 
 
+@checks.add("snk5_table_detail")
+def _(spark, sf_dir):
+    name = _fresh_table("detailed")
+    tables.overwrite_table(events(spark, sf_dir), name, scratch_path(spark, "table"))
+    return tables.table_detail(spark, name).filter(F.col("col_name").isin("Type", "Provider"))
+
+
+STREAM_SCHEMA = T.StructType([CSV_SCHEMA.fields[0], T.StructField("timestamp", T.TimestampType()), *CSV_SCHEMA.fields[2:]])
+
+
+@checks.add(
+    "snk2_incremental_stream",
+    """SELECT 'm1' AS machine_id, count(*) AS row_count, count(DISTINCT event_id) AS distinct_rows,
+              round(sum(value), 4) AS value_sum FROM events""",
+)
+def _(spark, sf_dir):
+    source, out, state = csv_copy(spark, sf_dir, parts=4), scratch_path(spark, "out"), scratch_path(spark, "state")
+    for _ in range(2):
+        stream = streaming.stream_csv(spark, source, STREAM_SCHEMA)
+        streaming.run_available(stream, out, state, lambda df: streaming.with_stream_lineage(df, "m1"))
+    return (
+        spark.read.parquet(out)
+        .groupBy("machine_id")
+        .agg(
+            F.count("*").alias("row_count"),
+            F.count_distinct("seq").alias("distinct_rows"),
+            F.round(F.sum("value"), 4).alias("value_sum"),
+        )
+    )
+
+
+@checks.add(
+    "flt2_stream_quarantine",
+    """SELECT event_id AS seq, CASE WHEN event_id % 97 = 0 THEN 'rejected' ELSE 'accepted' END AS route FROM events""",
+)
+def _(spark, sf_dir):
+    source = csv_copy(spark, sf_dir, broken=True, parts=4)
+    good, bad = scratch_path(spark, "accepted"), scratch_path(spark, "rejected")
+    streaming.run_quarantine(
+        streaming.stream_csv(spark, source, STREAM_SCHEMA),
+        quality.missing_time_rule("timestamp"),
+        good,
+        bad,
+        scratch_path(spark, "state"),
+    )
+    return (
+        spark.read.parquet(good)
+        .select("seq", F.lit("accepted").alias("route"))
+        .unionByName(spark.read.parquet(bad).select("seq", F.lit("rejected").alias("route")))
+    )
+
+
 @checks.add(
     "jn2_not_yet_ingested",
     """SELECT event_type, count(*) AS row_count FROM events WHERE event_type NOT IN ('click', 'view') GROUP BY 1""",

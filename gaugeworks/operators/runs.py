@@ -57,19 +57,14 @@ def stage_durations(
     )
 
 
-def reusable_runs(log: DataFrame, current: DataFrame, keys: Sequence[str], mode: str, fingerprint: str) -> DataFrame:
-    """Recorded runs whose mode and input fingerprint equal the current ones."""
-    recorded = log.select(*refs([*keys, mode, fingerprint])).distinct()
-    wanted = current.select(*refs([mode, fingerprint])).distinct()
-    return recorded.join(wanted, [mode, fingerprint], "left_semi")
-
+def with_resume_decision(
+    current: DataFrame, log: DataFrame, keys: Sequence[str], mode: str, fingerprint: str
+) -> DataFrame:
+    """Each current input with the decision to reuse a recorded stage or to run it.
 
-def with_resume_decision(current: DataFrame, log: DataFrame, keys: Sequence[str], mode: str, fingerprint: str) -> DataFrame:
-    """Each current input with the decision to reuse a recorded stage or to run it."""
-    recorded = log.select(*refs(keys), ref(mode).alias("__mode"), ref(fingerprint).alias("__hash"))
-    latest = recorded.distinct()
-    same = F.max(
-        (F.col("__mode") == ref(mode)) & (F.col("__hash") == ref(fingerprint))
-    )
-    joined = current.join(latest, list(keys), "left")
-    return joined.groupBy(*refs([*keys, mode, fingerprint])).agg(F.coalesce(same, F.lit(False)).alias("reuse"))
+    A stage is reused only when mode and fingerprint equal recorded ones; each
+    input meets at most one distinct record.
+    """
+    match = [*keys, mode, fingerprint]
+    recorded = log.select(*refs(match)).distinct().withColumn("reuse", F.lit(True))
+    return current.join(recorded, match, "left").withColumn("reuse", F.coalesce("reuse", F.lit(False)))
