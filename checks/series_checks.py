@@ -33,16 +33,18 @@ FRAME = "ROWS BETWEEN 29 PRECEDING AND CURRENT ROW"
 KINDS = ("mean", "std", "min", "max")
 
 
-def rolling_sql(name: str, over: str, digits: int = 6) -> str:
+def rolling_sql(name: str, over: str, spread_digits: int = 6) -> str:
     functions = dict(zip(KINDS, ("avg", "stddev_samp", "min", "max")))
+    digits = {"std": spread_digits}
     return ", ".join(
-        f"round({function}({name}) OVER ({over} {FRAME}), {digits}) AS {name}_rolling_{kind}_5m"
+        f"round({function}({name}) OVER ({over} {FRAME}), {digits.get(kind, 6)}) AS {name}_rolling_{kind}_5m"
         for kind, function in functions.items()
     )
 
 
-def rolled(name: str, digits: int = 6):
-    return rounded(*[f"{name}_rolling_{kind}_5m" for kind in KINDS], digits=digits)
+def rolled(name: str, spread_digits: int = 6):
+    others = [f"{name}_rolling_{kind}_5m" for kind in KINDS if kind != "std"]
+    return [*rounded(*others), *rounded(f"{name}_rolling_std_5m", digits=spread_digits)]
 
 
 # --- windows -------------------------------------------------------------------------------
@@ -313,7 +315,7 @@ LINE_OVER = f"PARTITION BY l_suppkey ORDER BY {LI_ORDER}"
 )
 def _(spark, sf_dir):
     found = with_features(lineitem(spark, sf_dir), LI)
-    made = [c for n in LI.analog for c in (*rounded(f"{n}_delta"), *rolled(n, digits=4))]
+    made = [c for n in LI.analog for c in (*rounded(f"{n}_delta"), *rolled(n, spread_digits=4))]
     return found.select(*LINE_KEY, F.unix_micros(F.col("l_shipdate").cast("timestamp")).alias("ship_micros"), *made)
 
 
