@@ -92,10 +92,11 @@ def with_null_values(df: DataFrame) -> DataFrame:
 
 
 def with_repeats(df: DataFrame) -> DataFrame:
-    return df.unionByName(df.filter(F.col("event_id") % 50 == 0))
+    """Every error is recorded twice."""
+    return df.unionByName(df.filter(F.col("event_type") == "error"))
 
 
-REPEATS_SQL = "SELECT * FROM events UNION ALL SELECT * FROM events WHERE event_id % 50 = 0"
+REPEATS_SQL = "SELECT * FROM events UNION ALL SELECT * FROM events WHERE event_type = 'error'"
 
 
 def with_strange_values(df: DataFrame) -> DataFrame:

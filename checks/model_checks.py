@@ -382,6 +382,23 @@ def _(spark, sf_dir):
     return scored(training.train_network(train, FEATURES), validation)
 
 
+@checks.add(
+    "con6_model_contract",
+    f"""SELECT 12 AS recorded, 12 AS listed, 12 AS model_width, count(*) AS scored_rows
+        FROM ({SPLIT_SQL}) WHERE split = 'validation'""",
+)
+def _(spark, sf_dir):
+    train, validation, _ = training_parts(spark, sf_dir)
+    fitted = training.train_logistic(train, FEATURES, max_iterations=5)
+    contracts.check_model(len(FEATURES), fitted.features, fitted.model.numFeatures)
+    return fitted.score(validation).agg(
+        F.lit(len(FEATURES)).alias("recorded"),
+        F.lit(len(fitted.features)).alias("listed"),
+        F.lit(fitted.model.numFeatures).alias("model_width"),
+        F.count("*").alias("scored_rows"),
+    )
+
+
 @checks.add("ml8_fault_probability")
 def _(spark, sf_dir):
     train, validation, _ = training_parts(spark, sf_dir)

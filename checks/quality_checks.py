@@ -519,7 +519,7 @@ def _(spark, sf_dir):
 
 
 @checks.add(
-    "scl_time_functions",
+    "scl1_to_scl4_time_functions",
     f"""SELECT event_id, {EPOCH} AS epoch, hour(ts)::INTEGER AS hour, minute(ts)::INTEGER AS minute,
                (dayofweek(ts) + 1)::INTEGER AS day_of_week, round(sin(2 * pi() * hour(ts) / 24), 6) AS hour_sin,
                round(cos(2 * pi() * hour(ts) / 24), 6) AS hour_cos FROM events""",
@@ -534,7 +534,7 @@ def _(spark, sf_dir):
 
 
 @checks.add(
-    "scl_conditional_functions",
+    "scl5_to_scl8_scl11_conditionals",
     f"""SELECT event_id, CASE WHEN value > 100 THEN 'high' WHEN value > 10 THEN 'middle' ELSE 'low' END AS level,
                greatest(1, CAST(floor(value * CAST(0.7 AS DOUBLE)) AS INTEGER)) AS raised,
                least(value, 50.0::DOUBLE) AS lowered, coalesce(ts IS NULL, true) AS without_time,
@@ -557,6 +557,19 @@ def _(spark, sf_dir):
     )
 
 
+@checks.add(
+    "scl9_run_columns",
+    """SELECT event_id, 'run-1' AS run_id, true AS stamped, true AS named FROM events""",
+)
+def _(spark, sf_dir):
+    return events(spark, sf_dir).select(
+        "event_id",
+        F.lit("run-1").alias("run_id"),
+        (F.current_timestamp() > F.col("ts").cast("timestamp")).alias("stamped"),
+        F.expr("uuid()").rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$").alias("named"),
+    )
+
+
 @checks.add(
     "scl10_identifiers",
     """SELECT event_id, regexp_full_match(event_type || CASE WHEN event_id % 2 = 0 THEN '_1' ELSE '-1' END,

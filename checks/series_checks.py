@@ -500,6 +500,18 @@ def _(spark, sf_dir):
     return found.select("event_id", "fault_label")
 
 
+@checks.add(
+    "smp1_single_class_quota",
+    """SELECT event_id FROM (
+         SELECT event_id, row_number() OVER (ORDER BY md5('42:' || event_id), event_id) AS place, count(*) OVER () AS n
+         FROM events) WHERE n <= 3000 OR place <= 1000""",
+)
+def _(spark, sf_dir):
+    source = events(spark, sf_dir).withColumn("fault_label", F.lit(1))
+    found = splits.capped_class_sample(source, "fault_label", ["event_id"], max_rows=3000, fill_single_class=False)
+    return found.select("event_id")
+
+
 @checks.add(
     "smp2_fault_preserving_sample",
     sample_sql(

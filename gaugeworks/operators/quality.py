@@ -11,6 +11,8 @@ from gaugeworks.functions.columns import ref, refs
 from gaugeworks.operators.shape import rows_from_wide
 from gaugeworks.roles import INDEX_ALIASES
 
+ACCEPTED, REJECTED = "accepted", "rejected"
+
 
 def find_index_column(columns: Sequence[str], aliases: Sequence[str] = INDEX_ALIASES) -> str | None:
     """First alias present among the columns, in the order of ``aliases``."""
@@ -208,6 +210,12 @@ def with_reject_reasons(df: DataFrame, rules: dict[str, Column], name: str = "re
     return df.withColumn(name, F.array_compact(F.array(*broken)))
 
 
+def with_verdict(df: DataFrame, rules: dict[str, Column], name: str = "reject_reasons") -> DataFrame:
+    """Reasons and ``route``: written once and partitioned by the route, both outputs come from one pass."""
+    route = F.when(F.size(name) == 0, ACCEPTED).otherwise(REJECTED)
+    return with_reject_reasons(df, rules, name).withColumn("route", route)
+
+
 def quarantine(df: DataFrame, rules: dict[str, Column], name: str = "reject_reasons") -> tuple[DataFrame, DataFrame]:
     """``(accepted, rejected)``; only rejected rows carry their reasons."""
     judged = with_reject_reasons(df, rules, name)

@@ -7,9 +7,9 @@ that later steps read several times.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gaugeworks.operators import contracts, quality
 from gaugeworks.operators.features import with_features
@@ -20,22 +20,19 @@ from gaugeworks.roles import SeriesRoles
 from gaugeworks.sources import tables
 
 
-@dataclass(frozen=True)
-class Layout:
-    """Folders of the tables under one root."""
+def judged(bronze: DataFrame, roles: SeriesRoles, deduplicate: bool = True) -> DataFrame:
+    """Readings without exact copies, each with its route and the reasons against it."""
+    source = quality.remove_exact_duplicates(bronze) if deduplicate else bronze
+    return quality.with_verdict(source, quality.missing_time_rule(roles.time))
 
-    root: str
 
-    def __getattr__(self, name: str) -> str:
-        if name.startswith("_"):
-            raise AttributeError(name)
-        return f"{self.root}/{name}"
+def silver(spark: SparkSession, path: str) -> DataFrame:
+    """Accepted readings of a judged table; the rejected ones are not read."""
+    return spark.read.parquet(path).filter(F.col("route") == quality.ACCEPTED).drop("route", "reject_reasons")
 
 
-def silver(bronze: DataFrame, roles: SeriesRoles, deduplicate: bool = True) -> tuple[DataFrame, DataFrame]:
-    """``(clean, quarantined)`` readings."""
-    source = quality.remove_exact_duplicates(bronze) if deduplicate else bronze
-    return quality.quarantine(source, quality.missing_time_rule(roles.time))
+def quarantined(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).filter(F.col("route") == quality.REJECTED).drop("route")
 
 
 def gold(clean: DataFrame, roles: SeriesRoles, windows: Sequence[FaultWindow] = COMPRESSOR_FAILURES) -> DataFrame:
@@ -61,13 +58,12 @@ def build(
     run_id: str = "manual",
     chronological: bool = True,
 ) -> DataFrame:
-    """Write silver, quarantine, quality metrics, features and splits; returns the split audit."""
-    layout = Layout(root)
+    """Write judged readings, quality metrics, features and splits; returns the split audit."""
     index = roles.seq[0] if roles.seq else None
-    clean, rejected = silver(bronze, roles)
-    tables.overwrite_parquet(clean, layout.silver)
-    tables.overwrite_parquet(rejected, layout.quarantine)
-    quality.quality_report(bronze, roles.time, index, run_id).write.mode("append").parquet(layout.quality)
-    tables.overwrite_parquet(gold(spark.read.parquet(layout.silver), roles, windows), layout.features)
-    tables.write_splits(split(spark.read.parquet(layout.features), roles, chronological), layout.splits)
-    return split_audit(spark.read.parquet(layout.splits), roles.label, roles.time)
+    tables.overwrite_parquet(judged(bronze, roles), f"{root}/judged", ["route"])
+    report = quality.quality_report(bronze, roles.time, index, run_id)
+    report.write.mode("append").parquet(f"{root}/quality")
+    tables.overwrite_parquet(gold(silver(spark, f"{root}/judged"), roles, windows), f"{root}/features")
+    features = spark.read.parquet(f"{root}/features")
+    tables.write_splits(split(features, roles, chronological), f"{root}/splits")
+    return split_audit(spark.read.parquet(f"{root}/splits"), roles.label, roles.time)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeworks.operators.quality import quarantine
+from gaugeworks.operators.quality import with_verdict
 from gaugeworks.sources.files import CORRUPT, TIME_PATTERN
 
 
@@ -52,19 +52,16 @@ def run_available(df: DataFrame, path: str, checkpoint: str, transform: Callable
     query.awaitTermination()
 
 
-def run_quarantine(
-    df: DataFrame, rules: dict[str, Column], accepted_path: str, rejected_path: str, checkpoint: str
-) -> None:
-    """Route accepted and rejected readings of a stream to two tables.
+def run_quarantine(df: DataFrame, rules: dict[str, Column], path: str, checkpoint: str) -> None:
+    """Judge the readings of a stream; accepted and rejected ones land in separate folders.
 
-    Each batch is written under its own number with overwrite, so a replayed
-    batch replaces itself.
+    Each batch is written once, under its own number with overwrite, so a
+    replayed batch replaces itself.  Readers filter on ``route``.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        accepted, rejected = quarantine(batch, rules)
-        for part, path in ((accepted, accepted_path), (rejected, rejected_path)):
-            part.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        judged = with_verdict(batch, rules)
+        judged.write.mode("overwrite").partitionBy("route").parquet(f"{path}/batch={number}")
 
     query = (
         df.writeStream.foreachBatch(write)

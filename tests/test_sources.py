@@ -170,8 +170,11 @@ def test_incremental_ingest_reads_each_file_once(spark, tmp_path):
 
 def test_stream_quarantine(spark, tmp_path):
     write(tmp_path / "in" / "a.csv", "seq,timestamp,v", "0,2024-01-01 00:00:00,1.5", "1,broken,2.5")
-    good, bad = str(tmp_path / "good"), str(tmp_path / "bad")
+    out = str(tmp_path / "out")
     stream = streaming.stream_csv(spark, str(tmp_path / "in"), SCHEMA)
-    streaming.run_quarantine(stream, missing_time_rule("timestamp"), good, bad, str(tmp_path / "state"))
-    assert [r["seq"] for r in spark.read.parquet(good).collect()] == [0]
-    assert [(r["seq"], r["reject_reasons"]) for r in spark.read.parquet(bad).collect()] == [(1, ["missing_timestamp"])]
+    streaming.run_quarantine(stream, missing_time_rule("timestamp"), out, str(tmp_path / "state"))
+    rows = spark.read.parquet(out).orderBy("seq").collect()
+    assert [(r["seq"], r["route"], r["reject_reasons"]) for r in rows] == [
+        (0, "accepted", []),
+        (1, "rejected", ["missing_timestamp"]),
+    ]

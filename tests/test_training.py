@@ -177,7 +177,8 @@ def test_from_readings_to_models(spark, tmp_path):
     assert sum(r["row_count"] for r in rows.values()) == 400
     ends = splits.split_sizes(31)
     assert rows["train"]["fault_rows"] == ends[0]
-    assert spark.read.parquet(str(tmp_path / "quarantine")).count() == 1
+    assert medallion.quarantined(spark, str(tmp_path / "judged")).count() == 1
+    assert medallion.silver(spark, str(tmp_path / "judged")).columns == bronze.columns
     features = spark.read.parquet(str(tmp_path / "features"))
     # 15 sensors, the gap, 40 made from sensors and 5 from the time.
     from gaugeworks.operators.contracts import feature_columns
