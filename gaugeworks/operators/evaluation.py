@@ -88,8 +88,8 @@ def has_both_classes(df: DataFrame, label: str = "label", models: Sequence[str]
 
 
 def score_groups(df: DataFrame, label: str, probability: str, models: Sequence[str] = ()) -> DataFrame:
-    """Positives and negatives per distinct score."""
-    return df.groupBy(*refs(models), ref(probability).alias("score")).agg(
+    """Positives and negatives per distinct score; rows without a score are left out."""
+    return df.filter(ref(probability).isNotNull()).groupBy(*refs(models), ref(probability).alias("score")).agg(
         F.count_if(ref(label) == 1).alias("pos"),
         F.count_if(ref(label) == 0).alias("neg"),
     )
@@ -146,6 +146,18 @@ def _distinct_scores(df: DataFrame, probability: str, models: Sequence[str], lim
     return int(df.agg(F.approx_count_distinct(F.xxhash64(key), 0.02)).first()[0] * 1.1)
 
 
+def _areas() -> dict[str, Column]:
+    """Aggregates over a ranking curve: ROC-AUC and average precision."""
+    pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
+    beaten = neg * (F.col("tp_cum").cast("double") - pos / 2)
+    step = pos * F.col("tp_cum").cast("double") / F.col("n_cum").cast("double")
+    both = (F.sum("pos") > 0) & (F.sum("neg") > 0)
+    return {
+        "roc_auc": F.when(both, ratio(F.sum(beaten), F.sum(pos) * F.sum(neg))),
+        "pr_auc": F.when(both, ratio(F.sum(step), F.sum(pos))),
+    }
+
+
 def ranking_scores(
     df: DataFrame,
     label: str = "label",
@@ -155,14 +167,7 @@ def ranking_scores(
 ) -> DataFrame:
     """ROC-AUC (ties count one half) and average precision; null unless both classes occur."""
     curve = ranking_curve(df, label, probability, models, scores_per_range)
-    pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
-    beaten = neg * (F.col("tp_cum").cast("double") - pos / 2)
-    step = pos * F.col("tp_cum").cast("double") / F.col("n_cum").cast("double")
-    both = (F.sum("pos") > 0) & (F.sum("neg") > 0)
-    return _grouped(curve, models).agg(
-        F.when(both, ratio(F.sum(beaten), F.sum(pos) * F.sum(neg))).alias("roc_auc"),
-        F.when(both, ratio(F.sum(step), F.sum(pos))).alias("pr_auc"),
-    )
+    return _grouped(curve, models).agg(*[area.alias(name) for name, area in _areas().items()])
 
 
 def threshold_table(
@@ -239,11 +244,23 @@ def compare_models(
     threshold: float = 0.5,
     scores_per_range: int = DEFAULT_ROWS_PER_RANGE,
 ) -> DataFrame:
-    """All metrics of every model, one row each."""
-    scores = with_scores(confusion_matrix(df, label, probability, threshold, [model]))
-    ranking = ranking_scores(df, label, probability, [model], scores_per_range)
+    """All metrics of every model, one row each.
+
+    The cells of the confusion matrix are sums over the ranking curve, so the
+    scores are read once.
+    """
+    curve = ranking_curve(df, label, probability, [model], scores_per_range)
+    hit = F.col("score") >= F.lit(float(threshold))
+
+    def rows(count: str, where: Column) -> Column:
+        return F.sum(F.when(where, F.col(count)).otherwise(0))
+
+    cells = {"tn": rows("neg", ~hit), "fp": rows("neg", hit), "fn": rows("pos", ~hit), "tp": rows("pos", hit)}
+    measured = curve.groupBy(ref(model)).agg(
+        *[value.alias(name) for name, value in {**cells, **_areas()}.items()]
+    )
     return (
-        scores.join(ranking, model)
+        with_scores(measured)
         .withColumn("threshold", F.lit(float(threshold)))
         .select(model, "threshold", "accuracy", "precision", "recall", "f1", "roc_auc", "pr_auc", *CELLS)
     )
