@@ -6,12 +6,13 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from gaugeworks.functions.columns import cyclic_hour, ref
-from gaugeworks.operators.ranges import DEFAULT_ROWS_PER_RANGE, with_ordered_columns
+from gaugeworks.operators.ranges import DEFAULT_ROWS_PER_RANGE
 from gaugeworks.operators.sequence import (
     ROLLING_ROWS,
     delta_expressions,
     gap_expression,
     rolling_expressions,
+    with_window_columns,
 )
 from gaugeworks.roles import SeriesRoles
 
@@ -47,7 +48,5 @@ def with_features(
             columns[gap] = gap_expression(window, roles.time)
         return columns
 
-    ordered = with_ordered_columns(
-        df, build, roles.order, roles.machine, lookback=rows - 1, rows_per_range=rows_per_range
-    )
+    ordered = with_window_columns(df, roles, build, rows - 1, rows_per_range)
     return ordered.withColumns(time_expressions(roles.time))

@@ -12,10 +12,12 @@ from gaugeworks.functions.columns import epoch_seconds, instant, ratio, ref, ref
 from gaugeworks.operators.ranges import (
     DEFAULT_ROWS_PER_RANGE,
     RANGE,
+    TIE,
     OrderedRanges,
     from_earlier_ranges,
     join_range_offsets,
     with_group_row_number,
+    with_tie_break,
 )
 from gaugeworks.roles import SeriesRoles
 from gaugeworks.sources.scratch import written
@@ -228,8 +230,9 @@ def _merge(
         F.lit(0).alias("__kind"),
         F.struct(F.col("start").alias("since"), F.col("failure_id")).alias("__open"),
     )
-    both = df.withColumn("__kind", F.lit(1)).unionByName(starts, allowMissingColumns=True)
-    order = (roles.time, "__kind", *roles.seq)
+    tied, (_, *ties) = with_tie_break(df, roles.time, roles.seq)
+    both = tied.withColumn("__kind", F.lit(1)).unionByName(starts, allowMissingColumns=True)
+    order = (roles.time, "__kind", *ties)
     ranges = OrderedRanges.plan(both, (*machine, *order), rows_per_range)
     tagged = both.withColumn(RANGE, ranges.range_id)
     window = Window.partitionBy(RANGE, *refs(machine)).orderBy(*refs(order))
@@ -242,7 +245,7 @@ def _merge(
     return (
         merged.filter(F.col("__kind") == 1)
         .withColumn(roles.failure_id, F.col("__last.failure_id"))
-        .drop(RANGE, "__kind", "__open", "__last")
+        .drop(RANGE, TIE, "__kind", "__open", "__last")
     )
 
 

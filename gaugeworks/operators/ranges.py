@@ -28,6 +28,7 @@ from gaugeworks.functions.search import boundaries_not_above
 RANGE = "__range"
 BORROWED = "__borrowed"
 RANK_BACK = "__rank_back"
+TIE = "__tie"
 
 # One sort task handles about this many rows comfortably.
 DEFAULT_ROWS_PER_RANGE = 4_000_000
@@ -252,6 +253,17 @@ def with_ordered_columns(
     )
 
 
+def with_tie_break(df: DataFrame, time: str, seq: Sequence[str]) -> tuple[DataFrame, tuple[str, ...]]:
+    """The frame and an order that is total.
+
+    Where no tie-break column is named, a hash of the whole row takes its
+    place: rows that still tie are equal in every column.
+    """
+    if seq:
+        return df, (time, *seq)
+    return df.withColumn(TIE, F.xxhash64(*refs(df.columns))), (time, TIE)
+
+
 def with_group_row_number(
     df: DataFrame,
     group_by: Sequence[str],

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from gaugeworks.functions.columns import epoch_seconds, ref, refs
-from gaugeworks.operators.ranges import DEFAULT_ROWS_PER_RANGE, with_ordered_columns
+from gaugeworks.operators.ranges import (
+    DEFAULT_ROWS_PER_RANGE,
+    TIE,
+    with_ordered_columns,
+    with_tie_break,
+)
 from gaugeworks.roles import SeriesRoles
 
 GAP = "time_since_previous_seconds"
@@ -38,27 +43,32 @@ def rolling_expressions(window: WindowSpec, sensors: Sequence[str], rows: int =
     }
 
 
+def with_window_columns(
+    df: DataFrame,
+    roles: SeriesRoles,
+    build: Callable[[WindowSpec], dict[str, Column]],
+    lookback: int,
+    rows_per_range: int = DEFAULT_ROWS_PER_RANGE,
+) -> DataFrame:
+    """Window columns over the readings of each machine in time order."""
+    tied, order = with_tie_break(df, roles.time, roles.seq)
+    found = with_ordered_columns(
+        tied, build, order, roles.machine, lookback=lookback, rows_per_range=rows_per_range
+    )
+    return found.drop(TIE)
+
+
 def with_time_gap(
     df: DataFrame, roles: SeriesRoles, name: str = GAP, rows_per_range: int = DEFAULT_ROWS_PER_RANGE
 ) -> DataFrame:
-    return with_ordered_columns(
-        df,
-        lambda window: {name: gap_expression(window, roles.time)},
-        roles.order,
-        roles.machine,
-        lookback=1,
-        rows_per_range=rows_per_range,
+    return with_window_columns(
+        df, roles, lambda window: {name: gap_expression(window, roles.time)}, 1, rows_per_range
     )
 
 
 def with_deltas(df: DataFrame, roles: SeriesRoles, rows_per_range: int = DEFAULT_ROWS_PER_RANGE) -> DataFrame:
-    return with_ordered_columns(
-        df,
-        lambda window: delta_expressions(window, roles.analog),
-        roles.order,
-        roles.machine,
-        lookback=1,
-        rows_per_range=rows_per_range,
+    return with_window_columns(
+        df, roles, lambda window: delta_expressions(window, roles.analog), 1, rows_per_range
     )
 
 
@@ -68,13 +78,8 @@ def with_rolling(
     rows: int = ROLLING_ROWS,
     rows_per_range: int = DEFAULT_ROWS_PER_RANGE,
 ) -> DataFrame:
-    return with_ordered_columns(
-        df,
-        lambda window: rolling_expressions(window, roles.analog, rows),
-        roles.order,
-        roles.machine,
-        lookback=rows - 1,
-        rows_per_range=rows_per_range,
+    return with_window_columns(
+        df, roles, lambda window: rolling_expressions(window, roles.analog, rows), rows - 1, rows_per_range
     )
 
 

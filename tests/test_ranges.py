@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from gaugeworks.functions.search import boundaries_not_above
 from gaugeworks.operators import ranges
+from gaugeworks.operators.features import with_features
 from gaugeworks.operators.ranges import (
     OrderedRanges,
     _pack,
@@ -17,6 +18,7 @@ from gaugeworks.operators.ranges import (
     with_group_row_number,
     with_ordered_columns,
 )
+from gaugeworks.roles import SeriesRoles
 
 WHOLE = 10**9
 
@@ -101,6 +103,20 @@ def test_doubles_with_nan_and_infinity(spark):
     assert sorted(map(str, cut.collect())) == sorted(map(str, whole.collect()))
 
 
+def test_one_hot_instant_without_tie_break_is_still_spread(spark):
+    df = series(spark, rows=2000, hot_instant=True).drop("seq")
+    roles = SeriesRoles(time="time", machine=("machine",), analog=("value",))
+    tied, order = ranges.with_tie_break(df, "time", ())
+    plan = OrderedRanges.plan(tied, ("machine", *order), 50)
+    assert tied.groupBy(plan.range_id).count().agg(F.max("count")).first()[0] < 400
+    found = [
+        with_features(frame, roles, rows=5, rows_per_range=per_range)
+        for frame, per_range in ((df, 50), (df.repartition(5, "value"), WHOLE))
+    ]
+    assert found[0].columns == found[1].columns and "__tie" not in found[0].columns
+    assert sorted(map(str, found[0].collect())) == sorted(map(str, found[1].collect()))
+
+
 def test_empty_and_one_row(spark):
     df = series(spark, rows=1)
     assert with_ordered_columns(df, statistics, ["time", "seq"]).collect()[0]["previous"] is None

@@ -123,6 +123,14 @@ def test_saved_models_score_the_same(spark, data, tmp_path):
         assert loaded.score(data).exceptAll(fitted.score(data)).isEmpty()
 
 
+def test_metric_rows_are_appended(spark, tmp_path):
+    path = str(tmp_path / "metrics")
+    models.append_metrics(spark, path, "a", {"pr_auc": 0.5, "roc_auc": None})
+    models.append_metrics(spark, path, "b", {"pr_auc": 1})
+    rows = {(r["model"], r["metric"]): r["value"] for r in spark.read.parquet(path).collect()}
+    assert rows == {("a", "pr_auc"): 0.5, ("a", "roc_auc"): None, ("b", "pr_auc"): 1.0}
+
+
 def test_contract_keeps_unusable_rows_apart(data):
     fitted = training.train_logistic(data, ["a", "b"])
     scored, rejected = training.score_with_contract(data, fitted)
