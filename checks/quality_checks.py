@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from checks.base import (
     EV,
-    KINDS,
     LABELLED_SQL,
     LI,
     LI_ORDER,

@@ -85,7 +85,24 @@ class Landing:
             raise
 
     def table(self) -> DataFrame:
-        return self.spark.read.parquet(self.table_path)
+        """The bronze table; machine and hash are text even where they look like numbers."""
+        found = self.spark.read.parquet(self.table_path).schema
+        text = {"machine_id", "_source_file_sha256"}
+        fields = [T.StructField(f.name, T.StringType() if f.name in text else f.dataType) for f in found]
+        return self.spark.read.schema(T.StructType(fields)).parquet(self.table_path)
+
+    def _check_columns_match(self, df: DataFrame) -> None:
+        """A batch has the columns of the table it joins."""
+        try:
+            existing = {f.name: f.dataType for f in self.table().schema}
+        except Exception as error:
+            if "PATH_NOT_FOUND" in str(error):
+                return
+            raise
+        arriving = {f.name: f.dataType for f in df.schema}
+        if arriving != existing:
+            different = sorted(name for name in {*arriving, *existing} if arriving.get(name) != existing.get(name))
+            raise ContractError(f"columns differ from those of the table: {different}")
 
     def ingest(self, path: str, machine_id: str, schema: T.StructType | None = None) -> int:
         """Land every new content under ``path``; returns the number of files landed.
@@ -128,6 +145,7 @@ class Landing:
         landed = with_lineage(
             located.join(names, "__path"), machine_id, F.col("__name"), F.col("__sha256"), run_id
         ).drop("__path", "__name", "__sha256")
+        self._check_columns_match(landed)
         append_once(landed, self.table_path)
         batch = self.table().filter((F.col("machine_id") == machine_id) & (F.col("_run_id") == run_id))
         entries = batch.groupBy("_source_file", "_source_file_sha256").agg(F.count("*").alias("row_count"))

@@ -3,7 +3,6 @@ from __future__ import annotations
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from gaugeworks.operators import evaluation as E
 

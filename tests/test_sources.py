@@ -73,6 +73,16 @@ def test_landing_is_idempotent(spark, tmp_path):
     assert {"_source_file", "_ingested_at", "_run_id", "_source_file_sha256"} <= set(store.table().columns)
 
 
+def test_batches_keep_the_columns_of_the_table(spark, tmp_path):
+    store = Landing(spark, str(tmp_path / "store"))
+    store.ingest(write(tmp_path / "in" / "a.csv", ",timestamp,v", "0,2024-01-01 00:00:00,1.5"), "007")
+    assert store.table().first()["machine_id"] == "007"
+    other = write(tmp_path / "in" / "b.csv", ",timestamp,w", "0,2024-01-01 00:00:00,1.5")
+    with pytest.raises(ContractError):
+        store.ingest(other, "007")
+    assert store.table().count() == 1 and store.log().count() == 1
+
+
 def test_files_with_different_headers_land_together(spark, tmp_path):
     write(tmp_path / "in" / "a.csv", ",timestamp,v", "0,2024-01-01 00:00:00,1.5")
     write(tmp_path / "in" / "b.csv", "Unnamed: 0,timestamp,v", "7,2024-01-01 00:00:20,3.5")
