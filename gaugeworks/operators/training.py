@@ -35,6 +35,8 @@ PREDICTION = "fault_prediction"
 COMPLETED = "completed"
 COMPLETED_WITH_WARNING = "completed_with_warning"
 SKIPPED = "skipped_missing_class"
+# Up to this many rows a training table is spread over all cores for the network.
+SPREAD_ROWS = 10_000_000
 # Spark's trees cannot grow deeper.
 DEEPEST_TREE = 30
 
@@ -263,6 +265,10 @@ def train_network(
     if fallback is not None:
         return fallback
     preparation = fit_preparation(train, features, scale=True)
+    frame = _training_frame(train, preparation, label, counts)
+    if sum(counts.values()) <= SPREAD_ROWS:
+        # A small table lies in few files, and every epoch is heavy arithmetic.
+        frame = frame.repartition(train.sparkSession.sparkContext.defaultParallelism)
     estimator = MultilayerPerceptronClassifier(
         featuresCol=VECTOR,
         labelCol=label,
@@ -271,7 +277,7 @@ def train_network(
         blockSize=batch,
         seed=seed,
     )
-    model = estimator.fit(_training_frame(train, preparation, label, counts))
+    model = estimator.fit(frame)
     return FaultModel(name, preparation, model, parameters={"epochs": epochs, "batch_size": batch})
 
 
