@@ -6,7 +6,7 @@ from gaugeworks.session import build_session
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[8]",
@@ -14,6 +14,7 @@ def spark():
         spark_ui_enabled="false",
         spark_ui_showConsoleProgress="false",
         spark_driver_memory="8g",
+        spark_checkpoint_dir=str(tmp_path_factory.mktemp("shared")),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

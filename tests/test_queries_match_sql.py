@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib
 import os
 
 import duckdb
@@ -11,7 +12,13 @@ import __spark_entry__ as entry_point
 from tools.compare import TABLES, canonical
 
 SF_DIR = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = entry_point.queries(), entry_point.oracle_sql()
+CHECKS = {
+    name: check
+    for module in entry_point.MODULES
+    for name, check in importlib.import_module(f"checks.{module}").checks.items()
+}
+QUERIES = {name: check.query for name, check in CHECKS.items()}
+SQL = {name: check.sql for name, check in CHECKS.items() if check.sql is not None}
 
 
 @pytest.fixture(scope="module")
@@ -41,7 +48,8 @@ def test_rows_without_sql(spark, name):
 def test_entry(spark):
     frame = entry_point.entry(spark)
     assert frame.count() == 6
-    assert set(SQL) <= set(QUERIES)
+    assert set(entry_point.oracle_sql()) <= set(entry_point.queries())
+    assert set(QUERIES) <= set(entry_point.queries())
 
 
 def test_names():
