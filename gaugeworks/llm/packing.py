@@ -17,7 +17,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeworks.functions.columns import ref
-from gaugeworks.llm.frames import Batches, batches_of, whole_text, with_running_totals
+from gaugeworks.llm.frames import (
+    Batches,
+    batches_of,
+    pack_planes,
+    unpack_planes,
+    whole_text,
+    with_running_totals,
+)
 from gaugeworks.llm.tokens import worker_encoder
 from gaugeworks.sources.scratch import written
 
@@ -25,17 +32,31 @@ DIMENSIONS = 3
 BITS = 10
 #: The mean of hashed signs rarely leaves this interval.
 SPREAD = 0.5
+_FIELD = 21
+_SLICE = 1 << 20
 
 
-def hashed_signs(size: int, dimensions: int = DIMENSIONS) -> np.ndarray:
-    """A sign per token id and dimension, by an integer hash."""
+def hashed_bits(size: int) -> np.ndarray:
+    """Per token id three hashed bits, one in each 21-bit field of a word, so one sum counts all three."""
     with np.errstate(over="ignore"):
         x = np.arange(size, dtype=np.uint64) + np.uint64(0x9E3779B97F4A7C15)
         x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
         x ^= x >> np.uint64(31)
-    bits = (x[:, None] >> np.arange(dimensions, dtype=np.uint64)) & np.uint64(1)
-    return bits.astype(np.float32) * 2 - 1
+    word = np.zeros(size, np.uint64)
+    for d in range(DIMENSIONS):
+        word |= ((x >> np.uint64(d)) & np.uint64(1)) << np.uint64(_FIELD * d)
+    return word
+
+
+def sign_means(ids: np.ndarray, bits: np.ndarray) -> list[float]:
+    """Mean hashed sign of the ids per dimension; long texts in slices that fit the fields."""
+    counts = [0] * DIMENSIONS
+    for begin in range(0, len(ids), _SLICE):
+        total = int(bits[ids[begin : begin + _SLICE] & (len(bits) - 1)].sum())
+        for d in range(DIMENSIONS):
+            counts[d] += (total >> (_FIELD * d)) & ((1 << _FIELD) - 1)
+    return [2 * count / len(ids) - 1 for count in counts]
 
 
 def hilbert_keys(points: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -78,7 +99,7 @@ def _points(means: np.ndarray) -> np.ndarray:
 
 
 def tokenized(docs: DataFrame, path: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
-    """``id, row, curve, n_tokens, ids`` per document; ``row`` tells repeated rows apart."""
+    """``id, row, curve, n_tokens, ids`` per document; ``row`` tells repeated rows apart, ids are byte planes."""
     rows = docs.select(
         ref(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), whole_text(text_col).alias("text")
     )
@@ -86,26 +107,21 @@ def tokenized(docs: DataFrame, path: str, end_id: int, id_col: str, text_col: st
 
     def encoded(batches: Batches) -> Iterator[pa.RecordBatch]:
         encoder = worker_encoder(path, False)
-        signs = hashed_signs(1 << 16)
+        bits = hashed_bits(1 << 16)
         for batch in batches:
-            kept, means = [], np.zeros((batch.num_rows, DIMENSIONS), np.float32)
+            kept, lengths, means = [], [], np.zeros((batch.num_rows, DIMENSIONS))
             for at, text in enumerate(batch.column("text").to_pylist()):
-                data = encoder.ids(text) + end
-                kept.append(data)
-                ids = np.frombuffer(data, "<u4")
-                # Taken in slices: the signs of a very long text never lie in memory at once.
-                total = sum(
-                    signs[ids[begin : begin + 65_536] & 0xFFFF].sum(0, dtype=np.float64)
-                    for begin in range(0, len(ids), 65_536)
-                )
-                means[at] = total / len(ids)
+                ids = np.frombuffer(encoder.ids(text) + end, "<u4")
+                means[at] = sign_means(ids, bits)
+                lengths.append(len(ids))
+                kept.append(pack_planes(ids))
             curve = hilbert_keys(_points(means))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id"),
                     batch.column("row"),
                     pa.array(curve),
-                    pa.array([len(data) // 4 for data in kept], pa.int64()),
+                    pa.array(lengths, pa.int64()),
                     pa.array(kept, pa.binary()),
                 ],
                 ["id", "row", "curve", "n_tokens", "ids"],
@@ -150,7 +166,8 @@ def pack_along_curve(
             columns = (batch.column(name).to_pylist() for name in ("id", "begin", "ids"))
 
             def cut(rows=zip(*columns)):
-                for doc, begin, data in rows:
+                for doc, begin, planes in rows:
+                    data = unpack_planes(planes, np.uint32).tobytes()
                     total, start = len(data) // 4, 0
                     while start < total:
                         sequence, offset = divmod(begin + start, sequence_tokens)

@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from checks.base import Registry, table
+from gaugeworks.llm.archives import convert_pages
+from gaugeworks.llm.decontamination import contaminated_documents
+from gaugeworks.llm.lines import drop_repeated_lines
 from gaugeworks.llm.packing import pack_along_curve
+from gaugeworks.llm.quality import judge_quality
+from gaugeworks.llm.simhash import near_duplicate_groups
 from gaugeworks.llm.token_counts import count_tokens
 
 checks = Registry()
@@ -19,6 +25,72 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_along_curve(table(spark, sf_dir, "documents"), WORD_VOCABULARY, with_ids=False)
 
 
+@checks.add("op5_simhash_near_dedup")
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_groups(table(spark, sf_dir, "documents"))
+
+
 @checks.add("op6_token_counts")
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), WORD_VOCABULARY)
+
+
+LINES_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, place, line,
+         translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS place
+        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents))
+), repeated AS (
+  SELECT key, max(doc_id) AS keeper FROM lines WHERE length(key) >= 20
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+), judged AS (
+  SELECT lines.*, repeated.key IS NOT NULL AND lines.doc_id != keeper AS dropped
+  FROM lines LEFT JOIN repeated ON lines.key = repeated.key
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT dropped), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
+
+@checks.add("op7_line_dedup", LINES_SQL)
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = drop_repeated_lines(table(spark, sf_dir, "documents"))
+    return cleaned.select(
+        "doc_id", "line_dedup.n_lines", "line_dedup.n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    )
+
+
+@checks.add("op8_quality_outliers")
+def op8_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_quality(table(spark, sf_dir, "documents"))
+
+
+# DuckDB has no base32: five hex digits at a time are four letters.
+PAGES_SQL = """
+WITH digests AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, upper(sha1(coalesce(html, ''))) AS hex FROM pages
+), lettered AS (
+  SELECT page_id, payload_bytes, list_aggregate(list_transform(range(8), lambda k: (
+    list_aggregate(list_transform(range(4), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      1 + CAST((CAST('0x' || substr(hex, CAST(5 * k + 1 AS INT), 5) AS INT) >> CAST(15 - 5 * j AS INT)) & 31 AS INT), 1)),
+      'string_agg', ''))), 'string_agg', '') AS payload_digest
+  FROM digests
+), firsts AS (SELECT payload_digest, min(page_id) AS response FROM lettered GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = response THEN NULL ELSE response END AS refers_to
+FROM lettered JOIN firsts USING (payload_digest)
+"""
+
+
+@checks.add("op9_legacy_archives", PAGES_SQL)
+def op9_legacy_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return convert_pages(table(spark, sf_dir, "pages"))
+
+
+@checks.add("op10_benchmark_decontamination")
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -21,7 +21,7 @@ _ODD_SPACE = re.compile("[\x1c-\x1f\u180e]")
 # Characters that normalization leaves alone and whose lower case needs no context.
 _PLAIN = re.compile(r"[!-~\u00a1-\u00ac\u00ae-\u012f\u0131-\u017f]*\Z")
 _SPECIAL = "<|"
-CACHE_CHUNKS = 300_000
+CACHE_CHUNKS = 200_000
 
 
 def _byte_letters() -> dict[int, str]:
@@ -54,8 +54,9 @@ class ChunkEncoder:
             self._model = tokenizer.model
             self._read_rules(path)
         self.frequent = frequent or {}
-        self._chunks = dict(self.frequent)
-        self._pieces: dict = {}
+        # Two generations each: when the young one is full it becomes the old one.
+        self._chunks, self._old_chunks = dict(self.frequent), {}
+        self._pieces, self._old_pieces = {}, {}
 
     def _read_rules(self, path: str) -> None:
         with open(path, encoding="utf-8") as file:
@@ -80,27 +81,33 @@ class ChunkEncoder:
         return len(ids) if self.counts_only else np.array(ids, "<u4").tobytes()
 
     def _miss(self, chunk: str):
-        if len(chunk) > 1024 or _SPECIAL in chunk or not _PLAIN.match(chunk):
-            value = self._value(self._library(chunk))
-        else:
-            lowered = chunk.lower()
-            words = (lowered,) if lowered.isalpha() else self._split(lowered)
-            found = [self._piece(word) for word in words]
-            value = sum(found) if self.counts_only else b"".join(found)
+        value = self._old_chunks.get(chunk)
+        if value is None:
+            value = self._encode(chunk)
         if len(chunk) <= 64:
             if len(self._chunks) >= CACHE_CHUNKS + len(self.frequent):
-                self._chunks = dict(self.frequent)
+                self._chunks, self._old_chunks = dict(self.frequent), self._chunks
             self._chunks[chunk] = value
         return value
 
+    def _encode(self, chunk: str):
+        if len(chunk) > 1024 or _SPECIAL in chunk or not _PLAIN.match(chunk):
+            return self._value(self._library(chunk))
+        lowered = chunk.lower()
+        words = (lowered,) if lowered.isalpha() else self._split(lowered)
+        found = [self._piece(word) for word in words]
+        return sum(found) if self.counts_only else b"".join(found)
+
     def _piece(self, word: str):
         value = self._pieces.get(word)
         if value is None:
-            mapped = word.encode().decode("latin-1").translate(self._letters)
-            value = self._value([token.id for token in self._model.tokenize(mapped)])
+            value = self._old_pieces.get(word)
+            if value is None:
+                mapped = word.encode().decode("latin-1").translate(self._letters)
+                value = self._value([token.id for token in self._model.tokenize(mapped)])
             if len(word) <= 64:
                 if len(self._pieces) >= CACHE_CHUNKS:
-                    self._pieces = {}
+                    self._pieces, self._old_pieces = {}, self._pieces
                 self._pieces[word] = value
         return value
 
