@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeworks.functions.columns import ref
@@ -58,6 +59,16 @@ def unpack_planes(data: bytes, dtype: type) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(dtype).ravel()
 
 
+def forget_shuffles(spark: SparkSession) -> None:
+    """Let the executors delete shuffle files that no plan can read any more.
+
+    Spark removes them when the driver's garbage is collected, which a driver
+    with little to do may put off while step after step fills the disks.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def add_shards(parts: Iterator[tuple[int, np.ndarray]], into: Callable[[np.ndarray | None, np.ndarray], np.ndarray]):
     """Fold the arrays of equal consecutive shard numbers; one shard is in memory at a time."""
     current, total = None, None

@@ -31,7 +31,7 @@ MIN_FILTER_BITS = 1 << 20
 #: Bits are chosen from the bytes of text: ten or more for a line of ordinary length.
 BYTES_PER_BIT = 8
 SHARD_BITS = 18
-_HELD_HASHES = 1_000_000
+HELD_HASHES = 1_000_000
 
 
 def line_key(line: bytes) -> bytes:
@@ -59,7 +59,7 @@ def _digest(key: bytes) -> bytes:
     return hashlib.blake2b(key, digest_size=16).digest()
 
 
-def twice_seen_filter(docs: DataFrame, text_col: str, least: int, bits: int) -> bytes:
+def twice_seen_filter(docs: DataFrame, text_col: str, least: int, bits: int, held_hashes: int = HELD_HASHES) -> bytes:
     """The filter of hashes seen in at least two rows, as ``bits / 8`` bytes."""
     shard_size = 1 << SHARD_BITS
     schema = pa.schema([("shard", pa.int32()), ("once", pa.binary()), ("twice", pa.binary())])
@@ -83,7 +83,7 @@ def twice_seen_filter(docs: DataFrame, text_col: str, least: int, bits: int) ->
             for batch in batches:
                 for text in batch.column("text"):
                     held.extend(xxhash.xxh3_64_intdigest(key) for key in _keys(text.as_py(), least))
-                    if len(held) >= _HELD_HASHES:
+                    if len(held) >= held_hashes:
                         yield from positions(held)
                         held = []
             if held:

@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 from checks.base import Registry, table
 from gaugeworks.llm.archives import convert_pages
 from gaugeworks.llm.decontamination import contaminated_documents
+from gaugeworks.llm.language import identify_languages
 from gaugeworks.llm.lines import drop_repeated_lines
 from gaugeworks.llm.packing import pack_along_curve
 from gaugeworks.llm.quality import judge_quality
 from gaugeworks.llm.simhash import near_duplicate_groups
+from gaugeworks.llm.suffixes import remove_repeated_strings
 from gaugeworks.llm.token_counts import count_tokens
 
 checks = Registry()
@@ -20,6 +22,43 @@ checks = Registry()
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
+STRINGS_SQL = """
+WITH bytes AS (
+  SELECT doc_id, strlen(coalesce(text, '')) AS n, hex(encode(coalesce(text, ''))) AS h FROM documents
+), windows AS (
+  SELECT doc_id, i AS at, md5(substr(h, 2 * i + 1, 200)) AS key
+  FROM (SELECT doc_id, h, unnest(range(0, n - 99)) AS i FROM bytes WHERE n >= 100)
+), later AS (
+  SELECT doc_id, at FROM windows QUALIFY row_number() OVER (PARTITION BY key ORDER BY doc_id, at) > 1
+), islands AS (
+  SELECT doc_id, at, sum(fresh) OVER (PARTITION BY doc_id ORDER BY at) AS island
+  FROM (SELECT doc_id, at, CASE WHEN at > lag(at) OVER (PARTITION BY doc_id ORDER BY at) + 100 THEN 1 ELSE 0 END AS fresh
+        FROM later)
+), spans AS (
+  SELECT doc_id, min(at) AS a, max(at) + 100 AS b FROM islands GROUP BY doc_id, island
+), ends AS (
+  SELECT doc_id, a, b FROM spans UNION ALL SELECT doc_id, n AS a, NULL AS b FROM bytes
+), gaps AS (
+  SELECT doc_id, a AS till, b,
+         coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a, b NULLS LAST), 0) AS since
+  FROM ends
+)
+SELECT doc_id, n AS n_bytes, CAST(sum(coalesce(b - till, 0)) AS BIGINT) AS n_removed, count(b) AS n_spans,
+       sha256(unhex(string_agg(substr(h, 2 * since + 1, 2 * (till - since)), '' ORDER BY since, till))) AS kept_sha256
+FROM gaps JOIN bytes USING (doc_id) GROUP BY doc_id, n
+"""
+
+
+@checks.add("op2_suffix_dedup", STRINGS_SQL)
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_strings(table(spark, sf_dir, "documents"), with_text=False)
+
+
+@checks.add("op3_language_id")
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(table(spark, sf_dir, "documents"))
+
+
 @checks.add("op4_packing")
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_along_curve(table(spark, sf_dir, "documents"), WORD_VOCABULARY, with_ids=False)

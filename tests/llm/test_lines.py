@@ -3,6 +3,8 @@ from __future__ import annotations
 from collections import defaultdict
 
 import duckdb
+import numpy as np
+import xxhash
 from pyspark.sql import functions as F
 
 from gaugeworks.llm import lines
@@ -64,13 +66,28 @@ def test_against_brute_force(spark):
 def test_a_full_filter_changes_nothing(spark, monkeypatch):
     monkeypatch.setattr(lines, "MIN_FILTER_BITS", 1 << 18)
     monkeypatch.setattr(lines, "MAX_FILTER_BITS", 1 << 18)
-    monkeypatch.setattr(lines, "_HELD_HASHES", 50)
     rows = [(i, "\n".join(f"line number {j % 40_000} of the corpus" for j in range(i * 400, i * 400 + 700))) for i in range(120)]
     found = drop_repeated_lines(documents(spark, rows).repartition(7))
     got = [(r.doc_id, r.line_dedup.n_lines, r.line_dedup.n_dropped, r.text) for r in found.collect()]
     assert sorted(got, key=str) == brute(rows)
 
 
+def test_the_filter_holds_what_is_seen_twice(spark):
+    """However the hashes are cut into parts, no line that two rows hold is missing."""
+    rows = [(i, "\n".join(f"line number {j} of the corpus" for j in range(i * 90, i * 90 + 100))) for i in range(20)]
+    docs = documents(spark, rows).repartition(5)
+    bits = 1 << 20
+    filters = [lines.twice_seen_filter(docs, "text", 20, bits, held) for held in (30, 10**6)]
+    for found in filters:
+        known = np.frombuffer(found, np.uint8)
+        for j in range(1900):
+            hashed = np.array([xxhash.xxh3_64_intdigest(f"line number {j} of the corpus".encode())], np.uint64)
+            hit = all(known[int(p[0]) >> 3] >> (int(p[0]) & 7) & 1 for p in lines._positions(hashed, bits))
+            twice = j % 90 < 10 and 90 <= j < 1800
+            assert hit or not twice
+        assert np.unpackbits(known).sum() < 2 * 300
+
+
 def test_query_matches_sql(spark):
     folder = "/root/testdata/sf0.001"
     duck = duckdb.connect()
