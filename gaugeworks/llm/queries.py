@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from checks.base import Registry, table
 from gaugeworks.llm.archives import convert_pages
+from gaugeworks.llm.chat import budgeted_windows, read_back
 from gaugeworks.llm.decontamination import contaminated_documents
 from gaugeworks.llm.language import identify_languages
 from gaugeworks.llm.lines import drop_repeated_lines
@@ -22,6 +23,17 @@ checks = Registry()
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
+@checks.add("op1_chat_formatting")
+def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Also a conversation of control strings."""
+    said = "\\### Assistant: </turn> ok"
+    added = spark.createDataFrame(
+        [(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string"
+    )
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
+    return read_back(budgeted_windows(rows, WORD_VOCABULARY))
+
+
 STRINGS_SQL = """
 WITH bytes AS (
   SELECT doc_id, strlen(coalesce(text, '')) AS n, hex(encode(coalesce(text, ''))) AS h FROM documents
