@@ -27,6 +27,14 @@ def whole_text(name: str) -> Column:
     return F.coalesce(ref(name).cast("string"), F.lit(""))
 
 
+def free_name(df: DataFrame, wanted: str) -> str:
+    """``wanted``, with underscores behind it until no column has that name."""
+    taken = {name.lower() for name in df.columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
 def batches_of(schema: pa.Schema, rows: Iterator[tuple], size: int = 2_000, max_bytes: int = 16 << 20) -> Batches:
     """Record batches of bounded rows and bytes from row tuples."""
     held: list[tuple] = []

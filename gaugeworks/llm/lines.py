@@ -175,9 +175,14 @@ def repeated_lines(
 
 
 def drop_repeated_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = 20, documents: int = 3
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    least: int = 20,
+    documents: int = 3,
+    name: str = "line_dedup",
 ) -> DataFrame:
-    """All columns, ``text_col`` without its repeated lines, and the struct ``line_dedup(n_lines, n_dropped)``.
+    """All columns, ``text_col`` without its repeated lines, and the struct ``name(n_lines, n_dropped)``.
 
     A line's key is the line without ASCII blanks at both ends and with A-Z in
     lower case.  Keys of at least ``least`` code points that at least
@@ -185,11 +190,11 @@ def drop_repeated_lines(
     id.  A null text counts as one empty line and stays null; rows that repeat
     an id count as one document and are treated alike; a null id counts as one
     id that is smaller than any other; an empty table stays empty.  A column
-    that is already called ``line_dedup`` is replaced; all others pass through.
+    that is already called ``name`` is replaced; all others pass through.
     """
     lost = repeated_lines(docs, id_col, text_col, least, documents)
-    kept = [name for name in docs.columns if name.lower() != "line_dedup"]
-    rows = docs.select(F.struct(*[ref(name) for name in kept]).alias("row"))
+    kept = [column for column in docs.columns if column.lower() != name.lower()]
+    rows = docs.select(F.struct(*[ref(column) for column in kept]).alias("row"))
     joined = rows.alias("r").join(lost.alias("l"), F.col(f"r.row.`{id_col}`").eqNullSafe(F.col("l.id")), "left")
     inputs = joined.select("row", F.col(f"row.`{text_col}`").cast("string").cast("binary").alias("text"), "digests")
 
@@ -220,8 +225,8 @@ def drop_repeated_lines(
     result = inputs.mapInArrow(cleaned, schema)
     return result.select(
         *[
-            F.col("text").cast("string").alias(name) if name == text_col else F.col("row").getField(name).alias(name)
-            for name in kept
+            F.col("text").cast("string").alias(text_col) if column == text_col else F.col("row").getField(column).alias(column)
+            for column in kept
         ],
-        F.struct("n_lines", "n_dropped").alias("line_dedup"),
+        F.struct("n_lines", "n_dropped").alias(name),
     )

@@ -12,6 +12,7 @@ spanning forest of the links they find, never with all pairs.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -29,7 +30,7 @@ from gaugeworks.sources.scratch import written
 BITS = 64
 SEED = 42
 TREE_NODES = 4_096
-_SLICE = 1 << 16
+_SLICE = 255 << 8
 
 
 class BKTree:
@@ -102,14 +103,34 @@ def shingle_hashes(text: bytes, words: int) -> np.ndarray:
     )
 
 
+_LOW = np.uint64(0x0101010101010101)
+
+
+def bit_counts(hashes: np.ndarray) -> np.ndarray:
+    """Per row of hashes, how often each bit (most significant first) is set.
+
+    Eight counters of a byte each share a word, so up to 255 words are added
+    before the bytes are taken apart.
+    """
+    rows, size = hashes.shape
+    counts = np.zeros((rows, BITS), np.int64)
+    for begin in range(0, size, _SLICE):
+        part = hashes[:, begin : begin + _SLICE]
+        groups = -(-part.shape[1] // 255)
+        padded = np.zeros((rows, groups * 255), np.uint64)
+        padded[:, : part.shape[1]] = part
+        for bit in range(8):
+            sums = ((padded >> np.uint64(bit)) & _LOW).reshape(rows, groups, 255).sum(2, dtype=np.uint64)
+            apart = sums.astype(">u8").view(np.uint8).reshape(rows, groups, 8).sum(1, dtype=np.int64)
+            counts[:, 7 - bit :: 8] += apart
+    return counts
+
+
 def majority_bits(hashes: np.ndarray) -> int:
-    """Bits that are set in over half of the hashes, counted in slices."""
+    """Bits that are set in over half of the hashes."""
     if not len(hashes):
         return 0
-    counts = np.zeros(BITS, np.int64)
-    for begin in range(0, len(hashes), _SLICE):
-        part = hashes[begin : begin + _SLICE].astype(">u8").view(np.uint8).reshape(-1, 8)
-        counts += np.unpackbits(part, axis=1).sum(0, dtype=np.int64)
+    counts = bit_counts(hashes[None, :])[0]
     return int.from_bytes(np.packbits(counts * 2 > len(hashes)).tobytes(), "big")
 
 
@@ -137,43 +158,46 @@ def block_masks(radius: int) -> list[int]:
     return [signed(sum(chosen)) for chosen in combinations(single, blocks - radius)]
 
 
-def _with_shards(nodes: DataFrame, masks: list[int], tree_nodes: int) -> DataFrame:
-    """Rows ``(shard, value, i, j, own, fp)``: a node in every tree and every search of its shards.
+def _blocks_of_work(members: DataFrame, shard: list[str], tree_nodes: int) -> DataFrame:
+    """Members of shards of at least two, with ``i, j, own``: a node in every tree and every search of its shards.
 
     A shard of n trees has a block of work for each pair of trees ``i <= j``:
-    the nodes of tree i, searched by those of tree j.
+    the nodes of tree i, searched by those of tree j.  ``own`` is the tree of
+    the node itself.
     """
-    shards: Column = F.explode(
-        F.array(*[F.struct(F.lit(number).alias("shard"), F.col("fp").bitwiseAND(F.lit(mask)).alias("value")) for number, mask in enumerate(masks)])
-    )
-    members = nodes.select("fp", shards.alias("s")).select("fp", "s.shard", "s.value")
     shared = (
-        members.groupBy("shard", "value")
+        members.groupBy(*shard)
         .agg(F.count("*").alias("n"))
         .filter("n > 1")
-        .select("shard", "value", F.ceil(F.col("n") / tree_nodes).cast("int").alias("trees"))
+        .select(*shard, F.ceil(F.col("n") / tree_nodes).cast("int").alias("trees"))
     )
-    own = F.pmod(F.xxhash64("fp"), F.col("trees")).cast("int")
+    own = F.pmod(F.xxhash64("node"), F.col("trees")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("trees") - 1))
     return (
-        members.join(shared, ["shard", "value"])
+        members.join(shared, shard)
         .withColumn("own", own)
         .withColumn("other", other)
-        .select("shard", "value", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "fp")
+        .withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
+        .drop("trees", "other")
     )
 
 
 def shard_links(nodes: DataFrame, radius: int, tree_nodes: int = TREE_NODES) -> DataFrame:
     """Links ``a, b`` between fingerprints (``fp``, distinct) within ``radius`` bits: a forest per block of work."""
-    work = _with_shards(nodes, block_masks(radius), tree_nodes)
+    masks = block_masks(radius)
+    shards: Column = F.explode(
+        F.array(*[F.struct(F.lit(number).alias("shard"), F.col("fp").bitwiseAND(F.lit(mask)).alias("value")) for number, mask in enumerate(masks)])
+    )
+    members = nodes.select(F.col("fp").alias("node"), shards.alias("s")).select("node", "s.shard", "s.value")
+    work = _blocks_of_work(members, ["shard", "value"], tree_nodes)
     key = ["shard", "value", "i", "j"]
-    ordered = work.repartition(*key).sortWithinPartitions(*key, "own", "fp")
+    ordered = work.repartition(*key).sortWithinPartitions(*key, "own", "node")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def searched(batches: Batches) -> Batches:
         def links():
             for group in _groups(batches, key):
-                own, fp = group["own"], group["fp"]
+                own, fp = group["own"], group["node"]
                 values = fp.view(np.uint64).tolist()
                 if len(values) == 2:
                     if (values[0] ^ values[1]).bit_count() <= radius:
@@ -250,3 +274,228 @@ def near_duplicate_groups(
     return found.join(named, "fp").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+# --- similarity of shingle sets -----------------------------------------------------------
+
+#: Sign bits of a set: so many fingerprints of independent hashes of its shingles.
+LANES = 13
+BAND_BITS = 16
+#: Sets of similarity 0.8 differ in about 10 of 64 bits, in more than this hardly ever.
+SEARCH_RADIUS = 18
+#: Around the limit the estimate from the sign bits is settled by counting shingles.
+DOUBT = 0.08
+
+
+def lane_hashes(hashes: np.ndarray, lanes: int = LANES) -> np.ndarray:
+    """Independent hashes of the same shingles, a row per lane."""
+    salts = np.random.default_rng(SEED).integers(1, 1 << 63, lanes, np.uint64)[:, None]
+    with np.errstate(over="ignore"):
+        mixed = hashes[None, :] ^ salts
+        mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        mixed = (mixed ^ (mixed >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return mixed ^ (mixed >> np.uint64(31))
+
+
+def sign_bits(hashes: np.ndarray) -> bytes:
+    """The majority bits of every lane, end to end."""
+    counts = np.zeros((LANES, BITS), np.int64)
+    for begin in range(0, len(hashes), _SLICE):
+        counts += bit_counts(lane_hashes(hashes[begin : begin + _SLICE]))
+    return np.packbits(counts * 2 > len(hashes), axis=1).tobytes()
+
+
+def estimated_similarity(left: bytes, right: bytes) -> float:
+    """Jaccard similarity from the share of sign bits that differ."""
+    differing = (int.from_bytes(left, "big") ^ int.from_bytes(right, "big")).bit_count()
+    cosine = math.cos(math.pi * min(0.5, differing / (8 * len(left))))
+    return cosine / (2 - cosine)
+
+
+def _sets(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
+    """``id, same, node, n, bits, shingles`` per row; ``node`` is a hash of the whole set of shingles."""
+    rows = docs.select(ref(id_col).alias("id"), F.xxhash64(ref(text_col)).alias("same"), text_bytes(text_col).alias("text"))
+
+    def hashed(batches: Batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes, sizes, bits, shingles = [], [], [], []
+            for text in batch.column("text"):
+                found = np.unique(shingle_hashes(text.as_py(), words))
+                nodes.append(signed(xxhash.xxh3_64_intdigest(found.tobytes())))
+                sizes.append(len(found))
+                bits.append(sign_bits(found) if len(found) else bytes(LANES * 8))
+                shingles.append(np.unique((found >> np.uint64(32)).astype(np.uint32)).tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("id"),
+                    batch.column("same"),
+                    pa.array(nodes, pa.int64()),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(bits, pa.binary()),
+                    pa.array(shingles, pa.binary()),
+                ],
+                ["id", "same", "node", "n", "bits", "shingles"],
+            )
+
+    kind = rows.schema["id"].dataType.simpleString()
+    return rows.mapInArrow(hashed, f"id {kind}, same long, node long, n long, bits binary, shingles binary")
+
+
+def _band_members(nodes: DataFrame) -> DataFrame:
+    """``shard, node, fp, n``: a row per band of sign bits; the shard is band and value."""
+
+    def banded(batches: Batches) -> Iterator[pa.RecordBatch]:
+        bands = LANES * BITS // BAND_BITS
+        for batch in batches:
+            bits = np.frombuffer(b"".join(batch.column("bits").to_pylist()), ">u2").reshape(-1, bands)
+            shard = (np.arange(bands, dtype=np.int64) << BAND_BITS) + bits
+            last = np.ascontiguousarray(bits[:, -BITS // BAND_BITS :]).view(">u8").astype(np.uint64).view(np.int64).ravel()
+            nodes, sizes = (batch.column(name).to_numpy(zero_copy_only=False) for name in ("node", "n"))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(shard.ravel().astype(np.int32)),
+                    pa.array(np.repeat(nodes, bands)),
+                    pa.array(np.repeat(last, bands)),
+                    pa.array(np.repeat(sizes, bands).astype(np.int32)),
+                ],
+                ["shard", "node", "fp", "n"],
+            )
+
+    return nodes.select("node", "n", "bits").mapInArrow(banded, "shard int, node long, fp long, n int")
+
+
+def band_links(nodes: DataFrame, similarity: float, tree_nodes: int = TREE_NODES) -> DataFrame:
+    """Candidate links ``a, b`` between nodes that share a band: a forest of the nearest per block of work.
+
+    Sets of very different size can't be similar, so each shard has a tree per
+    class of size, and a node visits those of its own class and of its
+    neighbours.
+    """
+    step = math.log(1 / similarity)
+    classed = _band_members(nodes).withColumn("class", F.floor(F.log(F.col("n").cast("double")) / step).cast("int"))
+    work = _blocks_of_work(classed, ["shard"], tree_nodes)
+    key = ["shard", "i", "j"]
+    ordered = work.repartition(*key).sortWithinPartitions(*key, "own", "class", "node")
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def searched(batches: Batches) -> Batches:
+        def links():
+            for group in _groups(batches, key):
+                node, own, classes = group["node"], group["own"], group["class"]
+                values = group["fp"].view(np.uint64).tolist()
+                sizes = group["n"].tolist()
+                same = group["i"][0] == group["j"][0]
+                split = len(values) if same else int(np.searchsorted(own, own[0], side="right"))
+                trees: dict[int, tuple[BKTree, list[int]]] = {}
+                near: list[tuple[int, int, int]] = []
+
+                def visit(at):
+                    for step in (-1, 0, 1):
+                        tree, members = trees.get(int(classes[at]) + step, (None, None))
+                        if tree is not None:
+                            for found in tree.within(values[at], SEARCH_RADIUS):
+                                other = members[found]
+                                low, high = sorted((sizes[at], sizes[other]))
+                                if low >= similarity * high:
+                                    near.append(((values[at] ^ values[other]).bit_count(), other, at))
+
+                for at in range(split):
+                    if same:
+                        visit(at)
+                    tree, members = trees.setdefault(int(classes[at]), (BKTree(), []))
+                    tree.add(values[at])
+                    members.append(at)
+                for at in range(split, len(values)):
+                    visit(at)
+                forest = Forest(len(values))
+                for _, left, right in sorted(near):
+                    if forest.join(left, right):
+                        low, high = sorted((int(node[left]), int(node[right])))
+                        yield low, high
+
+        yield from batches_of(schema, links(), 10_000)
+
+    return ordered.mapInArrow(searched, "a long, b long").distinct()
+
+
+def _similar(pairs: DataFrame, columns: str, similarity: float) -> DataFrame:
+    """Pairs whose packed shingles (``left``, ``right``) are similar, by counting."""
+
+    def counted(batches: Batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for left, right in zip(batch.column("left"), batch.column("right")):
+                one, other = (np.frombuffer(side.as_py(), np.uint32) for side in (left, right))
+                shared = len(np.intersect1d(one, other, assume_unique=True))
+                keep.append(shared >= similarity * (len(one) + len(other) - shared))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return pairs.mapInArrow(counted, columns)
+
+
+def similar_groups(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8
+) -> DataFrame:
+    """``id, same, component_id, keeper``: groups of rows linked by a Jaccard similarity of shingle sets.
+
+    Sign bits of several SimHash lanes give bands; nodes that share a band meet
+    in BK-trees over one lane; candidate links are judged by all lanes' bits
+    and, near the limit, by counting shingles.  ``component_id`` is the
+    smallest id of the group (null ids take no part) and ``keeper`` marks the
+    row that stands for it (of equal rows, all).
+    """
+    found = written(_sets(docs, id_col, text_col, words), "sets", compression="zstd")
+    nodes = written(found.groupBy("node").agg(F.first("n").alias("n"), F.first("bits").alias("bits")), "set-nodes")
+    filled = nodes.filter("n > 0")
+    links = written(band_links(filled, similarity), "candidates")
+
+    def estimated(batches: Batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())
+            scores = [estimated_similarity(x, y) for x, y in pairs]
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(scores)], ["a", "b", "score"])
+
+    bits = filled.select("node", "bits")
+    scored = written(
+        links.join(bits.select(F.col("node").alias("a"), F.col("bits").alias("x")), "a")
+        .join(bits.select(F.col("node").alias("b"), F.col("bits").alias("y")), "b")
+        .select("a", "b", "x", "y")
+        .mapInArrow(estimated, "a long, b long, score double"),
+        "scored",
+    )
+    unsure = scored.filter((F.col("score") > similarity - DOUBT) & (F.col("score") < similarity + DOUBT)).select("a", "b")
+    needed = unsure.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    packed = written(
+        found.select("node", "shingles").join(needed, "node").groupBy("node").agg(F.first("shingles").alias("shingles")),
+        "shingles",
+    )
+    pairs = (
+        unsure.join(packed.select(F.col("node").alias("a"), F.col("shingles").alias("left")), "a")
+        .join(packed.select(F.col("node").alias("b"), F.col("shingles").alias("right")), "b")
+        .select("a", "b", "left", "right")
+    )
+    sure = scored.filter(F.col("score") >= similarity + DOUBT).select("a", "b")
+    linked = sure.unionByName(_similar(pairs, "a long, b long", similarity))
+    roots = connected_components(linked, "similar")
+    rows = found.select("id", "same", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    order = F.struct(F.col("id").isNull(), "id", "same")
+    chosen = rows.groupBy("root").agg(F.min(order).alias("first"))
+    return rows.join(chosen, "root").select(
+        "id", "same", F.col("first.id").alias("component_id"), (order == F.col("first")).alias("keeper")
+    )
+
+
+def drop_near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8
+) -> DataFrame:
+    """The rows of ``docs``, one of each group of ``similar_groups``: the one with the smallest id.
+
+    Null and empty texts are equal sets and so one group; rows that repeat
+    another in id and text are kept once; an empty table stays empty.  All
+    columns pass through unchanged.
+    """
+    kept = similar_groups(docs, id_col, text_col, words, similarity).filter("keeper").select("id", "same").distinct()
+    rows = docs.select(F.struct(*[ref(name) for name in docs.columns]).alias("row"), ref(id_col).alias("id"), F.xxhash64(ref(text_col)).alias("same"))
+    joined = rows.alias("r").join(kept.alias("k"), F.col("r.id").eqNullSafe(F.col("k.id")) & (F.col("r.same") == F.col("k.same")))
+    single = joined.select("r.row", "r.id", "r.same").dropDuplicates(["id", "same"])
+    return single.select(*[F.col("row").getField(name).alias(name) for name in docs.columns])
