@@ -73,8 +73,11 @@ def forget_shuffles(spark: SparkSession) -> None:
     Spark removes them when the driver's garbage is collected, which a driver
     with little to do may put off while step after step fills the disks.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        # The scheduler lets go of the last job only when it has seen another.
+        spark.range(1).count()
 
 
 def add_shards(parts: Iterator[tuple[int, np.ndarray]], into: Callable[[np.ndarray | None, np.ndarray], np.ndarray]):
