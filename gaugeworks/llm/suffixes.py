@@ -48,12 +48,12 @@ SAMPLE = LENGTH - PERIOD + 1
 #: Powers of two modulo 73: every residue is a difference of two of them.
 COVER = sorted({pow(2, k, PERIOD) for k in range(9)})
 #: Longer texts are cut into pieces that overlap by ``LENGTH - 1`` bytes.
-PIECE = 200_000
-BLOCK = 200_000
-RUN_BITS = 4
+PIECE = 400_000
+BLOCK = 400_000
+RUN_BITS = 6
 BUCKET_RECORDS = 400_000
-HELD_RECORDS = 250_000
-_POSITION_BITS = 19
+HELD_RECORDS = 500_000
+_POSITION_BITS = 20
 _SEQUENCE_BITS = 24
 _U = np.uint64
 
