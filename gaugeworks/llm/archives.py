@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeworks.functions.columns import ref
-from gaugeworks.llm.frames import Batches, batches_of, text_bytes
+from gaugeworks.llm.frames import Batches, batches_of, forget_shuffles, text_bytes
 from gaugeworks.sources.scratch import scratch_path
 
 FILE_BYTES = 8 << 20
@@ -385,7 +385,9 @@ def convert_pages(
     spark = pages.sparkSession
     arc, warc = scratch_path(spark, "arc"), scratch_path(spark, "warc")
     write_arc(pages, arc, id_col, url_col, html_col)
+    forget_shuffles(spark)
     arc_to_warc(spark, arc, warc)
+    forget_shuffles(spark)
     found = warc_rows(spark, warc)
     named = found.filter(F.col("record_type") == "response").select(
         F.col("record_id").alias("refers_to_record"), F.col("id").alias("refers_to")
