@@ -88,6 +88,14 @@ def ratio_or_zero(numerator: Column, denominator: Column) -> Column:
 
 
 def seeded_digest(seed: int, keys: Iterable[str]) -> Column:
-    """md5 of seed and row key: a random order that no partitioning can change."""
-    parts = [F.coalesce(ref(key).cast("string"), F.lit("")) for key in keys]
+    """md5 of seed and row key: a random order that no partitioning can change.
+
+    Of several keys each part carries its length, so no two keys read alike;
+    a null is told from an empty text.
+    """
+    names = list(keys)
+    texts = [ref(key).cast("string") for key in names]
+    if len(names) > 1:
+        texts = [F.concat(F.length(text).cast("string"), F.lit(":"), text) for text in texts]
+    parts = [F.coalesce(text, F.lit("\x00null")) for text in texts]
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *parts))

@@ -54,9 +54,13 @@ def in_window(df: DataFrame, time: str, window: FaultWindow) -> Column:
 
 
 def label_by_windows(df: DataFrame, roles: SeriesRoles, windows: Sequence[FaultWindow]) -> DataFrame:
-    """Label and failure id from a short list of windows: a projection, no join."""
+    """Label and failure id from a list of windows: a projection; a long list becomes a table of windows."""
     if len(windows) > MOST_LITERAL_WINDOWS:
-        raise ValueError(f"{len(windows)} windows: use label_by_table")
+        listed = df.sparkSession.createDataFrame(
+            [(w.failure_id, w.start, w.end, place) for place, w in enumerate(windows)],
+            "failure_id string, start string, end string, ordinal int",
+        )
+        return label_by_table(df, listed, roles)
     latest = F.lit(None).cast("string")
     for window in windows:
         latest = F.when(in_window(df, roles.time, window), F.lit(window.failure_id)).otherwise(latest)

@@ -116,10 +116,12 @@ def arithmetic_sequence_check(df: DataFrame, index: str) -> DataFrame:
         F.min(column).alias("min_index"),
         F.max(column).alias("max_index"),
         F.sum(column.cast("decimal(20,0)")).alias("index_sum"),
+        F.count_if(column != F.floor(column)).alias("__fractions"),
     )
     ends = F.col("min_index").cast("decimal(20,0)") + F.col("max_index").cast("decimal(20,0)")
     doubled = F.col("index_sum") * 2
-    return totals.withColumn("is_sequence", doubled == F.col("row_count").cast("decimal(20,0)") * ends)
+    adds_up = doubled == F.col("row_count").cast("decimal(20,0)") * ends
+    return totals.withColumn("is_sequence", adds_up & (F.col("__fractions") == 0)).drop("__fractions")
 
 
 def duplicate_groups(df: DataFrame, keys: Sequence[str], limit: int | None = None) -> DataFrame:
@@ -162,8 +164,16 @@ def gap_summary(df: DataFrame, gap: str, expected_seconds: int = 10) -> DataFram
     )
 
 
-def remove_exact_duplicates(df: DataFrame) -> DataFrame:
-    return df.dropDuplicates()
+def remove_exact_duplicates(df: DataFrame, lineage: Sequence[str] = ()) -> DataFrame:
+    """One row of those that are equal in every column but ``lineage``; the smallest lineage stays."""
+    beside = [name for name in lineage if name in df.columns]
+    if not beside:
+        return df.dropDuplicates()
+    keys = [name for name in df.columns if name not in beside]
+    first = F.min(F.struct(*refs(beside))).alias("__first")
+    return df.groupBy(*refs(keys)).agg(first).select(
+        *[F.col("__first").getField(name).alias(name) if name in beside else ref(name) for name in df.columns]
+    )
 
 
 def deduplication_account(df: DataFrame) -> DataFrame:

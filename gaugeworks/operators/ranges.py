@@ -17,6 +17,7 @@ import json
 import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -50,6 +51,9 @@ _KEY_TYPES = (
     T.TimestampType,
     T.TimestampNTZType,
     T.DateType,
+    T.DecimalType,
+    T.BooleanType,
+    T.BinaryType,
 )
 
 
@@ -79,6 +83,7 @@ class OrderedRanges:
         up to ``rows_per_range`` rows get one range.
         """
         order = tuple(order)
+        _check_key_types(df, order)
         total = df.count() if total_rows is None else total_rows
         if total <= rows_per_range:
             return OrderedRanges(order, 1, total, F.lit(0), F.lit(False))
@@ -113,10 +118,14 @@ class _Cuts:
     schema: str
 
 
-def _key_frame(df: DataFrame, order: Sequence[str]) -> DataFrame:
+def _check_key_types(df: DataFrame, order: Sequence[str]) -> None:
+    """The same keys are refused whatever the size of the table."""
     for name in order:
         if not isinstance(df.schema[name].dataType, _KEY_TYPES):
             raise TypeError(f"cannot order ranges by {name}: {df.schema[name].dataType.simpleString()}")
+
+
+def _key_frame(df: DataFrame, order: Sequence[str]) -> DataFrame:
     return df.select(*[ref(name).alias(f"k{i}") for i, name in enumerate(order)])
 
 
@@ -134,7 +143,12 @@ def _cut_points(keys: DataFrame, total: int, ranges: int, seed: int) -> _Cuts:
         .select(F.to_json(F.struct(*keys.columns), _JSON_OPTIONS).alias("key"))
         .collect()
     )
-    sample = [json.loads(row["key"]) for row in rows]
+    exact = {f.name for f in keys.schema if isinstance(f.dataType, T.DecimalType)}
+    sample = [
+        # Decimals stay text, or their digits would go through a double.
+        {k: (str(v) if k in exact else float(v) if isinstance(v, Decimal) else v) for k, v in key.items()}
+        for key in (json.loads(row["key"], parse_float=Decimal) for row in rows)
+    ]
     step = max(2, len(sample) // ranges)
     chosen = []
     for begin in range(0, len(sample), step):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -98,13 +99,18 @@ def time_rolling(
     """
     keys = [*roles.machine, "epoch"]
     at_second = df.filter(ref(roles.time).isNotNull()).withColumn("epoch", epoch_seconds(ref(roles.time)))
+    # Squares are taken around a middle of each sensor: a large offset would swallow the spread.
+    middles = at_second.agg(*[F.avg(ref(name).cast("double")).alias(f"c{i}") for i, name in enumerate(roles.analog)]).first()
+    centers = [value if value is not None and math.isfinite(value) else 0.0 for value in middles]
     parts = []
     for i, name in enumerate(roles.analog):
         value = ref(name).cast("double")
+        off = value - F.lit(centers[i])
         parts += [
             F.count(value).alias(f"n{i}"),
             F.sum(value).alias(f"s{i}"),
-            F.sum(value * value).alias(f"q{i}"),
+            F.sum(off).alias(f"o{i}"),
+            F.sum(off * off).alias(f"q{i}"),
             F.min(value).alias(f"lo{i}"),
             F.max(value).alias(f"hi{i}"),
         ]
@@ -117,7 +123,8 @@ def time_rolling(
             n, total = F.sum(f"n{i}").over(frame), F.sum(f"s{i}").over(frame)
             squares = F.sum(f"q{i}").over(frame)
             low, high = F.min(f"lo{i}").over(frame), F.max(f"hi{i}").over(frame)
-            spread = F.greatest(squares - total * total / F.nullif(n, F.lit(0)), F.lit(0.0))
+            offset = F.sum(f"o{i}").over(frame)
+            spread = F.greatest(squares - offset * offset / F.nullif(n, F.lit(0)), F.lit(0.0))
             columns[f"{name}_rolling_mean_5m"] = F.try_divide(total, n)
             columns[f"{name}_rolling_std_5m"] = F.when(n > 1, F.when(low == high, 0.0).otherwise(F.sqrt(F.try_divide(spread, n - 1))))
             columns[f"{name}_rolling_min_5m"] = low

@@ -22,6 +22,8 @@ from gaugeworks.operators.ranges import DEFAULT_ROWS_PER_RANGE, with_group_row_n
 from gaugeworks.operators.shape import rows_from_wide
 
 TRAIN, VALIDATION, TEST = "train", "validation", "test"
+# Rows that belong to no split: a label outside 0 and 1, or no time.
+REJECTED = "rejected"
 SPLITS = (TRAIN, VALIDATION, TEST)
 # Shares of the data up to the end of train and of validation.
 TRAIN_SHARE, VALIDATION_SHARE = 0.70, 0.85
@@ -91,12 +93,15 @@ def stratified_split(
     train_share: float = TRAIN_SHARE,
     validation_share: float = VALIDATION_SHARE,
 ) -> DataFrame:
-    """Random split per class with exact sizes; ``keys`` identify a row."""
+    """Random split per class with exact sizes; ``keys`` identify a row.
+
+    Rows whose label is null or outside 0 and 1 go to the split ``rejected``.
+    """
     counts = class_counts(df, label)
     ends = {group: split_sizes(rows, train_share, validation_share) for group, rows in counts.items()}
     keyed = with_digest(df, keys, seed)
     cutoffs = rank_cutoffs(keyed, label, DIGEST, ends)
-    split = F.lit(None).cast("string")
+    split = F.lit(REJECTED)
     for group, (train_end, validation_end) in ends.items():
         part = (
             F.when(F.col(DIGEST) <= cutoffs[group, train_end], TRAIN)
@@ -130,7 +135,7 @@ def chronological_boundaries(
 
 
 def chronological_split(df: DataFrame, time: str, name: str = "split", **options) -> DataFrame:
-    """Oldest rows train, newest test; readings of one second stay together."""
+    """Oldest rows train, newest test; readings of one second stay together; without a time: ``rejected``."""
     train_end, validation_end = chronological_boundaries(df, time, **options)
     moment = ref(time)
 
@@ -141,6 +146,7 @@ def chronological_split(df: DataFrame, time: str, name: str = "split", **options
         F.when(upto(train_end), TRAIN)
         .when(upto(validation_end), VALIDATION)
         .when(moment.isNotNull(), TEST)
+        .otherwise(REJECTED)
     )
     return df.withColumn(name, split)
 

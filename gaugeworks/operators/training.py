@@ -336,6 +336,8 @@ def search_forest(
     for fitted, outcome in results:
         if outcome["pr_auc"] is not None and outcome["pr_auc"] > best_score:
             best, best_score = fitted, outcome["pr_auc"]
+    if best is None:
+        raise ContractError("the search needs both classes in the validation data")
     return SearchResult(best, [outcome for _, outcome in results])
 
 

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gaugeworks.operators import contracts, quality
 from gaugeworks.operators.features import with_features
@@ -19,10 +20,14 @@ from gaugeworks.operators.splits import chronological_split, split_audit, strati
 from gaugeworks.roles import SeriesRoles
 from gaugeworks.sources import tables
 
+# Where and when a reading landed, the time first.
+LANDED = ("_ingested_at", "_source_file", "_source_file_sha256", "_run_id")
+
 
 def judged(bronze: DataFrame, roles: SeriesRoles, deduplicate: bool = True) -> DataFrame:
     """Readings without exact copies, each with its route and the reasons against it."""
-    source = quality.remove_exact_duplicates(bronze) if deduplicate else bronze
+    # The earliest landing of a reading stays; machine and values tell readings apart, files do not.
+    source = quality.remove_exact_duplicates(bronze, LANDED) if deduplicate else bronze
     return quality.with_verdict(source, quality.missing_time_rule(roles.time))
 
 
@@ -59,10 +64,11 @@ def build(
     chronological: bool = True,
 ) -> DataFrame:
     """Write judged readings, quality metrics, features and splits; returns the split audit."""
-    index = roles.seq[0] if roles.seq else None
+    index = next((name for name in roles.seq if isinstance(bronze.schema[name].dataType, T.IntegralType)), None)
     tables.overwrite_parquet(judged(bronze, roles), f"{root}/judged", ["route"])
     report = quality.quality_report(bronze, roles.time, index, run_id)
-    report.write.mode("append").parquet(f"{root}/quality")
+    # A repeated run replaces its own metrics.
+    report.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(f"{root}/quality")
     tables.overwrite_parquet(gold(silver(spark, f"{root}/judged"), roles, windows), f"{root}/features")
     features = spark.read.parquet(f"{root}/features")
     tables.write_splits(split(features, roles, chronological), f"{root}/splits")

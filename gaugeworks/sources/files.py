@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -9,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeworks.functions.columns import ref
-from gaugeworks.roles import COMPRESSOR_ANALOG, COMPRESSOR_FLAGS
+from gaugeworks.functions.columns import ref, refs
+from gaugeworks.operators.contracts import ContractError
+from gaugeworks.roles import COMPRESSOR_ANALOG, COMPRESSOR_FLAGS, INDEX_ALIASES
 
 # Time pattern of the raw files and file signatures.
 TIME_PATTERN = "yyyy-MM-dd HH:mm:ss"
@@ -30,12 +32,35 @@ def compressor_schema(index: str = "seq") -> T.StructType:
     return T.StructType(fields)
 
 
+def in_header_order(header: Sequence[str], schema: T.StructType) -> T.StructType:
+    """The fields of ``schema`` as a file's header names them; the index column may go by an alias.
+
+    Raises ``ContractError`` for a name that the schema lacks or the header
+    lacks.
+    """
+    known = {field.name: field for field in schema.fields}
+    spare = [field for field in schema.fields if field.name not in header and isinstance(field.dataType, T.IntegralType)]
+    fields = []
+    for name in header:
+        if name in known:
+            fields.append(known.pop(name))
+        elif name in ("", *INDEX_ALIASES) and len(spare) == 1 and spare[0].name in known:
+            fields.append(known.pop(spare[0].name))
+        else:
+            raise ContractError(f"unknown column in the header: {name!r}")
+    if known:
+        raise ContractError(f"columns missing from the header: {sorted(known)}")
+    return T.StructType(fields)
+
+
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | None = None, time_pattern: str = TIME_PATTERN) -> DataFrame:
     """CSV with header.
 
-    With a schema, a malformed value becomes null and the raw line is kept in
-    ``_corrupt_record``; inference would read the file twice and turn a whole
-    column into text for one bad value.
+    With a schema, columns are bound by the names in each file's header,
+    whatever their order; the result has the order of the schema.  A malformed
+    value becomes null and the raw line is kept in ``_corrupt_record``;
+    inference would read the file twice and turn a whole column into text for
+    one bad value.
     """
     reader = (
         spark.read.option("header", True)
@@ -46,13 +71,18 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
     paths = [path] if isinstance(path, str) else list(path)
     if schema is None:
         return reader.option("inferSchema", True).csv(paths)
-    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    return (
-        reader.option("columnNameOfCorruptRecord", CORRUPT)
-        .option("enforceSchema", True)
-        .schema(full)
-        .csv(paths)
-    )
+    headers = read_headers(list_files(spark, paths).select("path", "length"))
+    kinds = [tuple(row["header"]) for row in headers.select("header").distinct().collect()]
+    parts = []
+    for header in kinds or [tuple(schema.names)]:
+        # Files of one header are read together; their names are listed only where headers differ.
+        own = paths if len(kinds) < 2 else [_readable(r["path"]) for r in headers.filter(F.col("header") == F.lit(list(header))).select("path").collect()]
+        full = T.StructType([*in_header_order(header, schema).fields, T.StructField(CORRUPT, T.StringType())])
+        parts.append(reader.option("columnNameOfCorruptRecord", CORRUPT).option("enforceSchema", True).schema(full).csv(own))
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.unionByName(part)
+    return found.select(*refs(schema.names), CORRUPT) if tuple(kinds[0] if kinds else schema.names) != tuple(schema.names) else found
 
 
 def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
@@ -70,12 +100,26 @@ def list_files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     )
 
 
+def _readable(path: str) -> str:
+    """A listed path as a literal: characters with a meaning in path patterns are escaped."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 def _open(uri: str):
+    """The bytes of a listed file.  Listed paths are not percent-encoded."""
+    from urllib.parse import quote
+
     from pyarrow import fs
 
-    if uri.startswith("file:/") and not uri.startswith("file:///"):
-        uri = "file://" + uri[len("file:"):]
-    system, inner = fs.FileSystem.from_uri(uri)
+    scheme, mark, rest = uri.partition(":")
+    if not mark or "/" in scheme:
+        return fs.LocalFileSystem().open_input_stream(uri)
+    if scheme == "file":
+        return fs.LocalFileSystem().open_input_stream("/" + rest.lstrip("/"))
+    known = {"s3a": "s3", "s3n": "s3", "s3": "s3", "hdfs": "hdfs", "viewfs": "viewfs", "gs": "gs", "abfs": "abfs", "abfss": "abfss"}
+    if scheme not in known:
+        raise ValueError(f"cannot open {scheme}: files from a task: {uri}")
+    system, inner = fs.FileSystem.from_uri(f"{known[scheme]}:{quote(rest)}")
     return system.open_input_stream(inner)
 
 

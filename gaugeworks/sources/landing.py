@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from gaugeworks.operators.contracts import ContractError, check_columns, check_header
 from gaugeworks.operators.quality import find_index_column
-from gaugeworks.sources.files import fingerprint_files, list_files, read_csv, read_headers
+from gaugeworks.sources.files import _readable, fingerprint_files, list_files, read_csv, read_headers
 
 LINEAGE = ("machine_id", "_source_file", "_source_file_sha256", "_ingested_at", "_run_id")
 LOG_SCHEMA = "machine_id string, source_file string, sha256 string, row_count long, ingested_at timestamp, run_id string"
@@ -130,7 +130,7 @@ class Landing:
 
     def _land(self, files: list[tuple[str, str]], machine_id: str, schema: T.StructType | None) -> None:
         run_id = str(uuid.uuid4())
-        raw = read_csv(self.spark, [path for path, _ in files], schema)
+        raw = read_csv(self.spark, [_readable(path) for path, _ in files], schema)
         check_columns(raw.columns)
         index = find_index_column(raw.columns)
         if index is not None:
@@ -141,7 +141,9 @@ class Landing:
         )
         if len(files) <= MOST_BROADCAST_FILES:
             names = F.broadcast(names)
-        located = raw.withColumn("__path", F.regexp_replace("_metadata.file_path", "^file:/+", "file:/"))
+        # File paths of the reader are percent-encoded, listed ones are not.
+        decoded = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+        located = raw.withColumn("__path", F.regexp_replace(decoded, "^file:/+", "file:/"))
         landed = with_lineage(
             located.join(names, "__path"), machine_id, F.col("__name"), F.col("__sha256"), run_id
         ).drop("__path", "__name", "__sha256")

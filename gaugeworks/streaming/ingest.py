@@ -22,6 +22,8 @@ def stream_csv(spark: SparkSession, path: str, schema: T.StructType, files_per_t
         .option("timestampFormat", TIME_PATTERN)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
+        # A file whose header has other names or another order ends the batch instead of swapping columns.
+        .option("enforceSchema", False)
         .schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]))
     )
     if files_per_trigger is not None:

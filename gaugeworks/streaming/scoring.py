@@ -7,14 +7,29 @@ from pyspark.sql import DataFrame
 from gaugeworks.operators.training import FaultModel, score_with_contract
 
 
-def score_stream(readings: DataFrame, model: FaultModel, path: str, checkpoint: str, threshold: float = 0.5) -> None:
-    """Score everything that has arrived since the last run and append it to ``path``."""
-    scored, _ = score_with_contract(readings, model, threshold)
-    query = (
-        scored.writeStream.format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
+def score_stream(
+    readings: DataFrame,
+    model: FaultModel,
+    path: str,
+    checkpoint: str,
+    threshold: float = 0.5,
+    rejected_path: str | None = None,
+) -> None:
+    """Score everything that has arrived since the last run and append it to ``path``.
+
+    Readings that cannot be scored are appended to ``rejected_path`` (by
+    default ``path`` with ``_rejected`` behind it); none is dropped.
+    """
+    parts = zip(
+        ("scored", "rejected"), score_with_contract(readings, model, threshold), (path, rejected_path or f"{path.rstrip('/')}_rejected")
+    )
+    queries = [
+        part.writeStream.format("parquet")
+        .option("path", target)
+        .option("checkpointLocation", f"{checkpoint}/{name}")
         .trigger(availableNow=True)
         .start()
-    )
-    query.awaitTermination()
+        for name, part, target in parts
+    ]
+    for query in queries:
+        query.awaitTermination()

@@ -39,10 +39,17 @@ def test_the_last_window_wins(spark):
     assert ids(labeling.label_by_windows(df, ROLES, windows[::-1])) == ["A", "A", "A", "A"]
 
 
-def test_many_literal_windows_are_refused(spark):
-    windows = [FaultWindow(str(i), "2024-01-01 00:00:00", "2024-01-01 00:00:01") for i in range(65)]
-    with pytest.raises(ValueError):
-        labeling.label_by_windows(readings(spark, "2024-01-01 00:00:00"), ROLES, windows)
+@pytest.mark.parametrize("count", [3, 64, 65, 90])
+def test_any_number_of_literal_windows(spark, count):
+    """Overlapping windows, on both sides of the number from which they become a table."""
+    windows = [FaultWindow(f"{i:02}", f"2024-01-01 00:{i // 2:02}:00", f"2024-01-01 00:{i // 2 + 1:02}:30") for i in range(count)]
+    times = [f"2024-01-01 00:{m:02}:{s:02}" for m in range(0, 50) for s in (0, 29, 31)]
+    expected = []
+    for time in times:
+        holding = [w.failure_id for w in windows if w.start <= time <= w.end]
+        expected.append(holding[-1] if holding else labeling.NO_FAILURE)
+    found = labeling.label_by_windows(readings(spark, *times), ROLES, windows)
+    assert ids(found) == expected
 
 
 @pytest.mark.parametrize("options", [{}, {"most_broadcast": 0}, {"most_broadcast": 0, "rows_per_range": 50}, {"rows_per_range": 20}])
