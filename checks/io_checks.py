@@ -50,6 +50,22 @@ def _(spark, sf_dir):
     return read.select("seq", epoch_seconds(F.col("timestamp")).alias("epoch"), "user_id", "value")
 
 
+@checks.add(
+    "src1_reordered_header",
+    """SELECT event_id AS seq, CAST(floor(epoch(ts)) AS BIGINT) AS epoch, user_id, value FROM events""",
+)
+def _(spark, sf_dir):
+    """Half of the files have their columns in another order."""
+    path = csv_copy(spark, sf_dir, parts=4)
+    both = spark.read.option("header", True).csv(path)
+    even = F.col("_c0").cast("long") % 2 == 0
+    folder = scratch_path(spark, "mixed")
+    both.filter(even).write.option("header", True).csv(f"{folder}/a")
+    both.filter(~even).select("value", "timestamp", "_c0", "user_id").write.option("header", True).csv(f"{folder}/b")
+    read = files.read_csv(spark, [f"{folder}/a", f"{folder}/b"], CSV_SCHEMA)
+    return read.select("seq", epoch_seconds(F.col("timestamp")).alias("epoch"), "user_id", "value")
+
+
 @checks.add(
     "src1_csv_scan_permissive",
     """SELECT count(*) AS row_count, count(*) FILTER (event_id % 97 = 0) AS null_times,

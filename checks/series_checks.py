@@ -12,6 +12,7 @@ from checks.base import (
     LINE_KEY,
     ONE_SERIES,
     SPLIT_SQL,
+    STRANGE_LABELS_SQL,
     WIDE,
     WIDE_LABELLED_SQL,
     WINDOWS,
@@ -19,6 +20,7 @@ from checks.base import (
     events,
     labelled,
     lineitem,
+    with_strange_labels,
     rounded,
     wide_labelled,
 )
@@ -415,6 +417,20 @@ def _(spark, sf_dir):
     return found.select("event_id", "fault_label", "split")
 
 
+CLASSED_SQL = f"SELECT * FROM ({STRANGE_LABELS_SQL}) WHERE fault_label IN (0, 1)"
+
+
+@checks.add(
+    "spl1_invalid_labels",
+    f"""SELECT event_id, split FROM ({SPLIT_SQL.replace(LABELLED_SQL, CLASSED_SQL)})
+        UNION ALL SELECT event_id, 'rejected' FROM ({STRANGE_LABELS_SQL})
+        WHERE fault_label IS NULL OR fault_label NOT IN (0, 1)""",
+)
+def _(spark, sf_dir):
+    found = splits.stratified_split(with_strange_labels(events(spark, sf_dir)), "fault_label", ["event_id"])
+    return found.select("event_id", "split")
+
+
 CHRONO_SQL = f"""
 WITH b AS (SELECT quantile_disc({EPOCH}, 0.70) AS first_end, quantile_disc({EPOCH}, 0.85) AS second_end FROM events)
 SELECT e.*, CASE WHEN {EPOCH} <= first_end THEN 'train' WHEN {EPOCH} <= second_end THEN 'validation' ELSE 'test' END AS split

@@ -12,23 +12,36 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gaugeworks.functions.columns import ref
+from gaugeworks.operators.contracts import ContractError
 from gaugeworks.operators.quality import with_verdict
-from gaugeworks.sources.files import CORRUPT, TIME_PATTERN
+from gaugeworks.sources.files import CORRUPT, TIME_PATTERN, in_header_order, list_files, read_headers
 
 
 def stream_csv(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int | None = None) -> DataFrame:
+    """CSV files as they arrive, columns bound by the header of the files that are there at the start.
+
+    A later file whose header has other names or another order ends the batch
+    instead of swapping columns.
+    """
+    headers = read_headers(list_files(spark, path).select("path", "length")).select("header").distinct().take(2)
+    if len(headers) > 1:
+        raise ContractError(f"files with different headers under {path}")
+    header = list(headers[0]["header"]) if headers else schema.names
+    bound = in_header_order(header, schema).fields
+    named = [T.StructField(name, field.dataType) for name, field in zip(header, bound)]
     reader = (
         spark.readStream.option("header", True)
         .option("timestampFormat", TIME_PATTERN)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
-        # A file whose header has other names or another order ends the batch instead of swapping columns.
         .option("enforceSchema", False)
-        .schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]))
+        .schema(T.StructType([*named, T.StructField(CORRUPT, T.StringType())]))
     )
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.csv(path)
+    place = {field.name: name for name, field in zip(header, bound)}
+    return reader.csv(path).select(*[ref(place[name]).alias(name) for name in schema.names], CORRUPT)
 
 
 def with_stream_lineage(df: DataFrame, machine_id: str) -> DataFrame:
