@@ -38,16 +38,16 @@ STRINGS_SQL = """
 WITH bytes AS (
   SELECT doc_id, strlen(coalesce(text, '')) AS n, hex(encode(coalesce(text, ''))) AS h FROM documents
 ), windows AS (
-  SELECT doc_id, i AS at, md5(substr(h, 2 * i + 1, 200)) AS key
+  SELECT doc_id, i AS place, md5(substr(h, 2 * i + 1, 200)) AS key
   FROM (SELECT doc_id, h, unnest(range(0, n - 99)) AS i FROM bytes WHERE n >= 100)
 ), later AS (
-  SELECT doc_id, at FROM windows QUALIFY row_number() OVER (PARTITION BY key ORDER BY doc_id, at) > 1
+  SELECT doc_id, place FROM windows QUALIFY row_number() OVER (PARTITION BY key ORDER BY doc_id, place) > 1
 ), islands AS (
-  SELECT doc_id, at, sum(fresh) OVER (PARTITION BY doc_id ORDER BY at) AS island
-  FROM (SELECT doc_id, at, CASE WHEN at > lag(at) OVER (PARTITION BY doc_id ORDER BY at) + 100 THEN 1 ELSE 0 END AS fresh
+  SELECT doc_id, place, sum(fresh) OVER (PARTITION BY doc_id ORDER BY place) AS island
+  FROM (SELECT doc_id, place, CASE WHEN place > lag(place) OVER (PARTITION BY doc_id ORDER BY place) + 100 THEN 1 ELSE 0 END AS fresh
         FROM later)
 ), spans AS (
-  SELECT doc_id, min(at) AS a, max(at) + 100 AS b FROM islands GROUP BY doc_id, island
+  SELECT doc_id, min(place) AS a, max(place) + 100 AS b FROM islands GROUP BY doc_id, island
 ), ends AS (
   SELECT doc_id, a, b FROM spans UNION ALL SELECT doc_id, n AS a, NULL AS b FROM bytes
 ), gaps AS (
