@@ -12,16 +12,26 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 # White space to Python but not to the tokenizer, or the other way round: such texts are encoded whole.
 _ODD_SPACE = re.compile("[\x1c-\x1f\u180e]")
+_ODD_SPACE_ARROW = r"[\x1c-\x1f\x{180e}]"
 # Characters that normalization leaves alone and whose lower case needs no context.
 _PLAIN = re.compile(r"[!-~\u00a1-\u00ac\u00ae-\u012f\u0131-\u017f]*\Z")
 _SPECIAL = "<|"
+# What a chunk of the plain kind does not hold, to Arrow.
+_NOT_PLAIN_ARROW = r"[^!-~\x{a1}-\x{ac}\x{ae}-\x{12f}\x{131}-\x{17f}]|<\|"
 CACHE_CHUNKS = 200_000
+CACHE_PIECES = 300_000
+#: Texts are taken together up to so many bytes, so what repeats in them is looked up once.
+TOGETHER_BYTES = 8 << 20
 
 
 def _byte_letters() -> dict[int, str]:
@@ -74,11 +84,13 @@ class ChunkEncoder:
             and all(mark.startswith(_SPECIAL) and not re.search(r"\s", mark) for mark in marks)
         )
         if self.by_chunk:
-            self._split = regex.compile(steps[0]["pattern"]["Regex"]).findall
+            pattern = steps[0]["pattern"]["Regex"]
+            self._split = regex.compile(pattern).findall
+            self._split_lines = regex.compile(pattern + "|\n").findall
             self._letters = _byte_letters()
 
     def _value(self, ids: list[int]):
-        return len(ids) if self.counts_only else np.array(ids, "<u4").tobytes()
+        return len(ids) if self.counts_only else struct.pack(f"<{len(ids)}I", *ids)
 
     def _miss(self, chunk: str):
         value = self._old_chunks.get(chunk)
@@ -103,10 +115,11 @@ class ChunkEncoder:
         if value is None:
             value = self._old_pieces.get(word)
             if value is None:
-                mapped = word.encode().decode("latin-1").translate(self._letters)
+                # Printable ASCII stands for itself in the alphabet of bytes.
+                mapped = word if word.isascii() else word.encode().decode("latin-1").translate(self._letters)
                 value = self._value([token.id for token in self._model.tokenize(mapped)])
             if len(word) <= 64:
-                if len(self._pieces) >= CACHE_CHUNKS:
+                if len(self._pieces) >= CACHE_PIECES:
                     self._pieces, self._old_pieces = {}, self._pieces
                 self._pieces[word] = value
         return value
@@ -131,6 +144,79 @@ class ChunkEncoder:
             return b"".join(self._values(text))
         return np.array(self._library(text), "<u4").tobytes()
 
+    def ids_together(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text of a column without nulls; chunks and pieces that repeat are looked up once."""
+        if not self.by_chunk:
+            for text in texts.to_pylist():
+                yield np.array(self._library(text), "<u4")
+            return
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+        begin = 0
+        while begin < len(texts):
+            before = ends[begin - 1] if begin else 0
+            end = max(begin + 1, int(np.searchsorted(ends, before + TOGETHER_BYTES, "right")))
+            yield from self._some(texts.slice(begin, end - begin))
+            begin = end
+
+    def _some(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        odd = pc.match_substring_regex(texts, _ODD_SPACE_ARROW)
+        split = pc.utf8_split_whitespace(pc.if_else(odd, "", texts))
+        chunks = split.flatten().dictionary_encode()
+        unlike = pc.or_(
+            pc.match_substring_regex(chunks.dictionary, _NOT_PLAIN_ARROW), pc.greater(pc.utf8_length(chunks.dictionary), 1024)
+        )
+        offsets, values = self._chunk_ids(chunks.dictionary.to_pylist(), ~unlike.to_numpy(zero_copy_only=False))
+        at = chunks.indices.to_numpy(zero_copy_only=False)
+        ends, ids = _gathered(offsets, values, at)
+        # Ends of texts, counted in chunks and then in ids.
+        of_texts = ends[np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64))]
+        begin = 0
+        for number, (end, alone) in enumerate(zip(of_texts.tolist(), odd.to_pylist())):
+            yield np.array(self._library(texts[number].as_py()), "<u4") if alone else ids[begin:end]
+            begin = end
+
+    def _chunk_ids(self, chunks: list[str], plain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Offsets of the ids of each chunk in one array, and that array."""
+        others = [self._chunks.get(chunks[k]) or self._miss(chunks[k]) for k in np.flatnonzero(~plain)]
+        lines = "\n".join(chunks if plain.all() else [chunks[k] for k in np.flatnonzero(plain)]).lower()
+        pieces = pa.array(self._split_lines(lines), pa.string()).dictionary_encode()
+        words = pieces.dictionary.to_pylist()
+        known = list(map(self._pieces.get, words))
+        for k, value in enumerate(known):
+            if value is None:
+                known[k] = b"" if words[k] == "\n" else self._piece(words[k])
+        at = pieces.indices.to_numpy(zero_copy_only=False)
+        ends, ids = _gathered(*_laid_out(known), at)
+        # A line ends where its separator is; the last one at the end.
+        line_ends = ends[np.append(np.flatnonzero(at == words.index("\n")) if "\n" in words else [], len(at)).astype(np.int64)]
+        other_offsets, other_ids = _laid_out(others)
+        lengths = np.zeros(len(chunks), np.int64)
+        lengths[plain] = np.diff(line_ends[: plain.sum()], prepend=0)
+        lengths[~plain] = np.diff(other_offsets)
+        begins = np.zeros(len(chunks), np.int64)
+        begins[plain] = line_ends[: plain.sum()] - lengths[plain]
+        begins[~plain] = len(ids) + other_offsets[:-1]
+        return _gathered_spans(begins, lengths, np.concatenate([ids, other_ids]))
+
+
+def _laid_out(values: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets and ids of packed values, end to end."""
+    offsets = np.zeros(len(values) + 1, np.int64)
+    np.cumsum(np.fromiter(map(len, values), np.int64, len(values)) // 4, out=offsets[1:])
+    return offsets, np.frombuffer(b"".join(values), "<u4")
+
+
+def _gathered(offsets: np.ndarray, values: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return _gathered_spans(offsets[at], (offsets[1:] - offsets[:-1])[at], values)
+
+
+def _gathered_spans(begins: np.ndarray, lengths: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets of the spans when laid end to end, and their values."""
+    offsets = np.zeros(len(begins) + 1, np.int64)
+    np.cumsum(lengths, out=offsets[1:])
+    places = np.repeat(begins - offsets[:-1], lengths) + np.arange(offsets[-1])
+    return offsets, values[places]
+
 
 _encoders: dict = {}
 

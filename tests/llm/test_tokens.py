@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -41,6 +42,19 @@ def test_any_text(text):
     assert np.frombuffer(ENCODER.ids(text), "<u4").tolist() == library_ids(text)
 
 
+def test_texts_together():
+    every = [f"a{chr(code)}B" for code in range(0x3100) if not 0xD800 <= code < 0xE000]
+    texts = [text or "" for text in ODD] + every + ["One, two. One; TWO!"] * 3 + ["", "x" * 70 + " <|endoftext|>"]
+    for size in (1, 100, 8 << 20):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr("gaugeworks.llm.tokens.TOGETHER_BYTES", size)
+            chosen = texts if size > 1 else texts[: len(ODD) + 200]
+            found = [ids.tolist() for ids in ENCODER.ids_together(pa.array(chosen, pa.string()))]
+        assert found == [np.frombuffer(ENCODER.ids(text), "<u4").tolist() for text in chosen]
+    assert found[: len(ODD)] == [library_ids(text) for text in ODD]
+    assert list(ENCODER.ids_together(pa.array([], pa.string()))) == []
+
+
 def test_other_kinds_of_files():
     import sentencepiece
 
