@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -80,6 +81,21 @@ def forget_shuffles(spark: SparkSession) -> None:
         spark.range(1).count()
 
 
+@contextmanager
+def batches_up_to(spark: SparkSession, size: str) -> Iterator[None]:
+    """Jobs started inside hand Python batches of about so many bytes at most.
+
+    A batch exists in the JVM, in the pipe and in the worker at once, per task.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def add_shards(parts: Iterator[tuple[int, np.ndarray]], into: Callable[[np.ndarray | None, np.ndarray], np.ndarray]):
     """Fold the arrays of equal consecutive shard numbers; one shard is in memory at a time."""
     current, total = None, None

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugeworks.functions.columns import ref
-from gaugeworks.llm.frames import Batches, batches_of, forget_shuffles, pack_planes, text_bytes, unpack_planes
+from gaugeworks.llm.frames import Batches, batches_of, batches_up_to, forget_shuffles, pack_planes, text_bytes, unpack_planes
 from gaugeworks.sources.scratch import drop_written, written
 
 LENGTH = 100
@@ -53,6 +53,8 @@ BLOCK = 400_000
 RUN_BITS = 6
 BUCKET_RECORDS = 400_000
 HELD_RECORDS = 500_000
+#: What moves between Spark and a worker at a time.
+BATCH_BYTES = 4 << 20
 _POSITION_BITS = 20
 _SEQUENCE_BITS = 24
 _U = np.uint64
@@ -173,7 +175,7 @@ def blocks_of(docs: DataFrame, id_col: str, text_col: str, piece_bytes: int, blo
             if held:
                 yield block()
 
-        yield from batches_of(_arrow(kind), blocks(), 64)
+        yield from batches_of(_arrow(kind), blocks(), 64, BATCH_BYTES)
 
     kind = rows.schema["id"].dataType
     return written(ordered.mapInArrow(packed, _block_type(kind)), "blocks", compression="zstd")
@@ -308,7 +310,7 @@ def _sorted_buckets(records: DataFrame, mode: str, label: str, kind: int) -> Dat
             if held:
                 yield from sort_one(held)
 
-        yield from batches_of(schema, rows())
+        yield from batches_of(schema, rows(), 2_000, BATCH_BYTES)
 
     ordered = records.repartition("bucket").sortWithinPartitions("bucket")
     return written(ordered.mapInArrow(sorted_, "part int, block long, kind int, data binary"), label, compression="zstd")
@@ -334,7 +336,7 @@ def _emitter(found: Callable[[Block, dict], tuple | None], buckets: int, mode: s
             if held:
                 yield from _sent(*map(np.concatenate, zip(*held)), mode)
 
-        yield from batches_of(_RECORDS, rows())
+        yield from batches_of(_RECORDS, rows(), 2_000, BATCH_BYTES)
 
     return emitted
 
@@ -441,6 +443,13 @@ def remove_repeated_strings(
     """
     if piece_bytes + block_bytes + LENGTH > 1 << _POSITION_BITS:
         raise ValueError("a piece and a block must fit the positions of a block")
+    with batches_up_to(docs.sparkSession, f"{BATCH_BYTES}b"):
+        return _without_repeats(docs, id_col, text_col, with_text, piece_bytes, block_bytes, held_records)
+
+
+def _without_repeats(
+    docs: DataFrame, id_col: str, text_col: str, with_text: bool, piece_bytes: int, block_bytes: int, held_records: int
+) -> DataFrame:
     blocks = blocks_of(docs, id_col, text_col, piece_bytes, block_bytes)
     forget_shuffles(docs.sparkSession)
     size = blocks.select(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda held, x: held + x))).first()[0] or 0
@@ -480,7 +489,7 @@ def remove_repeated_strings(
                         yield block.ids[at], *state.result()
                         state = None
 
-        yield from batches_of(to_arrow_schema(out), rows())
+        yield from batches_of(to_arrow_schema(out), rows(), 2_000, BATCH_BYTES)
 
     result = written(_together(blocks, runs, strings).mapInArrow(judged, out), "strings-removed", compression="zstd")
     for table in (blocks, runs, samples, strings):
