@@ -20,6 +20,7 @@ from gaugeworks.functions.columns import ref
 from gaugeworks.llm.frames import (
     Batches,
     batches_of,
+    batches_up_to,
     pack_planes,
     unpack_planes,
     whole_text,
@@ -34,6 +35,8 @@ BITS = 10
 SPREAD = 0.5
 _FIELD = 21
 _SLICE = 1 << 20
+#: What moves between Spark and a worker at a time.
+BATCH_BYTES = "8m"
 
 
 def hashed_bits(size: int) -> np.ndarray:
@@ -152,8 +155,9 @@ def pack_along_curve(
 
     Texts are tokenized once; the ids move once, to their place on the curve.
     """
-    ids = written(tokenized(docs, path, end_id, id_col, text_col), "ids", compression="zstd")
-    placed = with_running_totals(ids, ("curve", "id", "row"), "n_tokens", "begin", label="curve")
+    with batches_up_to(docs.sparkSession, BATCH_BYTES):
+        ids = written(tokenized(docs, path, end_id, id_col, text_col), "ids", compression="zstd")
+        placed = with_running_totals(ids, ("curve", "id", "row"), "n_tokens", "begin", label="curve")
     names = ["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] + ["ids"] * with_ids
     kind = ids.schema["id"].dataType.simpleString()
     schema = f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + (

@@ -29,9 +29,9 @@ _SPECIAL = "<|"
 # What a chunk of the plain kind does not hold, to Arrow.
 _NOT_PLAIN_ARROW = r"[^!-~\x{a1}-\x{ac}\x{ae}-\x{12f}\x{131}-\x{17f}]|<\|"
 CACHE_CHUNKS = 200_000
-CACHE_PIECES = 300_000
+CACHE_PIECES = 200_000
 #: Texts are taken together up to so many bytes, so what repeats in them is looked up once.
-TOGETHER_BYTES = 8 << 20
+TOGETHER_BYTES = 4 << 20
 
 
 def _byte_letters() -> dict[int, str]:
