@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from gaugeworks.functions.columns import ref
 from gaugeworks.llm.components import connected_components
-from gaugeworks.llm.frames import Batches, batches_of, text_bytes
+from gaugeworks.llm.frames import Batches, batches_of, batches_up_to, forget_shuffles, text_bytes
 from gaugeworks.sources.scratch import written
 
 BITS = 64
@@ -280,11 +280,16 @@ def near_duplicate_groups(
 
 #: Sign bits of a set: so many fingerprints of independent hashes of its shingles.
 LANES = 13
-BAND_BITS = 16
-#: Sets of similarity 0.8 differ in about 10 of 64 bits, in more than this hardly ever.
-SEARCH_RADIUS = 18
-#: Around the limit the estimate from the sign bits is settled by counting shingles.
-DOUBT = 0.08
+#: Nodes that share a shingle meet in blocks of work of about twice so many.
+SHINGLE_NODES = 512
+#: A set has a parity sketch of about as many bits as shingles, between these.
+SKETCH_BITS = (64, 1_024)
+#: Shingles of at least ``HOT_COUNT`` of ``HOT_SAMPLE`` sets come last in the order; this decides speed only.
+HOT_SAMPLE, HOT_COUNT, HOT_SHINGLES = 4_000, 8, 65_536
+#: Links a node may propose per block and round, nearest first; all that are left in the last.
+NEAREST = (4, 32, 256, None)
+#: What moves between Spark and a worker at a time.
+BATCH_BYTES = 8 << 20
 
 
 def lane_hashes(hashes: np.ndarray, lanes: int = LANES) -> np.ndarray:
@@ -312,110 +317,154 @@ def estimated_similarity(left: bytes, right: bytes) -> float:
     return cosine / (2 - cosine)
 
 
-def _sets(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """``id, same, node, n, bits, shingles`` per row; ``node`` is a hash of the whole set of shingles."""
+def packed_set(text: bytes, words: int) -> np.ndarray:
+    """The set of shingles as ascending 32-bit hashes."""
+    return np.unique((shingle_hashes(text, words) >> np.uint64(32)).astype(np.uint32))
+
+
+def prefix_length(size: int, similarity: float) -> int:
+    """So many first shingles in a common order hold one of any set that is similar."""
+    return size - math.ceil(similarity * size - 1e-9) + 1
+
+
+def parity_sketch(values: np.ndarray) -> bytes:
+    """Per bit whether an odd number of shingles fall on it: two sets differ in at least as many shingles as bits."""
+    least, most = SKETCH_BITS
+    size = min(most, max(least, 1 << (len(values) - 1).bit_length()))
+    return np.packbits(np.bincount(values & np.uint32(size - 1), minlength=size) & 1, bitorder="little").tobytes()
+
+
+def _sets(docs: DataFrame, id_col: str, text_col: str, words: int, with_shingles: bool) -> DataFrame:
+    """``id, same, node`` or ``node, n, shingles, sketch`` per row; ``node`` is a hash of the whole set of shingles."""
     rows = docs.select(ref(id_col).alias("id"), F.xxhash64(ref(text_col)).alias("same"), text_bytes(text_col).alias("text"))
 
     def hashed(batches: Batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, sizes, bits, shingles = [], [], [], []
-            for text in batch.column("text"):
-                found = np.unique(shingle_hashes(text.as_py(), words))
-                nodes.append(signed(xxhash.xxh3_64_intdigest(found.tobytes())))
-                sizes.append(len(found))
-                bits.append(sign_bits(found) if len(found) else bytes(LANES * 8))
-                shingles.append(np.unique((found >> np.uint64(32)).astype(np.uint32)).tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("id"),
-                    batch.column("same"),
-                    pa.array(nodes, pa.int64()),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(bits, pa.binary()),
-                    pa.array(shingles, pa.binary()),
-                ],
-                ["id", "same", "node", "n", "bits", "shingles"],
-            )
-
-    kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(hashed, f"id {kind}, same long, node long, n long, bits binary, shingles binary")
-
-
-def _band_members(nodes: DataFrame) -> DataFrame:
-    """``shard, node, fp, n``: a row per band of sign bits; the shard is band and value."""
-
-    def banded(batches: Batches) -> Iterator[pa.RecordBatch]:
-        bands = LANES * BITS // BAND_BITS
+            sets = [packed_set(text.as_py(), words) for text in batch.column("text")]
+            nodes = pa.array([signed(xxhash.xxh3_64_intdigest(found.tobytes())) for found in sets], pa.int64())
+            if not with_shingles:
+                yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("same"), nodes], ["id", "same", "node"])
+                continue
+            sizes = pa.array(list(map(len, sets)), pa.int32())
+            shingles = pa.array([found.tobytes() for found in sets], pa.binary())
+            sketches = pa.array([parity_sketch(found) if len(found) else b"" for found in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([nodes, sizes, shingles, sketches], ["node", "n", "shingles", "sketch"])
+
+    if with_shingles:
+        return rows.select("text").mapInArrow(hashed, "node long, n int, shingles binary, sketch binary")
+    return rows.mapInArrow(hashed, f"id {rows.schema['id'].dataType.simpleString()}, same long, node long")
+
+
+def _hot_shingles(nodes: DataFrame) -> np.ndarray:
+    """Shingles that many sets of a sample hold, the rarest first."""
+    scale = 1 << 30
+    limit = min(scale, scale * HOT_SAMPLE // max(1, nodes.count()))
+
+    def apart(batches: Batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for packed in batch.column("shingles"):
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(packed.as_py(), np.int32))], ["shingle"])
+
+    sample = nodes.filter(F.pmod(F.xxhash64(F.lit(1), "node"), F.lit(scale)) < limit).select("shingles")
+    counts = sample.mapInArrow(apart, "shingle int").groupBy("shingle").agg(F.count("*").alias("n"))
+    hot = counts.filter(F.col("n") >= HOT_COUNT).orderBy(F.col("n").desc(), "shingle").limit(HOT_SHINGLES).collect()
+    return np.array([row["shingle"] for row in reversed(hot)], np.int32).view(np.uint32)
+
+
+def prefix_members(nodes: DataFrame, similarity: float, hot: np.ndarray) -> DataFrame:
+    """``shingle, node, n, at``: the first shingles of each set, ascending with those of ``hot`` last, with their places."""
+    by_value = np.argsort(hot)
+    shared = nodes.sparkSession.sparkContext.broadcast((hot[by_value], by_value))
+
+    def first(batches: Batches) -> Iterator[pa.RecordBatch]:
+        values, ranks = shared.value
         for batch in batches:
-            bits = np.frombuffer(b"".join(batch.column("bits").to_pylist()), ">u2").reshape(-1, bands)
-            shard = (np.arange(bands, dtype=np.int64) << BAND_BITS) + bits
-            last = np.ascontiguousarray(bits[:, -BITS // BAND_BITS :]).view(">u8").astype(np.uint64).view(np.int64).ravel()
-            nodes, sizes = (batch.column(name).to_numpy(zero_copy_only=False) for name in ("node", "n"))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(shard.ravel().astype(np.int32)),
-                    pa.array(np.repeat(nodes, bands)),
-                    pa.array(np.repeat(last, bands)),
-                    pa.array(np.repeat(sizes, bands).astype(np.int32)),
-                ],
-                ["shard", "node", "fp", "n"],
-            )
-
-    return nodes.select("node", "n", "bits").mapInArrow(banded, "shard int, node long, fp long, n int")
-
-
-def band_links(nodes: DataFrame, similarity: float, tree_nodes: int = TREE_NODES) -> DataFrame:
-    """Candidate links ``a, b`` between nodes that share a band: a forest of the nearest per block of work.
-
-    Sets of very different size can't be similar, so each shard has a tree per
-    class of size, and a node visits those of its own class and of its
-    neighbours.
+            parts = []
+            for packed in batch.column("shingles"):
+                own = np.frombuffer(packed.as_py(), np.uint32)
+                if len(values):
+                    place = np.minimum(np.searchsorted(values, own), len(values) - 1)
+                    late = values[place] == own
+                    own = np.concatenate([own[~late], own[late][np.argsort(ranks[place[late]])]])
+                parts.append(own[: prefix_length(len(own), similarity)])
+            if not parts:
+                continue
+            counts = np.array(list(map(len, parts)))
+            node, size = (np.repeat(batch.column(name).to_numpy(zero_copy_only=False), counts) for name in ("node", "n"))
+            at = np.concatenate([np.arange(count, dtype=np.int32) for count in counts])
+            whole = [pa.array(np.concatenate(parts).view(np.int32)), pa.array(node), pa.array(size), pa.array(at)]
+            yield pa.RecordBatch.from_arrays(whole, ["shingle", "node", "n", "at"])
+
+    return nodes.select("node", "n", "shingles").mapInArrow(first, "shingle int, node long, n int, at int")
+
+
+def _sketch_distances(sketches: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Bits that differ for the wanted pairs; of sketches of unequal length the longer is folded."""
+    found = np.zeros(wanted.shape, np.int32)
+    lengths = np.array([len(sketch) for sketch in sketches])
+    for length in np.unique(lengths):
+        own = np.flatnonzero(lengths >= length)
+        rows = np.zeros((len(own), length // 8), np.uint64)
+        for size in np.unique(lengths[own]):
+            of_size = np.flatnonzero(lengths[own] == size)
+            whole = np.frombuffer(b"".join(sketches[own[of_size]]), np.uint64).reshape(len(of_size), -1, length // 8)
+            rows[of_size] = np.bitwise_xor.reduce(whole, axis=1)
+        shortest = lengths[own] == length
+        for at, place in enumerate(own):
+            others = np.flatnonzero(wanted[place, own] & (shortest | shortest[at]))
+            if len(others):
+                found[place, own[others]] = np.bitwise_count(rows[others] ^ rows[at]).sum(1)
+    return found
+
+
+def proposed_links(group: dict[str, np.ndarray], similarity: float, nearest: int | None) -> tuple[np.ndarray, bool]:
+    """Pairs of places in a block that may be similar and are not joined yet: the nearest of each node, and whether that is all.
+
+    What is left out for good is surely not similar: by the sizes, by the places
+    of the shared shingle (the first that two similar sets share leaves room for
+    the others), or by more sketch bits than shingles may differ.
     """
-    step = math.log(1 / similarity)
-    classed = _band_members(nodes).withColumn("class", F.floor(F.log(F.col("n").cast("double")) / step).cast("int"))
-    work = _blocks_of_work(classed, ["shard"], tree_nodes)
-    key = ["shard", "i", "j"]
-    ordered = work.repartition(*key).sortWithinPartitions(*key, "own", "class", "node")
+    size, at, root, own = group["n"], group["at"], group["root"], group["own"]
+    sums = size[:, None] + size[None, :].astype(np.float32)
+    rest = size - at
+    wanted = np.minimum.outer(size, size) >= similarity * np.maximum.outer(size, size) - 1e-3
+    wanted &= np.minimum.outer(rest, rest) >= sums * (similarity / (1 + similarity)) - 1e-2
+    wanted &= root[:, None] != root[None, :]
+    if group["i"][0] != group["j"][0]:
+        wanted &= own[:, None] != own[None, :]
+    if not wanted.any():
+        return np.zeros((0, 2), np.int64), True
+    distance = _sketch_distances(group["sketch"], wanted)
+    wanted &= distance <= sums * ((1 - similarity) / (1 + similarity)) + 1e-2
+    whole = nearest is None or int(wanted.sum(1).max()) <= nearest
+    if not whole:
+        score = np.where(wanted, distance / sums, np.float32(np.inf))
+        chosen = np.zeros_like(wanted)
+        np.put_along_axis(chosen, np.argpartition(score, nearest - 1, axis=1)[:, :nearest], True, axis=1)
+        wanted &= chosen | chosen.T
+    return np.argwhere(np.triu(wanted | wanted.T)), whole
+
+
+def _proposals(work: DataFrame, similarity: float, nearest: int | None) -> DataFrame:
+    """``a, b``: the links that the blocks propose; ``a = b`` where a block has more."""
+    key = ["shingle", "i", "j"]
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def searched(batches: Batches) -> Batches:
         def links():
             for group in _groups(batches, key):
-                node, own, classes = group["node"], group["own"], group["class"]
-                values = group["fp"].view(np.uint64).tolist()
-                sizes = group["n"].tolist()
-                same = group["i"][0] == group["j"][0]
-                split = len(values) if same else int(np.searchsorted(own, own[0], side="right"))
-                trees: dict[int, tuple[BKTree, list[int]]] = {}
-                near: list[tuple[int, int, int]] = []
-
-                def visit(at):
-                    for step in (-1, 0, 1):
-                        tree, members = trees.get(int(classes[at]) + step, (None, None))
-                        if tree is not None:
-                            for found in tree.within(values[at], SEARCH_RADIUS):
-                                other = members[found]
-                                low, high = sorted((sizes[at], sizes[other]))
-                                if low >= similarity * high:
-                                    near.append(((values[at] ^ values[other]).bit_count(), other, at))
-
-                for at in range(split):
-                    if same:
-                        visit(at)
-                    tree, members = trees.setdefault(int(classes[at]), (BKTree(), []))
-                    tree.add(values[at])
-                    members.append(at)
-                for at in range(split, len(values)):
-                    visit(at)
-                forest = Forest(len(values))
-                for _, left, right in sorted(near):
-                    if forest.join(left, right):
-                        low, high = sorted((int(node[left]), int(node[right])))
-                        yield low, high
+                if group["root"].min() == group["root"].max():
+                    continue
+                node = group["node"]
+                pairs, whole = proposed_links(group, similarity, nearest)
+                if not whole:
+                    yield int(node[0]), int(node[0])
+                ends = np.sort(node[pairs], axis=1)
+                yield from zip(ends[:, 0].tolist(), ends[:, 1].tolist())
 
         yield from batches_of(schema, links(), 10_000)
 
-    return ordered.mapInArrow(searched, "a long, b long").distinct()
+    return work.repartition(*key).sortWithinPartitions(*key).mapInArrow(searched, "a long, b long").distinct()
 
 
 def _similar(pairs: DataFrame, columns: str, similarity: float) -> DataFrame:
@@ -427,57 +476,68 @@ def _similar(pairs: DataFrame, columns: str, similarity: float) -> DataFrame:
             for left, right in zip(batch.column("left"), batch.column("right")):
                 one, other = (np.frombuffer(side.as_py(), np.uint32) for side in (left, right))
                 shared = len(np.intersect1d(one, other, assume_unique=True))
-                keep.append(shared >= similarity * (len(one) + len(other) - shared))
+                keep.append(shared >= similarity * (len(one) + len(other) - shared) - 1e-9)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return pairs.mapInArrow(counted, columns)
 
 
+def similar_links(nodes: DataFrame, similarity: float, shingle_nodes: int = SHINGLE_NODES) -> DataFrame:
+    """``node, root``: nodes (``node, n, shingles, sketch``) linked by a Jaccard similarity, all such links counted in.
+
+    Two similar sets share one of their first shingles, whatever the order, and
+    meet there.  A pair joins only after its shingles were counted.  Each round
+    the nodes of a block propose their nearest that are not joined to them yet,
+    so a group of near copies is joined without a list of all its pairs; the
+    rounds end when no block has a pair left that is neither joined nor counted.
+    """
+    spark = nodes.sparkSession
+    members = prefix_members(nodes, similarity, _hot_shingles(nodes))
+    members = written(_blocks_of_work(members, ["shingle"], shingle_nodes), "shingle-members", compression="zstd")
+    forget_shuffles(spark)
+    roots = linked = known = None
+    for nearest in NEAREST:
+        own = nodes.select("node", "sketch")
+        if roots is None:
+            own = own.withColumn("root", F.col("node"))
+        else:
+            own = own.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        found = written(_proposals(members.join(own, "node"), similarity, nearest), "candidates")
+        pairs = found.filter("a != b")
+        pairs = pairs if known is None else pairs.join(known, ["a", "b"], "left_anti")
+        needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        packed = written(nodes.select("node", "shingles").join(needed, "node", "left_semi"), "shingles")
+        sided = pairs.join(packed.select(F.col("node").alias("a"), F.col("shingles").alias("left")), "a").join(
+            packed.select(F.col("node").alias("b"), F.col("shingles").alias("right")), "b"
+        )
+        good = written(_similar(sided.select("a", "b", "left", "right"), "a long, b long", similarity), "similar-pairs")
+        linked = good if linked is None else linked.unionByName(good)
+        known = found if known is None else known.unionByName(found)
+        roots = connected_components(linked, "similar")
+        forget_shuffles(spark)
+        if found.filter("a = b").isEmpty():
+            break
+    return roots
+
+
 def similar_groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8
 ) -> DataFrame:
     """``id, same, component_id, keeper``: groups of rows linked by a Jaccard similarity of shingle sets.
 
-    Sign bits of several SimHash lanes give bands; nodes that share a band meet
-    in BK-trees over one lane; candidate links are judged by all lanes' bits
-    and, near the limit, by counting shingles.  ``component_id`` is the
-    smallest id of the group (null ids take no part) and ``keeper`` marks the
-    row that stands for it (of equal rows, all).
+    Every pair of similar sets is linked (sets of 32-bit hashes of shingles).
+    ``component_id`` is the smallest id of the group (null ids take no part) and
+    ``keeper`` marks the row that stands for it (of equal rows, all).
     """
-    found = written(_sets(docs, id_col, text_col, words), "sets", compression="zstd")
-    nodes = written(found.groupBy("node").agg(F.first("n").alias("n"), F.first("bits").alias("bits")), "set-nodes")
-    filled = nodes.filter("n > 0")
-    links = written(band_links(filled, similarity), "candidates")
-
-    def estimated(batches: Batches) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            pairs = zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())
-            scores = [estimated_similarity(x, y) for x, y in pairs]
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(scores)], ["a", "b", "score"])
-
-    bits = filled.select("node", "bits")
-    scored = written(
-        links.join(bits.select(F.col("node").alias("a"), F.col("bits").alias("x")), "a")
-        .join(bits.select(F.col("node").alias("b"), F.col("bits").alias("y")), "b")
-        .select("a", "b", "x", "y")
-        .mapInArrow(estimated, "a long, b long, score double"),
-        "scored",
-    )
-    unsure = scored.filter((F.col("score") > similarity - DOUBT) & (F.col("score") < similarity + DOUBT)).select("a", "b")
-    needed = unsure.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    packed = written(
-        found.select("node", "shingles").join(needed, "node").groupBy("node").agg(F.first("shingles").alias("shingles")),
-        "shingles",
-    )
-    pairs = (
-        unsure.join(packed.select(F.col("node").alias("a"), F.col("shingles").alias("left")), "a")
-        .join(packed.select(F.col("node").alias("b"), F.col("shingles").alias("right")), "b")
-        .select("a", "b", "left", "right")
-    )
-    sure = scored.filter(F.col("score") >= similarity + DOUBT).select("a", "b")
-    linked = sure.unionByName(_similar(pairs, "a long, b long", similarity))
-    roots = connected_components(linked, "similar")
-    rows = found.select("id", "same", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    spark = docs.sparkSession
+    with batches_up_to(spark, f"{BATCH_BYTES}b"):
+        found = written(_sets(docs, id_col, text_col, words, False), "sets", compression="zstd")
+        sets = _sets(docs, id_col, text_col, words, True).filter("n > 0")
+        first = [F.first(name).alias(name) for name in ("n", "shingles", "sketch")]
+        nodes = written(sets.groupBy("node").agg(*first), "set-nodes", compression="zstd")
+        forget_shuffles(spark)
+        roots = similar_links(nodes, similarity)
+    rows = found.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     order = F.struct(F.col("id").isNull(), "id", "same")
     chosen = rows.groupBy("root").agg(F.min(order).alias("first"))
     return rows.join(chosen, "root").select(

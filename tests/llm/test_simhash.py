@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gaugeworks.llm.components import connected_components
 from gaugeworks.llm.queries import op5_simhash_near_dedup
-from gaugeworks.llm.simhash import BITS, BKTree, block_masks, near_duplicate_groups, shard_links, signed
+from gaugeworks.llm.simhash import BITS, BKTree, block_masks, near_duplicate_groups, shard_links, signed, similar_groups
 from tests.llm.brute import WORD, documents
 
 SF = "/root/testdata/sf0.001"
@@ -127,3 +127,17 @@ def test_components_of_a_chain(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(500, 400), (7, 7)], "a long, b long")
     found = {r.node: r.root for r in connected_components(chain).collect()}
     assert found == {i: 0 for i in range(301)} | {400: 400, 500: 400}
+
+
+def test_independent_edits_of_one_text_are_one_group(spark):
+    """Copies similar to the original only: links between copies fail, those to the original must not be lost."""
+    random.seed(6)
+    words = [f"w{i}" for i in range(1_000)]
+    rows = [(0, " ".join(words))]
+    for copy in range(1, 401):
+        edited = list(words)
+        for place in random.sample(range(0, 1_000, 5), 17):
+            edited[place] = f"edit{copy}x{place}"
+        rows.append((copy, " ".join(edited)))
+    groups = similar_groups(documents(spark, rows)).collect()
+    assert {row.component_id for row in groups} == {0}
