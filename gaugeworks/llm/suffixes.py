@@ -399,7 +399,7 @@ def _sample_keys(block: Block, answers: dict):
     at = np.flatnonzero(reach & np.resize(_IN_COVER, len(reach)))
     # The rank only rules suffixes out: 48 bits are plenty.
     first = _mixed(block.first.at(at, SAMPLE))
-    return first & _U(0xFFFFFFFF_FFFF0000), np.zeros(len(at), np.uint32), at
+    return first & _U(0xFFFFFFFF_FFFF0000), first, at
 
 
 def _widened(marks: np.ndarray, before: int, after: int) -> np.ndarray:

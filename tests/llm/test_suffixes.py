@@ -110,3 +110,17 @@ def test_empty_table_and_one_long_text(spark):
     row = remove_repeated_strings(documents(spark, [(1, text)])).first()
     assert (row.n_bytes, row.n_removed, row.n_spans) == (len(text), 500, 1)
     assert bytes(row.kept).decode() == text[:900_000]
+
+
+def test_samples_spread_over_all_buckets():
+    random.seed(3)
+    data = bytes(random.choices(b"abcdefgh ", k=40_000)) * 2
+    block = suffixes.Block(
+        {"block": 0, "sizes": [len(data)], "data": suffixes.zstandard.compress(data), "windows": [len(data) - LENGTH + 1], "ids": [1], "own": [len(data)], "last": [True]}
+    )
+    keys, spread, at = suffixes._sample_keys(block, {})
+    counts = np.bincount((spread % np.uint64(16)).astype(int), minlength=16)
+    assert counts.min() > 0.8 * len(at) / 16
+    strings = {}
+    for key, bucket, place in zip(keys.tolist(), spread.tolist(), at.tolist()):
+        assert strings.setdefault(data[place : place + SAMPLE], (key, bucket)) == (key, bucket)
