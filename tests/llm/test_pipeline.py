@@ -147,3 +147,16 @@ def test_stages_take_odd_and_empty_tables(spark):
         docs, empty = stage(spark, docs, SF), stage(spark, empty, SF)
         assert empty.count() == 0 and docs.count() >= 1 and docs.columns == names
         assert docs.filter("language = 1 AND line_dedup = 2 AND row = 'clash'").count() == docs.count()
+
+
+def test_short_near_copies_at_the_limit(spark):
+    """Texts of 8 and 9 words: 4 of 5 shingles shared, exactly 0.8; and long ones just at the limit."""
+    rows = []
+    for pair in range(100):
+        words = [f"p{pair}w{i}" for i in range(9)]
+        rows += [(2 * pair, " ".join(words[:8])), (2 * pair + 1, " ".join(words))]
+    for pair in range(100, 200):
+        words = [f"p{pair}w{i}" for i in range(104)]
+        rows += [(2 * pair, " ".join(words[:84])), (2 * pair + 1, " ".join(words))]
+    kept = sorted(r.doc_id for r in drop_near_duplicates(documents(spark, rows)).collect())
+    assert kept == list(range(0, 400, 2))
