@@ -227,14 +227,14 @@ _ARC_ROW = pa.schema(
         ("date", pa.string()),
         ("mime", pa.string()),
         ("digest", pa.string()),
-        ("order", pa.int64()),
+        ("order", pa.string()),
         ("record_id", pa.string()),
         ("payload_bytes", pa.int64()),
         ("body", pa.binary()),
     ]
 )
 _ARC_TYPES = (
-    "seen string, url string, ip string, date string, mime string, digest string, order long, record_id string, "
+    "seen string, url string, ip string, date string, mime string, digest string, order string, record_id string, "
     "payload_bytes long, body binary"
 )
 
@@ -250,7 +250,7 @@ def arc_rows(spark: SparkSession, path: str, order_header: str = ID_HEADER, with
                         if record["filedesc"]:
                             continue
                         head, payload = http_parts(record["body"])
-                        order = http_header(head, order_header) or ""
+                        order = http_header(head, order_header)
                         seen = f"{file.rpartition('/')[2]}:{place}"
                         yield (
                             seen,
@@ -259,7 +259,7 @@ def arc_rows(spark: SparkSession, path: str, order_header: str = ID_HEADER, with
                             record["Archive-date"],
                             record["Content-type"],
                             payload_digest(payload),
-                            int(order) if re.fullmatch(r"-?\d{1,18}", order) else None,
+                            order,
                             _record_id(record["URL"], record["Archive-date"], seen),
                             len(payload),
                             record["body"] if with_body else None,
@@ -271,18 +271,19 @@ def arc_rows(spark: SparkSession, path: str, order_header: str = ID_HEADER, with
 
 
 def arc_to_warc(
-    spark: SparkSession, arc_path: str, warc_path: str, order_header: str = ID_HEADER, least_bytes: int = 0
+    spark: SparkSession, arc_path: str, warc_path: str, order_header: str = ID_HEADER, least_bytes: int = 0, order_type: str = "long"
 ) -> None:
     """Convert the ARC files below ``arc_path`` to WARC files below ``warc_path``.
 
     HTTP records become ``response`` records, others ``resource``; of the
     records with equal payloads of at least ``least_bytes`` bytes, the first by
-    the number in ``order_header`` (none: last; ties: by file and place) stays
+    the value of type ``order_type`` in ``order_header`` (none: last; ties: by file and place) stays
     and the others become ``revisit`` records that keep their HTTP head and
     refer to it.  Identifiers are name-based, so a repeated run gives the same.
     """
     keys = arc_rows(spark, arc_path, order_header, with_body=False)
-    place = F.struct(F.col("order").isNull(), "order", "seen")
+    order = F.col("order").try_cast(order_type)
+    place = F.struct(order.isNull(), order, "seen")
     firsts = (
         keys.filter(F.col("payload_bytes") >= least_bytes)
         .groupBy("digest")
@@ -386,7 +387,7 @@ def convert_pages(
     arc, warc = scratch_path(spark, "arc"), scratch_path(spark, "warc")
     write_arc(pages, arc, id_col, url_col, html_col)
     forget_shuffles(spark)
-    arc_to_warc(spark, arc, warc)
+    arc_to_warc(spark, arc, warc, order_type=pages.schema[id_col].dataType.simpleString())
     forget_shuffles(spark)
     found = warc_rows(spark, warc)
     named = found.filter(F.col("record_type") == "response").select(

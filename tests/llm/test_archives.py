@@ -104,3 +104,10 @@ def test_query_matches_sql(spark):
     frame = op9_legacy_archives(spark, folder)
     expected = duck.sql(f"SELECT {', '.join(frame.columns)} FROM ({PAGES_SQL})").fetchall()
     assert sorted(map(tuple, frame.collect())) == sorted(expected)
+
+
+def test_smallest_of_long_and_text_ids(spark):
+    for kind, ids in (("long", [2**63 - 1, 10**18 + 5, 10**18 + 3, 10**18 + 4]), ("string", ["d", "c", "a", "b"])):
+        pages = spark.createDataFrame([(i, f"http://x/{k}", "same") for k, i in enumerate(ids)], f"page_id {kind}, url string, html string")
+        found = {r.page_id: r.refers_to for r in archives.convert_pages(pages.coalesce(1)).collect()}
+        assert found == {i: None if i == min(ids) else min(ids) for i in ids}
