@@ -212,8 +212,8 @@ def _cells(rows: DataFrame) -> DataFrame:
     return left.join(right, same).select("r.*", "c.cell_lang", "c.cell_source")
 
 
-def estimates_by_group(rows: DataFrame) -> DataFrame:
-    """Robust mean and precision per group of rows that passed the limits, groups of ``MIN_ROWS`` or more."""
+def estimates_by_group(rows: DataFrame, least_rows: int = MIN_ROWS) -> DataFrame:
+    """Robust mean and precision per group of rows that passed the limits, groups of ``least_rows`` or more."""
     groups = ["cell_lang", "cell_source"]
     bin_of = F.least(F.floor(F.log2(F.lit(1.0) + _distance()) * 24), F.lit(480)).cast("int")
     # Start from medians: the spread around them in steps of quartiles, no products yet.
@@ -226,7 +226,7 @@ def estimates_by_group(rows: DataFrame) -> DataFrame:
         spread = (F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349
         start[f"p{i}{j}"] = 1 / (spread * spread + FLOORS[i] ** 2) if i == j else F.lit(0.0)
     estimates = written(
-        quartiles.filter(F.col("n") >= MIN_ROWS).select(
+        quartiles.filter(F.col("n") >= least_rows).select(
             F.col("cell_lang").alias("lang"), F.col("cell_source").alias("source"), "n", *[c.alias(n) for n, c in start.items()]
         ),
         "quality-start",
@@ -255,9 +255,9 @@ def judge_quality(
 
     ``base_failed`` is the plain limits' verdict.  Rows that pass are judged in
     their group of language and source (null is a value of its own): rejected
-    above the ``1 - TAIL`` quantile of squared distances.  Rows of a group that
-    stays below ``MIN_ROWS`` after pooling small groups have no distance and are
-    kept.  A null or empty text has no words and fails; repeated rows count
+    above the ``1 - TAIL`` quantile of squared distances.  Small groups are
+    pooled; a last pool below ``MIN_ROWS`` is judged by the estimate over all
+    rows together.  A null or empty text has no words and fails; repeated rows count
     each; null ids stay null; an empty table gives no rows.  Other columns are
     not looked at.
     """
@@ -266,6 +266,9 @@ def judge_quality(
     rows = written(measured.withColumns(_vector() | {"base_failed": failed}), "quality")
     passed = written(_cells(rows.filter(~F.col("base_failed"))), "quality-cells")
     estimates = estimates_by_group(passed)
+    if 0 < passed.filter(F.col("cell_lang") == "*").count() < MIN_ROWS:
+        together = passed.withColumns({"cell_lang": F.lit("*"), "cell_source": F.lit("*")})
+        estimates = estimates.unionByName(estimates_by_group(together, 1))
     limit = chi_square_quantile(1 - TAIL, len(DIMENSIONS))
     judged = _joined(passed, estimates).withColumn("distance", F.when(F.col("n").isNotNull(), F.sqrt(_distance())))
     shown = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]

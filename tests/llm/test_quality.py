@@ -98,3 +98,12 @@ def test_edge_cases(spark):
     assert judge_quality(docs.limit(0)).count() == 0
     assert base_statistics("é é <b>".encode()) == (2, 6, 2, 0, 0, 1)
     assert math.isfinite(max(r.distance or 0 for r in found))
+
+
+def test_small_tables_are_judged(spark):
+    random.seed(8)
+    rows = [(i, " ".join("".join(random.choices("abcdefgh", k=random.randint(3, 7))) for _ in range(60)), "en", "a") for i in range(40)]
+    rows.append((99, " ".join("x" * 40 + "#$%&|" * 8 + str(i) for i in range(60)), "xx", "b"))
+    found = {r.doc_id: r for r in judge_quality(documents(spark, rows)).collect()}
+    assert all(r.distance is not None for r in found.values())
+    assert not found[99].kept and not found[99].base_failed
