@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.base import Registry, table
+from gaugeworks.llm.alignment import align_tokenizers
 from gaugeworks.llm.archives import convert_pages
 from gaugeworks.llm.chat import budgeted_windows, read_back
 from gaugeworks.llm.decontamination import contaminated_documents
@@ -21,6 +22,8 @@ from gaugeworks.llm.token_counts import count_tokens
 checks = Registry()
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 
 
 @checks.add("op1_chat_formatting")
@@ -145,3 +148,8 @@ def op9_legacy_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
 @checks.add("op10_benchmark_decontamination")
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@checks.add("op11_tokenizer_alignment")
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokenizers(table(spark, sf_dir, "documents"), BYTE_VOCABULARY, PIECE_VOCABULARY)

@@ -34,7 +34,7 @@ CACHE_PIECES = 200_000
 TOGETHER_BYTES = 4 << 20
 
 
-def _byte_letters() -> dict[int, str]:
+def byte_letters() -> dict[int, str]:
     """The usual one-letter-per-byte alphabet of byte-level vocabularies, by its rule."""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
     hidden = [byte for byte in range(256) if byte not in set(shown)]
@@ -87,7 +87,7 @@ class ChunkEncoder:
             pattern = steps[0]["pattern"]["Regex"]
             self._split = regex.compile(pattern).findall
             self._split_lines = regex.compile(pattern + "|\n").findall
-            self._letters = _byte_letters()
+            self._letters = byte_letters()
 
     def _value(self, ids: list[int]):
         return len(ids) if self.counts_only else struct.pack(f"<{len(ids)}I", *ids)
@@ -196,7 +196,7 @@ class ChunkEncoder:
         begins = np.zeros(len(chunks), np.int64)
         begins[plain] = line_ends[: plain.sum()] - lengths[plain]
         begins[~plain] = len(ids) + other_offsets[:-1]
-        return _gathered_spans(begins, lengths, np.concatenate([ids, other_ids]))
+        return gathered_spans(begins, lengths, np.concatenate([ids, other_ids]))
 
 
 def _laid_out(values: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -207,10 +207,10 @@ def _laid_out(values: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _gathered(offsets: np.ndarray, values: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return _gathered_spans(offsets[at], (offsets[1:] - offsets[:-1])[at], values)
+    return gathered_spans(offsets[at], (offsets[1:] - offsets[:-1])[at], values)
 
 
-def _gathered_spans(begins: np.ndarray, lengths: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def gathered_spans(begins: np.ndarray, lengths: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Offsets of the spans when laid end to end, and their values."""
     offsets = np.zeros(len(begins) + 1, np.int64)
     np.cumsum(lengths, out=offsets[1:])
