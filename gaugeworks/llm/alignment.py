@@ -17,7 +17,9 @@ from __future__ import annotations
 import hashlib
 import json
 import os
-from collections.abc import Iterable, Iterator
+import re
+from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,9 +35,9 @@ from gaugeworks.sources.scratch import written
 
 #: Pairs of ids whose counts are broadcast at once: 16 bytes each.  Rarer pairs meet their counts by a join.
 BROADCAST_PAIRS = 2_000_000
-#: Runs kept by a worker between batches, and the letters of the longest one kept.
-CACHE_RUNS = 200_000
-CACHE_LETTERS = 64
+#: Runs and links that a worker knows before it begins anew.
+CACHE_RUNS = 500_000
+CACHE_PAIRS = 4_000_000
 #: Pairs a worker counts before it sends them on.
 COUNTED_TOGETHER = 2_000_000
 #: Groups with more pairs of occurrences are reduced to their distinct ids before pairs are made.
@@ -43,6 +45,10 @@ LARGE_GROUP = 4_096
 
 # White space to Python or to either tokenizer, at the end of a run; and the empty run.
 _OPEN_END = r"^$|[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]$"
+# Fixed value: how byte-level vocabularies of this kind split a text.
+BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# Letters that all libraries sort alike.
+_COMMON = re.compile("[!-~\u00a1-\u00ac\u00ae-\u012f\u0131-\u017f\n]*\\Z").match
 _LINK_BITS = 32
 
 
@@ -75,8 +81,32 @@ class ByteLevel:
         for token, at in self._library.get_vocab(with_added_tokens=True).items():
             plain = all(letter in values for letter in token)
             self.bytes_of[at] = bytes(values[letter] for letter in token) if plain else token.encode()
+        self._plain = self._by_rank(rules) if self.cuttable else None
+
+    def _by_rank(self, rules: dict):
+        """The same merges in a faster library, where ids follow the order of the merges."""
+        model = rules["model"]
+        merges = [merge if isinstance(merge, str) else " ".join(merge) for merge in model.get("merges", [])]
+        order = [model["vocab"].get(merge.replace(" ", "")) for merge in merges]
+        letters = {model["vocab"].get(letter) for letter in byte_letters().values()}
+        if letters != set(range(256)) or order != list(range(256, 256 + len(merges))) or model.get("ignore_merges"):
+            return None
+        import tiktoken
+
+        ranks = {self.bytes_of[at]: at for at in range(256 + len(merges))}
+        return tiktoken.Encoding("merges", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
     def encode(self, runs: list[str]) -> list[list[int]]:
+        """Ids of each run; those of common letters take the faster way."""
+        if self._plain is None:
+            return self._encode(runs)
+        found = [self._plain(" " + run) if _COMMON(run) else None for run in runs]
+        others = [at for at, ids in enumerate(found) if ids is None]
+        for at, ids in zip(others, self._encode([runs[at] for at in others])):
+            found[at] = ids
+        return found
+
+    def _encode(self, runs: list[str]) -> list[list[int]]:
         return [found.ids for found in self._library.encode_batch_fast([" " + run for run in runs], add_special_tokens=False)]
 
 
@@ -161,13 +191,27 @@ def linked_ids(
     return group, pairs, links
 
 
-class Run:
-    """What is known of a run of letters: its groups as text and its links."""
+class _Known:
+    """What is known of runs: counts, links and groups as text, end to end in flat arrays.  Row 0 has nothing."""
 
-    __slots__ = ("counts", "shown", "pairs", "links")
+    def __init__(self):
+        self.rows: dict[str, int] = {}
+        self.shown: list[bytes] = [b""]
+        self.fits = np.ones(1, bool)
+        self.counts = np.zeros((1, 3), np.int64)
+        self.begins, self.lengths = np.zeros(1, np.int64), np.zeros(1, np.int64)
+        self.pairs, self.links = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def __init__(self, counts: tuple[int, int, int], shown: bytes, pairs: bytes, links: bytes):
-        self.counts, self.shown, self.pairs, self.links = counts, shown, pairs, links
+    def add(self, fits: np.ndarray, counts: np.ndarray, lengths: np.ndarray, pairs: np.ndarray, links: np.ndarray, shown: list[bytes]) -> int:
+        first = len(self.shown)
+        self.shown += shown
+        self.fits = np.concatenate([self.fits, fits])
+        self.counts = np.concatenate([self.counts, counts])
+        self.begins = np.concatenate([self.begins, len(self.pairs) + np.cumsum(lengths) - lengths])
+        self.lengths = np.concatenate([self.lengths, lengths])
+        self.pairs = np.concatenate([self.pairs, pairs])
+        self.links = np.concatenate([self.links, links])
+        return first
 
 
 class Aligner:
@@ -176,9 +220,12 @@ class Aligner:
     def __init__(self, a_path: str, b_path: str):
         self.a, self.b = _reader(a_path), _reader(b_path)
         self.cuttable = self.a.cuttable and self.b.cuttable
-        self._a_lengths = np.array([len(token) for token in self.a.bytes_of], np.int64)
-        self._b_lengths = np.array([len(token) for token in self.b.bytes_of], np.int64)
-        self._kept: dict[str, Run | None] = {}
+        self._a_bytes, self._b_bytes = _Vocabulary(self.a.bytes_of), _Vocabulary(self.b.bytes_of)
+        # An id and whether it is the last of its side of a group, as text.
+        self._words = [f"{at}{mark}".encode() for at in range(len(self.a.bytes_of)) for mark in ",|"]
+        self._b_words = len(self._words)
+        self._words += [f"{at}{mark}".encode() for at in range(len(self.b.bytes_of)) for mark in ",;"]
+        self.known = _Known()
 
     def runs(self, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Distinct runs; the runs of all texts as places among them; how many each text has."""
@@ -198,62 +245,86 @@ class Aligner:
         odd = np.zeros(len(numbers), bool)
         odd[text_of[open_end[at]]] = True
         places = {word: place for place, word in enumerate(words)}
-        parts, begin = [], np.cumsum(numbers) - numbers
-        for text in np.flatnonzero(odd):
-            merged = _closed(at[begin[text] : begin[text] + numbers[text]].tolist(), words, open_end)
-            parts.append((text, [places.setdefault(run, len(places)) for run in merged]))
+        begin = np.cumsum(numbers) - numbers
         pieces = [at[b : b + n] for b, n in zip(begin.tolist(), numbers.tolist())]
-        for text, own in parts:
-            pieces[text], numbers[text] = np.array(own, np.int64), len(own)
+        for text in np.flatnonzero(odd):
+            merged = _closed(pieces[text].tolist(), words, open_end)
+            pieces[text] = np.array([places.setdefault(run, len(places)) for run in merged], np.int64)
+            numbers[text] = len(merged)
         return list(places), np.concatenate(pieces), numbers
 
-    def aligned(self, runs: list[str]) -> list[Run | None]:
-        """What is known of each run; None where its tokens do not give its bytes back."""
-        missing = [run for run in runs if run not in self._kept]
-        fresh = dict(zip(missing, self._align(missing))) if missing else {}
-        found = [fresh[run] if run in fresh else self._kept[run] for run in runs]
-        if len(self._kept) + len(fresh) > CACHE_RUNS:
-            self._kept = {}
-        self._kept.update((run, known) for run, known in fresh.items() if len(run) <= CACHE_LETTERS)
-        return found
-
-    def _align(self, runs: list[str]) -> Iterator[Run | None]:
-        a_all, b_all = self.a.encode(runs), self.b.encode(runs)
-        whole = [
-            b"".join(map(self.a.bytes_of.__getitem__, a)) == b"".join(map(self.b.bytes_of.__getitem__, b)) == f" {run}".encode()
-            for run, a, b in zip(runs, a_all, b_all)
-        ]
-        n_a = np.array([len(ids) if fits else 0 for ids, fits in zip(a_all, whole)], np.int64)
-        n_b = np.array([len(ids) if fits else 0 for ids, fits in zip(b_all, whole)], np.int64)
-        a_ids = _flat(ids for ids, fits in zip(a_all, whole) if fits)
-        b_ids = _flat(ids for ids, fits in zip(b_all, whole) if fits)
-        a_group, b_group = group_of_tokens(np.cumsum(self._a_lengths[a_ids]), np.cumsum(self._b_lengths[b_ids]))
-        groups = int(b_group[-1]) + 1 if len(b_group) else 0
-        group, pairs, links = linked_ids(a_ids, a_group, b_ids, b_group, groups)
+    def rows_of(self, runs: list[str]) -> np.ndarray:
+        """Where each run stands in the table of known runs; missing ones are aligned together."""
+        missing = [run for run in runs if run not in self.known.rows]
+        if missing and (len(self.known.shown) > CACHE_RUNS or len(self.known.pairs) > CACHE_PAIRS):
+            self.known, missing = _Known(), runs
+        if missing:
+            first = self.known.add(*self._align(missing))
+            self.known.rows.update(zip(missing, range(first, first + len(missing))))
+        return np.fromiter(map(self.known.rows.__getitem__, runs), np.int64, len(runs))
+
+    def whole_text(self, text: str) -> int:
+        return self.known.add(*self._align([text]))
+
+    def _align(self, runs: list[str]) -> tuple:
+        """Whether the tokens of a run give its bytes back; then its counts, links and groups."""
+        n_a, a_ids = _flat(self.a.encode(runs))
+        n_b, b_ids = _flat(self.b.encode(runs))
+        fits = self._fitting(runs, n_a, a_ids, n_b, b_ids)
+        if not fits.all():
+            a_ids, b_ids = a_ids[np.repeat(fits, n_a)], b_ids[np.repeat(fits, n_b)]
+            n_a, n_b = n_a * fits, n_b * fits
+        a_group, b_group = group_of_tokens(np.cumsum(self._a_bytes.lengths[a_ids]), np.cumsum(self._b_bytes.lengths[b_ids]))
         # Groups follow the runs: where each run's groups end.
+        last_a = np.cumsum(n_a)
         ends = np.zeros(len(runs), np.int64)
-        filled = n_a > 0
-        ends[filled] = a_group[np.cumsum(n_a)[filled] - 1] + 1
-        ends = np.maximum.accumulate(ends) if len(ends) else ends
-        run_of = np.searchsorted(ends, group, "right")
-        run_of, pairs, links = _summed(run_of, pairs, links)
-        at = np.searchsorted(run_of, np.arange(len(runs) + 1))
-        begin_a = begin_b = begin_group = 0
-        for number, fits in enumerate(whole):
-            if not fits:
-                yield None
-                continue
-            end_a, end_b = begin_a + int(n_a[number]), begin_b + int(n_b[number])
-            own = int(ends[number]) - begin_group
-            shown = _shown(
-                a_all[number], a_group[begin_a:end_a] - begin_group, b_all[number], b_group[begin_b:end_b] - begin_group, own
-            )
-            span = slice(at[number], at[number + 1])
-            yield Run((end_a - begin_a, end_b - begin_b, own), shown, pairs[span].tobytes(), links[span].tobytes())
-            begin_a, begin_b, begin_group = end_a, end_b, int(ends[number])
+        ends[n_a > 0] = a_group[last_a[n_a > 0] - 1] + 1
+        ends = np.maximum.accumulate(ends)
+        groups = int(ends[-1])
+        group, pairs, links = linked_ids(a_ids, a_group, b_ids, b_group, groups)
+        run_of, pairs, links = _summed(np.searchsorted(ends, group, "right"), pairs, links)
+        lengths = np.bincount(run_of, minlength=len(runs))
+        # Each group's ids of A, then its ids of B, with the mark that follows each.
+        of_a, of_b = np.bincount(a_group, minlength=groups), np.bincount(b_group, minlength=groups)
+        words = np.zeros(len(a_ids) + len(b_ids), np.int64)
+        ends_a, ends_b = np.cumsum(of_a), np.cumsum(of_b)
+        number_a, number_b = np.arange(len(a_ids)), np.arange(len(b_ids))
+        words[number_a + (ends_b - of_b)[a_group]] = 2 * a_ids + (number_a + 1 == ends_a[a_group])
+        words[number_b + ends_a[b_group]] = self._b_words + 2 * b_ids + (number_b + 1 == ends_b[b_group])
+        texts = list(map(self._words.__getitem__, words.tolist()))
+        bounds = np.concatenate([[0], np.cumsum(n_a + n_b)]).tolist()
+        shown = [b"".join(texts[begin:end]) for begin, end in zip(bounds, bounds[1:])]
+        counts = np.stack([n_a, n_b, np.diff(ends, prepend=0)], 1)
+        return fits, counts, lengths, pairs, links, shown
+
+    def _fitting(self, runs: list[str], n_a: np.ndarray, a_ids: np.ndarray, n_b: np.ndarray, b_ids: np.ndarray) -> np.ndarray:
+        expected = [f" {run}".encode() for run in runs]
+        a_bytes, b_bytes = self._a_bytes.text(a_ids), self._b_bytes.text(b_ids)
+        lengths = np.fromiter(map(len, expected), np.int64, len(runs))
+        a_lengths, b_lengths = (
+            np.bincount(np.repeat(np.arange(len(runs)), n), vocabulary.lengths[ids], len(runs)).astype(np.int64)
+            for n, vocabulary, ids in ((n_a, self._a_bytes, a_ids), (n_b, self._b_bytes, b_ids))
+        )
+        fits = (lengths == a_lengths) & (lengths == b_lengths)
+        if fits.all() and a_bytes == b_bytes == b"".join(expected):
+            return fits
+        begin_a, begin_b = np.cumsum(a_lengths) - a_lengths, np.cumsum(b_lengths) - b_lengths
+        for at in np.flatnonzero(fits).tolist():
+            a, b, n = int(begin_a[at]), int(begin_b[at]), int(lengths[at])
+            fits[at] = a_bytes[a : a + n] == b_bytes[b : b + n] == expected[at]
+        return fits
+
+
+class _Vocabulary:
+    """The bytes of all tokens, end to end."""
 
-    def whole_text(self, text: str) -> Run | None:
-        return next(self._align([text]))
+    def __init__(self, tokens: list[bytes]):
+        self.lengths = np.array([len(token) for token in tokens], np.int64)
+        self._begins = np.cumsum(self.lengths) - self.lengths
+        self._bytes = np.frombuffer(b"".join(tokens), np.uint8)
+
+    def text(self, ids: np.ndarray) -> bytes:
+        return gathered_spans(self._begins[ids], self.lengths[ids], self._bytes)[1].tobytes()
 
 
 def _closed(places: list[int], words: list[str], open_end: np.ndarray) -> list[str]:
@@ -272,19 +343,10 @@ def _closed(places: list[int], words: list[str], open_end: np.ndarray) -> list[s
     return merged
 
 
-def _flat(lists: Iterable[list[int]]) -> np.ndarray:
-    return np.array([value for ids in lists for value in ids], np.int64)
-
-
-def _shown(a_ids: list[int], a_group: np.ndarray, b_ids: list[int], b_group: np.ndarray, groups: int) -> bytes:
-    """``a1,a2|b1;a3|b2,b3``: the ids of each group."""
-    left: list[list[str]] = [[] for _ in range(groups)]
-    right: list[list[str]] = [[] for _ in range(groups)]
-    for value, group in zip(a_ids, a_group.tolist()):
-        left[group].append(str(value))
-    for value, group in zip(b_ids, b_group.tolist()):
-        right[group].append(str(value))
-    return ";".join(f"{','.join(x)}|{','.join(y)}" for x, y in zip(left, right)).encode()
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """How many ids each list has, and all ids."""
+    lengths = np.fromiter(map(len, lists), np.int64, len(lists))
+    return lengths, np.fromiter(chain.from_iterable(lists), np.int64, int(lengths.sum()))
 
 
 def _summed(owner: np.ndarray, pairs: np.ndarray, links: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -347,46 +409,29 @@ def encode_and_align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "d
 
 def _aligned_batch(aligner: Aligner, texts: pa.Array) -> list[pa.Array]:
     words, at, numbers = aligner.runs(texts)
-    known = aligner.aligned(words)
+    at = aligner.rows_of(words)[at]
     ends = np.cumsum(numbers)
-    fits = np.array([run is not None for run in known], bool)
+    owner = np.repeat(np.arange(len(numbers)), numbers)
     empty = pc.equal(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    at[empty[owner]] = 0
     broken = np.zeros(len(numbers), bool)
-    broken[np.repeat(np.arange(len(numbers)), numbers)[~fits[at]]] = True
-    broken &= ~empty
-    nothing = Run((0, 0, 0), b"", b"", b"")
+    broken[owner[~aligner.known.fits[at]]] = True
     for text in np.flatnonzero(broken):
-        # The runs may differ from their bytes and the text may not: the text decides.
-        run = aligner.whole_text(texts[int(text)].as_py())
-        known.append(run or nothing)
-        at[ends[text] - numbers[text]] = len(known) - 1
-        # The other runs of this text count nothing.
-        at[ends[text] - numbers[text] + 1 : ends[text]] = -1
-    known.append(nothing)
-    if empty.any():
-        at[np.repeat(empty, numbers)] = -1
-    at[at == -1] = len(known) - 1
-    known = [run or nothing for run in known]
-    counts = np.array([run.counts for run in known], np.int64)
-    owner = np.repeat(np.arange(len(numbers)), numbers)
-    totals = np.stack([np.bincount(owner, counts[at, k], minlength=len(numbers)).astype(np.int64) for k in range(3)])
-    lengths = np.fromiter((len(run.pairs) // 8 for run in known), np.int64, len(known))
-    begins = np.cumsum(lengths) - lengths
-    of_text = np.repeat(owner, lengths[at])
-    _, pairs = gathered_spans(begins[at], lengths[at], np.frombuffer(b"".join(run.pairs for run in known), np.int64))
-    _, links = gathered_spans(begins[at], lengths[at], np.frombuffer(b"".join(run.links for run in known), np.int64))
-    of_text, pairs, links = _summed(of_text, pairs, links)
+        # The runs may differ from their bytes and the text may not: the text decides, its runs count nothing.
+        at[ends[text] - numbers[text] : ends[text]] = 0
+        at[ends[text] - numbers[text]] = aligner.whole_text(texts[int(text)].as_py())
+    known = aligner.known
+    totals = [np.bincount(owner, known.counts[at, k], minlength=len(numbers)).astype(np.int64) for k in range(3)]
+    of_text = np.repeat(owner, known.lengths[at])
+    _, places = gathered_spans(known.begins[at], known.lengths[at], np.arange(len(known.pairs)))
+    of_text, pairs, links = _summed(of_text, known.pairs[places], known.links[places])
     bounds = np.searchsorted(of_text, np.arange(len(numbers) + 1))
-    n_links = np.add.reduceat(np.append(links, 0), bounds[:-1]) * (np.diff(bounds) > 0) if len(numbers) else links
-    shown = [run.shown for run in known]
+    n_links = np.add.reduceat(np.append(links, 0), bounds[:-1]) * (np.diff(bounds) > 0)
+    shown = list(map(known.shown.__getitem__, at.tolist()))
     digests, packed_pairs, packed_links = [], [], []
-    places = at.tolist()
-    begin = 0
-    for text, end in enumerate(ends.tolist()):
-        # Runs without tokens show nothing and make no group.
-        parts = [part for part in map(shown.__getitem__, places[begin:end]) if part]
-        begin = end
-        digests.append(hashlib.sha256(b";".join(parts)).hexdigest() if parts else "")
+    for text, (begin, end) in enumerate(zip((ends - numbers).tolist(), ends.tolist())):
+        groups = b"".join(shown[begin:end])[:-1]
+        digests.append(hashlib.sha256(groups).hexdigest() if groups else "")
         span = slice(bounds[text], bounds[text + 1])
         packed_pairs.append(pack_planes(_narrow_pairs(pairs[span])))
         packed_links.append(pack_planes(_least_width(links[span])))

@@ -106,11 +106,11 @@ def test_runs_are_independent(parts):
     words, at, numbers = ALIGNER.runs(pa.array([text, "x y"]))
     runs = [words[k] for k in at[: numbers[0]]]
     assert " ".join(runs) == text
-    known = ALIGNER.aligned(runs)
+    rows = ALIGNER.rows_of(runs)
     expected = plain_groups(text)
-    if text and all(run is not None for run in known):
-        shown = ";".join(run.shown.decode() for run in known if run.shown)
-        assert shown == ";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in expected)
+    if text and ALIGNER.known.fits[rows].all():
+        shown = b"".join(ALIGNER.known.shown[row] for row in rows).decode()
+        assert shown == "".join(f"{','.join(map(str, x))}|{','.join(map(str, y))};" for x, y in expected)
     elif text:
         assert not expected
 
@@ -187,3 +187,15 @@ def test_other_pairs_of_files(spark):
     found = align_tokenizers(documents(spark, [(1, "a cat")]), public_tokenizers.path("word_bpe_49k.json"), B_PATH).first()
     assert found["n_a"] == 0 and found["groups_sha256"] == ""
     assert json.load(open(public_tokenizers.path("word_bpe_49k.json")))["normalizer"]
+
+
+def test_a_full_table_of_runs_begins_anew(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr("gaugeworks.llm.alignment.CACHE_RUNS", 3)
+    aligner = Aligner(A_PATH, B_PATH)
+    for text in ["a b c d e f", "b c d x y", "a b c", "z"]:
+        words, at, _ = aligner.runs(pa.array([text]))
+        shown = b"".join(aligner.known.shown[row] for row in aligner.rows_of(words)[at]).decode()
+        assert shown == "".join(f"{','.join(map(str, x))}|{','.join(map(str, y))};" for x, y in plain_groups(text))
+    assert len(aligner.known.rows) == 1
