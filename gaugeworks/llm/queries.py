@@ -13,6 +13,7 @@ from gaugeworks.llm.chat import budgeted_windows, read_back
 from gaugeworks.llm.decontamination import contaminated_documents
 from gaugeworks.llm.language import identify_languages
 from gaugeworks.llm.lines import drop_repeated_lines
+from gaugeworks.llm.negatives import hard_negatives
 from gaugeworks.llm.packing import pack_along_curve
 from gaugeworks.llm.quality import judge_quality
 from gaugeworks.llm.simhash import near_duplicate_groups
@@ -153,3 +154,34 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 @checks.add("op11_tokenizer_alignment")
 def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_tokenizers(table(spark, sf_dir, "documents"), BYTE_VOCABULARY, PIECE_VOCABULARY)
+
+
+NEGATIVES_SQL = """
+WITH vectors AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS vector
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.id AS anchor_id, b.id AS other_id, a.label = b.label AS alike, CAST(list_dot_product(a.vector, b.vector) AS BIGINT) AS score
+  FROM vectors a JOIN vectors b ON a.id % 100 = 0 AND a.id != b.id
+), positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+), inside AS (
+  SELECT anchor_id, positive_id, other_id AS negative_id, positive_score, score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) AS INT) AS rank
+  FROM positives JOIN scored USING (anchor_id)
+  WHERE NOT alike AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM inside WHERE rank <= 5
+"""
+
+
+@checks.add("op13_hard_negatives", NEGATIVES_SQL)
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with an id divisible by 7 get the next label."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hard_negatives(rows, F.col("vec_id") % 100 == 0)
