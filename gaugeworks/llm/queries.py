@@ -12,6 +12,7 @@ from gaugeworks.llm.archives import convert_pages
 from gaugeworks.llm.chat import budgeted_windows, read_back
 from gaugeworks.llm.decontamination import contaminated_documents
 from gaugeworks.llm.language import identify_languages
+from gaugeworks.llm.licenses import LIKENESS, NOTICES, PHRASES, RUN_WORDS, SHIFT, scan_licenses
 from gaugeworks.llm.lines import drop_repeated_lines
 from gaugeworks.llm.negatives import hard_negatives
 from gaugeworks.llm.packing import pack_along_curve
@@ -156,6 +157,56 @@ def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_tokenizers(table(spark, sf_dir, "documents"), BYTE_VOCABULARY, PIECE_VOCABULARY)
 
 
+_LISTED = [(label, kind, text) for kind, texts in (("true", PHRASES), ("false", NOTICES)) for label in sorted(texts) for text in texts[label]]
+LICENSES_SQL = f"""
+WITH templates AS (
+  SELECT template, label, exact, string_split(text, ' ') AS words
+  FROM (VALUES {", ".join(f"({n}, '{label}', {exact}, '{text}')" for n, (label, exact, text) in enumerate(_LISTED))}) v(template, label, exact, text)
+), known AS (
+  SELECT template, t, array_to_string(words[t + 1 : t + {RUN_WORDS}], ' ') AS run
+  FROM (SELECT *, unnest(range(0, len(words) - {RUN_WORDS - 1})) AS t FROM templates)
+), docs AS (
+  SELECT row_number() OVER () AS nr, doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w != '') AS words
+  FROM documents
+), runs AS (
+  SELECT nr, d, array_to_string(words[d + 1 : d + {RUN_WORDS}], ' ') AS run
+  FROM (SELECT *, unnest(range(0, len(words) - {RUN_WORDS - 1})) AS d FROM docs)
+), diagonals AS (
+  SELECT nr, template, d - t AS diagonal, list(DISTINCT t) AS places, min(d) AS first, max(d) + {RUN_WORDS} AS last
+  FROM runs JOIN known USING (run) GROUP BY nr, template, d - t
+), merged AS (
+  SELECT nr, template, first, last, len(places) AS own,
+         list_distinct(flatten(list(places) OVER near)) AS votes, min(first) OVER near AS begin_, max(last) OVER near AS end_
+  FROM diagonals
+  WINDOW near AS (PARTITION BY nr, template ORDER BY diagonal RANGE BETWEEN {SHIFT} PRECEDING AND {SHIFT} FOLLOWING)
+), alike AS (
+  SELECT nr, label, exact, first, own, len(words) AS size, end_ - begin_ AS span,
+         len(list_distinct(flatten(list_transform(votes, lambda t: range(t, t + {RUN_WORDS}))))) AS covered
+  FROM merged JOIN templates USING (template)
+), found AS (
+  SELECT nr, label, exact, first, CASE WHEN exact THEN 1.0::DOUBLE ELSE 2.0::DOUBLE * covered / (size + span) END AS likeness
+  FROM alike
+  WHERE CASE WHEN exact THEN own = size - {RUN_WORDS - 1}
+             ELSE covered >= {LIKENESS}::DOUBLE * size AND 2.0::DOUBLE * covered / (size + span) >= {LIKENESS}::DOUBLE END
+), named AS (
+  SELECT nr, count(*) FILTER (exact) AS n_base, min(first) FILTER (exact) AS first_word, max(first) FILTER (exact) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) FILTER (exact) AS base_labels,
+         string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(likeness) AS score
+  FROM found GROUP BY nr
+)
+SELECT doc_id, len(words) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0::DOUBLE) AS score
+FROM docs LEFT JOIN named USING (nr)
+"""
+
+
+@checks.add("op12_license_scan", LICENSES_SQL)
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
+
+
 NEGATIVES_SQL = """
 WITH vectors AS (
   SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
