@@ -155,7 +155,7 @@ def _(spark, sf_dir):
 
 @checks.add("met9_probability_range_by_brackets", RANGE_SQL)
 def _(spark, sf_dir):
-    return evaluation.probability_range(one_model(spark, sf_dir), direct_rows=0).select(*rounded(*RANGE, digits=9))
+    return evaluation.probability_range(one_model(spark, sf_dir), leaf_rows=0).select(*rounded(*RANGE, digits=9))
 
 
 @checks.add(
@@ -227,7 +227,7 @@ def _(spark, sf_dir):
 
 @checks.add("met13_latency_summary_by_brackets", LATENCY_SQL)
 def _(spark, sf_dir):
-    return latencies(spark, sf_dir, direct_rows=0)
+    return latencies(spark, sf_dir, leaf_rows=0)
 
 
 @checks.add("met13_artifact_size")

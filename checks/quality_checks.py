@@ -507,7 +507,7 @@ def _(spark, sf_dir):
     "set4_partition_check",
     f"""SELECT count(*) AS total_rows, count(*) FILTER (split = 'train') AS train_rows,
               count(*) FILTER (split = 'validation') AS validation_rows, count(*) FILTER (split = 'test') AS test_rows,
-              0::BIGINT AS shared_keys, true AS adds_up, true AS none_empty FROM ({SPLIT_SQL})""",
+              0::BIGINT AS rejected_rows, 0::BIGINT AS shared_keys, true AS adds_up, true AS none_empty FROM ({SPLIT_SQL})""",
 )
 def _(spark, sf_dir):
     split = splits.stratified_split(labelled(spark, sf_dir), "fault_label", ["event_id"])

@@ -98,6 +98,23 @@ def _(spark, sf_dir):
     return time_rolled(sequence.with_time_rolling(events(spark, sf_dir), ONE_SERIES, rows_per_range=1500))
 
 
+# Every second machine stands at a level of a billion, and all drift by ten a day.
+LEVELS_SQL = f"""SELECT * REPLACE (value / 100 + (user_id % 2) * 1e9::DOUBLE + {EPOCH} / 8640.0::DOUBLE AS value) FROM events"""
+
+
+@checks.add(
+    "win4_rolling_time_two_levels",
+    f"""SELECT event_id, round(stddev_samp(value) OVER (PARTITION BY user_id ORDER BY epoch
+               RANGE BETWEEN 290 PRECEDING AND CURRENT ROW), 4) AS value_rolling_std_5m
+        FROM (SELECT *, {EPOCH} AS epoch FROM ({LEVELS_SQL}))""",
+)
+def _(spark, sf_dir):
+    level = (F.col("user_id") % 2) * F.lit(1e9) + F.unix_timestamp("ts") / F.lit(8640.0)
+    apart = events(spark, sf_dir).withColumn("value", F.col("value") / 100 + level)
+    found = sequence.with_time_rolling(apart, EV)
+    return found.select("event_id", *rounded("value_rolling_std_5m", digits=4))
+
+
 CLASS_RANK_SQL = f"""SELECT event_id, fault_label,
         row_number() OVER (PARTITION BY fault_label ORDER BY md5('42:' || event_id), event_id) AS class_rank
         FROM ({LABELLED_SQL})"""
@@ -445,7 +462,7 @@ def _(spark, sf_dir):
 
 @checks.add("spl2_chronological_split_by_brackets", f"SELECT event_id, split FROM ({CHRONO_SQL})")
 def _(spark, sf_dir):
-    found = splits.chronological_split(events(spark, sf_dir), "ts", direct_rows=0)
+    found = splits.chronological_split(events(spark, sf_dir), "ts", leaf_rows=0)
     return found.select("event_id", "split")
 
 

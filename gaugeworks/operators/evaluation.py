@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeworks.functions.columns import at_threshold, ratio, ratio_or_zero, ref, refs
-from gaugeworks.operators.quantiles import DIRECT_ROWS, exact_quantiles
+from gaugeworks.operators.quantiles import LEAF_ROWS, exact_quantiles
 from gaugeworks.operators.ranges import (
     DEFAULT_ROWS_PER_RANGE,
     RANGE,
@@ -222,9 +222,9 @@ def predicted_volumes(
     )
 
 
-def probability_range(df: DataFrame, probability: str = "probability", direct_rows: int = DIRECT_ROWS) -> DataFrame:
+def probability_range(df: DataFrame, probability: str = "probability", leaf_rows: int = LEAF_ROWS) -> DataFrame:
     """Smallest, median and largest probability."""
-    median = exact_quantiles(df, {probability: [0.5]}, direct_rows=direct_rows)[probability][0]
+    median = exact_quantiles(df, {probability: [0.5]}, leaf_rows=leaf_rows)[probability][0]
     return df.agg(
         F.min(ref(probability)).alias("min_probability"),
         F.lit(median).cast("double").alias("median_probability"),
@@ -279,10 +279,10 @@ def prediction_agreement(first: DataFrame, second: DataFrame, keys: Sequence[str
 
 
 def latency_summary(
-    df: DataFrame, latency_ms: str, batch_rows: str, direct_rows: int = DIRECT_ROWS
+    df: DataFrame, latency_ms: str, batch_rows: str, leaf_rows: int = LEAF_ROWS
 ) -> DataFrame:
     """Mean and p95 latency, time per row and throughput of a table of timed batches."""
-    p95 = exact_quantiles(df, {latency_ms: [0.95]}, direct_rows=direct_rows)[latency_ms][0]
+    p95 = exact_quantiles(df, {latency_ms: [0.95]}, leaf_rows=leaf_rows)[latency_ms][0]
     total, rows = F.sum(ref(latency_ms)), F.sum(ref(batch_rows))
     return df.agg(
         F.avg(ref(latency_ms)).alias("mean_latency_ms"),

@@ -1,184 +1,202 @@
-"""Exact quantiles with bounded memory.
+"""Exact quantiles with bounded memory, by radix selection.
 
 ``percentile`` and ``median`` keep every distinct value of a column in one
-aggregation buffer.  Here a sketch (``percentile_approx``) narrows a bracket
-around the wanted rank, the rows below and inside the bracket are counted
-exactly, and the step repeats inside the bracket until few distinct values are
-left.  Each step is one aggregation over all columns at once; three steps
-reach any rank of a trillion rows.
+aggregation buffer, and sketches meet in one task.  Here every value becomes a
+64-bit integer of the same order, and rows are counted per column and leading
+bits.  The counts tell which prefix holds a wanted rank; only rows with that
+prefix are counted again, by their next bits.  Counts are combined in each task
+before they are shuffled, so that the work per pass is a scan and what travels
+is at most some thousand counts per task and prefix.
+
+The same steps serve a table of any size.  A prefix with few rows is told apart
+by all its remaining bits at once: two or three passes are usual, five are the
+most there can be.
 """
 
 from __future__ import annotations
 
 import math
+import struct
+from bisect import bisect_right
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeworks.functions.columns import ref
 
-# Up to this many rows one aggregation buffer is small enough.
-DIRECT_ROWS = 200_000
-SKETCH_ACCURACY = 10_000
-# Distinct values per bracket that are fetched at the end.
-FETCHED_VALUES = 500
-MAX_STEPS = 12
+# Bits left out by the prefixes of each pass: sign and exponent first, then 13 more bits at a time.
+SHIFTS = (52, 39, 26, 13, 0)
+# A prefix with at most so many rows is refined to single values at once.
+LEAF_ROWS = 8_192
 
+_INFINITE, _NOT_A_NUMBER = 0x7FF << 52, 0x7FF8 << 48
+_NORMAL = 2.0**-1022
 
-@dataclass
-class _Target:
-    """Ranks ``first .. last`` (0-based, at most neighbours) of one column."""
+
+@dataclass(frozen=True)
+class _Bracket:
+    """Rows of one column whose keys begin with ``prefix``, all other bits but ``shift`` being left out."""
 
     column: str
-    probability: float
-    first: int
-    last: int
-    weight: float
-    rows: int
+    prefix: int | None
+    shift: int
     below: int = 0
-    low: float | None = None
-    high: float | None = None
-    distinct: int = 1 << 62
-    value: float | None = None
-    done: bool = False
+    rows: int = 0
+
+    def finer(self, leaf_rows: int) -> int:
+        """The bits left out by the next pass."""
+        if self.prefix is None:
+            return SHIFTS[0]
+        if self.rows <= leaf_rows:
+            return 0
+        return next(shift for shift in SHIFTS if shift < self.shift)
 
     def inside(self) -> Column:
         value = ref(self.column).cast("double")
-        if self.low is None:
+        if self.prefix is None:
             return value.isNotNull()
-        return value.between(F.lit(self.low), F.lit(self.high))
+        low, high = self.prefix << self.shift, ((self.prefix + 1) << self.shift) - 1
+        # The bounds are plain values, so that a scan can skip row groups.
+        if low > _INFINITE:
+            return F.isnan(value)
+        if high >= _NOT_A_NUMBER:
+            upper = value.isNotNull()
+        else:
+            upper = ~F.isnan(value) if high >= _INFINITE else value <= F.lit(value_of(high))
+        return upper if low < -_INFINITE else (value >= F.lit(value_of(low))) & upper
+
+
+def value_of(key: int) -> float:
+    """The number whose key it is."""
+    return math.copysign(struct.unpack("<d", struct.pack("<q", abs(key)))[0], key)
 
-    def fractions(self) -> list[float]:
-        margin = 2.0 / SKETCH_ACCURACY
-        start = (self.first - self.below) / self.rows - margin
-        stop = (self.last - self.below + 1) / self.rows + margin
-        return [min(1.0, max(0.0, start)), min(1.0, max(0.0, stop))]
+
+def with_order_key(df: DataFrame, value: str, key: str) -> DataFrame:
+    """Add a 64-bit integer in the order of a double column, by its sign, exponent and fraction.
+
+    Zeros of both signs are equal and NaN comes last.  Every step is exact: the
+    exponent is taken from a logarithm and corrected where that is off by one,
+    and all products are with powers of two.
+    """
+    size, exponent, part = "__size", "__exponent", "__part"
+
+    def scaled(by: Column) -> Column:
+        half = F.shiftright(by, 1)
+        return F.col(size) * F.pow(F.lit(2.0), -half) * F.pow(F.lit(2.0), half - by)
+
+    plain = F.when(F.isnan(size) | (F.col(size) == float("inf")) | (F.col(size) < _NORMAL), 1.0).otherwise(F.col(size))
+    staged = df.withColumn(size, F.abs(ref(value)))
+    staged = staged.withColumn(exponent, F.floor(F.log2(plain)).cast("long"))
+    staged = staged.withColumn(part, scaled(F.col(exponent)))
+    over, under = F.col(part) >= 2.0, F.col(part) < 1.0
+    staged = staged.withColumns(
+        {
+            exponent: F.col(exponent) + F.when(over, 1).when(under, -1).otherwise(0),
+            part: F.col(part) * F.when(over, 0.5).when(under, 2.0).otherwise(1.0),
+        }
+    )
+    whole = F.shiftleft(F.col(exponent) + 1023, 52) + ((F.col(part) - 1.0) * 2.0**52).cast("long")
+    tiny = (F.col(size) * 2.0**537 * 2.0**537).cast("long")
+    magnitude = (
+        F.when(F.isnan(size), F.lit(_NOT_A_NUMBER))
+        .when(F.col(size) == float("inf"), F.lit(_INFINITE))
+        .when(F.col(size) < _NORMAL, tiny)
+        .otherwise(whole)
+    )
+    return staged.withColumn(key, F.when(ref(value) < 0, -magnitude).otherwise(magnitude)).drop(size, exponent, part)
 
 
 def exact_quantiles(
     df: DataFrame,
     wanted: Mapping[str, Sequence[float]],
     discrete: bool = False,
-    direct_rows: int = DIRECT_ROWS,
+    leaf_rows: int = LEAF_ROWS,
 ) -> dict[str, list[float | None]]:
     """Quantiles of numeric columns; nulls are left out, an empty column gives None.
 
     Linear interpolation between ranks by default; ``discrete`` returns the
-    first value whose cumulative share reaches the probability.  Columns must
-    not hold NaN (see ``finite_or_null``).
+    first value whose cumulative share reaches the probability.  NaN counts as
+    the largest value (see ``finite_or_null``).  Numbers are compared as
+    doubles.
     """
-    names = list(wanted)
-    counted = df.agg(*[F.count(ref(name)).alias(f"n{i}") for i, name in enumerate(names)]).first()
-    sizes = {name: counted[f"n{i}"] for i, name in enumerate(names)}
-    if max(sizes.values(), default=0) <= direct_rows:
-        return _direct(df, wanted, discrete)
-
-    targets = [
-        _target(name, probability, sizes[name], discrete)
-        for name in names
-        if sizes[name]
-        for probability in wanted[name]
-    ]
-    for _ in range(MAX_STEPS):
-        open_targets = [t for t in targets if not t.done and t.distinct > FETCHED_VALUES]
-        if not open_targets:
-            break
-        _narrow(df, open_targets)
-    else:
-        raise RuntimeError("quantile brackets did not close")
-    _fetch(df, [t for t in targets if not t.done])
-    found = {(t.column, t.probability): t.value for t in targets}
-    return {name: [found.get((name, p)) for p in wanted[name]] for name in names}
-
-
-def exact_medians(df: DataFrame, columns: Sequence[str], direct_rows: int = DIRECT_ROWS) -> dict[str, float | None]:
-    found = exact_quantiles(df, {name: [0.5] for name in columns}, direct_rows=direct_rows)
+    everything = [_Bracket(name, None, 64) for name in wanted]
+    counts = _counts(df, everything, leaf_rows)
+    ranks = {
+        name: [_ranks(probability, sum(n for _, n in counts[bracket]), discrete) for probability in wanted[name]]
+        for name, bracket in zip(wanted, everything)
+    }
+    place = {
+        (bracket.column, rank): _holder(bracket, counts[bracket], rank, leaf_rows)
+        for bracket in everything
+        if counts[bracket]
+        for first, last, _ in ranks[bracket.column]
+        for rank in (first, last)
+    }
+    while open_brackets := {bracket for bracket in place.values() if bracket.shift}:
+        counts = _counts(df, sorted(open_brackets, key=lambda b: (b.column, b.prefix)), leaf_rows)
+        place = {
+            (name, rank): _holder(bracket, counts[bracket], rank, leaf_rows) if bracket.shift else bracket
+            for (name, rank), bracket in place.items()
+        }
+    found = {at: value_of(bracket.prefix) for at, bracket in place.items()}
+
+    def between(name: str, first: int, last: int, weight: float) -> float | None:
+        if (name, first) not in found:
+            return None
+        low, high = found[name, first], found[name, last]
+        return low if weight == 0.0 or low == high else low + weight * (high - low)
+
+    return {name: [between(name, *rank) for rank in ranks[name]] for name in wanted}
+
+
+def exact_medians(df: DataFrame, columns: Sequence[str], leaf_rows: int = LEAF_ROWS) -> dict[str, float | None]:
+    found = exact_quantiles(df, {name: [0.5] for name in columns}, leaf_rows=leaf_rows)
     return {name: values[0] for name, values in found.items()}
 
 
-def _direct(df: DataFrame, wanted: Mapping[str, Sequence[float]], discrete: bool) -> dict[str, list[float | None]]:
-    columns, slots = [], []
-    for i, (name, probabilities) in enumerate(wanted.items()):
-        quoted = "`" + name.replace("`", "``") + "`"
-        for j, probability in enumerate(probabilities):
-            kind = "percentile_disc" if discrete else "percentile_cont"
-            columns.append(
-                F.expr(
-                    f"{kind}({float(probability)!r}D) WITHIN GROUP (ORDER BY CAST({quoted} AS DOUBLE))"
-                ).alias(f"q{i}_{j}")
-            )
-            slots.append(name)
-    row = df.agg(*columns).first()
-    result: dict[str, list[float | None]] = {name: [] for name in wanted}
-    for position, name in enumerate(slots):
-        result[name].append(row[position])
-    return result
-
-
-def _target(name: str, probability: float, rows: int, discrete: bool) -> _Target:
+def _ranks(probability: float, rows: int, discrete: bool) -> tuple[int, int, float]:
+    """Ranks from 0 of the two neighbours, and how far the quantile lies between them."""
     if discrete:
         rank = min(rows - 1, max(0, math.ceil(probability * rows) - 1))
-        return _Target(name, probability, rank, rank, 0.0, rows)
+        return rank, rank, 0.0
     position = probability * (rows - 1)
     first = math.floor(position)
-    last = min(rows - 1, math.ceil(position))
-    return _Target(name, probability, first, last, position - first, rows)
-
-
-def _narrow(df: DataFrame, targets: list[_Target]) -> None:
-    sketches = df.agg(
-        *[
-            F.percentile_approx(
-                F.when(t.inside(), ref(t.column).cast("double")), t.fractions(), SKETCH_ACCURACY
-            ).alias(f"s{i}")
-            for i, t in enumerate(targets)
-        ]
-    ).first()
-    counts = []
-    for i, t in enumerate(targets):
-        low, high = sketches[f"s{i}"]
-        value = ref(t.column).cast("double")
-        bracket = value.between(F.lit(low), F.lit(high))
-        counts += [
-            F.count_if(value < F.lit(low)).alias(f"b{i}"),
-            F.count_if(bracket).alias(f"m{i}"),
-            F.approx_count_distinct(F.when(bracket, value)).alias(f"d{i}"),
-        ]
-    counted = df.agg(*counts).first()
-    for i, t in enumerate(targets):
-        low, high = sketches[f"s{i}"]
-        below, rows = counted[f"b{i}"], counted[f"m{i}"]
-        if not (below <= t.first and t.last < below + rows):
-            raise RuntimeError(f"quantile sketch of {t.column} outside its error bound")
-        t.low, t.high, t.below, t.rows, t.distinct = low, high, below, rows, counted[f"d{i}"]
-        if low == high:
-            t.value, t.done = low, True
-
-
-def _fetch(df: DataFrame, targets: list[_Target]) -> None:
-    if not targets:
-        return
+    return first, min(rows - 1, math.ceil(position)), position - first
+
+
+def prefix_counts(df: DataFrame, brackets: Sequence[_Bracket], leaf_rows: int = LEAF_ROWS) -> DataFrame:
+    """``bracket, prefix, n``: the rows of each bracket by the bits that the next pass looks at."""
     entries = [
-        F.when(t.inside(), F.struct(F.lit(i).alias("target"), ref(t.column).cast("double").alias("value")))
-        for i, t in enumerate(targets)
+        F.when(
+            bracket.inside(),
+            F.struct(
+                F.lit(number).alias("bracket"),
+                F.lit(bracket.finer(leaf_rows)).alias("shift"),
+                ref(bracket.column).cast("double").alias("value"),
+            ),
+        )
+        for number, bracket in enumerate(brackets)
     ]
-    rows = (
-        df.select(F.explode(F.filter(F.array(*entries), lambda entry: entry.isNotNull())).alias("e"))
-        .groupBy("e.target", "e.value")
-        .agg(F.count("*").alias("n"))
-        .collect()
-    )
-    for i, t in enumerate(targets):
-        rank, ends = t.below, []
-        values = sorted((row["value"], row["n"]) for row in rows if row["target"] == i)
-        for wanted_rank in (t.first, t.last):
-            passed = rank
-            for value, n in values:
-                if passed <= wanted_rank < passed + n:
-                    ends.append(value)
-                    break
-                passed += n
-        t.value = ends[0] if t.weight == 0.0 else ends[0] + t.weight * (ends[1] - ends[0])
-        t.done = True
+    rows = df.select(F.explode(F.array(*entries)).alias("e")).filter(F.col("e").isNotNull()).select("e.*")
+    keyed = with_order_key(rows, "value", "key")
+    return keyed.groupBy("bracket", F.expr("shiftright(key, shift)").alias("prefix")).agg(F.count("*").alias("n"))
+
+
+def _counts(df: DataFrame, brackets: Sequence[_Bracket], leaf_rows: int) -> dict[_Bracket, list[tuple[int, int]]]:
+    """At most 8,192 counts per bracket: that is what bits or rows it has."""
+    found: dict[_Bracket, list[tuple[int, int]]] = {bracket: [] for bracket in brackets}
+    if brackets:
+        for row in prefix_counts(df, brackets, leaf_rows).collect():
+            found[brackets[row["bracket"]]].append((row["prefix"], row["n"]))
+    return {bracket: sorted(counts) for bracket, counts in found.items()}
+
+
+def _holder(bracket: _Bracket, counts: list[tuple[int, int]], rank: int, leaf_rows: int) -> _Bracket:
+    """The finer prefix in which the row of a rank lies."""
+    upto = list(accumulate((n for _, n in counts), initial=bracket.below))
+    at = bisect_right(upto, rank) - 1
+    prefix, rows = counts[at]
+    return _Bracket(bracket.column, prefix, bracket.finer(leaf_rows), upto[at], rows)

@@ -27,8 +27,7 @@ from gaugeworks.functions.columns import ref, refs
 from gaugeworks.functions.search import boundaries_not_above
 
 RANGE = "__range"
-BORROWED = "__borrowed"
-RANK_BACK = "__rank_back"
+OWN_RANGE = "__own_range"
 TIE = "__tie"
 
 # One sort task handles about this many rows comfortably.
@@ -238,8 +237,9 @@ def with_ordered_columns(
     columns by name.  ``partition_by + order_by`` must identify a row; with
     ties left open the result is as arbitrary as that of a plain window.
 
-    Each range borrows the last ``lookback`` rows of the range before it, so
-    the data is shuffled once and no task sees more than one range.
+    Each range borrows the end of the range before it, ``lookback`` rows at
+    least and some sixteenth of a range as a rule: the data is read and
+    shuffled once, and no task sees more than one range.
     """
     order = (*partition_by, *order_by)
     ranges = OrderedRanges.plan(df, order, rows_per_range, lookback, total_rows)
@@ -247,23 +247,16 @@ def with_ordered_columns(
         window = Window.partitionBy(*refs(partition_by)).orderBy(*refs(order_by))
         return df.withColumns(build(window))
 
-    own = df.withColumns({RANGE: ranges.range_id, BORROWED: F.lit(False)})
-    last_first = Window.partitionBy(RANGE).orderBy(*[ref(name).desc() for name in order])
-    borrowed = (
-        df.filter(ranges.near_end)
-        .withColumn(RANGE, ranges.range_id)
-        .filter(F.col(RANGE) < ranges.count - 1)
-        .withColumn(RANK_BACK, F.row_number().over(last_first))
-        .filter(F.col(RANK_BACK) <= lookback)
-        .drop(RANK_BACK)
-        .withColumns({RANGE: F.col(RANGE) + 1, BORROWED: F.lit(True)})
-    )
+    # A row near the end of a range goes to the next one as well, so the table is read and shuffled once.
+    own = df.withColumn(OWN_RANGE, ranges.range_id)
+    lent = ranges.near_end & (F.col(OWN_RANGE) < ranges.count - 1)
+    places = F.when(lent, F.array(F.col(OWN_RANGE), F.col(OWN_RANGE) + 1)).otherwise(F.array(F.col(OWN_RANGE)))
     window = Window.partitionBy(RANGE, *refs(partition_by)).orderBy(*refs(order_by))
     return (
-        own.unionByName(borrowed)
+        own.withColumn(RANGE, F.explode(places))
         .withColumns(build(window))
-        .filter(~F.col(BORROWED))
-        .drop(RANGE, BORROWED)
+        .filter(F.col(RANGE) == F.col(OWN_RANGE))
+        .drop(RANGE, OWN_RANGE)
     )
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -22,6 +21,7 @@ GAP = "time_since_previous_seconds"
 ROLLING_ROWS = 30
 # Fixed value: seconds a five-minute frame reaches back at a ten-second step.
 ROLLING_SECONDS = 290
+BLOCK = "__block"
 
 
 def gap_expression(window: WindowSpec, time: str) -> Column:
@@ -99,34 +99,37 @@ def time_rolling(
     """
     keys = [*roles.machine, "epoch"]
     at_second = df.filter(ref(roles.time).isNotNull()).withColumn("epoch", epoch_seconds(ref(roles.time)))
-    # Squares are taken around a middle of each sensor: a large offset would swallow the spread.
-    middles = at_second.agg(*[F.avg(ref(name).cast("double")).alias(f"c{i}") for i, name in enumerate(roles.analog)]).first()
-    centers = [value if value is not None and math.isfinite(value) else 0.0 for value in middles]
     parts = []
     for i, name in enumerate(roles.analog):
         value = ref(name).cast("double")
-        off = value - F.lit(centers[i])
         parts += [
             F.count(value).alias(f"n{i}"),
             F.sum(value).alias(f"s{i}"),
-            F.sum(off).alias(f"o{i}"),
-            F.sum(off * off).alias(f"q{i}"),
+            (F.var_pop(value) * F.count(value)).alias(f"m{i}"),
             F.min(value).alias(f"lo{i}"),
             F.max(value).alias(f"hi{i}"),
         ]
-    merged = at_second.groupBy(*refs(keys)).agg(*parts)
+    # Deviations are taken around the mean of a machine in a block of time: neither the level of
+    # another machine nor a drift over days swallows the spread.  A frame touches two blocks at most.
+    block = Window.partitionBy(*refs(roles.machine), BLOCK)
+    merged = at_second.groupBy(*refs(keys)).agg(*parts).withColumn(BLOCK, F.floor(F.col("epoch") / (seconds + 1)))
+    merged = merged.withColumns({f"c{i}": F.avg(F.try_divide(f"s{i}", f"n{i}")).over(block) for i in range(len(roles.analog))})
+    centred: dict[str, Column] = {}
+    for i in range(len(roles.analog)):
+        n, off = F.col(f"n{i}"), F.try_divide(f"s{i}", f"n{i}") - F.col(f"c{i}")
+        centred[f"o{i}"] = n * off
+        centred[f"q{i}"] = F.col(f"m{i}") + n * off * off
+    merged = merged.withColumns(centred)
 
     def build(window: WindowSpec) -> dict[str, Column]:
         frame = window.rangeBetween(-seconds, 0)
         columns: dict[str, Column] = {}
         for i, name in enumerate(roles.analog):
             n, total = F.sum(f"n{i}").over(frame), F.sum(f"s{i}").over(frame)
-            squares = F.sum(f"q{i}").over(frame)
             low, high = F.min(f"lo{i}").over(frame), F.max(f"hi{i}").over(frame)
-            offset = F.sum(f"o{i}").over(frame)
-            spread = F.greatest(squares - offset * offset / F.nullif(n, F.lit(0)), F.lit(0.0))
+            squares = F.greatest(_squares_in_frame(frame, i), F.lit(0.0))
             columns[f"{name}_rolling_mean_5m"] = F.try_divide(total, n)
-            columns[f"{name}_rolling_std_5m"] = F.when(n > 1, F.when(low == high, 0.0).otherwise(F.sqrt(F.try_divide(spread, n - 1))))
+            columns[f"{name}_rolling_std_5m"] = F.when(n > 1, F.when(low == high, 0.0).otherwise(F.sqrt(F.try_divide(squares, n - 1))))
             columns[f"{name}_rolling_min_5m"] = low
             columns[f"{name}_rolling_max_5m"] = high
         return columns
@@ -144,6 +147,21 @@ def time_rolling(
     )
 
 
+def _squares_in_frame(frame: WindowSpec, i: int) -> Column:
+    """Squared deviations from the mean of a frame: those of its two blocks, and what lies between their means."""
+    n, centre, off, squares = [], [], [], []
+    for parity in (0, 1):
+        own = F.pmod(F.col(BLOCK), F.lit(2)) == parity
+        n.append(F.coalesce(F.sum(F.when(own, F.col(f"n{i}"))).over(frame), F.lit(0)))
+        centre.append(F.max(F.when(own, F.col(f"c{i}"))).over(frame))
+        mean = F.try_divide(F.sum(F.when(own, F.col(f"o{i}"))).over(frame), n[-1])
+        off.append(mean)
+        squares.append(F.coalesce(F.sum(F.when(own, F.col(f"q{i}"))).over(frame) - mean * mean * n[-1], F.lit(0.0)))
+    apart = (centre[0] - centre[1]) + (off[0] - off[1])
+    between = F.coalesce(F.try_divide(apart * apart * n[0] * n[1], n[0] + n[1]), F.lit(0.0))
+    return squares[0] + squares[1] + between
+
+
 def with_time_rolling(df: DataFrame, roles: SeriesRoles, seconds: int = ROLLING_SECONDS, **options) -> DataFrame:
     """``time_rolling`` joined back to the readings.
 

@@ -1,10 +1,11 @@
 """Train/validation/test splits and class-aware samples with exact sizes.
 
 Random order comes from the md5 of seed and row key.  To take the first n rows
-of a class in that order nobody has to sort the class: counting rows per digest
-prefix locates the prefix in which the n-th row lies, ordering that sliver
-gives the digest of the n-th row, and every row is then decided by comparing
-its own digest with that cutoff.  The data is never shuffled.
+of a class in that order nobody has to sort the class: digests are read as a
+trie whose branches know their row counts.  The branch that holds the n-th row
+is followed until few rows are left, ordering those gives the digest of the
+n-th row, and every row is then decided by comparing its own digest with that
+cutoff.  The data is never shuffled.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from gaugeworks.functions.columns import epoch_seconds, instant, ref, refs, seeded_digest
 from gaugeworks.operators.contracts import ContractError, class_counts
-from gaugeworks.operators.quantiles import DIRECT_ROWS, exact_quantiles
+from gaugeworks.operators.quantiles import exact_quantiles
 from gaugeworks.operators.ranges import DEFAULT_ROWS_PER_RANGE, with_group_row_number
 from gaugeworks.operators.shape import rows_from_wide
 
@@ -28,7 +29,11 @@ SPLITS = (TRAIN, VALIDATION, TEST)
 # Shares of the data up to the end of train and of validation.
 TRAIN_SHARE, VALIDATION_SHARE = 0.70, 0.85
 DIGEST = "__digest"
-PREFIX_DIGITS = 4
+# Hexadecimal digits told apart at a time, and those of a whole digest.
+PREFIX_DIGITS = 3
+DIGEST_DIGITS = 32
+# Rows of one prefix that a task may put in order.
+LEAF_ROWS = 50_000
 
 
 def split_sizes(rows: int, train_share: float = TRAIN_SHARE, validation_share: float = VALIDATION_SHARE) -> tuple[int, int]:
@@ -41,43 +46,80 @@ def split_sizes(rows: int, train_share: float = TRAIN_SHARE, validation_share: f
 
 
 def rank_cutoffs(
-    df: DataFrame, label: str, digest: str, ranks: Mapping[int, Sequence[int]]
+    df: DataFrame, label: str, digest: str, ranks: Mapping[int, Sequence[int]], leaf_rows: int = LEAF_ROWS
 ) -> dict[tuple[int, int], str]:
     """Digest of the row at each wanted rank (1-based) of each class.
 
-    Digests must be unique within a class, as those of unique row keys are.
+    Rows are counted by the first digits of their digest; only the prefixes
+    that hold a wanted rank are counted again by more digits, until a prefix
+    has at most ``leaf_rows`` rows, which are then put in order.  However many
+    rows there are, no task orders more than that.  Rows whose digests are
+    equal, as those of one key, cannot be told apart and share a rank's cutoff.
     """
-    wanted = sorted({(group, rank) for group, group_ranks in ranks.items() for rank in group_ranks if rank > 0})
-    if not wanted:
-        return {}
-    prefix = F.conv(F.substring(ref(digest), 1, PREFIX_DIGITS), 16, 10).cast("int")
-    keyed = df.select(ref(label).alias("g"), ref(digest).alias("d"), prefix.alias("p"))
-    ahead = Window.partitionBy("g").orderBy("p").rowsBetween(Window.unboundedPreceding, 0)
-    # Two classes by 16^4 prefixes at most.
+    wanted = {(group, rank) for group, group_ranks in ranks.items() for rank in group_ranks if rank > 0}
+    found: dict[tuple[int, int], str] = {}
+    # Open ranks, with the prefix that holds them and the rows of the class before it.
+    at = {(group, rank): ("", 0) for group, rank in wanted}
+    while at:
+        counts = _digest_counts(df, label, digest, {(group, prefix) for (group, _), (prefix, _) in at.items()})
+        leaves: dict[tuple[int, int], tuple[str, int]] = {}
+        deeper: dict[tuple[int, int], tuple[str, int]] = {}
+        for (group, rank), (prefix, below) in at.items():
+            for part, n in counts.get((group, prefix), ()):
+                if rank <= below + n:
+                    break
+                below += n
+            else:
+                raise ContractError(f"class {group} has no row of rank {rank}")
+            if len(part) >= DIGEST_DIGITS:
+                found[group, rank] = part
+            else:
+                (leaves if n <= leaf_rows else deeper)[group, rank] = (part, below)
+        found.update(_leaf_digests(df, label, digest, leaves))
+        at = deeper
+    return found
+
+
+def _digest_counts(df: DataFrame, label: str, digest: str, prefixes: set[tuple[int, str]]) -> dict[tuple[int, str], list[tuple[str, int]]]:
+    """Rows by the next digits below each prefix: 16 ** PREFIX_DIGITS counts of a prefix at most."""
+    width = len(next(iter(prefixes))[1])
+    inside = _with_prefix(label, digest, prefixes)
     counted = (
-        keyed.groupBy("g", "p").agg(F.count("*").alias("n")).withColumn("upto", F.sum("n").over(ahead))
+        df.filter(inside)
+        .groupBy(ref(label).alias("g"), F.substring(ref(digest), 1, width + PREFIX_DIGITS).alias("p"))
+        .agg(F.count("*").alias("n"))
     )
-    holds = F.lit(False)
-    for group, rank in wanted:
-        holds = holds | (
-            (F.col("g") == group) & (F.col("upto") >= rank) & (F.col("upto") - F.col("n") < rank)
-        )
-    slivers = counted.filter(holds).collect()
+    found: dict[tuple[int, str], list[tuple[str, int]]] = {}
+    for row in counted.collect():
+        found.setdefault((row["g"], row["p"][:width]), []).append((row["p"], row["n"]))
+    return {prefix: sorted(parts) for prefix, parts in found.items()}
+
+
+def _with_prefix(label: str, digest: str, prefixes: set[tuple[int, str]]) -> Column:
     inside = F.lit(False)
-    rank_in_sliver = []
-    for row in slivers:
-        for group, rank in wanted:
-            if row["g"] == group and row["upto"] - row["n"] < rank <= row["upto"]:
-                rank_in_sliver.append((group, rank, row["p"], rank - (row["upto"] - row["n"])))
-        inside = inside | ((F.col("g") == row["g"]) & (F.col("p") == row["p"]))
-    numbered = keyed.filter(inside).withColumn(
-        "r", F.row_number().over(Window.partitionBy("g", "p").orderBy("d"))
+    for group, prefix in sorted(prefixes):
+        inside = inside | ((ref(label) == group) & ref(digest).startswith(prefix))
+    return inside
+
+
+def _leaf_digests(
+    df: DataFrame, label: str, digest: str, leaves: Mapping[tuple[int, int], tuple[str, int]]
+) -> dict[tuple[int, int], str]:
+    """The digests at ranks whose prefix has few rows."""
+    if not leaves:
+        return {}
+    prefixes = {(group, prefix) for (group, _), (prefix, _) in leaves.items()}
+    width = len(next(iter(prefixes))[1])
+    rows = (
+        df.filter(_with_prefix(label, digest, prefixes))
+        .select(ref(label).alias("g"), ref(digest).alias("d"), F.substring(ref(digest), 1, width).alias("p"))
+        .withColumn("r", F.row_number().over(Window.partitionBy("g", "p").orderBy("d")))
     )
     chosen = F.lit(False)
-    for group, _, p, r in rank_in_sliver:
-        chosen = chosen | ((F.col("g") == group) & (F.col("p") == p) & (F.col("r") == r))
-    found = {(row["g"], row["p"], row["r"]): row["d"] for row in numbered.filter(chosen).collect()}
-    return {(group, rank): found[group, p, r] for group, rank, p, r in rank_in_sliver}
+    for (group, rank), (prefix, below) in leaves.items():
+        chosen = chosen | ((F.col("g") == group) & (F.col("p") == prefix) & (F.col("r") == rank - below))
+    numbered = {(row["g"], row["p"], row["r"]): row["d"] for row in rows.filter(chosen).collect()}
+    return {(group, rank): numbered[group, prefix, rank - below] for (group, rank), (prefix, below) in leaves.items()}
 
 
 def with_digest(df: DataFrame, keys: Sequence[str], seed: int) -> DataFrame:
@@ -118,12 +160,12 @@ def chronological_boundaries(
     shares: Sequence[float] = (TRAIN_SHARE, VALIDATION_SHARE),
     exact: bool = True,
     accuracy: int = 10_000,
-    direct_rows: int = DIRECT_ROWS,
+    **options,
 ) -> list[int]:
     """Epoch seconds at the given shares of the rows in time order."""
     epochs = df.select(epoch_seconds(ref(time)).alias("epoch"))
     if exact:
-        found = exact_quantiles(epochs, {"epoch": list(shares)}, discrete=True, direct_rows=direct_rows)["epoch"]
+        found = exact_quantiles(epochs, {"epoch": list(shares)}, discrete=True, **options)["epoch"]
     else:
         found = epochs.agg(F.percentile_approx("epoch", list(shares), accuracy)).first()[0] or [None, None]
     if any(value is None for value in found):
@@ -194,21 +236,24 @@ def leakage_check(df: DataFrame, time: str, split: str = "split") -> DataFrame:
 
 
 def partition_check(df: DataFrame, keys: Sequence[str], split: str = "split") -> DataFrame:
-    """Split sizes against the total: nothing lost, nothing empty, no key in two splits."""
+    """Split sizes against the total: nothing lost, nothing empty, no key in two splits.
+
+    Rows of the split ``rejected`` are counted apart; they are not lost.
+    """
     per_key = df.groupBy(*refs(keys)).agg(
         F.count("*").alias("__rows"),
-        *[F.count_if(ref(split) == part).alias(f"__{part}") for part in SPLITS],
+        *[F.count_if(ref(split) == part).alias(f"__{part}") for part in (*SPLITS, REJECTED)],
     )
     present = [(F.col(f"__{part}") > 0).cast("int") for part in SPLITS]
     totals = per_key.agg(
         F.sum("__rows").alias("total_rows"),
-        *[F.sum(f"__{part}").alias(f"{part}_rows") for part in SPLITS],
+        *[F.sum(f"__{part}").alias(f"{part}_rows") for part in (*SPLITS, REJECTED)],
         F.count_if(present[0] + present[1] + present[2] > 1).alias("shared_keys"),
     )
     parts = [F.col(f"{part}_rows") for part in SPLITS]
     return totals.withColumns(
         {
-            "adds_up": parts[0] + parts[1] + parts[2] == F.col("total_rows"),
+            "adds_up": parts[0] + parts[1] + parts[2] + F.col(f"{REJECTED}_rows") == F.col("total_rows"),
             "none_empty": (parts[0] > 0) & (parts[1] > 0) & (parts[2] > 0),
         }
     )

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import random
 from decimal import Decimal
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -93,6 +95,27 @@ def test_spread_of_values_with_a_large_offset(spark):
     assert found[99] == pytest.approx(expected, rel=1e-3)
 
 
+def test_spreads_at_different_levels_and_with_drift(spark):
+    """Machines at 0 and a billion, a drift over days, several readings in a second, gaps in time."""
+    rng = random.Random(4)
+    rows = []
+    for i in range(3000):
+        machine, second = i % 3, rng.randrange(20_000) if i % 2 else 30_000 + i // 5
+        rows.append((i, machine, second, machine * 1e9 / 2 + second / 50 + rng.random() / 100))
+    frame = spark.createDataFrame(rows, "id long, machine int, second long, v double").withColumn("ts", F.timestamp_seconds("second"))
+    roles = SeriesRoles(time="ts", seq=("id",), machine=("machine",), analog=("v",))
+    for rows_per_range in (10**9, 200):
+        found = {(r.machine, r.epoch): r.v_rolling_std_5m for r in time_rolling(frame, roles, rows_per_range=rows_per_range).collect()}
+        for (machine, epoch), spread in found.items():
+            values = [Fraction(v) for _, m, s, v in rows if m == machine and epoch - 290 <= s <= epoch]
+            if len(values) == 1:
+                assert spread is None
+                continue
+            mean = sum(values) / len(values)
+            expected = float(sum((v - mean) ** 2 for v in values) / (len(values) - 1)) ** 0.5
+            assert spread == pytest.approx(expected, rel=1e-5, abs=2e-6)
+
+
 def test_composite_keys_do_not_collide(spark):
     rows = [("a", "b:c0"), ("a:b", "c0"), ("a", None), ("a", ""), ("1:a", "b")]
     frame = spark.createDataFrame(rows, "x string, y string")

@@ -153,3 +153,12 @@ def test_each_range_is_one_task_and_nothing_runs_on_one_task(spark):
     # Cut points are literals after optimization.
     assert "from_json" not in found._jdf.queryExecution().optimizedPlan().toString()
     assert ranges.MAX_RANGES * 2 <= 1 << 17
+
+
+def test_ranges_read_and_shuffle_once(spark, tmp_path):
+    series(spark).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    found = with_ordered_columns(df, statistics, ["time", "seq"], ["machine"], lookback=9, rows_per_range=300)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") == 1 and plan.count("Exchange hashpartitioning") == 1 and "Union" not in plan
+    assert plan.count("Sort [") == 1

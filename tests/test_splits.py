@@ -59,10 +59,42 @@ def test_cutoffs_are_the_digests_at_their_ranks(spark):
     assert found == {(0, 1): normal[0], (0, 250): normal[249], (0, 500): normal[499], (1, 60): fault[59]}
 
 
+@pytest.mark.parametrize("leaf_rows", [0, 1, 10, 10**6])
+def test_no_leaf_has_more_rows(spark, monkeypatch, leaf_rows):
+    df = splits.with_digest(classes(spark, 9_000, 60), ["id"], 42)
+    ordered = sorted(hashlib.md5(f"42:{i}".encode()).hexdigest() for i in range(9_000))
+    put_in_order = splits._leaf_digests
+
+    def watched(frame, label, digest, leaves):
+        for (group, _), (prefix, _) in leaves.items():
+            assert frame.filter((F.col(label) == group) & F.col(digest).startswith(prefix)).count() <= leaf_rows
+        return put_in_order(frame, label, digest, leaves)
+
+    monkeypatch.setattr(splits, "_leaf_digests", watched)
+    monkeypatch.setattr(splits, "PREFIX_DIGITS", 2 if leaf_rows else 8)
+    found = splits.rank_cutoffs(df, "label", splits.DIGEST, {0: [1, 4_500, 9_000]}, leaf_rows)
+    assert found == {(0, 1): ordered[0], (0, 4_500): ordered[4_499], (0, 9_000): ordered[8_999]}
+
+
+def test_rows_of_one_key_share_a_cutoff(spark):
+    """A third of the rows have one key: their digest is the cutoff, whatever the leaf."""
+    df = spark.range(300).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("id"), F.lit(0).alias("label"))
+    keyed = splits.with_digest(df, ["id"], 42)
+    ordered = sorted(row[splits.DIGEST] for row in keyed.collect())
+    for leaf_rows in (5, 1000):
+        found = splits.rank_cutoffs(keyed, "label", splits.DIGEST, {0: [1, 100, 150, 299]}, leaf_rows)
+        assert found == {(0, rank): ordered[rank - 1] for rank in (1, 100, 150, 299)}
+    with pytest.raises(ContractError):
+        splits.rank_cutoffs(keyed, "label", splits.DIGEST, {0: [301]})
+
+
 def test_partition_check(spark):
     split = splits.stratified_split(classes(spark, 100, 20), "label", ["id"])
     row = splits.partition_check(split, ["id"]).first()
     assert row["adds_up"] and row["none_empty"] and row["shared_keys"] == 0
+    rejected = split.unionByName(split.limit(1).withColumn("id", F.lit(-5).cast("long")).withColumn("split", F.lit("rejected")))
+    row = splits.partition_check(rejected, ["id"]).first()
+    assert row["adds_up"] and row["rejected_rows"] == 1
     doubled = split.unionByName(split.withColumn("split", F.lit("test")))
     assert splits.partition_check(doubled, ["id"]).first()["shared_keys"] > 0
 
