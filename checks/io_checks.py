@@ -41,6 +41,13 @@ def csv_copy(spark, sf_dir, broken: bool = False, parts: int | None = None) -> s
     return path
 
 
+def copy_file(spark, source: str, target: str) -> None:
+    """Copy a file inside the shared folder."""
+    path, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    come, go = path(source), path(target)
+    spark._jvm.org.apache.hadoop.fs.FileUtil.copy(come.getFileSystem(conf), come, go.getFileSystem(conf), go, False, conf)
+
+
 @checks.add(
     "src1_csv_scan",
     """SELECT event_id AS seq, CAST(floor(epoch(ts)) AS BIGINT) AS epoch, user_id, value FROM events""",
@@ -258,23 +265,31 @@ STREAM_SCHEMA = T.StructType([CSV_SCHEMA.fields[0], T.StructField("timestamp", T
 
 @checks.add(
     "snk2_incremental_stream",
-    """SELECT 'm1' AS machine_id, count(*) AS row_count, count(DISTINCT event_id) AS distinct_rows,
-              round(sum(value), 4) AS value_sum FROM events""",
+    """SELECT 'm1' AS machine_id, 4 AS files, 2 AS runs, sum(n)::BIGINT AS logged_rows, sum(n)::BIGINT AS row_count, sum(ids)::BIGINT AS distinct_rows,
+              round(sum(total), 4) AS value_sum
+       FROM (SELECT count(*) AS n, count(DISTINCT event_id) AS ids, sum(value) AS total FROM events)""",
 )
 def _(spark, sf_dir):
-    source, out, state = csv_copy(spark, sf_dir, parts=4), scratch_path(spark, "out"), scratch_path(spark, "state")
-    for _ in range(2):
-        stream = streaming.stream_csv(spark, source, STREAM_SCHEMA)
-        streaming.run_available(stream, out, state, lambda df: streaming.with_stream_lineage(df, "m1"))
-    return (
-        spark.read.parquet(out)
-        .groupBy("machine_id")
-        .agg(
-            F.count("*").alias("row_count"),
-            F.count_distinct("seq").alias("distinct_rows"),
-            F.round(F.sum("value"), 4).alias("value_sum"),
-        )
+    """Two files arrive, then copies of them under other names beside two more."""
+    source, state = csv_copy(spark, sf_dir, parts=4), scratch_path(spark, "state")
+    arrived, store = scratch_path(spark, "arrived"), landing.Landing(spark, scratch_path(spark, "landing"))
+    names = sorted(row["path"] for row in files.list_files(spark, source).select("path").collect())
+    for step, arriving in enumerate((names[:2], names)):
+        for number, name in enumerate(arriving):
+            copy_file(spark, name, f"{arrived}/{step}-{number}.csv")
+        stream = streaming.stream_csv(spark, arrived, STREAM_SCHEMA)
+        streaming.run_landing(stream, store, "m1", state)
+    log = store.log().groupBy("machine_id").agg(
+        F.count("*").cast("int").alias("files"),
+        F.count_distinct("run_id").cast("int").alias("runs"),
+        F.sum("row_count").alias("logged_rows"),
     )
+    rows = store.table().groupBy("machine_id").agg(
+        F.count("*").alias("row_count"),
+        F.count_distinct("seq").alias("distinct_rows"),
+        F.round(F.sum("value"), 4).alias("value_sum"),
+    )
+    return log.join(rows, "machine_id")
 
 
 @checks.add(
@@ -340,13 +355,39 @@ def _(spark, sf_dir):
 
 @checks.add(
     "snk6_verify_saved",
-    "SELECT count(*) AS saved_rows, count(*) AS expected_rows, true AS same_count, true AS same_schema FROM events",
+    "SELECT count(*) AS saved_rows, count(*) AS expected_rows, true AS same_count, true AS same_schema, true AS same_content FROM events",
 )
 def _(spark, sf_dir):
     source = events(spark, sf_dir)
     return tables.verify_saved(written(source, "saved"), source)
 
 
+@checks.add(
+    "snk6_verified_write",
+    """SELECT part, count(*) AS saved_rows, count(*) AS expected_rows, true AS same_count, true AS same_schema,
+              part = 'unchanged' AS same_content
+       FROM events, (VALUES ('unchanged'), ('one value changed'), ('two values exchanged')) AS p(part) GROUP BY part""",
+)
+def _(spark, sf_dir):
+    """Tables that differ from what was to be saved in one value, and in two that changed places."""
+    source = events(spark, sf_dir)
+    path = scratch_path(spark, "verified")
+    results = [tables.overwrite_verified(source, path).withColumn("part", F.lit("unchanged"))]
+    last = source.agg(F.max("event_id")).first()[0]
+    changed = {
+        "one value changed": F.when(F.col("event_id") == last, F.col("value") + 1).otherwise(F.col("value")),
+        "two values exchanged": F.when(F.col("event_id") == last, F.lit(-1.5)).when(F.col("event_id") == last - 1, F.lit(-2.5)).otherwise(F.col("value")),
+    }
+    exchanged = source.withColumn(
+        "value", F.when(F.col("event_id") == last, F.lit(-2.5)).when(F.col("event_id") == last - 1, F.lit(-1.5)).otherwise(F.col("value"))
+    )
+    for part, value in changed.items():
+        expected = source if part.startswith("one") else exchanged
+        saved = written(source.withColumn("value", value), "changed")
+        results.append(tables.verify_saved(saved, expected).withColumn("part", F.lit(part)))
+    return results[0].unionByName(results[1]).unionByName(results[2])
+
+
 @checks.add(
     "snk7_split_directories",
     f"""SELECT split, count(*) AS row_count, sum(fault_label)::BIGINT AS faults, sum(event_id)::BIGINT AS id_sum

@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugeworks.functions.columns import ref, refs
 from gaugeworks.operators.contracts import ContractError
 from gaugeworks.roles import COMPRESSOR_ANALOG, COMPRESSOR_FLAGS, INDEX_ALIASES
+from gaugeworks.sources.scratch import written
 
 # Time pattern of the raw files and file signatures.
 TIME_PATTERN = "yyyy-MM-dd HH:mm:ss"
@@ -21,6 +21,7 @@ OLE_SIGNATURE = "D0CF11E0A1B11AE1"
 PARQUET_SIGNATURE = "50415231"
 
 CORRUPT = "_corrupt_record"
+FILE = "__file"
 # Files up to this size are hashed in the JVM as one value.
 WHOLE_FILE_BYTES = 256 * 1024 * 1024
 CHUNK_BYTES = 8 * 1024 * 1024
@@ -62,27 +63,97 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
     inference would read the file twice and turn a whole column into text for
     one bad value.
     """
-    reader = (
-        spark.read.option("header", True)
-        .option("timestampFormat", time_pattern)
-        .option("timestampNTZFormat", time_pattern)
-        .option("mode", "PERMISSIVE")
-    )
+    reader = spark.read.option("header", True).option("timestampFormat", time_pattern).option("timestampNTZFormat", time_pattern)
     paths = [path] if isinstance(path, str) else list(path)
     if schema is None:
         return reader.option("inferSchema", True).csv(paths)
-    headers = read_headers(list_files(spark, paths).select("path", "length"))
-    kinds = [tuple(row["header"]) for row in headers.select("header").distinct().collect()]
-    parts = []
-    for header in kinds or [tuple(schema.names)]:
-        # Files of one header are read together; their names are listed only where headers differ.
-        own = paths if len(kinds) < 2 else [_readable(r["path"]) for r in headers.filter(F.col("header") == F.lit(list(header))).select("path").collect()]
-        full = T.StructType([*in_header_order(header, schema).fields, T.StructField(CORRUPT, T.StringType())])
-        parts.append(reader.option("columnNameOfCorruptRecord", CORRUPT).option("enforceSchema", True).schema(full).csv(own))
+    headers = written(read_headers(list_files(spark, paths).select("path", "length")), "headers")
+    # Different headers are few, whatever the number of files.
+    kinds = [tuple(row["header"]) for row in headers.select("header").distinct().collect()] or [tuple(schema.names)]
+    parts = [
+        rows_of_header(spark, paths, header, schema, time_pattern)
+        if len(kinds) == 1
+        else rows_of_files(rows_of_header(spark, paths, header, schema, time_pattern), having_header(headers, header))
+        for header in sorted(kinds)
+    ]
     found = parts[0]
     for part in parts[1:]:
         found = found.unionByName(part)
-    return found.select(*refs(schema.names), CORRUPT) if tuple(kinds[0] if kinds else schema.names) != tuple(schema.names) else found
+    return found.select(*refs(schema.names), CORRUPT)
+
+
+def rows_of_header(
+    spark: SparkSession, path: str | Sequence[str], header: Sequence[str], schema: T.StructType | None, time_pattern: str = TIME_PATTERN
+) -> DataFrame:
+    """All files under a path read as if they had this header; see ``rows_of_files`` for those that do.
+
+    Without a schema every column is text (see ``with_inferred_types``).
+    """
+    if schema is None:
+        full = T.StructType([T.StructField(name or f"_c{i}", T.StringType()) for i, name in enumerate(header)])
+    else:
+        full = T.StructType([*in_header_order(header, schema).fields, T.StructField(CORRUPT, T.StringType())])
+    reader = (
+        spark.read.option("header", True)
+        .option("timestampFormat", time_pattern)
+        .option("timestampNTZFormat", time_pattern)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("enforceSchema", True)
+        .option("recursiveFileLookup", True)
+    )
+    return reader.schema(full).csv([path] if isinstance(path, str) else list(path))
+
+
+def having_header(files: DataFrame, header: Sequence[str]) -> DataFrame:
+    return files.filter(F.col("header") == F.array(*[F.lit(name) for name in header]).cast("array<string>"))
+
+
+def file_of_row() -> Column:
+    """The file a row was read from, as listings name it: the reader's names are percent-encoded."""
+    decoded = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(decoded, "^file:/+", "file:/")
+
+
+def listed_file(path: Column) -> Column:
+    return F.regexp_replace(path, "^file:/+", "file:/")
+
+
+def rows_of_files(rows: DataFrame, files: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
+    """Rows just read that come from the listed files, with columns of the list.
+
+    Names of files meet the rows in a join, so the driver sees none of them;
+    whether the list is broadcast is decided by its bytes.
+    """
+    listed = files.select(listed_file(F.col("path")).alias(FILE), *columns)
+    return rows.withColumn(FILE, file_of_row()).join(listed, FILE, "inner" if columns else "left_semi").drop(FILE)
+
+
+def with_inferred_types(df: DataFrame, time_pattern: str = TIME_PATTERN) -> DataFrame:
+    """Text columns in the first type that all their values have: int, long, double, timestamp, boolean, text.
+
+    One aggregation over all columns; a column without values stays text.
+    """
+    kinds = {
+        "int": lambda c: c.try_cast("int"),
+        "bigint": lambda c: c.try_cast("bigint"),
+        "double": lambda c: c.try_cast("double"),
+        "timestamp": lambda c: F.try_to_timestamp(c, F.lit(time_pattern)),
+        "boolean": lambda c: c.try_cast("boolean"),
+    }
+    found = df.agg(
+        *[
+            (F.count(ref(name)) == F.count(convert(ref(name)))).alias(f"{kind}{i}")
+            for i, name in enumerate(df.columns)
+            for kind, convert in kinds.items()
+        ],
+        *[F.count(ref(name)).alias(f"n{i}") for i, name in enumerate(df.columns)],
+    ).first()
+    typed = []
+    for i, name in enumerate(df.columns):
+        kind = next((kind for kind in kinds if found[f"{kind}{i}"]), None) if found[f"n{i}"] else None
+        typed.append(kinds[kind](ref(name)).alias(name) if kind else ref(name))
+    return df.select(*typed)
 
 
 def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
@@ -100,11 +171,6 @@ def list_files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     )
 
 
-def _readable(path: str) -> str:
-    """A listed path as a literal: characters with a meaning in path patterns are escaped."""
-    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
-
-
 def _open(uri: str):
     """The bytes of a listed file.  Listed paths are not percent-encoded."""
     from urllib.parse import quote
@@ -203,15 +269,14 @@ def fingerprint_files(spark: SparkSession, path: str | Sequence[str], whole_file
         .option("recursiveFileLookup", True)
         .load(paths)
         .filter(F.col("length") <= whole_file_bytes)
-        .select("path", "length", F.sha2("content", 256).alias("sha256"))
-    )
-    large = (
-        list_files(spark, paths)
-        .filter(F.col("length") > whole_file_bytes)
-        .select("path", "length")
-        .mapInPandas(_digests, "path string, length long, sha256 string")
+        .select("path", "length", "modificationTime", F.sha2("content", 256).alias("sha256"))
     )
-    return small.unionByName(large)
+    return small.unionByName(hashed_files(list_files(spark, paths).filter(F.col("length") > whole_file_bytes)))
+
+
+def hashed_files(files: DataFrame) -> DataFrame:
+    """Listed files with the SHA-256 of each, read in chunks by the task that has its name."""
+    return files.mapInPandas(_digests, T.StructType([*files.schema.fields, T.StructField("sha256", T.StringType())]))
 
 
 def artifact_size(spark: SparkSession, path: str) -> DataFrame:

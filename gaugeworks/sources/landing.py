@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import uuid
 from dataclasses import dataclass
 
@@ -12,16 +11,23 @@ from pyspark.sql import types as T
 
 from gaugeworks.operators.contracts import ContractError, check_columns, check_header
 from gaugeworks.operators.quality import find_index_column
-from gaugeworks.sources.files import _readable, fingerprint_files, list_files, read_csv, read_headers
+from gaugeworks.sources.files import (
+    FILE,
+    file_of_row,
+    fingerprint_files,
+    having_header,
+    list_files,
+    listed_file,
+    read_headers,
+    rows_of_header,
+    with_inferred_types,
+)
+from gaugeworks.sources.scratch import written
 
 LINEAGE = ("machine_id", "_source_file", "_source_file_sha256", "_ingested_at", "_run_id")
 LOG_SCHEMA = "machine_id string, source_file string, sha256 string, row_count long, ingested_at timestamp, run_id string"
 
 
-# File names and hashes, about 300 bytes each.
-MOST_BROADCAST_FILES = 100_000
-
-
 def with_lineage(
     df: DataFrame, machine_id: str, source_file: str | Column, sha256: str | Column, run_id: str
 ) -> DataFrame:
@@ -108,58 +114,72 @@ class Landing:
         """Land every new content under ``path``; returns the number of files landed.
 
         Files with the same header are read and written by one job, whatever
-        their number.  The driver sees file names and hashes, never rows.
+        their number.  Their names and hashes stay in Spark; the driver sees
+        the different headers.
         """
         if list_files(self.spark, path).isEmpty():
             raise ContractError(f"no file with content under {path}")
-        found = fingerprint_files(self.spark, path).withColumn("machine_id", F.lit(machine_id))
-        fresh = (
-            not_yet_ingested(found, self.log())
-            .groupBy("sha256")
-            .agg(F.min("path").alias("path"))
+        fresh = written(read_headers(self.fresh_files(fingerprint_files(self.spark, path), machine_id)), "fresh-files")
+        kinds = fresh.groupBy("header").agg(
+            F.count("*").alias("files"),
+            F.min("modificationTime").alias("since"),
+            F.min(F.when(~F.col("has_rows"), F.col("path"))).alias("empty"),
         )
-        by_header: dict[tuple[str, ...], list[tuple[str, str]]] = {}
-        for file in read_headers(fresh).collect():
-            check_header(file["header"])
-            if not file["has_rows"]:
-                raise ContractError(f"{file['path']} has no rows")
-            by_header.setdefault(tuple(file["header"]), []).append((file["path"], file["sha256"]))
-        for files in by_header.values():
-            self._land(files, machine_id, schema)
-        return sum(len(files) for files in by_header.values())
-
-    def _land(self, files: list[tuple[str, str]], machine_id: str, schema: T.StructType | None) -> None:
-        run_id = str(uuid.uuid4())
-        raw = read_csv(self.spark, [_readable(path) for path, _ in files], schema)
-        check_columns(raw.columns)
-        index = find_index_column(raw.columns)
-        if index is not None:
-            raw = raw.withColumnRenamed(index, "seq")
-        names = self.spark.createDataFrame(
-            [(_plain(path), path.rsplit("/", 1)[-1], sha256) for path, sha256 in files],
-            "__path string, __name string, __sha256 string",
+        found = kinds.collect()
+        for kind in found:
+            check_header(kind["header"])
+            if kind["empty"] is not None:
+                raise ContractError(f"{kind['empty']} has no rows")
+        for kind in found:
+            rows = rows_of_header(self.spark, path, kind["header"], schema)
+            # Readers leave out files by their time without opening them.
+            recent = rows.withColumn(FILE, file_of_row()).filter(F.col("_metadata.file_modification_time") >= F.lit(kind["since"]))
+            self.land(recent, having_header(fresh, kind["header"]), machine_id, str(uuid.uuid4()), infer=schema is None)
+        return sum(kind["files"] for kind in found)
+
+    def fresh_files(self, found: DataFrame, machine_id: str, run_id: str | None = None) -> DataFrame:
+        """One file of each content that the machine has not landed, but for what this very run has."""
+        log = self.log() if run_id is None else self.log().filter(F.col("run_id") != run_id)
+        named = found.withColumn("machine_id", F.lit(machine_id))
+        first = F.min_by(F.struct("path", "modificationTime"), F.col("path"))
+        return not_yet_ingested(named, log).groupBy("sha256").agg(first.alias("f")).select("sha256", "f.path", "f.modificationTime")
+
+    def land(self, rows: DataFrame, fresh: DataFrame, machine_id: str, run_id: str, infer: bool = False) -> None:
+        """Append the rows that come from fresh files and log these files.
+
+        ``rows`` name their file in the column ``__file``.  A repeated run of
+        the same name replaces its own rows and entries.
+        """
+        names = fresh.select(
+            listed_file(F.col("path")).alias(FILE),
+            F.element_at(F.split("path", "/"), -1).alias("__name"),
+            F.col("sha256").alias("__sha256"),
         )
-        if len(files) <= MOST_BROADCAST_FILES:
-            names = F.broadcast(names)
-        # File paths of the reader are percent-encoded, listed ones are not.
-        decoded = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-        located = raw.withColumn("__path", F.regexp_replace(decoded, "^file:/+", "file:/"))
-        landed = with_lineage(
-            located.join(names, "__path"), machine_id, F.col("__name"), F.col("__sha256"), run_id
-        ).drop("__path", "__name", "__sha256")
+        located = rows.join(names, FILE).drop(FILE)
+        if infer:
+            located = with_inferred_types(located)
+        raw = [name for name in located.columns if name not in ("__name", "__sha256")]
+        check_columns(raw)
+        index = find_index_column(raw)
+        if index is not None:
+            located = located.withColumnRenamed(index, "seq")
+        landed = with_lineage(located, machine_id, F.col("__name"), F.col("__sha256"), run_id).drop("__name", "__sha256")
         self._check_columns_match(landed)
         append_once(landed, self.table_path)
-        batch = self.table().filter((F.col("machine_id") == machine_id) & (F.col("_run_id") == run_id))
-        entries = batch.groupBy("_source_file", "_source_file_sha256").agg(F.count("*").alias("row_count"))
-        entries.select(
+        # Partition values only: row counts come from the footers of the files just written.
+        counted = (
+            self.table()
+            .filter(F.col("machine_id") == machine_id)
+            .join(fresh.select(F.col("sha256").alias("_source_file_sha256")), "_source_file_sha256", "left_semi")
+            .groupBy("_source_file_sha256")
+            .agg(F.count("*").alias("row_count"))
+        )
+        entries = fresh.join(counted, F.col("sha256") == F.col("_source_file_sha256")).select(
             F.lit(machine_id).alias("machine_id"),
-            F.col("_source_file").alias("source_file"),
-            F.col("_source_file_sha256").alias("sha256"),
+            F.element_at(F.split("path", "/"), -1).alias("source_file"),
+            "sha256",
             "row_count",
             F.current_timestamp().alias("ingested_at"),
             F.lit(run_id).alias("run_id"),
-        ).write.mode("append").parquet(self.log_path)
-
-
-def _plain(path: str) -> str:
-    return re.sub("^file:/+", "file:/", path)
+        )
+        entries.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(self.log_path)

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from gaugeworks.functions.columns import check_identifier, refs
+from gaugeworks.functions.columns import check_identifier, ref, refs
 
 
 def table_name(*parts: str) -> str:
@@ -68,20 +69,71 @@ def write_bucketed(df: DataFrame, name: str, keys: Sequence[str], order: Sequenc
     writer.saveAsTable(name)
 
 
+def content_marks(df: DataFrame) -> dict[str, Column]:
+    """Row count and a checksum of the rows whatever their order: sum and exclusive or of two hashes of a row.
+
+    Columns come in the order of their names, maps as sorted entries.
+    """
+    def comparable(field: T.StructField) -> Column:
+        column = ref(field.name)
+        return F.sort_array(F.map_entries(column)) if isinstance(field.dataType, T.MapType) else column
+
+    columns = [comparable(field) for field in sorted(df.schema.fields, key=lambda field: field.name)]
+    first = F.xxhash64(F.lit(0), *columns) if columns else F.lit(0).cast("long")
+    second = F.xxhash64(F.lit(1), *columns) if columns else F.lit(0).cast("long")
+    return {
+        "n": F.count(F.lit(1)),
+        "total": F.coalesce(F.sum(first.cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)")),
+        "parity": F.coalesce(F.bit_xor(second), F.lit(0).cast("long")),
+    }
+
+
 def verify_saved(written: DataFrame, expected: DataFrame) -> DataFrame:
-    """Row counts of both sides and whether counts and column types agree."""
+    """Row counts of both sides, and whether counts, column types and contents agree."""
     same_schema = [(f.name, f.dataType) for f in written.schema] == [
         (f.name, f.dataType) for f in expected.schema
     ]
-    saved = written.agg(F.count("*").alias("n"), F.lit("saved").alias("side"))
-    wanted = expected.agg(F.count("*").alias("n"), F.lit("expected").alias("side"))
-    both = saved.unionByName(wanted).agg(
-        F.sum(F.when(F.col("side") == "saved", F.col("n"))).alias("saved_rows"),
-        F.sum(F.when(F.col("side") == "expected", F.col("n"))).alias("expected_rows"),
+
+    def marked(df: DataFrame, side: str) -> DataFrame:
+        return df.agg(*[mark.alias(name) for name, mark in content_marks(df).items()]).withColumn("side", F.lit(side))
+
+    both = marked(written, "saved").unionByName(marked(expected, "expected"))
+    wide = both.agg(
+        *[
+            F.max(F.when(F.col("side") == side, F.col(name))).alias(f"{side}_{name}")
+            for side in ("saved", "expected")
+            for name in ("n", "total", "parity")
+        ]
+    )
+    return _verdict(wide, same_schema)
+
+
+def overwrite_verified(df: DataFrame, path: str) -> DataFrame:
+    """Write a table and compare what is read back with what was written, as ``verify_saved`` does.
+
+    The rows are marked while they are written: the plan behind ``df`` runs once.
+    """
+    seen = Observation()
+    overwrite_parquet(df.observe(seen, *[mark.alias(name) for name, mark in content_marks(df).items()]), path)
+    expected = seen.get
+    saved = df.sparkSession.read.parquet(path)
+    same_schema = [(f.name, f.dataType) for f in saved.schema] == [(f.name, f.dataType) for f in df.schema]
+    marks = content_marks(saved)
+    wide = saved.agg(
+        *[mark.alias(f"saved_{name}") for name, mark in marks.items()],
+        F.lit(expected["n"]).cast("long").alias("expected_n"),
+        F.lit(str(expected["total"])).cast("decimal(38,0)").alias("expected_total"),
+        F.lit(expected["parity"]).cast("long").alias("expected_parity"),
     )
-    return both.withColumns(
-        {
-            "same_count": F.col("saved_rows") == F.col("expected_rows"),
-            "same_schema": F.lit(same_schema),
-        }
+    return _verdict(wide, same_schema)
+
+
+def _verdict(wide: DataFrame, same_schema: bool) -> DataFrame:
+    same = (F.col("saved_total") == F.col("expected_total")) & (F.col("saved_parity") == F.col("expected_parity"))
+    return wide.select(
+        F.col("saved_n").alias("saved_rows"),
+        F.col("expected_n").alias("expected_rows"),
+        (F.col("saved_n") == F.col("expected_n")).alias("same_count"),
+        F.lit(same_schema).alias("same_schema"),
+        ((F.col("saved_n") == F.col("expected_n")) & same).alias("same_content"),
     )

@@ -1,7 +1,7 @@
 """Incremental form of the ingest and of the row checks.
 
-Both are stateless, so the batch operators apply to a stream unchanged; the
-checkpoint of the file source remembers which files were read.
+The row operators apply to a stream unchanged.  The checkpoint of the file
+source remembers which files were read, the ingest log which contents landed.
 """
 
 from __future__ import annotations
@@ -15,7 +15,9 @@ from pyspark.sql import types as T
 from gaugeworks.functions.columns import ref
 from gaugeworks.operators.contracts import ContractError
 from gaugeworks.operators.quality import with_verdict
-from gaugeworks.sources.files import CORRUPT, TIME_PATTERN, in_header_order, list_files, read_headers
+from gaugeworks.sources.files import CORRUPT, FILE, TIME_PATTERN, file_of_row, hashed_files, in_header_order, list_files, read_headers
+from gaugeworks.sources.landing import Landing
+from gaugeworks.sources.scratch import written
 
 
 def stream_csv(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int | None = None) -> DataFrame:
@@ -54,6 +56,33 @@ def with_stream_lineage(df: DataFrame, machine_id: str) -> DataFrame:
     )
 
 
+def run_landing(df: DataFrame, store: Landing, machine_id: str, checkpoint: str, name: str = "stream") -> None:
+    """Land the files that have arrived since the last run, each content once per machine.
+
+    The files of a batch are hashed by tasks and compared with the ingest log
+    inside the batch, so a copy under another name does not land, whether it
+    comes in the same batch, a later one, or beside a batch ingest.  The run of
+    a batch is its number: a batch that is replayed after a failure, before or
+    after its log entries, ignores its own entries and replaces its own rows.
+    """
+
+    def land(batch: DataFrame, number: int) -> None:
+        run_id = f"{name}-{number}"
+        arrived = batch.select(F.col(FILE).alias("path"), F.col("__modified").alias("modificationTime")).distinct()
+        fresh = written(store.fresh_files(hashed_files(arrived), machine_id, run_id), "fresh-files")
+        if not fresh.isEmpty():
+            store.land(batch.drop("__modified"), fresh, machine_id, run_id)
+
+    located = df.withColumns({FILE: file_of_row(), "__modified": F.col("_metadata.file_modification_time")})
+    query = (
+        located.writeStream.foreachBatch(land)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
 def run_available(df: DataFrame, path: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame] | None = None) -> None:
     """Append everything that has arrived since the last run, then stop."""
     target = transform(df) if transform else df

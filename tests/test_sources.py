@@ -188,3 +188,106 @@ def test_stream_quarantine(spark, tmp_path):
         (0, "accepted", []),
         (1, "rejected", ["missing_timestamp"]),
     ]
+
+
+def stream_into(spark, store, folder, state):
+    streaming.run_landing(streaming.stream_csv(spark, folder, SCHEMA), store, "m1", state)
+
+
+def test_stream_lands_each_content_once(spark, tmp_path):
+    lines = [(",timestamp,v", f"{i},2024-01-01 00:00:00,1.5", f"{i + 100},broken,2.5") for i in range(4)]
+    folder, state = tmp_path / "in", str(tmp_path / "state")
+    store = Landing(spark, str(tmp_path / "store"))
+    write(folder / "a.csv", *lines[0])
+    write(folder / "copy of a.csv", *lines[0])
+    stream_into(spark, store, str(folder), state)
+    assert sorted((r["seq"], r["_source_file"]) for r in store.table().collect()) == [(0, "a.csv"), (100, "a.csv")]
+    # A copy in a later batch, a new file, one that a batch ingest has landed before.
+    write(folder / "later.csv", *lines[0])
+    write(folder / "b.csv", *lines[1])
+    other = write(tmp_path / "elsewhere" / "c.csv", *lines[2])
+    assert store.ingest(other, "m1", SCHEMA) == 1
+    write(folder / "c again.csv", *lines[2])
+    stream_into(spark, store, str(folder), state)
+    stream_into(spark, store, str(folder), state)
+    assert sorted(r["seq"] for r in store.table().collect()) == [0, 1, 2, 100, 101, 102]
+    log = sorted((r["source_file"], r["row_count"]) for r in store.log().collect())
+    assert log == [("a.csv", 2), ("b.csv", 2), ("c.csv", 2)]
+    assert store.table().filter("_corrupt_record IS NOT NULL").count() == 3
+
+
+@pytest.mark.parametrize("lost", ["after the log", "before the log"])
+def test_a_replayed_batch_replaces_itself(spark, tmp_path, monkeypatch, lost):
+    folder, state = tmp_path / "in", str(tmp_path / "state")
+    store = Landing(spark, str(tmp_path / "store"))
+    write(folder / "a.csv", "seq,timestamp,v", "0,2024-01-01 00:00:00,1.5")
+    stream_into(spark, store, str(folder), state)
+    write(folder / "b.csv", "seq,timestamp,v", "1,2024-01-01 00:00:00,1.5", "2,2024-01-01 00:00:00,1.5")
+    write(folder / "copy.csv", "seq,timestamp,v", "1,2024-01-01 00:00:00,1.5", "2,2024-01-01 00:00:00,1.5")
+    with monkeypatch.context() as patch:
+        if lost == "after the log":
+            land = Landing.land
+
+            def failing(self, *args, **options):
+                land(self, *args, **options)
+                raise RuntimeError("executor lost")
+
+            patch.setattr(Landing, "land", failing)
+        else:
+            patch.setattr(Landing, "log_path", property(lambda self: f"{self.root}/bronze/_nowhere/\0"))
+        with pytest.raises(Exception):
+            stream_into(spark, store, str(folder), state)
+    stream_into(spark, store, str(folder), state)
+    assert sorted(r["seq"] for r in store.table().collect()) == [0, 1, 2]
+    assert sorted((r["source_file"], r["row_count"]) for r in store.log().collect()) == [("a.csv", 1), ("b.csv", 2)]
+
+
+def test_many_small_files_without_their_names_on_the_driver(spark, tmp_path, monkeypatch):
+    for i in range(1200):
+        header = ",timestamp,v" if i % 3 else "v,timestamp,"
+        row = f"{i},2024-01-01 00:00:00,{i}.5" if i % 3 else f"{i}.5,2024-01-01 00:00:00,{i}"
+        write(tmp_path / "in" / f"{i // 100}" / f"f {i}.csv", header, row)
+    collected = []
+    plain = type(spark.range(1)).collect
+
+    def collect(df):
+        rows = plain(df)
+        collected.append(len(rows))
+        return rows
+
+    monkeypatch.setattr(type(spark.range(1)), "collect", collect)
+    store = Landing(spark, str(tmp_path / "store"))
+    assert store.ingest(str(tmp_path / "in"), "m1", SCHEMA) == 1200
+    assert store.ingest(str(tmp_path / "in"), "m1", SCHEMA) == 0
+    monkeypatch.undo()
+    assert max(collected) <= 2
+    found = store.table().agg(F.count("*").alias("n"), F.sum("seq").alias("s"), F.sum("v").alias("v")).first()
+    assert (found["n"], found["s"], found["v"]) == (1200, sum(range(1200)), sum(range(1200)) + 600.0)
+    assert store.log().agg(F.sum("row_count")).first()[0] == 1200
+
+
+def test_types_are_inferred_as_a_reader_would(spark, tmp_path):
+    path = write(
+        tmp_path / "x.csv", "i,l,d,t,b,s,n", "1,3000000000,1.5,2024-01-01 00:00:00,true,x,", "-2,1,2,2024-01-01 00:00:10,false,1,", ",,,,,,",
+    )
+    read = files.with_inferred_types(files.rows_of_header(spark, path, ["i", "l", "d", "t", "b", "s", "n"], None))
+    expected = spark.read.option("header", True).option("inferSchema", True).csv(path)
+    assert read.dtypes == expected.dtypes and read.collect() == expected.collect()
+
+
+def test_checksums_see_what_counts_do_not(spark, tmp_path):
+    rows = [(i, float(i % 5), f"x{i % 3}", {"k": i, "a": 1}) for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, v double, s string, m map<string,int>")
+    assert tables.overwrite_verified(df, str(tmp_path / "t")).first()["same_content"]
+    shuffled = df.repartition(7, "s").select("m", "s", "v", "id")
+    assert tables.verify_saved(shuffled.select(*df.columns), df).first()["same_content"]
+    for changed in (
+        df.withColumn("v", F.when(F.col("id") == 7, 9.0).otherwise(F.col("v"))),
+        df.withColumn("s", F.when(F.col("id") == 7, None).otherwise(F.col("s"))),
+        df.withColumn("v", F.col("id") % 5 + 0.0).filter("id > 0").unionByName(df.filter("id = 1")),
+        df.withColumn("m", F.when(F.col("id") == 3, F.create_map(F.lit("k"), F.lit(4))).otherwise(F.col("m"))),
+    ):
+        row = tables.verify_saved(changed, df).first()
+        assert row["same_count"] and not row["same_content"]
+    empty = tables.verify_saved(df.limit(0), df.limit(0)).first()
+    assert empty["same_content"] and empty["saved_rows"] == 0
