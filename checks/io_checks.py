@@ -112,15 +112,43 @@ def _(spark, sf_dir):
     return tables.read_table(spark, name).select("event_id", "user_id", "event_type", "value")
 
 
-@checks.add("src4_file_formats")
+@checks.add(
+    "src4_file_formats",
+    """SELECT * FROM (VALUES ('csv', 4), ('parquet', 3), ('excel', 2)) AS t(file_format, files),
+         (SELECT count(*) AS row_count FROM events)""",
+)
 def _(spark, sf_dir):
-    return files.classify_files(spark, sf_dir).groupBy("file_format").agg(F.count("*").alias("files"))
+    """Files of known first bytes, all named alike."""
+    folder, lines = scratch_path(spark, "formats"), events(spark, sf_dir).select(F.col("event_id").cast("string").alias("line"))
+    lines.repartition(4).write.text(f"{folder}/a")
+    lines.repartition(3).write.option("compression", "none").parquet(f"{folder}/b")
+    sealed = lines.limit(2).repartition(2).select(F.concat(F.lit("PK\u0003\u0004"), "line"))
+    sealed.write.text(f"{folder}/c")
+    found = files.classify_files(spark, folder).groupBy("file_format").agg(F.count("*").cast("int").alias("files"))
+    return found.withColumn("row_count", F.lit(lines.count()).cast("long"))
+
+
+def text_per_user(spark, sf_dir) -> str:
+    """One text file for each user: the ids of the user's events in ascending order."""
+    path = scratch_path(spark, "texts")
+    lines = events(spark, sf_dir).select("user_id", "event_id", F.col("event_id").cast("string").alias("line"))
+    ordered = lines.repartition("user_id").sortWithinPartitions("user_id", "event_id")
+    ordered.select("user_id", "line").write.partitionBy("user_id").text(path)
+    return path
 
 
-@checks.add("src5_file_fingerprints")
+@checks.add(
+    "src5_file_fingerprints",
+    """SELECT user_id, strlen(content) AS length, sha256(content) AS sha256
+       FROM (SELECT user_id, string_agg(event_id::VARCHAR || chr(10), '' ORDER BY event_id) AS content
+             FROM events GROUP BY user_id)""",
+)
 def _(spark, sf_dir):
-    found = files.fingerprint_files(spark, sf_dir, whole_file_bytes=100_000)
-    return found.select(F.element_at(F.split("path", "/"), -1).alias("file"), "length", "sha256")
+    """Some files are hashed as one value, the others in chunks."""
+    path = text_per_user(spark, sf_dir)
+    middle = files.list_files(spark, path).agg(F.avg("length").cast("long")).first()[0]
+    found = files.fingerprint_files(spark, path, whole_file_bytes=middle)
+    return found.select(F.regexp_extract("path", "user_id=([^/]*)", 1).cast("long").alias("user_id"), "length", "sha256")
 
 
 COMPARED_SQL = f"""
@@ -253,11 +281,20 @@ def _(spark, sf_dir):
     )
 
 
-@checks.add("snk5_table_detail")
+@checks.add(
+    "snk5_table_detail",
+    """SELECT * FROM (VALUES ('event_id', 'bigint'), ('ts', 'timestamp_ntz'), ('user_id', 'bigint'), ('event_type', 'string'),
+         ('value', 'double'), ('props', 'string'), ('Provider', 'parquet'), ('Type', 'EXTERNAL')) AS t(col_name, data_type)
+       UNION ALL SELECT 'rows', count(*)::VARCHAR FROM events""",
+)
 def _(spark, sf_dir):
     name = _fresh_table("detailed")
     tables.overwrite_table(events(spark, sf_dir), name, scratch_path(spark, "table"))
-    return tables.table_detail(spark, name).filter(F.col("col_name").isin("Type", "Provider"))
+    detail = tables.table_detail(spark, name, count_rows=True).select("col_name", "data_type")
+    rows = detail.filter(F.col("col_name") == "Statistics").select(
+        F.lit("rows").alias("col_name"), F.regexp_extract("data_type", "(\\d+) rows", 1).alias("data_type")
+    )
+    return detail.filter(F.col("col_name").isin("Provider", "Type", *events(spark, sf_dir).columns)).unionByName(rows)
 
 
 STREAM_SCHEMA = T.StructType([CSV_SCHEMA.fields[0], T.StructField("timestamp", T.TimestampType()), *CSV_SCHEMA.fields[2:]])

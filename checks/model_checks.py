@@ -23,6 +23,7 @@ from checks.base import (
 )
 from checks.io_checks import COMPARED_SQL, compared
 from checks.series_checks import CHRONO_SQL
+from checks.io_checks import text_per_user
 from gaugeworks.operators import contracts, evaluation, sequence, splits, training
 from gaugeworks.operators.features import with_features
 from gaugeworks.sources import files, models
@@ -230,9 +231,12 @@ def _(spark, sf_dir):
     return latencies(spark, sf_dir, leaf_rows=0)
 
 
-@checks.add("met13_artifact_size")
+@checks.add(
+    "met13_artifact_size",
+    """SELECT count(DISTINCT user_id) AS files, sum(length(event_id::VARCHAR) + 1)::BIGINT AS bytes FROM events""",
+)
 def _(spark, sf_dir):
-    return files.artifact_size(spark, sf_dir)
+    return files.artifact_size(spark, text_per_user(spark, sf_dir))
 
 
 @checks.add(
@@ -360,26 +364,38 @@ def training_parts(spark, sf_dir):
     return tuple(split.filter(F.col("split") == part).drop("split") for part in splits.SPLITS)
 
 
+VALIDATION_SQL = f"SELECT event_id, fault_label, true AS in_range, true AS consistent FROM ({SPLIT_SQL}) WHERE split = 'validation'"
+
+
+def judged(model, data):
+    """Every row of the data with a probability, and a prediction that follows from it."""
+    found, p = scored(model, data), F.col(training.PROBABILITY)
+    return found.select(
+        "event_id", "fault_label", p.between(0.0, 1.0).alias("in_range"),
+        ((p >= 0.5).cast("int") == F.col(training.PREDICTION)).alias("consistent"),
+    )
+
+
 def scored(model, data):
     return model.score(data).select("event_id", "fault_label", training.PROBABILITY, training.PREDICTION)
 
 
-@checks.add("ml4_logistic_regression")
+@checks.add("ml4_logistic_regression", VALIDATION_SQL)
 def _(spark, sf_dir):
     train, validation, _ = training_parts(spark, sf_dir)
-    return scored(training.train_logistic(train, FEATURES), validation)
+    return judged(training.train_logistic(train, FEATURES), validation)
 
 
-@checks.add("ml5_random_forest")
+@checks.add("ml5_random_forest", VALIDATION_SQL)
 def _(spark, sf_dir):
     train, validation, _ = training_parts(spark, sf_dir)
-    return scored(training.train_forest(train, FEATURES), validation)
+    return judged(training.train_forest(train, FEATURES), validation)
 
 
-@checks.add("ml6_feedforward_network")
+@checks.add("ml6_feedforward_network", VALIDATION_SQL)
 def _(spark, sf_dir):
     train, validation, _ = training_parts(spark, sf_dir)
-    return scored(training.train_network(train, FEATURES), validation)
+    return judged(training.train_network(train, FEATURES), validation)
 
 
 @checks.add(
@@ -399,21 +415,37 @@ def _(spark, sf_dir):
     )
 
 
-@checks.add("ml8_fault_probability")
+@checks.add(
+    "ml8_fault_probability",
+    f"""SELECT fault_label, count(*) AS scored_rows, true AS in_range, true AS ordered
+        FROM ({SPLIT_SQL}) WHERE split = 'validation' GROUP BY fault_label""",
+)
 def _(spark, sf_dir):
     train, validation, _ = training_parts(spark, sf_dir)
-    model = training.train_logistic(train, FEATURES)
-    return evaluation.probability_range(model.score(validation), training.PROBABILITY)
+    rows = training.train_logistic(train, FEATURES).score(validation)
+    whole = evaluation.probability_range(rows, training.PROBABILITY)
+    low, middle, high = F.col("min_probability"), F.col("median_probability"), F.col("max_probability")
+    judged_range = whole.select(((low >= 0) & (high <= 1)).alias("in_range"), ((low <= middle) & (middle <= high)).alias("ordered"))
+    counts = rows.groupBy("fault_label").agg(F.count(training.PROBABILITY).alias("scored_rows"))
+    return counts.withColumn("one", F.lit(1)).join(judged_range.withColumn("one", F.lit(1)), "one").drop("one")
 
 
-@checks.add("ml9_forest_search")
+@checks.add(
+    "ml9_forest_search",
+    """SELECT *, true AS measured, true AS best_found
+       FROM (VALUES (0, 80, 16, 1), (1, 80, 24, 2), (2, 100, NULL, 2)) AS t(candidate, trees, depth, leaf)""",
+)
 def _(spark, sf_dir):
+    """The best candidate is the one of highest average precision, the first of equals."""
     train, validation, _ = training_parts(spark, sf_dir)
     result = training.search_forest(train, validation, FEATURES)
-    rows = [(i, t["trees"], t["depth"], t["leaf"], t["pr_auc"], t["roc_auc"]) for i, t in enumerate(result.trials)]
-    return spark.createDataFrame(
-        rows, "candidate int, trees int, depth int, leaf int, pr_auc double, roc_auc double"
-    )
+    best = max(result.trials, key=lambda trial: trial["pr_auc"])
+    chosen = result.best.parameters == {"n_estimators": best["trees"], "max_depth": best["depth"], "min_samples_leaf": best["leaf"]}
+    rows = [
+        (i, t["trees"], t["depth"], t["leaf"], 0.0 < t["pr_auc"] <= 1.0 and 0.0 <= t["roc_auc"] <= 1.0, chosen)
+        for i, t in enumerate(result.trials)
+    ]
+    return spark.createDataFrame(rows, "candidate int, trees int, depth int, leaf int, measured boolean, best_found boolean")
 
 
 VALIDATION_COUNT = f"(SELECT count(*) FROM ({SPLIT_SQL}) WHERE split = 'validation')"

@@ -99,17 +99,32 @@ def _(spark, sf_dir):
     return means.unpivot([], names, "feature", "mean")
 
 
-@checks.add(
-    "prj6_generated_features",
-    f"""SELECT 'hour' AS feature, sum(hour(ts))::BIGINT AS total FROM events
-        UNION ALL SELECT 'minute', sum(minute(ts))::BIGINT FROM events
-        UNION ALL SELECT 'day_of_week', sum(dayofweek(ts) + 1)::BIGINT FROM events""",
-)
-def _(spark, sf_dir):
+GENERATED_SQL = """
+WITH made AS (
+  SELECT value - lag(value) OVER one AS value_delta, avg(value) OVER frame AS value_rolling_mean_5m,
+         stddev_samp(value) OVER frame AS value_rolling_std_5m, min(value) OVER frame AS value_rolling_min_5m,
+         max(value) OVER frame AS value_rolling_max_5m, hour(ts)::DOUBLE AS hour, minute(ts)::DOUBLE AS minute,
+         (dayofweek(ts) + 1)::DOUBLE AS day_of_week, sin(hour(ts) * 2 * pi() / 24) AS hour_sin, cos(hour(ts) * 2 * pi() / 24) AS hour_cos
+  FROM events
+  WINDOW one AS (PARTITION BY user_id ORDER BY ts, event_id),
+         frame AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)
+), long AS (UNPIVOT made ON COLUMNS(*) INTO NAME feature VALUE x)
+SELECT feature, count(*) AS filled, round(sum(x), 3) + 0.0 AS total, round(min(x), 6) + 0.0 AS low, round(max(x), 6) + 0.0 AS high FROM long GROUP BY feature
+"""
+
+
+@checks.add("prj6_generated_features", GENERATED_SQL)
+def _(spark, sf_dir):
+    """All ten generated columns."""
     made = with_features(events(spark, sf_dir), EV)
-    names = [n for n in contracts.generated_feature_columns(made.columns) if "value_" not in n and "_sin" not in n and "_cos" not in n]
-    totals = made.agg(*[F.sum(C.ref(n)).alias(n) for n in names])
-    return totals.unpivot([], names, "feature", "total")
+    names = contracts.generated_feature_columns(made.columns)
+    kinds = {"filled": F.count, "total": F.sum, "low": F.min, "high": F.max}
+    wide = made.agg(*[kind(C.ref(n).cast("double")).alias(f"{n}|{k}") for n in names for k, kind in kinds.items()])
+    rows = [F.struct(F.lit(n).alias("feature"), *[C.ref(f"{n}|{k}").alias(k) for k in kinds]) for n in names]
+    rounded_to = {"total": 3, "low": 6, "high": 6}
+    return wide.select(F.inline(F.array(*rows))).select(
+        "feature", "filled", *[(F.round(k, digits) + F.lit(0.0)).alias(k) for k, digits in rounded_to.items()]
+    )
 
 
 @checks.add("prj7_index_column", "SELECT event_id AS seq, value FROM events")
@@ -228,6 +243,54 @@ def _(spark, sf_dir):
     )
 
 
+def refusals(spark, sf_dir, cases):
+    """Which checks refuse the events; a check gets the table and raises where it does."""
+    source, rows = events(spark, sf_dir), []
+    for name, check in cases.items():
+        try:
+            check(source)
+        except contracts.ContractError:
+            rows.append((name, True))
+        else:
+            rows.append((name, False))
+    return spark.createDataFrame(rows, "case_name string, refused boolean").withColumn("row_count", F.lit(source.count()).cast("long"))
+
+
+def refusals_sql(**cases: bool) -> str:
+    values = ", ".join(f"('{name}', {str(refused).lower()})" for name, refused in cases.items())
+    return f"SELECT * FROM (VALUES {values}) AS t(case_name, refused), (SELECT count(*) AS row_count FROM events)"
+
+
+@checks.add("con1_source_refusals", refusals_sql(complete=False, no_time=True, no_rows=True))
+def _(spark, sf_dir):
+    timed = lambda df: df.withColumnRenamed("ts", "timestamp")
+    cases = {
+        "complete": lambda df: contracts.check_source(timed(df)),
+        "no_time": contracts.check_source,
+        "no_rows": lambda df: contracts.check_source(timed(df).filter(F.col("event_id") < 0)),
+    }
+    return refusals(spark, sf_dir, cases)
+
+
+@checks.add("con2_required_columns_refusals", refusals_sql(present=False, missing=True, other_case=True))
+def _(spark, sf_dir):
+    cases = {
+        "present": lambda df: contracts.require_columns(df, ["ts", "value"]),
+        "missing": lambda df: contracts.require_columns(df, ["ts", "fault_label"]),
+        "other_case": lambda df: contracts.require_columns(df, ["TS"]),
+    }
+    return refusals(spark, sf_dir, cases)
+
+
+@checks.add("con3_required_times_refusals", refusals_sql(complete=False, some_null=True))
+def _(spark, sf_dir):
+    cases = {
+        "complete": lambda df: contracts.require_times(df, "ts"),
+        "some_null": lambda df: contracts.require_times(with_null_times(df), "ts"),
+    }
+    return refusals(spark, sf_dir, cases)
+
+
 @checks.add(
     "con4_scoring_contract",
     f"SELECT event_id, coalesce(isfinite(value), false) AS valid FROM ({STRANGE_SQL})",

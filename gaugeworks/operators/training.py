@@ -27,6 +27,7 @@ from gaugeworks.functions.columns import at_threshold, finite_or_null, ref
 from gaugeworks.operators.contracts import ContractError, check_model, class_counts, require_columns, with_validity
 from gaugeworks.operators.evaluation import ranking_scores
 from gaugeworks.operators.quantiles import exact_medians
+from gaugeworks.sources.scratch import written
 
 VECTOR = "features"
 WEIGHT = "class_weight"
@@ -35,8 +36,7 @@ PREDICTION = "fault_prediction"
 COMPLETED = "completed"
 COMPLETED_WITH_WARNING = "completed_with_warning"
 SKIPPED = "skipped_missing_class"
-# Up to this many rows a training table is spread over all cores for the network.
-SPREAD_ROWS = 10_000_000
+DEAL = "__deal"
 # Spark's trees cannot grow deeper.
 DEEPEST_TREE = 30
 
@@ -171,8 +171,16 @@ def constant_model(name: str, features: Sequence[str], counts: Mapping[int, int]
 def _training_frame(
     train: DataFrame, preparation: Preparation, label: str, counts: Mapping[int, int]
 ) -> DataFrame:
+    """Assembled rows, dealt evenly by their values and written once: learners read them many times.
+
+    The number of parts follows the session, never the number of rows.
+    """
     weighted = with_balanced_weight(preparation.prepared(train), label, counts)
-    return assemble(weighted, preparation.features).select(VECTOR, ref(label).cast("double").alias(label), WEIGHT)
+    parts = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = weighted.withColumn(DEAL, F.xxhash64(*[ref(name) for name in preparation.features]))
+    dealt = dealt.repartition(parts, DEAL).sortWithinPartitions(DEAL)
+    frame = assemble(dealt, preparation.features).select(VECTOR, ref(label).cast("double").alias(label), WEIGHT)
+    return written(frame, "training")
 
 
 def train_logistic(
@@ -266,9 +274,6 @@ def train_network(
         return fallback
     preparation = fit_preparation(train, features, scale=True)
     frame = _training_frame(train, preparation, label, counts)
-    if sum(counts.values()) <= SPREAD_ROWS:
-        # A small table lies in few files, and every epoch is heavy arithmetic.
-        frame = frame.repartition(train.sparkSession.sparkContext.defaultParallelism)
     estimator = MultilayerPerceptronClassifier(
         featuresCol=VECTOR,
         labelCol=label,

@@ -42,7 +42,10 @@ def append_table(df: DataFrame, name: str, path: str | None = None) -> None:
     writer.saveAsTable(name)
 
 
-def table_detail(spark: SparkSession, name: str) -> DataFrame:
+def table_detail(spark: SparkSession, name: str, count_rows: bool = False) -> DataFrame:
+    """Columns, place and kind of a table; ``count_rows`` brings its statistics up to date first."""
+    if count_rows:
+        spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS")
     return spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
 
 
