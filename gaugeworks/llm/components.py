@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeworks.sources.scratch import written
+from gaugeworks.sources.scratch import drop_written, written
 
 MAX_ROUNDS = 60
 
@@ -36,8 +36,9 @@ def connected_components(edges: DataFrame, label: str = "components") -> DataFra
             .unionByName(linked.filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b")))
             .distinct()
         )
-        current = written(small, label)
+        before, current = current, written(small, label)
         known, state = state, _state(current)
+        drop_written(before)
         if state == known:
             break
     else:

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from gaugeworks.functions.columns import ref
 from gaugeworks.llm.components import connected_components
 from gaugeworks.llm.frames import Batches, batches_of, batches_up_to, forget_shuffles, text_bytes
-from gaugeworks.sources.scratch import written
+from gaugeworks.sources.scratch import drop_written, written
 
 BITS = 64
 SEED = 42
@@ -278,12 +278,12 @@ def near_duplicate_groups(
 
 # --- similarity of shingle sets -----------------------------------------------------------
 
-#: Sign bits of a set: so many fingerprints of independent hashes of its shingles.
-LANES = 13
+#: Hashes of a set's shingles whose minimum lets near copies meet before all others.
+FIRST_LANES = 3
 #: Nodes that share a shingle meet in blocks of work of about twice so many.
 SHINGLE_NODES = 512
-#: A set has a parity sketch of about as many bits as shingles, between these.
-SKETCH_BITS = (64, 1_024)
+#: A set has a parity sketch of about as many bits as shingles, and so many at least.
+SKETCH_BITS = 64
 #: Shingles of at least ``HOT_COUNT`` of ``HOT_SAMPLE`` sets come last in the order; this decides speed only.
 HOT_SAMPLE, HOT_COUNT, HOT_SHINGLES = 4_000, 8, 65_536
 #: Links a node may propose per block and round, nearest first; all that are left in the last.
@@ -292,7 +292,7 @@ NEAREST = (4, 32, 256, None)
 BATCH_BYTES = 8 << 20
 
 
-def lane_hashes(hashes: np.ndarray, lanes: int = LANES) -> np.ndarray:
+def lane_hashes(hashes: np.ndarray, lanes: int) -> np.ndarray:
     """Independent hashes of the same shingles, a row per lane."""
     salts = np.random.default_rng(SEED).integers(1, 1 << 63, lanes, np.uint64)[:, None]
     with np.errstate(over="ignore"):
@@ -302,21 +302,6 @@ def lane_hashes(hashes: np.ndarray, lanes: int = LANES) -> np.ndarray:
         return mixed ^ (mixed >> np.uint64(31))
 
 
-def sign_bits(hashes: np.ndarray) -> bytes:
-    """The majority bits of every lane, end to end."""
-    counts = np.zeros((LANES, BITS), np.int64)
-    for begin in range(0, len(hashes), _SLICE):
-        counts += bit_counts(lane_hashes(hashes[begin : begin + _SLICE]))
-    return np.packbits(counts * 2 > len(hashes), axis=1).tobytes()
-
-
-def estimated_similarity(left: bytes, right: bytes) -> float:
-    """Jaccard similarity from the share of sign bits that differ."""
-    differing = (int.from_bytes(left, "big") ^ int.from_bytes(right, "big")).bit_count()
-    cosine = math.cos(math.pi * min(0.5, differing / (8 * len(left))))
-    return cosine / (2 - cosine)
-
-
 def packed_set(text: bytes, words: int) -> np.ndarray:
     """The set of shingles as ascending 32-bit hashes."""
     return np.unique((shingle_hashes(text, words) >> np.uint64(32)).astype(np.uint32))
@@ -329,8 +314,7 @@ def prefix_length(size: int, similarity: float) -> int:
 
 def parity_sketch(values: np.ndarray) -> bytes:
     """Per bit whether an odd number of shingles fall on it: two sets differ in at least as many shingles as bits."""
-    least, most = SKETCH_BITS
-    size = min(most, max(least, 1 << (len(values) - 1).bit_length()))
+    size = max(SKETCH_BITS, 1 << (len(values) - 1).bit_length())
     return np.packbits(np.bincount(values & np.uint32(size - 1), minlength=size) & 1, bitorder="little").tobytes()
 
 
@@ -445,26 +429,104 @@ def proposed_links(group: dict[str, np.ndarray], similarity: float, nearest: int
     return np.argwhere(np.triu(wanted | wanted.T)), whole
 
 
+_BLOCK_KEY = ["shingle", "i", "j"]
+
+
 def _proposals(work: DataFrame, similarity: float, nearest: int | None) -> DataFrame:
-    """``a, b``: the links that the blocks propose; ``a = b`` where a block has more."""
-    key = ["shingle", "i", "j"]
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    """``a, b``: the links that the blocks propose; ``shingle, i, j`` of the blocks that have more."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("shingle", pa.int32()), ("i", pa.int32()), ("j", pa.int32())])
 
     def searched(batches: Batches) -> Batches:
         def links():
-            for group in _groups(batches, key):
+            for group in _groups(batches, _BLOCK_KEY):
                 if group["root"].min() == group["root"].max():
                     continue
                 node = group["node"]
                 pairs, whole = proposed_links(group, similarity, nearest)
                 if not whole:
-                    yield int(node[0]), int(node[0])
+                    yield (None, None, *(int(group[name][0]) for name in _BLOCK_KEY))
                 ends = np.sort(node[pairs], axis=1)
-                yield from zip(ends[:, 0].tolist(), ends[:, 1].tolist())
+                yield from ((a, b, None, None, None) for a, b in zip(ends[:, 0].tolist(), ends[:, 1].tolist()))
 
         yield from batches_of(schema, links(), 10_000)
 
-    return work.repartition(*key).sortWithinPartitions(*key).mapInArrow(searched, "a long, b long").distinct()
+    kind = "a long, b long, shingle int, i int, j int"
+    return work.repartition(*_BLOCK_KEY).sortWithinPartitions(*_BLOCK_KEY).mapInArrow(searched, kind).distinct()
+
+
+def _first_pairs(nodes: DataFrame, similarity: float) -> DataFrame:
+    """``a, b``: every set beside one that has a minimal shingle and about the size in common with it.
+
+    As many pairs as sets and lanes at most, whatever the groups: most near
+    copies are joined by them, so that the exact search has few sets left to
+    tell apart.
+    """
+    schema = pa.schema([("lane", pa.int32()), ("least", pa.int64()), ("band", pa.int32()), ("node", pa.int64()), ("n", pa.int32())])
+
+    def minima(batches: Batches) -> Batches:
+        def rows():
+            for batch in batches:
+                for node, n, packed in zip(*(batch.column(name).to_pylist() for name in ("node", "n", "shingles"))):
+                    hashes = lane_hashes(np.frombuffer(packed, np.uint32).astype(np.uint64), FIRST_LANES).min(1)
+                    band = int(math.log(n) / -math.log(similarity)) if similarity < 1 else n
+                    for lane, least in enumerate(hashes.view(np.int64).tolist()):
+                        yield lane, least, band, node, n
+
+        yield from batches_of(schema, rows(), 20_000)
+
+    key = ["lane", "least", "band"]
+    found = nodes.select("node", "n", "shingles").mapInArrow(minima, "lane int, least long, band int, node long, n int")
+    firsts = found.groupBy(*key).agg(F.min(F.struct("node", "n")).alias("first"), F.count("*").alias("size")).filter("size > 1")
+    alike = F.least("n", F.col("first.n")) >= similarity * F.greatest("n", F.col("first.n")) - 1e-3
+    return found.join(firsts, key).filter((F.col("node") != F.col("first.node")) & alike).select(
+        F.least("node", F.col("first.node")).alias("a"), F.greatest("node", F.col("first.node")).alias("b")
+    ).distinct()
+
+
+def _sketched(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """The pairs that sketches and sizes do not rule out."""
+    own = nodes.select("node", "n", "sketch")
+    sides = [own.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("sketch").alias(f"sketch_{side}")) for side in "ab"]
+
+    def kept(batches: Batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for n_a, n_b, one, other in zip(*(batch.column(name).to_pylist() for name in ("n_a", "n_b", "sketch_a", "sketch_b"))):
+                short, long = sorted((np.frombuffer(side, np.uint8) for side in (one, other)), key=len)
+                folded = np.bitwise_xor.reduce(long.reshape(-1, len(short)), axis=0)
+                distance = int(np.bitwise_count(folded ^ short).sum())
+                keep.append(distance <= (n_a + n_b) * ((1 - similarity) / (1 + similarity)) + 1e-2)
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(kept, "a long, b long")
+
+
+def _counted_links(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """A written table of the pairs that are similar by their shingles."""
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    packed = written(nodes.select("node", "shingles").join(needed, "node", "left_semi"), "shingles")
+    sided = pairs.join(packed.select(F.col("node").alias("a"), F.col("shingles").alias("left")), "a").join(
+        packed.select(F.col("node").alias("b"), F.col("shingles").alias("right")), "b"
+    )
+    good = written(_similar(sided.select("a", "b", "left", "right"), "a long, b long", similarity), "similar-pairs")
+    drop_written(packed)
+    return good
+
+
+def _joined(roots: DataFrame | None, links: DataFrame) -> DataFrame:
+    """A written table ``node, root`` after some more links; only the groups they join are worked on again."""
+    if roots is None:
+        return written(connected_components(links, "similar"), "roots")
+    ends = links
+    for side in "ab":
+        known = roots.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
+        ends = ends.join(known, side, "left").withColumn(f"root_{side}", F.coalesce(f"root_{side}", side))
+    between = ends.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")).filter("a != b").distinct()
+    merged = connected_components(between, "similar").select(F.col("node").alias("old"), F.col("root").alias("new"))
+    moved = roots.join(merged, F.col("root") == F.col("old"), "left").select("node", F.coalesce("new", "root").alias("root"))
+    # A root that stood alone is in no table yet.
+    alone = merged.join(roots, F.col("old") == F.col("node"), "left_anti").select(F.col("old").alias("node"), F.col("new").alias("root"))
+    return written(moved.unionByName(alone), "roots")
 
 
 def _similar(pairs: DataFrame, columns: str, similarity: float) -> DataFrame:
@@ -492,31 +554,35 @@ def similar_links(nodes: DataFrame, similarity: float, shingle_nodes: int = SHIN
     rounds end when no block has a pair left that is neither joined nor counted.
     """
     spark = nodes.sparkSession
-    members = prefix_members(nodes, similarity, _hot_shingles(nodes))
-    members = written(_blocks_of_work(members, ["shingle"], shingle_nodes), "shingle-members", compression="zstd")
+    # The nearest first: most near copies are one group before any two of them are searched for.
+    known = written(_first_pairs(nodes, similarity), "candidates")
+    good = _counted_links(_sketched(known, nodes, similarity), nodes, similarity)
+    roots = _joined(None, good)
+    drop_written(good)
+    forget_shuffles(spark)
+    members = written(prefix_members(nodes, similarity, _hot_shingles(nodes)), "prefixes", compression="zstd")
+    # Sets that are one group already need not meet again.
+    rooted = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    several = rooted.groupBy("shingle").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least != most").select("shingle")
+    work = written(_blocks_of_work(members.join(several, "shingle", "left_semi"), ["shingle"], shingle_nodes), "shingle-members", compression="zstd")
+    drop_written(members)
     forget_shuffles(spark)
-    roots = linked = known = None
+    unfinished = None
     for nearest in NEAREST:
-        own = nodes.select("node", "sketch")
-        if roots is None:
-            own = own.withColumn("root", F.col("node"))
-        else:
-            own = own.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        found = written(_proposals(members.join(own, "node"), similarity, nearest), "candidates")
-        pairs = found.filter("a != b")
-        pairs = pairs if known is None else pairs.join(known, ["a", "b"], "left_anti")
-        needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        packed = written(nodes.select("node", "shingles").join(needed, "node", "left_semi"), "shingles")
-        sided = pairs.join(packed.select(F.col("node").alias("a"), F.col("shingles").alias("left")), "a").join(
-            packed.select(F.col("node").alias("b"), F.col("shingles").alias("right")), "b"
-        )
-        good = written(_similar(sided.select("a", "b", "left", "right"), "a long, b long", similarity), "similar-pairs")
-        linked = good if linked is None else linked.unionByName(good)
-        known = found if known is None else known.unionByName(found)
-        roots = connected_components(linked, "similar")
+        own = nodes.select("node", "sketch").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        left = work if unfinished is None else work.join(unfinished, _BLOCK_KEY, "left_semi")
+        found = written(_proposals(left.join(own, "node"), similarity, nearest), "candidates")
+        pairs = found.filter("a IS NOT NULL").select("a", "b")
+        good = _counted_links(pairs.join(known, ["a", "b"], "left_anti"), nodes, similarity)
+        before, roots = roots, _joined(roots, good)
+        drop_written(before)
+        drop_written(good)
+        known = known.unionByName(pairs)
+        unfinished = found.filter("a IS NULL").select(*_BLOCK_KEY)
         forget_shuffles(spark)
-        if found.filter("a = b").isEmpty():
+        if unfinished.isEmpty():
             break
+    drop_written(work)
     return roots
 
 
@@ -537,6 +603,7 @@ def similar_groups(
         nodes = written(sets.groupBy("node").agg(*first), "set-nodes", compression="zstd")
         forget_shuffles(spark)
         roots = similar_links(nodes, similarity)
+        drop_written(nodes)
     rows = found.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     order = F.struct(F.col("id").isNull(), "id", "same")
     chosen = rows.groupBy("root").agg(F.min(order).alias("first"))

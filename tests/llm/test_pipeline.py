@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from gaugeworks.llm.decontamination import normalized
-from gaugeworks.llm.simhash import drop_near_duplicates, estimated_similarity, shingle_hashes, sign_bits, similar_groups
+from gaugeworks.llm.simhash import drop_near_duplicates, similar_groups
 from tests.llm.brute import WORD, documents
 from tests.llm.test_lines import brute as brute_lines
 from tests.llm.test_tokens import check_packing
@@ -85,15 +85,43 @@ def test_planted_near_copies_are_found(spark):
     assert sorted(set(groups.values())) == brute_keepers(rows)
 
 
-def test_estimates_of_similarity():
-    random.seed(1)
-    words = [f"w{i}" for i in range(3000)]
-    for share in (0.0, 0.01, 0.05):
-        edited = [w if random.random() > share else w + "x" for w in words]
-        a, b = " ".join(words), " ".join(edited)
-        true = len(shingles(a) & shingles(b)) / len(shingles(a) | shingles(b))
-        found = estimated_similarity(*(sign_bits(shingle_hashes(t.encode(), 5)) for t in (a, b)))
-        assert found == pytest.approx(true, abs=0.09)
+def edited_copies(words, copies, edits, seed):
+    rng = random.Random(seed)
+    texts = []
+    for copy in range(copies):
+        edited = list(words)
+        for at in rng.sample(range(len(words)), edits):
+            edited[at] = f"e{copy}x{at}"
+        texts.append(" ".join(edited))
+    return texts
+
+
+def test_independent_copies_of_one_text(spark):
+    """Copies are similar to the original, hardly to each other: one group, through the original."""
+    words = [f"w{i}" for i in range(1000)]
+    rows = list(enumerate(edited_copies(words, 150, 20, 3) + [" ".join(words)]))
+    groups = {r.id: r.component_id for r in similar_groups(documents(spark, rows)).collect()}
+    assert sorted(set(groups.values())) == brute_keepers(rows) == [0]
+
+
+def test_copies_just_below_the_limit_stay_apart(spark):
+    """Three hundred texts that share most shingles, no two of them enough; beside them two that do."""
+    words = [f"w{i}" for i in range(700)]
+    rows = list(enumerate(edited_copies(words, 300, 20, 4)))
+    rows += [(1000, rows[7][1] + " one word"), (1001, rows[9][1] + " two more words")]
+    kept = sorted(r.doc_id for r in drop_near_duplicates(documents(spark, rows)).collect())
+    assert kept == brute_keepers(rows) and 299 <= len(kept) < 302
+
+
+def test_long_texts_that_share_a_shingle(spark):
+    rows = []
+    for number in range(60):
+        words = [f"t{number}w{i}" for i in range(3000)]
+        words[100:105] = "the one shingle they share".split()
+        rows.append((number, " ".join(words)))
+    rows += [(100 + number, text.replace("w2000 ", "x ").replace("w50 ", "y ")) for number, text in rows[:3]]
+    kept = sorted(r.doc_id for r in drop_near_duplicates(documents(spark, rows)).collect())
+    assert kept == list(range(60))
 
 
 def test_stages_one_by_one(spark):
