@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from gaugeworks.functions.columns import ref
 from gaugeworks.llm.components import connected_components
 from gaugeworks.llm.frames import Batches, batches_of, batches_up_to, forget_shuffles, text_bytes
+from gaugeworks.llm.tokens import forget_encoders
 from gaugeworks.sources.scratch import drop_written, written
 
 BITS = 64
@@ -289,7 +290,7 @@ HOT_SAMPLE, HOT_COUNT, HOT_SHINGLES = 4_000, 8, 65_536
 #: Links a node may propose per block and round, nearest first; all that are left in the last.
 NEAREST = (4, 32, 256, None)
 #: What moves between Spark and a worker at a time.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def lane_hashes(hashes: np.ndarray, lanes: int) -> np.ndarray:
@@ -323,6 +324,7 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, words: int, with_shingles
     rows = docs.select(ref(id_col).alias("id"), F.xxhash64(ref(text_col)).alias("same"), text_bytes(text_col).alias("text"))
 
     def hashed(batches: Batches) -> Iterator[pa.RecordBatch]:
+        forget_encoders()
         for batch in batches:
             sets = [packed_set(text.as_py(), words) for text in batch.column("text")]
             nodes = pa.array([signed(xxhash.xxh3_64_intdigest(found.tobytes())) for found in sets], pa.int64())

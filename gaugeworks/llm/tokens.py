@@ -228,3 +228,8 @@ def worker_encoder(path: str, counts_only: bool, frequent=None) -> ChunkEncoder:
         _encoders.clear()
         _encoders[key] = ChunkEncoder(path, counts_only, None if frequent is None else frequent.table())
     return _encoders[key]
+
+
+def forget_encoders() -> None:
+    """Let a worker that has other work give back the tables of its encoder."""
+    _encoders.clear()
