@@ -329,6 +329,31 @@ def _(spark, sf_dir):
     return log.join(rows, "machine_id")
 
 
+@checks.add(
+    "set1_stream_without_copies",
+    """SELECT 'accepted' AS route, count(*) AS row_count, count(DISTINCT event_id) AS distinct_rows FROM events WHERE event_id % 97 != 0
+       UNION ALL SELECT 'rejected', 2 * count(*), count(*) FROM events WHERE event_id % 97 = 0
+       UNION ALL SELECT 'late', count(*), count(DISTINCT event_id) FROM events WHERE event_id % 50 = 0""",
+)
+def _(spark, sf_dir):
+    """All readings arrive twice, in batches of files; with the second lot come readings of a year before."""
+    arrived, out, state = (scratch_path(spark, label) for label in ("arrived", "unique", "state"))
+    first = csv_copy(spark, sf_dir, broken=True, parts=4)
+    names = sorted(row["path"] for row in files.list_files(spark, first).select("path").collect())
+    old = spark.read.option("header", True).csv(csv_copy(spark, sf_dir)).filter(F.col("_c0").cast("long") % 50 == 0)
+    past = F.date_format(F.col("timestamp").cast("timestamp") - F.expr("INTERVAL 365 DAYS"), "yyyy-MM-dd HH:mm:ss")
+    late = scratch_path(spark, "late")
+    old.withColumns({"timestamp": past, "_c0": -F.col("_c0").cast("long")}).write.option("header", True).csv(late)
+    lots = (names, [*names, *sorted(row["path"] for row in files.list_files(spark, late).select("path").collect())])
+    for step, lot in enumerate(lots):
+        for number, name in enumerate(lot):
+            copy_file(spark, name, f"{arrived}/{step}-{number}.csv")
+        stream = streaming.stream_csv(spark, arrived, STREAM_SCHEMA)
+        streaming.run_unique(stream, "timestamp", ["seq", "timestamp", "user_id", "value"], out, state, 100 * 86_400)
+    found = spark.read.parquet(out).groupBy("route")
+    return found.agg(F.count("*").alias("row_count"), F.count_distinct("seq").alias("distinct_rows"))
+
+
 @checks.add(
     "flt2_stream_quarantine",
     """SELECT event_id AS seq, CASE WHEN event_id % 97 = 0 THEN 'rejected' ELSE 'accepted' END AS route FROM events""",

@@ -6,15 +6,19 @@ source remembers which files were read, the ingest log which contents landed.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from datetime import timedelta
+from functools import reduce
+from operator import and_
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugeworks.functions.columns import ref
 from gaugeworks.operators.contracts import ContractError
-from gaugeworks.operators.quality import with_verdict
+from gaugeworks.operators.quality import ACCEPTED, missing_time_rule, with_verdict
 from gaugeworks.sources.files import CORRUPT, FILE, TIME_PATTERN, file_of_row, hashed_files, in_header_order, list_files, read_headers
 from gaugeworks.sources.landing import Landing
 from gaugeworks.sources.scratch import written
@@ -114,3 +118,74 @@ def run_quarantine(df: DataFrame, rules: dict[str, Column], path: str, checkpoin
         .start()
     )
     query.awaitTermination()
+
+
+LATE = "late"
+
+
+def run_unique(
+    df: DataFrame,
+    time: str,
+    keys: Sequence[str],
+    path: str,
+    checkpoint: str,
+    lateness_seconds: int,
+    rules: dict[str, Column] | None = None,
+) -> None:
+    """Readings of a stream without copies, in ``path`` with a ``route``: accepted, rejected or late.
+
+    A reading is a copy if an accepted one has the same ``keys`` (nulls are
+    equal), in the same batch or an earlier one.  Readings more than
+    ``lateness_seconds`` older than the newest of earlier batches are routed to
+    ``late`` instead of being lost, so a batch is compared only with what has
+    been accepted since then: the work of a batch is bounded by that horizon,
+    however long the table grows.  Readings that a rule rejects, a missing time
+    among them, keep their reasons and take no part.
+
+    What a stateful operator would keep in memory is the table itself and one
+    mark per batch.  Each batch is written under its number and looks only at
+    smaller ones, so a replayed batch replaces itself.
+    """
+    checked = {**missing_time_rule(time), **(rules or {})}
+    marks = f"{path.rstrip('/')}_marks"
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        judged = with_verdict(batch, checked)
+        newest = _earlier(spark, marks, "newest timestamp", number).agg(F.max("newest").alias("newest"))
+        seen = newest.first()["newest"]
+        since = None if seen is None else seen - timedelta(seconds=lateness_seconds)
+        moment = ref(time).cast("timestamp")
+        if since is not None:
+            late = (F.col("route") == ACCEPTED) & (moment < F.lit(since))
+            judged = judged.withColumn("route", F.when(late, LATE).otherwise(F.col("route")))
+        fresh = judged.filter(F.col("route") == ACCEPTED).dropDuplicates(list(keys))
+        if since is not None:
+            known = _earlier(spark, path, judged.schema, number).filter((F.col("route") == ACCEPTED) & (moment >= F.lit(since)))
+            known = known.select(*[ref(name).alias(f"__k{i}") for i, name in enumerate(keys)])
+            same = reduce(and_, [ref(name).eqNullSafe(F.col(f"__k{i}")) for i, name in enumerate(keys)])
+            fresh = fresh.join(known, same, "left_anti")
+        routed = fresh.unionByName(judged.filter(F.col("route") != ACCEPTED))
+        routed.write.mode("overwrite").partitionBy("route").parquet(f"{path}/batch={number}")
+        arrived = batch.agg(F.max(moment).alias("newest"))
+        arrived.write.mode("overwrite").parquet(f"{marks}/batch={number}")
+
+    query = (
+        df.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
+def _earlier(spark: SparkSession, path: str, schema: T.StructType | str, number: int) -> DataFrame:
+    """What batches before this one have written; nothing if there is none."""
+    kinds = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    full = T.StructType([*kinds.fields, T.StructField("batch", T.LongType())])
+    try:
+        return spark.read.schema(full).parquet(path).filter(F.col("batch") < number)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], full)
+        raise

@@ -291,3 +291,50 @@ def test_checksums_see_what_counts_do_not(spark, tmp_path):
         assert row["same_count"] and not row["same_content"]
     empty = tables.verify_saved(df.limit(0), df.limit(0)).first()
     assert empty["same_content"] and empty["saved_rows"] == 0
+
+
+def unique_into(spark, folder, out, state, lateness=60):
+    streaming.run_unique(streaming.stream_csv(spark, folder, SCHEMA), "timestamp", ["seq", "timestamp", "v"], out, state, lateness)
+
+
+def routed(spark, out):
+    return sorted((r["seq"], r["route"]) for r in spark.read.parquet(out).collect())
+
+
+def test_stream_without_copies_and_with_late_rows(spark, tmp_path):
+    folder, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
+    head, at = "seq,timestamp,v", "2024-01-01 00:0"
+    write(folder / "a.csv", head, f"1,{at}1:00,1.5", f"2,{at}2:00,", f"1,{at}1:00,1.5", f"2,{at}2:00,", "3,never,1.0", "3,never,1.0")
+    unique_into(spark, str(folder), out, state)
+    assert routed(spark, out) == [(1, "accepted"), (2, "accepted"), (3, "rejected"), (3, "rejected")]
+    # The newest is 2:00, so 1:00 is the oldest that is not late: a copy of it is found, an older reading is routed.
+    write(folder / "b.csv", head, f"1,{at}1:00,1.5", f"2,{at}2:00,", f"4,{at}0:59,9.0", f"5,{at}1:00,9.0", f"6,{at}9:00,1.0")
+    unique_into(spark, str(folder), out, state)
+    expected = [(1, "accepted"), (2, "accepted"), (3, "rejected"), (3, "rejected"), (4, "late"), (5, "accepted"), (6, "accepted")]
+    assert routed(spark, out) == expected
+    unique_into(spark, str(folder), out, state)
+    assert routed(spark, out) == expected
+    write(folder / "c.csv", head, f"6,{at}9:00,1.0", f"2,{at}2:00,", f"7,{at}8:30,1.0")
+    unique_into(spark, str(folder), out, state)
+    assert routed(spark, out) == sorted([*expected, (2, "late"), (7, "accepted")])
+
+
+def test_a_replayed_batch_of_unique_rows_replaces_itself(spark, tmp_path, monkeypatch):
+    folder, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
+    write(folder / "a.csv", "seq,timestamp,v", "1,2024-01-01 00:01:00,1.5")
+    unique_into(spark, str(folder), out, state)
+    write(folder / "b.csv", "seq,timestamp,v", "1,2024-01-01 00:01:00,1.5", "2,2024-01-01 00:01:10,1.5")
+    plain, calls = streaming._earlier, []
+
+    def failing(*args):
+        calls.append(args)
+        if len(calls) == 2:
+            raise RuntimeError("executor lost")
+        return plain(*args)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(streaming, "_earlier", failing)
+        with pytest.raises(Exception):
+            unique_into(spark, str(folder), out, state)
+    unique_into(spark, str(folder), out, state)
+    assert routed(spark, out) == [(1, "accepted"), (2, "accepted")]

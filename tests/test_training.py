@@ -146,9 +146,12 @@ def test_stream_scores_equal_batch_scores(spark, data, tmp_path):
     data.write.parquet(source)
     stream = spark.readStream.schema(data.schema).parquet(source)
     score_stream(stream, fitted, out, str(tmp_path / "state"))
-    batch, _ = training.score_with_contract(data, fitted)
-    streamed = spark.read.parquet(out)
+    batch, rejected = training.score_with_contract(data, fitted)
+    routed = spark.read.parquet(out)
+    streamed = routed.filter("route = 'accepted'")
     assert streamed.count() == batch.count()
+    assert {r["id"] for r in routed.filter("route = 'rejected'").collect()} == {r["id"] for r in rejected.collect()}
+    assert routed.filter(f"route = 'rejected' AND {training.PROBABILITY} IS NOT NULL").isEmpty()
     assert streamed.select("id", training.PREDICTION).exceptAll(batch.select("id", training.PREDICTION)).isEmpty()
 
 
