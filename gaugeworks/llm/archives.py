@@ -18,6 +18,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 from gaugeworks.functions.columns import ref
 from gaugeworks.llm.frames import Batches, batches_of, forget_shuffles, text_bytes
-from gaugeworks.sources.scratch import scratch_path
+from gaugeworks.sources.scratch import scratch_path, written
 
 FILE_BYTES = 8 << 20
 # The field names that the version block of an ARC file declares.
@@ -123,6 +124,12 @@ def http_header(head: bytes, name: str) -> str | None:
     return None
 
 
+def _id_of(head: bytes, name: str) -> str | None:
+    """An id in its header; that of ``write_arc`` is percent-encoded, others are taken as they are."""
+    value = http_header(head, name)
+    return unquote(value) if value is not None and name == ID_HEADER else value
+
+
 # --- WARC -----------------------------------------------------------------------------
 
 
@@ -158,8 +165,12 @@ def _record_id(*parts: object) -> str:
 
 
 def _write_records(records: DataFrame, path: str) -> None:
-    """Rows of bytes, end to end, as gzip files.  The text writer ends each row with the newline it lacks."""
-    records.select(F.col("record").cast("string")).write.option("compression", "gzip").text(path)
+    """Rows of bytes, end to end, as gzip files.  The text writer ends each row with the newline it lacks.
+
+    Archives are read back soon and often: the fastest level takes a little more space and much less time.
+    """
+    fast = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+    records.select(F.col("record").cast("string")).write.options(**fast).text(path)
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
@@ -188,8 +199,8 @@ def write_arc(
 ) -> None:
     """Write a page per row as ARC records, versions 1 and 2 by turns of the output files.
 
-    A null html is an empty payload, a null url is ``-``; the id travels in an
-    HTTP header, an empty one for null.
+    A null html is an empty payload, a null url is ``-``; the id travels
+    percent-encoded in an HTTP header, which a null id lacks.
     """
     size = pages.select(F.sum(F.octet_length(text_bytes(html_col)) + 300)).first()[0] or 0
     rows = pages.select(
@@ -208,10 +219,8 @@ def write_arc(
                     if not begun:
                         yield (arc_version_block(version, f"part-{part}.arc", date)[:-1],)
                         begun = True
-                    head = (
-                        f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
-                        f"Content-Length: {len(html)}\r\n{ID_HEADER}: {doc or ''}\r\n\r\n"
-                    )
+                    named = "" if doc is None else f"{ID_HEADER}: {quote(doc, safe='')}\r\n"
+                    head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(html)}\r\n{named}\r\n"
                     yield (arc_record(version, url, "0.0.0.0", date, "text/html", 200, head.encode() + html)[:-1],)
 
         yield from batches_of(schema, records())
@@ -250,7 +259,7 @@ def arc_rows(spark: SparkSession, path: str, order_header: str = ID_HEADER, with
                         if record["filedesc"]:
                             continue
                         head, payload = http_parts(record["body"])
-                        order = http_header(head, order_header)
+                        order = _id_of(head, order_header)
                         seen = f"{file.rpartition('/')[2]}:{place}"
                         yield (
                             seen,
@@ -356,7 +365,7 @@ def warc_rows(spark: SparkSession, path: str, id_header: str = ID_HEADER) -> Dat
                         size = int(http_header(head, "Content-Length") or 0) if revisit else len(payload)
                         digest = headers.get("warc-payload-digest", "").partition(":")[2]
                         yield (
-                            http_header(head, id_header),
+                            _id_of(head, id_header),
                             headers.get("warc-record-id"),
                             headers.get("warc-type"),
                             size,
@@ -389,7 +398,8 @@ def convert_pages(
     forget_shuffles(spark)
     arc_to_warc(spark, arc, warc, order_type=pages.schema[id_col].dataType.simpleString())
     forget_shuffles(spark)
-    found = warc_rows(spark, warc)
+    # Archives are parsed once; what is looked up is narrow.
+    found = written(warc_rows(spark, warc), "warc-rows", compression="zstd")
     named = found.filter(F.col("record_type") == "response").select(
         F.col("record_id").alias("refers_to_record"), F.col("id").alias("refers_to")
     )

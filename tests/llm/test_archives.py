@@ -111,3 +111,12 @@ def test_smallest_of_long_and_text_ids(spark):
         pages = spark.createDataFrame([(i, f"http://x/{k}", "same") for k, i in enumerate(ids)], f"page_id {kind}, url string, html string")
         found = {r.page_id: r.refers_to for r in archives.convert_pages(pages.coalesce(1)).collect()}
         assert found == {i: None if i == min(ids) else min(ids) for i in ids}
+
+
+def test_text_ids_come_back_as_they_were(spark):
+    ids = [" a", "a ", "b\nc", "", None, "x%20y", "ü/?#", "a:b", " a"]
+    pages = spark.createDataFrame([(i, "http://x", f"page {i!r} {n}" if n < 8 else "page ' a' 0") for n, i in enumerate(ids)], "page_id string, url string, html string")
+    rows = convert_pages(pages).collect()
+    assert sorted((r.page_id for r in rows), key=str) == sorted(ids, key=str)
+    revisit = [r for r in rows if r.record_type == "revisit"]
+    assert [(r.page_id, r.refers_to) for r in revisit] == [(" a", " a")]
