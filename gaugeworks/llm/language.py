@@ -28,7 +28,7 @@ FEATURES = 1 << FEATURE_BITS
 MAX_N = 3
 #: About so many rows per language are fitted on; all rows shape the document frequencies.
 SAMPLE_PER_LANGUAGE = 1_500
-#: Rarer labels than the first so many are not learned.
+#: More labels than so many raise an error: the weights of all must fit a worker.
 MAX_LANGUAGES = 256
 CALIBRATION_SHARE = 0.2
 DOUBT = 0.01
@@ -208,28 +208,40 @@ class LanguageModel:
 
 
 def train(
-    docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sample_per_language: int = SAMPLE_PER_LANGUAGE
+    docs: DataFrame,
+    text_col: str = "text",
+    lang_col: str = "lang",
+    sample_per_language: int = SAMPLE_PER_LANGUAGE,
+    id_col: str = "doc_id",
 ) -> LanguageModel:
-    """Fit on the rows of ``docs`` with a text and a label; only these two columns are read."""
-    rows = docs.select(whole_text(text_col).alias("text"), ref(lang_col).cast("string").alias("lang")).filter(
-        F.col("lang").isNotNull() & (F.col("lang") != "")
+    """Fit on the rows of ``docs`` with a text and a label that is not null.
+
+    Which rows are fitted on follows from id and text, so the same rows in
+    another layout give the same model; rows that repeat id, text and label are
+    drawn as one.  Without a column ``id_col`` the text alone decides.
+    """
+    key = ref(id_col).cast("string") if id_col in docs.columns else F.lit(None).cast("string")
+    rows = docs.select(key.alias("row"), whole_text(text_col).alias("text"), ref(lang_col).cast("string").alias("lang")).filter(
+        F.col("lang").isNotNull()
     )
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "lang").limit(MAX_LANGUAGES).collect()
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1).collect()
+    if len(sizes) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} labels")
     labels = sorted(row["lang"] for row in sizes)
     if not labels:
         return LanguageModel([], np.zeros(FEATURES), np.zeros((FEATURES + 1, 0)), 1.0)
     totals, count = document_frequencies(rows)
     idf = np.log((1 + count) / (1 + totals)) + 1
     number = {lang: at for at, lang in enumerate(labels)}
-    # Rows are drawn one by one, also those of equal texts, so no group of copies can swell the sample.
+    # Rows are drawn one by one, also those of equal texts: no group of copies can swell the sample.
     scale = 1 << 20
     limit = {row["lang"]: min(scale, math.ceil(scale * sample_per_language / row["n"])) for row in sizes}
     chosen: Column = F.lit(False)
     place = F.pmod(F.xxhash64("row", "text"), F.lit(scale))
     for lang in labels:
         chosen = chosen | ((F.col("lang") == lang) & (place < limit[lang]))
-    numbered = rows.withColumn("row", F.monotonically_increasing_id())
-    sample = numbered.filter(chosen).select("text", "lang", F.xxhash64(F.lit(1), "row", "text").alias("place"))
+    drawn = rows.filter(chosen).dropDuplicates(["row", "text", "lang"])
+    sample = drawn.select("text", "lang", F.xxhash64(F.lit(1), "row", "text").alias("place"))
     shared = docs.sparkSession.sparkContext.broadcast(idf.astype(np.float32))
 
     def featured(batches: Batches) -> Batches:

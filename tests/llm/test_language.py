@@ -101,3 +101,25 @@ def test_edge_cases(spark):
 def test_weights_have_length_one():
     at, weights = tf_idf(ngram_counts("some words"), np.ones(FEATURES))
     assert np.linalg.norm(weights) == pytest.approx(1) and len(at) == len(weights)
+
+
+def test_scores_do_not_depend_on_the_layout(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    one = identify_languages(docs.repartition(3, "source"))
+    other = identify_languages(docs.unionByName(docs.limit(0)).repartition(11).sortWithinPartitions(F.col("doc_id").desc()))
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, other.collect()))
+
+
+def test_every_label_that_is_not_null_is_learned(spark, monkeypatch):
+    rows = [(i, "aaa bbb abab " * 3, "") for i in range(40)] + [(100 + i, "xyz zyx xxyy " * 3, "x") for i in range(40)]
+    rows += [(200 + i, "mno", None) for i in range(20)]
+    found = {(r.doc_id // 100, r.lang_pred) for r in identify_languages(documents(spark, rows)).collect()}
+    assert {(0, ""), (1, "x")} <= found and not {(0, "x"), (1, "")} & found
+    monkeypatch.setattr(language, "MAX_LANGUAGES", 1)
+    with pytest.raises(ValueError, match="more than 1 labels"):
+        train(documents(spark, rows))
+
+
+def test_repeated_rows_are_drawn_as_one(spark):
+    rows = [(1, "aaa bbb", "a")] * 500 + [(i, f"xyz zyx {i}", "x") for i in range(2, 40)]
+    assert train(documents(spark, rows)).labels == ["a", "x"]
