@@ -332,7 +332,7 @@ def fold(id_col: str) -> Column:
 def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``id_col, held_out, lang_pred, score`` per row, learned from the rows that are not held out."""
     held_out = fold(id_col) == 2
-    model = train(docs.filter(~held_out), text_col, lang_col)
+    model = train(docs.filter(~held_out), text_col, lang_col, id_col=id_col)
     rows = docs.select(ref(id_col).alias("id"), held_out.alias("held_out"), ref(text_col).alias("text"))
     return with_language(rows, model, "text").select(
         F.col("id").alias(id_col), "held_out", F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score")
