@@ -32,6 +32,7 @@ CACHE_CHUNKS = 200_000
 CACHE_PIECES = 200_000
 #: Texts are taken together up to so many bytes, so what repeats in them is looked up once.
 TOGETHER_BYTES = 4 << 20
+_PACKED = [struct.Struct(f"<{size}I").pack for size in range(17)]
 
 
 def byte_letters() -> dict[int, str]:
@@ -90,7 +91,9 @@ class ChunkEncoder:
             self._letters = byte_letters()
 
     def _value(self, ids: list[int]):
-        return len(ids) if self.counts_only else struct.pack(f"<{len(ids)}I", *ids)
+        if self.counts_only:
+            return len(ids)
+        return _PACKED[len(ids)](*ids) if len(ids) < len(_PACKED) else struct.pack(f"<{len(ids)}I", *ids)
 
     def _miss(self, chunk: str):
         value = self._old_chunks.get(chunk)
@@ -112,16 +115,18 @@ class ChunkEncoder:
 
     def _piece(self, word: str):
         value = self._pieces.get(word)
+        return self._missing_piece(word) if value is None else value
+
+    def _missing_piece(self, word: str):
+        value = self._old_pieces.get(word)
         if value is None:
-            value = self._old_pieces.get(word)
-            if value is None:
-                # Printable ASCII stands for itself in the alphabet of bytes.
-                mapped = word if word.isascii() else word.encode().decode("latin-1").translate(self._letters)
-                value = self._value([token.id for token in self._model.tokenize(mapped)])
-            if len(word) <= 64:
-                if len(self._pieces) >= CACHE_PIECES:
-                    self._pieces, self._old_pieces = {}, self._pieces
-                self._pieces[word] = value
+            # Printable ASCII stands for itself in the alphabet of bytes.
+            mapped = word if word.isascii() else word.encode().decode("latin-1").translate(self._letters)
+            value = self._value([token.id for token in self._model.tokenize(mapped)])
+        if len(word) <= 64:
+            if len(self._pieces) >= CACHE_PIECES:
+                self._pieces, self._old_pieces = {}, self._pieces
+            self._pieces[word] = value
         return value
 
     def _values(self, text: str) -> list:
@@ -165,7 +170,7 @@ class ChunkEncoder:
         unlike = pc.or_(
             pc.match_substring_regex(chunks.dictionary, _NOT_PLAIN_ARROW), pc.greater(pc.utf8_length(chunks.dictionary), 1024)
         )
-        offsets, values = self._chunk_ids(chunks.dictionary.to_pylist(), ~unlike.to_numpy(zero_copy_only=False))
+        offsets, values = self._chunk_ids(chunks.dictionary, ~unlike.to_numpy(zero_copy_only=False))
         at = chunks.indices.to_numpy(zero_copy_only=False)
         ends, ids = _gathered(offsets, values, at)
         # Ends of texts, counted in chunks and then in ids.
@@ -175,27 +180,37 @@ class ChunkEncoder:
             yield np.array(self._library(texts[number].as_py()), "<u4") if alone else ids[begin:end]
             begin = end
 
-    def _chunk_ids(self, chunks: list[str], plain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Offsets of the ids of each chunk in one array, and that array."""
-        others = [self._chunks.get(chunks[k]) or self._miss(chunks[k]) for k in np.flatnonzero(~plain)]
-        lines = "\n".join(chunks if plain.all() else [chunks[k] for k in np.flatnonzero(plain)]).lower()
-        pieces = pa.array(self._split_lines(lines), pa.string()).dictionary_encode()
+    def _chunk_ids(self, chunks: pa.Array, plain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Offsets of the ids of each chunk in one array, and that array.
+
+        Chunks of ASCII letters are one piece each, other plain ones are split.
+        """
+        letters = pc.ascii_is_alpha(chunks).to_numpy(zero_copy_only=False) & plain
+        mixed = plain & ~letters
+        others = [self._chunks.get(chunk) or self._miss(chunk) for chunk in chunks.filter(pa.array(~plain)).to_pylist()]
+        lines = chunks.filter(pa.array(mixed)).to_pylist()
+        split = pa.array(self._split_lines("\n".join(lines).lower()), pa.string())
+        whole = pc.ascii_lower(chunks.filter(pa.array(letters))).cast(pa.string())
+        pieces = pa.chunked_array([whole, split]).combine_chunks().dictionary_encode()
         words = pieces.dictionary.to_pylist()
         known = list(map(self._pieces.get, words))
         for k, value in enumerate(known):
             if value is None:
-                known[k] = b"" if words[k] == "\n" else self._piece(words[k])
+                known[k] = b"" if words[k] == "\n" else self._missing_piece(words[k])
         at = pieces.indices.to_numpy(zero_copy_only=False)
         ends, ids = _gathered(*_laid_out(known), at)
-        # A line ends where its separator is; the last one at the end.
-        line_ends = ends[np.append(np.flatnonzero(at == words.index("\n")) if "\n" in words else [], len(at)).astype(np.int64)]
+        bounds = [np.arange(len(whole) + 1)]
+        if lines:
+            # A line ends where its separator is; the last one at the end.
+            breaks = np.flatnonzero(at == words.index("\n")) if len(lines) > 1 else []
+            bounds.append(np.append(breaks, len(at)).astype(np.int64))
+        edges = ends[np.concatenate(bounds)]
         other_offsets, other_ids = _laid_out(others)
-        lengths = np.zeros(len(chunks), np.int64)
-        lengths[plain] = np.diff(line_ends[: plain.sum()], prepend=0)
-        lengths[~plain] = np.diff(other_offsets)
-        begins = np.zeros(len(chunks), np.int64)
-        begins[plain] = line_ends[: plain.sum()] - lengths[plain]
-        begins[~plain] = len(ids) + other_offsets[:-1]
+        lengths, begins = np.zeros(len(chunks), np.int64), np.zeros(len(chunks), np.int64)
+        for kind, (offsets, base) in zip(
+            (letters, mixed, ~plain), ((edges[: len(whole) + 1], 0), (edges[len(whole) :], 0), (other_offsets, len(ids)))
+        ):
+            lengths[kind], begins[kind] = np.diff(offsets), base + offsets[:-1]
         return gathered_spans(begins, lengths, np.concatenate([ids, other_ids]))
 
 
