@@ -240,22 +240,30 @@ def _ties(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return order, at, number
 
 
-def _sent(keys: np.ndarray, bucket: np.ndarray, places: np.ndarray, mode: str) -> Iterator[tuple]:
+def _sent(keys: np.ndarray, bucket: np.ndarray, places: np.ndarray, mode: str, buckets: int) -> Iterator[tuple]:
     """Packed records per bucket, after equal keys of this task are merged.
 
     One place per key is enough to tell which come later, two to tell that a
-    key is repeated; the other places are settled here.  Places ascend.
+    key is repeated; the other places are settled here and dealt by block, as
+    a passage that every text holds would otherwise settle in one bucket.
+    Places ascend.
     """
+    settled = [np.zeros(0, _U)]
     by_bucket = np.argsort(bucket, kind="stable")
     edges = np.append(np.flatnonzero(np.diff(bucket[by_bucket], prepend=-1)), len(bucket))
     for begin, end in zip(edges, edges[1:]):
         own = by_bucket[begin:end]
         order, _, number = _ties(keys[own])
         more = number >= (1 if mode == LATER else 2)
-        if more.any():
-            yield int(bucket[own[0]]), True, b"", _deltas(places[own[np.sort(order[more])]])
+        settled.append(places[own[order[more]]])
         keep = own[np.sort(order[~more])]
         yield int(bucket[own[0]]), False, pack_planes(keys[keep]), _deltas(places[keep])
+    decided = np.sort(np.concatenate(settled))
+    block = decided >> _U(_POSITION_BITS)
+    dealt = _mixed(block) % _U(buckets)
+    for part in np.split(np.arange(len(decided)), np.flatnonzero(np.diff(block)) + 1):
+        if len(part):
+            yield int(dealt[part[0]]), True, b"", _deltas(decided[part])
 
 
 def _deltas(places: np.ndarray) -> bytes:
@@ -331,10 +339,10 @@ def _emitter(found: Callable[[Block, dict], tuple | None], buckets: int, mode: s
                 held.append((keys, (spread % _U(buckets)).astype(np.int64), places))
                 size += len(at)
                 if size >= held_records:
-                    yield from _sent(*map(np.concatenate, zip(*held)), mode)
+                    yield from _sent(*map(np.concatenate, zip(*held)), mode, buckets)
                     held, size = [], 0
             if held:
-                yield from _sent(*map(np.concatenate, zip(*held)), mode)
+                yield from _sent(*map(np.concatenate, zip(*held)), mode, buckets)
 
         yield from batches_of(_RECORDS, rows(), 2_000, BATCH_BYTES)
 
