@@ -55,7 +55,11 @@ BUCKET_RECORDS = 400_000
 HELD_RECORDS = 500_000
 #: What moves between Spark and a worker at a time.
 BATCH_BYTES = 4 << 20
+#: Places a task gathers over its buckets before it answers.
+HELD_ANSWERS = 1_000_000
 _POSITION_BITS = 20
+#: Consecutive blocks that share their answers.
+_GROUP_BITS = 4
 _SEQUENCE_BITS = 24
 _U = np.uint64
 
@@ -275,19 +279,23 @@ def _places(data: bytes) -> np.ndarray:
 
 
 def _sorted_buckets(records: DataFrame, mode: str, label: str, kind: int) -> DataFrame:
-    """``part, block, kind, data``: places in blocks that come later than an equal key, or whose key is repeated."""
+    """``part, block, kind, data``: places that come later than an equal key, or whose key is repeated.
+
+    A task answers for all its buckets together, in rows that name the first
+    block of a group: rows grow with tasks and groups, not with every pair of
+    a bucket and a block.
+    """
 
     def answers(places: np.ndarray) -> Iterator[tuple]:
         places = np.sort(places)
-        block = places >> _U(_POSITION_BITS)
-        cuts = np.flatnonzero(np.diff(block)) + 1
-        for part in np.split(places, cuts):
+        group = places >> _U(_POSITION_BITS + _GROUP_BITS)
+        for part in np.split(places, np.flatnonzero(np.diff(group)) + 1):
             if len(part):
-                number = int(part[0] >> _U(_POSITION_BITS))
-                within = (part & _U((1 << _POSITION_BITS) - 1)).astype(np.uint32)
-                yield number >> _SEQUENCE_BITS, number, kind, pack_planes(within)
+                head = int(part[0]) >> _POSITION_BITS + _GROUP_BITS << _GROUP_BITS
+                within = (part & _U((1 << _POSITION_BITS + _GROUP_BITS) - 1)).astype(np.uint32)
+                yield head >> _SEQUENCE_BITS, head, kind, pack_planes(within)
 
-    def sort_one(held: list[tuple]) -> Iterator[tuple]:
+    def sort_one(held: list[tuple]) -> np.ndarray:
         keys = np.concatenate([unpack_planes(row[0], np.uint64) for row in held])
         places = np.concatenate([_places(row[1]) for row in held])
         by_place = np.argsort(places)
@@ -298,25 +306,35 @@ def _sorted_buckets(records: DataFrame, mode: str, label: str, kind: int) -> Dat
         else:
             sizes = np.diff(np.append(at, len(order)))
             marked = np.repeat(sizes > 1, sizes)
-        yield from answers(places[order[marked]])
+        return places[order[marked]]
 
     schema = pa.schema([("part", pa.int32()), ("block", pa.int64()), ("kind", pa.int32()), ("data", pa.binary())])
 
     def sorted_(batches: Batches) -> Batches:
-        def rows():
+        def found():
             current, held = None, []
             for batch in batches:
                 for bucket, settled, *record in zip(*(column.to_pylist() for column in batch.columns)):
                     if settled:
-                        yield from answers(_places(record[1]))
+                        yield _places(record[1])
                         continue
                     if bucket != current and held:
-                        yield from sort_one(held)
+                        yield sort_one(held)
                         held = []
                     current = bucket
                     held.append(record)
             if held:
-                yield from sort_one(held)
+                yield sort_one(held)
+
+        def rows():
+            held, size = [np.zeros(0, _U)], 0
+            for places in found():
+                held.append(places)
+                size += len(places)
+                if size >= HELD_ANSWERS:
+                    yield from answers(np.concatenate(held))
+                    held, size = [np.zeros(0, _U)], 0
+            yield from answers(np.concatenate(held))
 
         yield from batches_of(schema, rows(), 2_000, BATCH_BYTES)
 
@@ -350,19 +368,25 @@ def _emitter(found: Callable[[Block, dict], tuple | None], buckets: int, mode: s
 
 
 def _in_order(batches: Batches) -> Iterator[tuple[Block, dict[int, np.ndarray]]]:
-    """Blocks with the answers that precede them in the sort order."""
-    waiting: dict[int, list] = {}
-    number = None
+    """Blocks with their answers; those of a group of blocks precede its first block."""
+    waiting: dict[int, list[np.ndarray]] = {}
+    group = None
     for batch in batches:
         for at in range(batch.num_rows):
             row = {name: batch.column(name)[at].as_py() for name in ("block", "kind")}
-            if row["block"] != number:
-                waiting, number = {}, row["block"]
+            if row["block"] >> _GROUP_BITS != group:
+                waiting, group = {}, row["block"] >> _GROUP_BITS
             if row["kind"] < _BLOCK:
                 waiting.setdefault(row["kind"], []).append(unpack_planes(batch.column("data")[at].as_py(), np.uint32))
                 continue
-            block = Block({name: batch.column(name)[at].as_py() for name in batch.schema.names})
-            yield block, {kind: np.concatenate(parts).astype(np.int64) for kind, parts in waiting.items()}
+            waiting = {kind: [np.sort(np.concatenate(parts))] if len(parts) > 1 else parts for kind, parts in waiting.items()}
+            begin = (row["block"] & (1 << _GROUP_BITS) - 1) << _POSITION_BITS
+            answers = {}
+            for kind, (places,) in waiting.items():
+                first, end = np.searchsorted(places, [begin, begin + (1 << _POSITION_BITS)])
+                if end > first:
+                    answers[kind] = places[first:end].astype(np.int64) - begin
+            yield Block({name: batch.column(name)[at].as_py() for name in batch.schema.names}), answers
 
 
 def _together(blocks: DataFrame, *answers: DataFrame) -> DataFrame:
