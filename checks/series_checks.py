@@ -27,11 +27,14 @@ from checks.base import (
 from gaugeworks.functions.columns import epoch_seconds, seeded_digest
 from gaugeworks.operators import labeling, profiling, ranges, sequence, splits
 from gaugeworks.operators.features import with_features
+from gaugeworks.sources.scratch import scratch_path
+from gaugeworks.streaming.windows import run_windows
 
 checks = Registry()
 EPOCH = "CAST(floor(epoch(ts)) AS BIGINT)"
 BY_USER = "PARTITION BY user_id ORDER BY ts, event_id"
 FRAME = "ROWS BETWEEN 29 PRECEDING AND CURRENT ROW"
+STREAM_CUTS = ("2024-01-08 00:00:00", "2024-01-16 00:00:00", "2024-01-24 00:00:00")
 KINDS = ("mean", "std", "min", "max")
 
 
@@ -73,6 +76,26 @@ def _(spark, sf_dir):
     return sequence.with_rolling(events(spark, sf_dir), EV).select("event_id", *rolled("value"))
 
 
+@checks.add(
+    "win3_stream_rolling",
+    f"""SELECT event_id, 'accepted' AS route, {rolling_sql('value', BY_USER)} FROM events
+        UNION ALL SELECT event_id, 'late', NULL, NULL, NULL, NULL FROM events
+        WHERE ts < TIMESTAMP '2024-01-08 00:00:00' AND event_id % 20 = 0""",
+)
+def _(spark, sf_dir):
+    """Four lots in time order, each a new run; the last one brings early readings once more."""
+    arrived, out, state = (scratch_path(spark, label) for label in ("arrived", "rolled", "state"))
+    source = events(spark, sf_dir).select("event_id", "ts", "user_id", "value")
+    first = source.filter(f"ts < '{STREAM_CUTS[0]}'")
+    lots = [first, *[source.filter(f"ts >= '{a}' AND ts < '{b}'") for a, b in zip(STREAM_CUTS, STREAM_CUTS[1:])]]
+    lots.append(source.filter(f"ts >= '{STREAM_CUTS[-1]}'").union(first.filter("event_id % 20 = 0")))
+    for lot in lots:
+        lot.write.mode("append").parquet(arrived)
+        stream = spark.readStream.schema(source.schema).parquet(arrived)
+        run_windows(stream, EV, lambda window: sequence.rolling_expressions(window, EV.analog), sequence.ROLLING_ROWS - 1, out, state)
+    return spark.read.parquet(out).select("event_id", "route", *rolled("value"))
+
+
 def time_frame_sql(partition: str) -> str:
     over = f"({partition} ORDER BY epoch RANGE BETWEEN 290 PRECEDING AND CURRENT ROW)"
     return f"""SELECT event_id, round(avg(value) OVER {over}, 6) AS value_rolling_mean_5m,
