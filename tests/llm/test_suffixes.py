@@ -124,3 +124,14 @@ def test_samples_spread_over_all_buckets():
     strings = {}
     for key, bucket, place in zip(keys.tolist(), spread.tolist(), at.tolist()):
         assert strings.setdefault(data[place : place + SAMPLE], (key, bucket)) == (key, bucket)
+
+
+def test_settled_places_of_one_string_spread_over_all_buckets():
+    """A passage that every block holds: one record stays in its bucket, the rest is dealt by block."""
+    blocks = 640
+    places = np.arange(blocks, dtype=np.uint64) << np.uint64(suffixes._POSITION_BITS)
+    sent = list(suffixes._sent(np.full(blocks, 7, np.uint64), np.full(blocks, 3), places, suffixes.LATER, 16))
+    settled = [(bucket, suffixes._places(data)) for bucket, decided, _, data in sent if decided]
+    assert np.array_equal(np.sort(np.concatenate([part for _, part in settled])), places[1:])
+    counts = np.bincount([bucket for bucket, _ in settled], minlength=16)
+    assert counts.min() > 0 and counts.max() < 4 * blocks / 16
