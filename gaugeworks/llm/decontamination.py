@@ -21,16 +21,23 @@ from gaugeworks.llm.frames import Batches, batches_of, whole_text
 #: Items are searched in blocks of at most so many bytes; a larger benchmark takes more passes.
 BLOCK_BYTES = 8 << 20
 ERROR_RATE = 0.05
-#: Shorter items are too common to tell a leak from ordinary text and are not searched.
+#: Shorter items allow no edits and must stand as whole words.
 MIN_LETTERS = 32
 
+
 def normalized(text: str | None) -> str:
     """Lower case, runs of white space as one space, none at the ends."""
     return " ".join((text or "").lower().split())
 
 
 def error_budget(length: int, error_rate: float = ERROR_RATE) -> int:
-    return int(length * error_rate)
+    return int(length * error_rate) if length >= MIN_LETTERS else 0
+
+
+def stands_alone(text: str, begin: int, end: int) -> bool:
+    """Whether ``text[begin:end]`` neither begins nor ends inside a word."""
+    begins = begin == 0 or not (text[begin].isalnum() and text[begin - 1].isalnum())
+    return begins and (end == len(text) or not (text[end - 1].isalnum() and text[end].isalnum()))
 
 
 def pieces(pattern: str, errors: int) -> list[tuple[int, str]]:
@@ -104,6 +111,10 @@ class PieceIndex:
                     continue
                 tried.add((item, begin))
                 pattern, errors, masks = self.items[item]
+                if len(pattern) < MIN_LETTERS:
+                    if stands_alone(text, begin, end + 1):
+                        best[item] = 0
+                    continue
                 if begin >= 0 and text.startswith(pattern, begin):
                     best[item] = 0
                     continue
@@ -130,9 +141,9 @@ def contaminated_documents(
 
     Both sides are compared in lower case with white space runs as one space.
     An item is found if some substring of the document is within
-    ``error_rate`` of the item's letters in edit distance.  Items that are null,
-    empty or shorter than ``MIN_LETTERS`` are not searched; equal items are all
-    named; items that repeat an id count as one if equal and are searched each
+    ``error_rate`` of the item's letters in edit distance; an item of fewer than
+    ``MIN_LETTERS`` letters has to occur unchanged and as whole words.  Items
+    that are null or empty are in no document; equal items are all named; items that repeat an id count as one if equal and are searched each
     if not.  Null and empty documents hold nothing; repeated rows and null ids
     are reported as they are; an empty table on either side gives no rows.
     Documents are scanned where they lie, once per block of items.
@@ -147,7 +158,7 @@ def contaminated_documents(
     for block in range(blocks):
         own = cleaned.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block).collect()
         patterns = [(row["item"], normalized(row["text"])) for row in own]
-        numbered = [(number, text) for number, (_, text) in enumerate(patterns) if len(text) >= MIN_LETTERS]
+        numbered = [(number, text) for number, (_, text) in enumerate(patterns) if text]
         names = [name for name, _ in patterns]
         shared, key = spark.sparkContext.broadcast((numbered, names)), uuid.uuid4().hex
 

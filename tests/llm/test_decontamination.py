@@ -64,6 +64,16 @@ def test_edited_passages_are_found():
             assert found == expected
 
 
+def test_short_items_are_exact_whole_words():
+    index = PieceIndex([(1, "who wrote it?"), (2, "what is 2+2"), (3, "x" * 31), (4, "\u4e2d\u6587")], 0.05)
+    assert index.search("so who wrote it? nobody") == {1: 0}
+    assert index.search("who wrote it?") == {1: 0}
+    assert index.search("(what is 2+2)") == {2: 0} == index.search("what is 2+22, what is 2+2")
+    assert index.search("what is 2+22") == {} == index.search("somewhat is 2+2")
+    assert index.search("who wrote its?") == {} == index.search("x" * 32) == index.search("x" * 30 + "y")
+    assert index.search("x" * 31) == {3: 0} and index.search("\u4e2d\u6587") == {4: 0}
+
+
 def test_query_against_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
     items = spark.read.parquet(f"{SF}/benchmark.parquet").collect()
@@ -104,6 +114,6 @@ def test_edge_cases(spark, monkeypatch):
     found = contaminated_documents(docs, items).collect()
     got = sorted(((r.doc_id, list(r.item_ids), r.min_errors) for r in found), key=str)
     both = [1, 2]
-    assert got == sorted([(1, both, 0), (None, both, 0), (6, both, 1), (6, both, 1), (7, both, 0), (9, [], 0)], key=str)
+    assert got == sorted([(1, both, 0), (2, [3], 0), (None, both, 0), (6, both, 1), (6, both, 1), (7, both, 0), (9, [], 0)], key=str)
     assert contaminated_documents(docs.limit(0), items).count() == 0
     assert contaminated_documents(docs, items.limit(0)).count() == 0
