@@ -32,9 +32,11 @@ from checks.base import (
 )
 from gaugeworks.functions import columns as C
 from gaugeworks.operators import contracts, quality, sequence, splits
+from gaugeworks.operators.batch_reports import BATCH, BatchReports
 from gaugeworks.operators.features import with_features
 from gaugeworks.operators.training import finite_features
 from gaugeworks.sources.landing import with_lineage
+from gaugeworks.sources.scratch import scratch_path
 
 checks = Registry()
 EPOCH = "CAST(floor(epoch(ts)) AS BIGINT)"
@@ -504,6 +506,34 @@ def _(spark, sf_dir):
     return quality.quality_report(null_mix(spark, sf_dir), "ts", "event_id", "run-1").drop("checked_at")
 
 
+def batch_reports(df, batch, time, index):
+    """Reports of ``df`` landed in three batches, one after the other."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "batches")
+    df.withColumn(BATCH, F.pmod(batch, F.lit(3)).cast("int")).write.partitionBy(BATCH).parquet(path)
+    landed, reports = spark.read.parquet(path), BatchReports(spark, scratch_path(spark, "reports"), time, index)
+    for number in range(3):
+        reports.add(landed, number)
+    return reports
+
+
+@checks.add(
+    "agg8_index_statistics_of_batches",
+    """SELECT count(l_orderkey) AS total_rows, count(DISTINCT l_orderkey) AS distinct_indexes,
+              min(l_orderkey) AS min_index, max(l_orderkey) AS max_index, true AS estimate_is_near FROM lineitem""",
+)
+def _(spark, sf_dir):
+    reports = batch_reports(lineitem(spark, sf_dir), F.col("l_linenumber"), "l_shipdate", "l_orderkey")
+    near = F.abs(F.col("estimated_indexes") - F.col("distinct_indexes")) <= 0.08 * F.col("distinct_indexes")
+    return reports.index_statistics().withColumn("estimate_is_near", near).drop("estimated_indexes")
+
+
+@checks.add("agg16_quality_report_of_batches", checks["agg16_quality_report"].sql)
+def _(spark, sf_dir):
+    reports = batch_reports(null_mix(spark, sf_dir), F.col("user_id"), "ts", "event_id")
+    return reports.quality_report("run-1").drop("checked_at")
+
+
 # --- order and sets ------------------------------------------------------------------------
 
 SHOWN = ("event_id", "user_id", "value")

@@ -49,7 +49,10 @@ def _status(value: Column) -> Column:
 
 def null_metrics(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Null counts as metric rows with a status."""
-    counts = null_counts(df, columns)
+    return null_count_metrics(null_counts(df, columns))
+
+
+def null_count_metrics(counts: DataFrame) -> DataFrame:
     return counts.select(
         F.concat(F.lit("null_count_"), "column_name").alias("metric_name"),
         F.col("null_count").alias("metric_value"),
@@ -186,6 +189,18 @@ def deduplication_account(df: DataFrame) -> DataFrame:
     return totals.withColumn("rows_removed", F.col("rows_before") - F.col("rows_after"))
 
 
+def report_metric(name: str, value: Column, status: Column | None = None) -> dict[str, Column]:
+    return {
+        "metric_name": F.lit(name),
+        "metric_value": value.cast("long"),
+        "status": _status(value) if status is None else status,
+    }
+
+
+def duplicate_metric(role: str, excess: Column) -> dict[str, Column]:
+    return report_metric({"time": "duplicate_timestamp_rows", "index": "duplicate_index_rows"}[role], excess)
+
+
 def quality_report(df: DataFrame, time: str, index: str | None, run_id: str) -> DataFrame:
     """Every quality metric as ``(metric_name, metric_value, status, run_id, checked_at)``."""
     names = list(df.columns)
@@ -194,23 +209,14 @@ def quality_report(df: DataFrame, time: str, index: str | None, run_id: str) ->
         *[F.count_if(ref(name).isNull()).alias(f"null_{i}") for i, name in enumerate(names)],
     )
 
-    def metric(name: str, value: Column, status: Column | None = None) -> dict[str, Column]:
-        return {
-            "metric_name": F.lit(name),
-            "metric_value": value.cast("long"),
-            "status": _status(value) if status is None else status,
-        }
-
-    rows = [metric("total_rows", F.col("total"), F.lit("INFO"))]
-    rows += [metric(f"null_count_{name}", F.col(f"null_{i}")) for i, name in enumerate(names)]
-    rows.append(metric("null_timestamp_rows", F.col(f"null_{names.index(time)}")))
+    rows = [report_metric("total_rows", F.col("total"), F.lit("INFO"))]
+    rows += [report_metric(f"null_count_{name}", F.col(f"null_{i}")) for i, name in enumerate(names)]
+    rows.append(report_metric("null_timestamp_rows", F.col(f"null_{names.index(time)}")))
     report = rows_from_wide(wide, rows)
-    checks = [("duplicate_timestamp_rows", time)]
-    if index is not None:
-        checks.append(("duplicate_index_rows", index))
-    for name, key in checks:
-        excess = duplicate_summary(df, [key])
-        report = report.unionByName(rows_from_wide(excess, [metric(name, F.col("excess_rows"))]))
+    for role, key in (("time", time), ("index", index)):
+        if key is not None:
+            excess = duplicate_summary(df, [key])
+            report = report.unionByName(rows_from_wide(excess, [duplicate_metric(role, F.col("excess_rows"))]))
     return report.withColumns({"run_id": F.lit(run_id), "checked_at": F.current_timestamp()})
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugeworks.functions.columns import ref
+from gaugeworks.operators.batch_reports import BATCH, BatchReports
 from gaugeworks.operators.contracts import ContractError
 from gaugeworks.operators.quality import ACCEPTED, missing_time_rule, with_verdict
 from gaugeworks.sources.files import CORRUPT, FILE, TIME_PATTERN, file_of_row, hashed_files, in_header_order, list_files, read_headers
@@ -100,6 +101,25 @@ def run_available(df: DataFrame, path: str, checkpoint: str, transform: Callable
     query.awaitTermination()
 
 
+def run_reported(df: DataFrame, path: str, reports: BatchReports, checkpoint: str) -> None:
+    """Land the readings of a stream in ``path/batch=<number>`` and add each batch to ``reports``.
+
+    A replayed batch replaces its rows and its part of the reports.
+    """
+
+    def land(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/{BATCH}={number}")
+        reports.add(batch.sparkSession.read.parquet(path), number)
+
+    query = (
+        df.writeStream.foreachBatch(land)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
 def run_quarantine(df: DataFrame, rules: dict[str, Column], path: str, checkpoint: str) -> None:
     """Judge the readings of a stream; accepted and rejected ones land in separate folders.
 
