@@ -36,6 +36,8 @@ PREDICTION = "fault_prediction"
 COMPLETED = "completed"
 COMPLETED_WITH_WARNING = "completed_with_warning"
 SKIPPED = "skipped_missing_class"
+READY = "ready"
+TUNED_FOREST = "tuned_random_forest"
 DEAL = "__deal"
 # Spark's trees cannot grow deeper.
 DEEPEST_TREE = 30
@@ -329,7 +331,7 @@ def search_forest(
             candidate["depth"],
             candidate["leaf"],
             seed,
-            "tuned_random_forest",
+            TUNED_FOREST,
         )
         scores = ranking_scores(fitted.score(validation), label, PROBABILITY).first()
         return fitted, {**candidate, "pr_auc": scores["pr_auc"], "roc_auc": scores["roc_auc"]}
@@ -371,7 +373,7 @@ def class_gate(train: DataFrame, validation: DataFrame, label: str = "fault_labe
         lacks("validation"), "validation data lacks a class"
     )
     return both.withColumns(
-        {"status": F.when(reason.isNull(), "ready").otherwise(SKIPPED), "reason": reason}
+        {"status": F.when(reason.isNull(), READY).otherwise(SKIPPED), "reason": reason}
     )
 
 

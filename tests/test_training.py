@@ -198,8 +198,23 @@ def test_from_readings_to_models(spark, tmp_path):
     metrics = spark.read.parquet(str(tmp_path / "quality"))
     values = {r["metric_name"]: r["metric_value"] for r in metrics.collect()}
     assert values["total_rows"] == 409 and values["null_timestamp_rows"] == 1
-    compared = training_flow.run(spark, str(tmp_path / "splits"), str(tmp_path), ROLES)
+    small = [{"trees": 5, "depth": 4, "leaf": 2}]
+    compared = training_flow.run(spark, str(tmp_path / "splits"), str(tmp_path), ROLES, small)
     found = {r["model"]: r for r in compared.collect()}
-    assert set(found) == {"logistic_regression", "random_forest", "feedforward_network"}
+    assert set(found) == {"logistic_regression", "random_forest", "feedforward_network", "tuned_random_forest"}
+    chosen = spark.read.parquet(str(tmp_path / "deployment")).first()
+    assert (chosen["search_status"], chosen["model"]) == ("ready", "tuned_random_forest")
+    assert models.load_model(spark, str(tmp_path / "models/deployed")).name == "tuned_random_forest"
+    halves = spark.read.parquet(str(tmp_path / "thresholds")).filter("threshold = 0.5")
+    assert {r["model"]: r["tp"] for r in halves.collect()} == {name: r["tp"] for name, r in found.items()}
     assert all(not math.isnan(r["roc_auc"]) for r in found.values())
     assert found["random_forest"]["roc_auc"] > 0.8
+
+
+def test_fallbacks_are_not_deployed(spark, tmp_path):
+    rows = spark.createDataFrame([(0, 1.0), (0, 2.0)], "fault_label int, a double")
+    constant = training.train_logistic(rows, ["a"], "fault_label")
+    found = training_flow.deployment(spark, [constant], training.class_gate(rows, rows))
+    found.write.parquet(str(tmp_path / "deployment"))
+    chosen = spark.read.parquet(str(tmp_path / "deployment")).first()
+    assert (chosen["model"], chosen["search_status"]) == (None, training.SKIPPED)
