@@ -20,14 +20,14 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeworks.functions.columns import at_threshold, finite_or_null, ref
 from gaugeworks.operators.contracts import ContractError, check_model, class_counts, require_columns, with_validity
 from gaugeworks.operators.evaluation import ranking_scores
 from gaugeworks.operators.quantiles import exact_medians
-from gaugeworks.sources.scratch import written
+from gaugeworks.sources.scratch import scratch_path, written
 
 VECTOR = "features"
 WEIGHT = "class_weight"
@@ -185,6 +185,17 @@ def _training_frame(
     return written(frame, "training")
 
 
+def _saved(spark: SparkSession, model: Model) -> str:
+    path = scratch_path(spark, "stage")
+    model.write().save(path)
+    return path
+
+
+def _without_summary(spark: SparkSession, model: Model) -> Model:
+    """The model as saved: a fitted one carries a summary and with it the session, which not every state lets go to tasks."""
+    return type(model).load(_saved(spark, model))
+
+
 def train_logistic(
     train: DataFrame,
     features: Sequence[str],
@@ -209,7 +220,7 @@ def train_logistic(
         elasticNetParam=0.0,
         standardization=False,
     )
-    model = estimator.fit(_training_frame(train, preparation, label, counts))
+    model = _without_summary(train.sparkSession, estimator.fit(_training_frame(train, preparation, label, counts)))
     return FaultModel(name, preparation, model, parameters={"max_iter": max_iterations, "C": strength})
 
 
@@ -254,7 +265,7 @@ def _fit_forest(
         seed=seed,
         maxMemoryInMB=1024,
     )
-    model = estimator.fit(frame)
+    model = _without_summary(frame.sparkSession, estimator.fit(frame))
     parameters = {"n_estimators": trees, "max_depth": depth, "min_samples_leaf": leaf}
     return FaultModel(name, preparation, model, parameters=parameters)
 
@@ -284,7 +295,7 @@ def train_network(
         blockSize=batch,
         seed=seed,
     )
-    model = estimator.fit(frame)
+    model = _without_summary(train.sparkSession, estimator.fit(frame))
     return FaultModel(name, preparation, model, parameters={"epochs": epochs, "batch_size": batch})
 
 

@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from gaugeworks.operators import splits, training
@@ -96,6 +97,15 @@ def test_search_prefers_the_first_of_equals(data):
         training.search_forest(data.filter("fault_label = 0"), data, ["a"])
 
 
+def test_models_score_after_an_observed_write(spark, data, tmp_path):
+    seen = Observation()
+    data.observe(seen, F.count("*").alias("n")).write.parquet(str(tmp_path / "observed"))
+    assert seen.get["n"] == 600
+    for fitted in (training.train_logistic(data, ["a", "b"]), training.train_forest(data, ["a", "b"], trees=3, depth=3)):
+        scored = fitted.score(data)
+        assert scored.filter(F.col(training.PROBABILITY).between(0, 1)).count() == 600
+
+
 def test_class_gate(data):
     normal = data.filter("fault_label = 0")
     ready = training.class_gate(data, data).first()
