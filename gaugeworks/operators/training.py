@@ -16,10 +16,11 @@ from pyspark.ml.base import Model
 from pyspark.ml.classification import (
     LogisticRegression,
     MultilayerPerceptronClassifier,
+    RandomForestClassificationModel,
     RandomForestClassifier,
 )
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,7 +28,7 @@ from gaugeworks.functions.columns import at_threshold, finite_or_null, ref
 from gaugeworks.operators.contracts import ContractError, check_model, class_counts, require_columns, with_validity
 from gaugeworks.operators.evaluation import ranking_scores
 from gaugeworks.operators.quantiles import exact_medians
-from gaugeworks.sources.scratch import scratch_path, written
+from gaugeworks.sources.scratch import drop_written, scratch_path, written
 
 VECTOR = "features"
 WEIGHT = "class_weight"
@@ -39,8 +40,15 @@ SKIPPED = "skipped_missing_class"
 READY = "ready"
 TUNED_FOREST = "tuned_random_forest"
 DEAL = "__deal"
+VOTES = "__votes"
 # Spark's trees cannot grow deeper.
 DEEPEST_TREE = 30
+# Nodes of the trees that the driver grows or loads at once, some 400 bytes each.
+NODES_AT_ONCE = 1_000_000
+# Between the seeds of two parts of a forest; trees of a part use some more than its own.
+SEED_STEP = 1_000_003
+# Statistics of a level that a task collects in one pass over the rows.
+FOREST_LEVEL_MB = 512
 
 
 @dataclass(frozen=True)
@@ -110,13 +118,42 @@ def with_balanced_weight(df: DataFrame, label: str, counts: Mapping[int, int], n
     return df.withColumn(name, weight)
 
 
+@dataclass(frozen=True)
+class ForestParts:
+    """A forest of more nodes than the driver should hold: saved models of some of its trees each."""
+
+    paths: tuple[str, ...]
+    trees: tuple[int, ...]
+    numFeatures: int
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Add ``probability``, the mean over all trees, for the classes 0 and 1.
+
+        One part is loaded at a time and its votes are written; the parts of a
+        stream's plan are all loaded at once.
+        """
+        own = list(df.columns)
+        held, before = df.withColumn(VOTES, F.lit(0.0)), None
+        for path, trees in zip(self.paths, self.trees):
+            voted = RandomForestClassificationModel.load(path).transform(held)
+            votes = F.col(VOTES) + F.lit(float(trees)) * vector_to_array(F.col("probability"))[1]
+            held = voted.select(*[ref(name) for name in own], votes.alias(VOTES))
+            if not df.isStreaming:
+                held = written(held, "votes")
+                if before is not None:
+                    drop_written(before)
+                before = held
+        share = F.col(VOTES) / F.lit(float(sum(self.trees)))
+        return held.withColumn("probability", array_to_vector(F.array(1.0 - share, share))).drop(VOTES)
+
+
 @dataclass(frozen=True)
 class FaultModel:
     """A fitted model with what is needed to score: preparation, features, fallback class."""
 
     name: str
     preparation: Preparation
-    model: Model | None = None
+    model: Model | ForestParts | None = None
     constant: int | None = None
     parameters: Mapping[str, object] = field(default_factory=dict)
 
@@ -241,11 +278,12 @@ def train_forest(
         return fallback
     preparation = fit_preparation(train, features)
     frame = _training_frame(train, preparation, label, counts)
-    return _fit_forest(frame, preparation, label, trees, depth, leaf, seed, name)
+    return _fit_forest(frame, sum(counts.values()), preparation, label, trees, depth, leaf, seed, name)
 
 
 def _fit_forest(
     frame: DataFrame,
+    rows: int,
     preparation: Preparation,
     label: str,
     trees: int,
@@ -253,19 +291,39 @@ def _fit_forest(
     leaf: int,
     seed: int,
     name: str,
+    nodes_at_once: int = NODES_AT_ONCE,
 ) -> FaultModel:
+    """All trees, grown in parts of about ``nodes_at_once`` nodes.
+
+    The first part is sized by what the rows and the depth allow, the others by
+    the trees before them.  Rows keep their place in a tree from level to level,
+    so no level sends the trees out again.
+    """
+    spark = frame.sparkSession
     deepest = DEEPEST_TREE if depth is None else min(depth, DEEPEST_TREE)
-    estimator = RandomForestClassifier(
-        featuresCol=VECTOR,
-        labelCol=label,
-        weightCol=WEIGHT,
-        numTrees=trees,
-        maxDepth=deepest,
-        minInstancesPerNode=leaf,
-        seed=seed,
-        maxMemoryInMB=1024,
-    )
-    model = _without_summary(frame.sparkSession, estimator.fit(frame))
+    most = min(2 ** (deepest + 1), 2 * rows / leaf)
+    paths, sizes = [], []
+    while sum(sizes) < trees:
+        estimator = RandomForestClassifier(
+            featuresCol=VECTOR,
+            labelCol=label,
+            weightCol=WEIGHT,
+            numTrees=min(trees - sum(sizes), max(1, int(nodes_at_once // most))),
+            maxDepth=deepest,
+            minInstancesPerNode=leaf,
+            seed=seed + SEED_STEP * len(sizes),
+            maxMemoryInMB=FOREST_LEVEL_MB,
+            cacheNodeIds=True,
+        )
+        part = estimator.fit(frame)
+        paths.append(_saved(spark, part))
+        sizes.append(part.getNumTrees)
+        most = max(1.25 * part.totalNumNodes / sizes[-1], 1.0)
+        del part
+    if len(paths) == 1:
+        model = RandomForestClassificationModel.load(paths[0])
+    else:
+        model = ForestParts(tuple(paths), tuple(sizes), len(preparation.features))
     parameters = {"n_estimators": trees, "max_depth": depth, "min_samples_leaf": leaf}
     return FaultModel(name, preparation, model, parameters=parameters)
 
@@ -330,12 +388,14 @@ def search_forest(
     counts = class_counts(train, label)
     if sum(1 for n in counts.values() if n) < 2:
         raise ContractError("the search needs both classes in the training data")
+    rows = sum(counts.values())
     preparation = fit_preparation(train, features)
     frame = _training_frame(train, preparation, label, counts)
 
     def trial(candidate: Mapping[str, object]) -> tuple[FaultModel, dict]:
         fitted = _fit_forest(
             frame,
+            rows,
             preparation,
             label,
             candidate["trees"],
@@ -343,6 +403,7 @@ def search_forest(
             candidate["leaf"],
             seed,
             TUNED_FOREST,
+            NODES_AT_ONCE // parallelism,
         )
         scores = ranking_scores(fitted.score(validation), label, PROBABILITY).first()
         return fitted, {**candidate, "pr_auc": scores["pr_auc"], "roc_auc": scores["roc_auc"]}

@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
@@ -106,6 +107,29 @@ def test_models_score_after_an_observed_write(spark, data, tmp_path):
         assert scored.filter(F.col(training.PROBABILITY).between(0, 1)).count() == 600
 
 
+def test_forest_in_parts(spark, data, tmp_path, monkeypatch):
+    whole = training.train_forest(data, ["a", "b"], trees=12, depth=6)
+    monkeypatch.setattr(training._fit_forest, "__defaults__", (150,))
+    fitted = training.train_forest(data, ["a", "b"], trees=12, depth=6)
+    assert isinstance(fitted.model, training.ForestParts)
+    assert sum(fitted.model.trees) == 12 and len(fitted.model.trees) > 2
+    loaded = [RandomForestClassificationModel.load(path) for path in fitted.model.paths]
+    assert [part.getNumTrees for part in loaded] == list(fitted.model.trees)
+    scored = fitted.score(data)
+    assert scored.columns == [*data.columns, training.PROBABILITY, training.PREDICTION]
+    # The mean over all trees, whatever the sizes of the parts.
+    vectors = training.assemble(fitted.preparation.prepared(data), ["a", "b"]).select("id", training.VECTOR).collect()
+    expected = {row["id"]: sum(n * part.predictProbability(row[training.VECTOR])[1] for n, part in zip(fitted.model.trees, loaded)) / 12 for row in vectors}
+    found = {row["id"]: row[training.PROBABILITY] for row in scored.collect()}
+    assert found == pytest.approx(expected)
+    areas = [training.ranking_scores(m.score(data), "fault_label", training.PROBABILITY).first()["roc_auc"] for m in (whole, fitted)]
+    assert min(areas) > 0.7
+    models.save_model(spark, fitted, str(tmp_path / "parts"))
+    again = models.load_model(spark, str(tmp_path / "parts"))
+    assert again.model.trees == fitted.model.trees
+    assert again.score(data).exceptAll(scored).isEmpty()
+
+
 def test_class_gate(data):
     normal = data.filter("fault_label = 0")
     ready = training.class_gate(data, data).first()
