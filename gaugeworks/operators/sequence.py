@@ -22,6 +22,8 @@ ROLLING_ROWS = 30
 # Fixed value: seconds a five-minute frame reaches back at a ten-second step.
 ROLLING_SECONDS = 290
 BLOCK = "__block"
+PLACE = "__place"
+EARLIER = "__earlier"
 
 
 def gap_expression(window: WindowSpec, time: str) -> Column:
@@ -93,8 +95,11 @@ def time_rolling(
     """Rolling statistics over the last ``seconds`` seconds, one row per machine and second.
 
     All readings of one second share a frame, so they are merged before the
-    window: an instant with many readings costs one row there, and a frame of
-    ``seconds`` seconds never spans more than ``seconds + 1`` rows.
+    window.  Time is cut into blocks as long as a frame: a frame is the begin of
+    its own block and the end of the block before, so both are running
+    aggregates and a row costs the same however many seconds its frame holds.
+    No block has more than ``2 * (seconds + 1)`` rows; ``rows_per_range`` is
+    taken as by the other operators, but no series is long enough to be cut.
     Join on machine and ``epoch`` to put the result next to the readings.
     """
     keys = [*roles.machine, "epoch"]
@@ -110,54 +115,57 @@ def time_rolling(
             F.max(value).alias(f"hi{i}"),
         ]
     # Deviations are taken around the mean of a machine in a block of time: neither the level of
-    # another machine nor a drift over days swallows the spread.  A frame touches two blocks at most.
+    # another machine nor a drift over days swallows the spread.
     block = Window.partitionBy(*refs(roles.machine), BLOCK)
-    merged = at_second.groupBy(*refs(keys)).agg(*parts).withColumn(BLOCK, F.floor(F.col("epoch") / (seconds + 1)))
-    merged = merged.withColumns({f"c{i}": F.avg(F.try_divide(f"s{i}", f"n{i}")).over(block) for i in range(len(roles.analog))})
+    merged = at_second.groupBy(*refs(keys)).agg(*parts).withColumns(
+        {BLOCK: F.floor(F.col("epoch") / (seconds + 1)), PLACE: F.pmod(F.col("epoch"), F.lit(seconds + 1)), EARLIER: F.lit(False)}
+    )
+    # For the second at place p of a block, the frame begins at place p + 1 of the block before.
+    asked = merged.select(
+        *refs(keys), (F.col(BLOCK) - 1).alias(BLOCK), (F.col(PLACE) + 1).alias(PLACE), F.lit(True).alias(EARLIER)
+    )
+    placed = merged.unionByName(asked, allowMissingColumns=True)
+    placed = placed.withColumns({f"c{i}": F.avg(F.try_divide(f"s{i}", f"n{i}")).over(block) for i in range(len(roles.analog))})
     centred: dict[str, Column] = {}
     for i in range(len(roles.analog)):
         n, off = F.col(f"n{i}"), F.try_divide(f"s{i}", f"n{i}") - F.col(f"c{i}")
         centred[f"o{i}"] = n * off
         centred[f"q{i}"] = F.col(f"m{i}") + n * off * off
-    merged = merged.withColumns(centred)
-
-    def build(window: WindowSpec) -> dict[str, Column]:
-        frame = window.rangeBetween(-seconds, 0)
-        columns: dict[str, Column] = {}
-        for i, name in enumerate(roles.analog):
-            n, total = F.sum(f"n{i}").over(frame), F.sum(f"s{i}").over(frame)
-            low, high = F.min(f"lo{i}").over(frame), F.max(f"hi{i}").over(frame)
-            squares = F.greatest(_squares_in_frame(frame, i), F.lit(0.0))
-            columns[f"{name}_rolling_mean_5m"] = F.try_divide(total, n)
-            columns[f"{name}_rolling_std_5m"] = F.when(n > 1, F.when(low == high, 0.0).otherwise(F.sqrt(F.try_divide(squares, n - 1))))
-            columns[f"{name}_rolling_min_5m"] = low
-            columns[f"{name}_rolling_max_5m"] = high
-        return columns
-
-    rolled = with_ordered_columns(
-        merged, build, ["epoch"], roles.machine, lookback=seconds, rows_per_range=rows_per_range
-    )
-    return rolled.select(
-        *refs(keys),
-        *[
-            F.col(f"`{name}_rolling_{kind}_5m`")
-            for name in roles.analog
-            for kind in ("mean", "std", "min", "max")
-        ],
-    )
+    placed = placed.withColumns(centred)
+    begin, end = (block.orderBy(order).rangeBetween(Window.unboundedPreceding, 0) for order in (F.col(PLACE).asc(), F.col(PLACE).desc()))
+    running: dict[str, Column] = {}
+    for i in range(len(roles.analog)):
+        for kind, aggregate in (("n", F.sum), ("s", F.sum), ("o", F.sum), ("q", F.sum), ("lo", F.min), ("hi", F.max)):
+            own = F.col(f"{kind}{i}")
+            running[f"r{kind}{i}"] = F.when(F.col(EARLIER), aggregate(own).over(end)).otherwise(aggregate(own).over(begin))
+    halves = []
+    for i in range(len(roles.analog)):
+        for half, earlier in enumerate((False, True)):
+            mine = F.col(EARLIER) == earlier
+            halves += [F.max(F.when(mine, F.col(f"r{kind}{i}"))).alias(f"{kind}{i}_{half}") for kind in ("n", "s", "o", "q", "lo", "hi")]
+            halves.append(F.max(F.when(mine, F.col(f"c{i}"))).alias(f"c{i}_{half}"))
+    framed = placed.withColumns(running).groupBy(*refs(keys)).agg(*halves)
+    columns: list[Column] = []
+    for i, name in enumerate(roles.analog):
+        own = {kind: [F.col(f"{kind}{i}_{half}") for half in (0, 1)] for kind in ("n", "s", "o", "q", "lo", "hi", "c")}
+        n, total = (sum(F.coalesce(part, F.lit(0)) for part in own[kind]) for kind in ("n", "s"))
+        low, high = F.least(*own["lo"]), F.greatest(*own["hi"])
+        squares = F.greatest(_squares_of_halves(own), F.lit(0.0))
+        columns += [
+            F.try_divide(total, n).alias(f"{name}_rolling_mean_5m"),
+            F.when(n > 1, F.when(low == high, 0.0).otherwise(F.sqrt(F.try_divide(squares, n - 1)))).alias(f"{name}_rolling_std_5m"),
+            low.alias(f"{name}_rolling_min_5m"),
+            high.alias(f"{name}_rolling_max_5m"),
+        ]
+    return framed.select(*refs(keys), *columns)
 
 
-def _squares_in_frame(frame: WindowSpec, i: int) -> Column:
+def _squares_of_halves(own: dict[str, list[Column]]) -> Column:
     """Squared deviations from the mean of a frame: those of its two blocks, and what lies between their means."""
-    n, centre, off, squares = [], [], [], []
-    for parity in (0, 1):
-        own = F.pmod(F.col(BLOCK), F.lit(2)) == parity
-        n.append(F.coalesce(F.sum(F.when(own, F.col(f"n{i}"))).over(frame), F.lit(0)))
-        centre.append(F.max(F.when(own, F.col(f"c{i}"))).over(frame))
-        mean = F.try_divide(F.sum(F.when(own, F.col(f"o{i}"))).over(frame), n[-1])
-        off.append(mean)
-        squares.append(F.coalesce(F.sum(F.when(own, F.col(f"q{i}"))).over(frame) - mean * mean * n[-1], F.lit(0.0)))
-    apart = (centre[0] - centre[1]) + (off[0] - off[1])
+    n = [F.coalesce(part, F.lit(0)) for part in own["n"]]
+    off = [F.try_divide(total, part) for total, part in zip(own["o"], n)]
+    squares = [F.coalesce(part - mean * mean * size, F.lit(0.0)) for part, mean, size in zip(own["q"], off, n)]
+    apart = (own["c"][0] - own["c"][1]) + (off[0] - off[1])
     between = F.coalesce(F.try_divide(apart * apart * n[0] * n[1], n[0] + n[1]), F.lit(0.0))
     return squares[0] + squares[1] + between
 

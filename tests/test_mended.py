@@ -155,3 +155,28 @@ def test_decimals_keep_their_digits_in_cut_points(spark):
     frame = spark.createDataFrame([(big + i * Decimal("0.0000000001"), i) for i in range(60)], "k decimal(38,10), id long")
     found = with_group_row_number(frame.withColumn("g", F.lit(0)), ["g"], ["k"], rows_per_range=7)
     assert all(r.row_number == r.id + 1 for r in found.collect())
+
+
+def test_time_rolling_costs_the_same_in_a_dense_series(spark):
+    roles = SeriesRoles(time="t", analog=("v",))
+    frame = spark.range(1200).select(
+        F.timestamp_seconds(F.col("id") + 1_700_000_000 + F.when(F.col("id") > 700, 400).otherwise(0)).alias("t"),
+        F.when(F.col("id") % 11 != 0, F.sin(F.col("id") * 1.7) * 50).alias("v"),
+    )
+    rolled = time_rolling(frame, roles)
+    # Running aggregates only: no frame is summed up again for every row.
+    plan = rolled._jdf.queryExecution().optimizedPlan().toString()
+    assert "-290" not in plan and "unboundedpreceding" in plan
+    values = {int(r.epoch): r.v for r in frame.select(F.unix_seconds("t").alias("epoch"), "v").collect()}
+    for row in rolled.collect():
+        own = [values[e] for e in range(row.epoch - 290, row.epoch + 1) if values.get(e) is not None]
+        if not own:
+            assert row.v_rolling_mean_5m is None and row.v_rolling_min_5m is None
+            continue
+        assert (row.v_rolling_min_5m, row.v_rolling_max_5m) == (min(own), max(own))
+        assert row.v_rolling_mean_5m == pytest.approx(sum(own) / len(own), abs=1e-9)
+        if len(own) > 1:
+            mean = sum(own) / len(own)
+            assert row.v_rolling_std_5m == pytest.approx((sum((v - mean) ** 2 for v in own) / (len(own) - 1)) ** 0.5, rel=1e-9, abs=1e-9)
+        else:
+            assert row.v_rolling_std_5m is None
