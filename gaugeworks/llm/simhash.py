@@ -279,6 +279,8 @@ def near_duplicate_groups(
 
 # --- similarity of shingle sets -----------------------------------------------------------
 
+#: Sets whose fingerprints differ in at most so many bits are counted before all others.
+NEAR_BITS = 2
 #: Hashes of a set's shingles whose minimum lets near copies meet before all others.
 FIRST_LANES = 3
 #: Nodes that share a shingle meet in blocks of work of about twice so many.
@@ -320,7 +322,10 @@ def parity_sketch(values: np.ndarray) -> bytes:
 
 
 def _sets(docs: DataFrame, id_col: str, text_col: str, words: int, with_shingles: bool) -> DataFrame:
-    """``id, same, node`` or ``node, n, shingles, sketch`` per row; ``node`` is a hash of the whole set of shingles."""
+    """``id, same, node`` or ``node, n, shingles, sketch, fp`` per row.
+
+    ``node`` is a hash of the whole set of shingles, ``fp`` its SimHash fingerprint.
+    """
     rows = docs.select(ref(id_col).alias("id"), F.xxhash64(ref(text_col)).alias("same"), text_bytes(text_col).alias("text"))
 
     def hashed(batches: Batches) -> Iterator[pa.RecordBatch]:
@@ -334,10 +339,11 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, words: int, with_shingles
             sizes = pa.array(list(map(len, sets)), pa.int32())
             shingles = pa.array([found.tobytes() for found in sets], pa.binary())
             sketches = pa.array([parity_sketch(found) if len(found) else b"" for found in sets], pa.binary())
-            yield pa.RecordBatch.from_arrays([nodes, sizes, shingles, sketches], ["node", "n", "shingles", "sketch"])
+            fps = pa.array([signed(majority_bits(lane_hashes(found.astype(np.uint64), 1)[0])) for found in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([nodes, sizes, shingles, sketches, fps], ["node", "n", "shingles", "sketch", "fp"])
 
     if with_shingles:
-        return rows.select("text").mapInArrow(hashed, "node long, n int, shingles binary, sketch binary")
+        return rows.select("text").mapInArrow(hashed, "node long, n int, shingles binary, sketch binary, fp long")
     return rows.mapInArrow(hashed, f"id {rows.schema['id'].dataType.simpleString()}, same long, node long")
 
 
@@ -485,6 +491,21 @@ def _first_pairs(nodes: DataFrame, similarity: float) -> DataFrame:
     ).distinct()
 
 
+def _fingerprint_pairs(nodes: DataFrame, radius: int) -> DataFrame:
+    """``a, b``: sets whose SimHash fingerprints are equal, or found within ``radius`` bits by BK-trees.
+
+    A spanning forest of such links: equal fingerprints stand in a star around
+    their smallest node, which also stands for them in the trees.
+    """
+    least = written(nodes.groupBy("fp").agg(F.min("node").alias("least")), "fingerprints")
+    equal = nodes.select("node", "fp").join(least, "fp").filter("node != least").select(F.col("least").alias("a"), F.col("node").alias("b"))
+    links = shard_links(least.select("fp"), radius)
+    for side in "ab":
+        links = links.join(least.select(F.col("fp").alias(side), F.col("least").alias(f"node_{side}")), side)
+    near = links.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
+    return equal.unionByName(near)
+
+
 def _sketched(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
     """The pairs that sketches and sizes do not rule out."""
     own = nodes.select("node", "n", "sketch")
@@ -547,17 +568,19 @@ def _similar(pairs: DataFrame, columns: str, similarity: float) -> DataFrame:
 
 
 def similar_links(nodes: DataFrame, similarity: float, shingle_nodes: int = SHINGLE_NODES) -> DataFrame:
-    """``node, root``: nodes (``node, n, shingles, sketch``) linked by a Jaccard similarity, all such links counted in.
+    """``node, root``: nodes (``node, n, shingles, sketch, fp``) linked by a Jaccard similarity, all such links counted in.
 
-    Two similar sets share one of their first shingles, whatever the order, and
-    meet there.  A pair joins only after its shingles were counted.  Each round
+    Sets of near fingerprints, found by BK-trees, and sets of a minimal shingle
+    in common are counted first.  Of the others, two similar sets share one of
+    their first shingles, whatever the order, and meet there.  A pair joins only after its shingles were counted.  Each round
     the nodes of a block propose their nearest that are not joined to them yet,
     so a group of near copies is joined without a list of all its pairs; the
     rounds end when no block has a pair left that is neither joined nor counted.
     """
     spark = nodes.sparkSession
     # The nearest first: most near copies are one group before any two of them are searched for.
-    known = written(_first_pairs(nodes, similarity), "candidates")
+    firsts = _fingerprint_pairs(nodes, NEAR_BITS).unionByName(_first_pairs(nodes, similarity))
+    known = written(firsts.distinct(), "candidates")
     good = _counted_links(_sketched(known, nodes, similarity), nodes, similarity)
     roots = _joined(None, good)
     drop_written(good)
@@ -601,7 +624,7 @@ def similar_groups(
     with batches_up_to(spark, f"{BATCH_BYTES}b"):
         found = written(_sets(docs, id_col, text_col, words, False), "sets", compression="zstd")
         sets = _sets(docs, id_col, text_col, words, True).filter("n > 0")
-        first = [F.first(name).alias(name) for name in ("n", "shingles", "sketch")]
+        first = [F.first(name).alias(name) for name in ("n", "shingles", "sketch", "fp")]
         nodes = written(sets.groupBy("node").agg(*first), "set-nodes", compression="zstd")
         forget_shuffles(spark)
         roots = similar_links(nodes, similarity)

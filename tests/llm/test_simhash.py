@@ -6,6 +6,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from gaugeworks.llm.components import connected_components
+from gaugeworks.llm import simhash
 from gaugeworks.llm.queries import op5_simhash_near_dedup
 from gaugeworks.llm.simhash import BITS, BKTree, block_masks, near_duplicate_groups, shard_links, signed, similar_groups
 from tests.llm.brute import WORD, documents
@@ -141,3 +142,33 @@ def test_independent_edits_of_one_text_are_one_group(spark):
         rows.append((copy, " ".join(edited)))
     groups = similar_groups(documents(spark, rows)).collect()
     assert {row.component_id for row in groups} == {0}
+
+
+def test_near_copies_of_the_pipeline_meet_by_fingerprints(spark, monkeypatch):
+    words = [f"w{(i * 7919) % 4001}" for i in range(1500)]
+    rows = [(i, " ".join([*words[:-1], f"end{i}"])) for i in range(6)] + [(10 + i, f"text {i} of its own words {i * i} and no other {i}") for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    nodes = simhash._sets(docs, "doc_id", "text", 5, True)
+    fps = {r.node: r.fp for r in nodes.select("node", "fp").collect()}
+    near = {(a, b) for a in fps for b in fps if a < b and ((fps[a] ^ fps[b]) & ((1 << 64) - 1)).bit_count() <= simhash.NEAR_BITS}
+    found = {(r.a, r.b) for r in simhash._fingerprint_pairs(nodes, simhash.NEAR_BITS).collect()}
+    assert near and found <= near
+
+    def groups(pairs):
+        root = {node: node for node in fps}
+        for _ in fps:
+            for a, b in pairs:
+                root[a] = root[b] = min(root[a], root[b])
+        return root
+
+    assert groups(found) == groups(near)
+    radii = []
+
+    def searched(nodes, radius, *rest):
+        radii.append(radius)
+        return shard_links(nodes, radius, *rest)
+
+    monkeypatch.setattr(simhash, "shard_links", searched)
+    kept = simhash.drop_near_duplicates(docs)
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 10, 11, 12, 13]
+    assert radii == [simhash.NEAR_BITS]
