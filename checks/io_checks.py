@@ -131,9 +131,7 @@ def _(spark, sf_dir):
 def text_per_user(spark, sf_dir) -> str:
     """One text file for each user: the ids of the user's events in ascending order."""
     path = scratch_path(spark, "texts")
-    lines = events(spark, sf_dir).select("user_id", "event_id", F.col("event_id").cast("string").alias("line"))
-    ordered = lines.repartition("user_id").sortWithinPartitions("user_id", "event_id")
-    ordered.select("user_id", "line").write.partitionBy("user_id").text(path)
+    files.write_text_files(events(spark, sf_dir).select("user_id", "event_id"), path, "user_id", "event_id", ["event_id"])
     return path
 
 

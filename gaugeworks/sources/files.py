@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -171,21 +172,26 @@ def list_files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     )
 
 
-def _open(uri: str):
-    """The bytes of a listed file.  Listed paths are not percent-encoded."""
+def _located(uri: str):
+    """The file system of a path and the path inside it.  Listed paths are not percent-encoded."""
     from urllib.parse import quote
 
     from pyarrow import fs
 
     scheme, mark, rest = uri.partition(":")
     if not mark or "/" in scheme:
-        return fs.LocalFileSystem().open_input_stream(uri)
+        return fs.LocalFileSystem(), uri
     if scheme == "file":
-        return fs.LocalFileSystem().open_input_stream("/" + rest.lstrip("/"))
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
     known = {"s3a": "s3", "s3n": "s3", "s3": "s3", "hdfs": "hdfs", "viewfs": "viewfs", "gs": "gs", "abfs": "abfs", "abfss": "abfss"}
     if scheme not in known:
         raise ValueError(f"cannot open {scheme}: files from a task: {uri}")
-    system, inner = fs.FileSystem.from_uri(f"{known[scheme]}:{quote(rest)}")
+    return fs.FileSystem.from_uri(f"{known[scheme]}:{quote(rest)}")
+
+
+def _open(uri: str):
+    """The bytes of a listed file."""
+    system, inner = _located(uri)
     return system.open_input_stream(inner)
 
 
@@ -264,14 +270,11 @@ def fingerprint_files(spark: SparkSession, path: str | Sequence[str], whole_file
     to fit in memory.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    small = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(paths)
-        .filter(F.col("length") <= whole_file_bytes)
-        .select("path", "length", "modificationTime", F.sha2("content", 256).alias("sha256"))
-    )
-    return small.unionByName(hashed_files(list_files(spark, paths).filter(F.col("length") > whole_file_bytes)))
+    # Listed once for both kinds.
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
+    names = ("path", "length", "modificationTime")
+    small = listed.filter(F.col("length") <= whole_file_bytes).select(*names, F.sha2("content", 256).alias("sha256"))
+    return small.unionByName(hashed_files(listed.select(*names).filter(F.col("length") > whole_file_bytes)))
 
 
 def hashed_files(files: DataFrame) -> DataFrame:
@@ -279,6 +282,38 @@ def hashed_files(files: DataFrame) -> DataFrame:
     return files.mapInPandas(_digests, T.StructType([*files.schema.fields, T.StructField("sha256", T.StringType())]))
 
 
+def write_text_files(lines: DataFrame, folder: str, key: str, line: str, order: Sequence[str]) -> None:
+    """One text file for each value of ``key``, ``folder/key=value/lines.txt``: its lines in the given order.
+
+    Tasks write the files of their keys where they stay, line by line: no file
+    is moved by the driver afterwards, whose time would grow with the number of
+    files.  A task that runs again writes the same files.  A null line is
+    empty; a null key has Spark's name for it.
+    """
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, stream = None, None
+        try:
+            for batch in batches:
+                for name, text in zip(batch.column("name").to_pylist(), batch.column("line").to_pylist()):
+                    if name != current:
+                        if stream is not None:
+                            stream.close()
+                        system, inner = _located(f"{folder}/{name}")
+                        system.create_dir(inner, recursive=True)
+                        current, stream = name, system.open_output_stream(f"{inner}/lines.txt")
+                    stream.write(((text or "") + "\n").encode())
+        finally:
+            if stream is not None:
+                stream.close()
+        yield from ()
+
+    value = F.coalesce(ref(key).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))
+    named = lines.withColumn(FILE, F.concat(F.lit(f"{key}="), value))
+    ordered = named.repartition(ref(FILE)).sortWithinPartitions(ref(FILE), *[ref(name) for name in order])
+    ordered.select(ref(FILE).alias("name"), ref(line).cast("string").alias("line")).mapInArrow(put, "name string").count()
+
+
 def artifact_size(spark: SparkSession, path: str) -> DataFrame:
     """Files and bytes under a path."""
     return list_files(spark, path).agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))

@@ -18,7 +18,7 @@ from gaugeworks.operators.ranges import with_group_row_number
 from gaugeworks.operators.sequence import time_rolling
 from gaugeworks.plans import medallion
 from gaugeworks.roles import SeriesRoles
-from gaugeworks.sources.files import classify_files, read_csv
+from gaugeworks.sources.files import classify_files, fingerprint_files, read_csv, write_text_files
 from gaugeworks.sources.landing import Landing
 from gaugeworks.sources.scratch import drop_written, scratch_folder, written
 
@@ -180,3 +180,18 @@ def test_time_rolling_costs_the_same_in_a_dense_series(spark):
             assert row.v_rolling_std_5m == pytest.approx((sum((v - mean) ** 2 for v in own) / (len(own) - 1)) ** 0.5, rel=1e-9, abs=1e-9)
         else:
             assert row.v_rolling_std_5m is None
+
+
+def test_many_text_files_are_written_in_place(spark, tmp_path):
+    """Tasks leave nothing for the driver to move, and every key has its one file, in order."""
+    rows = [(k % 40 if k % 41 else None, 1000 - k) for k in range(400)] + [(7, 990), (7, None)]
+    folder = str(tmp_path / "a b")
+    write_text_files(spark.createDataFrame(rows, "owner long, n long").repartition(9), folder, "owner", "n", ["n"])
+    found = sorted(os.path.relpath(os.path.join(at, name), folder) for at, _, names in os.walk(folder) for name in names)
+    names = {"__HIVE_DEFAULT_PARTITION__" if owner is None else str(owner): owner for owner, _ in rows}
+    assert found == sorted(f"owner={name}/lines.txt" for name in names)
+    for name, owner in names.items():
+        own = sorted((n for k, n in rows if k == owner), key=lambda n: (n is not None, n))
+        with open(f"{folder}/owner={name}/lines.txt") as file:
+            assert file.read() == "".join(f"{'' if n is None else n}\n" for n in own)
+    assert fingerprint_files(spark, folder, whole_file_bytes=40).count() == len(names)
