@@ -10,8 +10,13 @@ from gaugeworks.operators.ranges import DEFAULT_ROWS_PER_RANGE
 from gaugeworks.operators.sequence import (
     ROLLING_ROWS,
     delta_expressions,
+    frames_by_lookup,
     gap_expression,
+    in_order,
+    lookup_expressions,
     rolling_expressions,
+    rolling_names,
+    with_rolling_statistics,
     with_window_columns,
 )
 from gaugeworks.roles import SeriesRoles
@@ -41,12 +46,19 @@ def with_features(
 
     ``gap`` also adds the seconds since the previous reading under that name.
     """
+    looked_up = frames_by_lookup(df, roles.analog, rows)
+    framed = [name for name in roles.analog if name not in looked_up]
 
     def build(window: WindowSpec) -> dict[str, Column]:
-        columns = {**delta_expressions(window, roles.analog), **rolling_expressions(window, roles.analog, rows)}
+        columns = {
+            **delta_expressions(window, roles.analog),
+            **rolling_expressions(window, framed, rows),
+            **lookup_expressions(window, looked_up, rows),
+        }
         if gap is not None:
             columns[gap] = gap_expression(window, roles.time)
         return columns
 
-    ordered = with_window_columns(df, roles, build, rows - 1, rows_per_range)
-    return ordered.withColumns(time_expressions(roles.time))
+    found = with_rolling_statistics(with_window_columns(df, roles, build, rows - 1, rows_per_range), looked_up, rows)
+    made = [*[f"{name}_delta" for name in roles.analog], *rolling_names(roles.analog), *([] if gap is None else [gap])]
+    return in_order(found, df, made).withColumns(time_expressions(roles.time))

@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gaugeworks.functions.columns import epoch_seconds, ref, refs
 from gaugeworks.operators.ranges import (
@@ -21,6 +22,8 @@ GAP = "time_since_previous_seconds"
 ROLLING_ROWS = 30
 # Fixed value: seconds a five-minute frame reaches back at a ten-second step.
 ROLLING_SECONDS = 290
+# Frames of more rows are aggregated as they move.
+MOST_LOOKED_UP = 60
 BLOCK = "__block"
 PLACE = "__place"
 EARLIER = "__earlier"
@@ -46,6 +49,90 @@ def rolling_expressions(window: WindowSpec, sensors: Sequence[str], rows: int =
     }
 
 
+def rolling_names(sensors: Sequence[str]) -> list[str]:
+    return [f"{name}_rolling_{kind}_5m" for name in sensors for kind in ("mean", "std", "min", "max")]
+
+
+def in_order(found: DataFrame, df: DataFrame, made: Sequence[str]) -> DataFrame:
+    """The columns of ``df``, then those made beside them."""
+    return found.select(*refs(df.columns), *refs([name for name in made if name not in df.columns]))
+
+
+def _looked_up(name: str, back: int) -> str:
+    return f"__{back}_before_{name}"
+
+
+def _near(name: str) -> str:
+    return f"__near_{name}"
+
+
+def _known(name: str) -> str:
+    return f"__known_{name}"
+
+
+def frames_by_lookup(df: DataFrame, sensors: Sequence[str], rows: int) -> list[str]:
+    """Sensors whose rolling statistics come from readings looked up, not from a frame that moves.
+
+    Means of decimals stay decimals, and long frames would need too many lookups.
+    """
+    if rows > MOST_LOOKED_UP:
+        return []
+    return [name for name in sensors if not isinstance(df.schema[name].dataType, T.DecimalType)]
+
+
+def lookup_expressions(window: WindowSpec, sensors: Sequence[str], rows: int = ROLLING_ROWS) -> dict[str, Column]:
+    """The readings of a frame, a column for each, the last one and the number of those that are not null.
+
+    ``with_rolling_statistics`` makes the statistics of them.
+
+    A lookup costs the same however far back it goes, while a frame that moves
+    along is aggregated anew for every row and statistic.
+    """
+    known, before = window.rowsBetween(Window.unboundedPreceding, 0), window.rowsBetween(Window.unboundedPreceding, -rows)
+    return {
+        **{_looked_up(name, back): F.lag(ref(name), back).over(window) for back in range(rows - 1, 0, -1) for name in sensors},
+        **{_near(name): F.last(ref(name).cast("double"), ignorenulls=True).over(known) for name in sensors},
+        **{_known(name): F.count(ref(name)).over(known) - F.count(ref(name)).over(before) for name in sensors},
+    }
+
+
+def with_rolling_statistics(df: DataFrame, sensors: Sequence[str], rows: int = ROLLING_ROWS) -> DataFrame:
+    """The columns of ``rolling_expressions`` in place of those of ``lookup_expressions``.
+
+    Squares are taken around a reading of the frame: what cancels is bounded by
+    the range of the frame, whatever its level, and equal readings have a
+    spread of exactly zero.
+    """
+    columns: dict[str, Column] = {}
+    for name in sensors:
+        # The oldest first, as a frame is summed up.
+        values = [*[ref(_looked_up(name, back)) for back in range(rows - 1, 0, -1)], ref(name)]
+        numbers = [value.cast("double") for value in values]
+        off = [number - ref(_near(name)) for number in numbers]
+        n = ref(_known(name))
+        total, above, squares = (
+            sum((F.coalesce(term, F.lit(0.0)) for term in terms), F.lit(0.0)) for terms in (numbers, off, [one * one for one in off])
+        )
+        rest = F.greatest(squares - F.try_divide(above * above, n), F.lit(0.0))
+        columns |= {
+            f"{name}_rolling_mean_5m": F.try_divide(total, _compiled_apart(n)),
+            f"{name}_rolling_std_5m": F.when(n > 1, F.sqrt(F.try_divide(rest, n - 1))),
+            f"{name}_rolling_min_5m": F.least(*values, values[-1]),
+            f"{name}_rolling_max_5m": F.greatest(*values, values[-1]),
+        }
+    helpers = [*[_looked_up(name, back) for name in sensors for back in range(1, rows)], *map(_near, sensors), *map(_known, sensors)]
+    return df.withColumns(columns).drop(*helpers)
+
+
+def _compiled_apart(value: Column) -> Column:
+    """The value, by a function that Spark does not compile.
+
+    A projection with one is compiled in many methods; as part of one method for
+    the whole stage, sums over all readings are too long for the JIT.
+    """
+    return F.element_at(F.transform(F.array(value), lambda one: one), 1)
+
+
 def with_window_columns(
     df: DataFrame,
     roles: SeriesRoles,
@@ -81,9 +168,14 @@ def with_rolling(
     rows: int = ROLLING_ROWS,
     rows_per_range: int = DEFAULT_ROWS_PER_RANGE,
 ) -> DataFrame:
-    return with_window_columns(
-        df, roles, lambda window: rolling_expressions(window, roles.analog, rows), rows - 1, rows_per_range
-    )
+    looked_up = frames_by_lookup(df, roles.analog, rows)
+    framed = [name for name in roles.analog if name not in looked_up]
+
+    def build(window: WindowSpec) -> dict[str, Column]:
+        return {**rolling_expressions(window, framed, rows), **lookup_expressions(window, looked_up, rows)}
+
+    found = with_window_columns(df, roles, build, rows - 1, rows_per_range)
+    return in_order(with_rolling_statistics(found, looked_up, rows), df, rolling_names(roles.analog))
 
 
 def time_rolling(

@@ -15,7 +15,7 @@ from gaugeworks.functions.columns import seeded_digest
 from gaugeworks.operators import quality, splits
 from gaugeworks.operators.contracts import ContractError
 from gaugeworks.operators.ranges import with_group_row_number
-from gaugeworks.operators.sequence import time_rolling
+from gaugeworks.operators.sequence import ROLLING_ROWS, time_rolling, with_rolling
 from gaugeworks.plans import medallion
 from gaugeworks.roles import SeriesRoles
 from gaugeworks.sources.files import classify_files, fingerprint_files, read_csv, write_text_files
@@ -195,3 +195,34 @@ def test_many_text_files_are_written_in_place(spark, tmp_path):
         with open(f"{folder}/owner={name}/lines.txt") as file:
             assert file.read() == "".join(f"{'' if n is None else n}\n" for n in own)
     assert fingerprint_files(spark, folder, whole_file_bytes=40).count() == len(names)
+
+
+def test_rolling_rows_are_looked_up_not_aggregated_anew(spark):
+    """Levels of a billion, nulls, infinities and NaN; decimals keep their digits."""
+    rng = random.Random(11)
+    odd = {5: float("nan"), 60: float("inf"), 100: float("-inf")}
+    rows = [(k % 3, k, None if k % 13 == 0 or 300 < k < 420 else odd.get(k, 1e9 * (k % 3) + rng.random())) for k in range(600)]
+    frame = spark.createDataFrame(rows, "machine int, id long, v double").withColumns(
+        {"ts": F.timestamp_seconds("id"), "d": F.col("id").cast("decimal(20,3)") / 7, "same": F.lit(0.1)}
+    )
+    roles = SeriesRoles(time="ts", seq=("id",), machine=("machine",), analog=("v", "d", "same"))
+    rolled = with_rolling(frame, roles)
+    assert rolled.columns == [*frame.columns, *[f"{n}_rolling_{k}_5m" for n in ("v", "d", "same") for k in ("mean", "std", "min", "max")]]
+    assert rolled.schema["d_rolling_mean_5m"].dataType.simpleString().startswith("decimal")
+    assert "stddev(v" not in rolled._jdf.queryExecution().optimizedPlan().toString()
+    for row in rolled.collect():
+        own = [v for m, k, v in rows if m == row.machine and row.id - 3 * (ROLLING_ROWS - 1) <= k <= row.id and v is not None]
+        found = (row.v_rolling_mean_5m, row.v_rolling_std_5m, row.v_rolling_min_5m, row.v_rolling_max_5m)
+        assert row.same_rolling_std_5m in (None, 0.0)
+        if not own:
+            assert found == (None,) * 4
+            continue
+        assert (found[1] is None) == (len(own) == 1)
+        if any(v != v or v in (float("inf"), float("-inf")) for v in own):
+            assert found[1] is None or found[1] != found[1]
+            continue
+        assert found[2:] == (min(own), max(own)) and found[0] == pytest.approx(sum(own) / len(own), rel=1e-15)
+        if len(own) > 1:
+            exact = [Fraction(v) for v in own]
+            mean = sum(exact) / len(exact)
+            assert found[1] == pytest.approx(float(sum((v - mean) ** 2 for v in exact) / (len(exact) - 1)) ** 0.5, rel=1e-9)
