@@ -24,6 +24,8 @@ ROLLING_ROWS = 30
 ROLLING_SECONDS = 290
 # Frames of more rows are aggregated as they move.
 MOST_LOOKED_UP = 60
+# With fewer sensors to share a lookup, moving frames are faster.
+LEAST_SENSORS_LOOKED_UP = 3
 BLOCK = "__block"
 PLACE = "__place"
 EARLIER = "__earlier"
@@ -77,7 +79,8 @@ def frames_by_lookup(df: DataFrame, sensors: Sequence[str], rows: int) -> list[s
     """
     if rows > MOST_LOOKED_UP:
         return []
-    return [name for name in sensors if not isinstance(df.schema[name].dataType, T.DecimalType)]
+    found = [name for name in sensors if not isinstance(df.schema[name].dataType, T.DecimalType)]
+    return found if len(found) >= LEAST_SENSORS_LOOKED_UP else []
 
 
 def lookup_expressions(window: WindowSpec, sensors: Sequence[str], rows: int = ROLLING_ROWS) -> dict[str, Column]:

@@ -203,11 +203,11 @@ def test_rolling_rows_are_looked_up_not_aggregated_anew(spark):
     odd = {5: float("nan"), 60: float("inf"), 100: float("-inf")}
     rows = [(k % 3, k, None if k % 13 == 0 or 300 < k < 420 else odd.get(k, 1e9 * (k % 3) + rng.random())) for k in range(600)]
     frame = spark.createDataFrame(rows, "machine int, id long, v double").withColumns(
-        {"ts": F.timestamp_seconds("id"), "d": F.col("id").cast("decimal(20,3)") / 7, "same": F.lit(0.1)}
+        {"ts": F.timestamp_seconds("id"), "d": F.col("id").cast("decimal(20,3)") / 7, "same": F.lit(0.1), "w": F.lit(2.5)}
     )
-    roles = SeriesRoles(time="ts", seq=("id",), machine=("machine",), analog=("v", "d", "same"))
+    roles = SeriesRoles(time="ts", seq=("id",), machine=("machine",), analog=("v", "d", "same", "w"))
     rolled = with_rolling(frame, roles)
-    assert rolled.columns == [*frame.columns, *[f"{n}_rolling_{k}_5m" for n in ("v", "d", "same") for k in ("mean", "std", "min", "max")]]
+    assert rolled.columns == [*frame.columns, *[f"{n}_rolling_{k}_5m" for n in roles.analog for k in ("mean", "std", "min", "max")]]
     assert rolled.schema["d_rolling_mean_5m"].dataType.simpleString().startswith("decimal")
     assert "stddev(v" not in rolled._jdf.queryExecution().optimizedPlan().toString()
     for row in rolled.collect():
