@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from gaugeworks.functions.columns import ref
 from gaugeworks.llm.frames import Batches, add_shards, batches_of, whole_text
+from gaugeworks.llm.tokens import forget_encoders
 
 UNDETERMINED = "und"
 FEATURE_BITS = 16
@@ -98,6 +99,7 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
     schema = pa.schema([("shard", pa.int32()), ("counts", pa.binary())])
 
     def counted(batches: Batches) -> Batches:
+        forget_encoders()
         total, rows = np.zeros(FEATURES, np.int64), 0
         for batch in batches:
             for text in batch.column("text").to_pylist():
@@ -299,15 +301,20 @@ def with_language(docs: DataFrame, model: LanguageModel, text_col: str = "text",
     """
     kept = [column for column in docs.columns if column.lower() != name.lower()]
     shared, key = docs.sparkSession.sparkContext.broadcast(vars(model)), uuid.uuid4().hex
-    rows = docs.select(F.struct(*[ref(column) for column in kept]).alias("row"), ref(text_col).cast("string").alias("text"))
+    row = F.struct(*[ref(column) for column in kept]).alias("row")
+    # A text that passes through is read where it stands: each travels once.
+    inside = next((at for at, column in enumerate(kept) if column == text_col and docs.schema[column].dataType == T.StringType()), None)
+    rows = docs.select(row) if inside is not None else docs.select(row, ref(text_col).cast("string").alias("text"))
 
     def predicted(batches: Batches) -> Iterator[pa.RecordBatch]:
+        forget_encoders()
         if key not in _models:
             _models.clear()
             _models[key] = LanguageModel(**shared.value)
         model = _models[key]
         for batch in batches:
-            found = [model.predict(text) for text in batch.column("text").to_pylist()]
+            texts = batch.column("text") if inside is None else batch.column("row").field(inside)
+            found = [model.predict(text.as_py()) for text in texts]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("row"),
