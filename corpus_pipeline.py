@@ -22,7 +22,7 @@ from gaugeworks.sources.scratch import written
 
 #: Below this chance of its best language a text is rejected.
 MIN_LANGUAGE_SCORE = 0.4
-#: A batch of whole texts on its way through a worker, in the stage on languages.
+#: A batch of whole texts on its way through a worker.
 BATCH_BYTES = "4m"
 
 
@@ -48,7 +48,6 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that many share; ``n_chars`` follows the text."""
     name = free_name(docs, "line_dedup")
-    cleaned = drop_repeated_lines(docs, name=name)
     changed = ref(name)["n_dropped"] > 0
     columns = [
         F.when(changed, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType).alias("n_chars")
@@ -56,7 +55,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         else ref(column)
         for column in docs.columns
     ]
-    return cleaned.select(*columns)
+    with batches_up_to(spark, BATCH_BYTES):
+        return written(drop_repeated_lines(docs, name=name).select(*columns), "lines", compression="zstd")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,7 +66,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
-    leaks = contaminated_documents(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("leak")).distinct()
+    with batches_up_to(spark, BATCH_BYTES):
+        leaks = contaminated_documents(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("leak")).distinct()
+        leaks = written(leaks, "leaks")
     return docs.join(leaks, docs["doc_id"].eqNullSafe(leaks["leak"]), "left_anti")
 
 
