@@ -11,13 +11,13 @@ from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark import inheritable_thread_target
 from pyspark.ml.base import Model
 from pyspark.ml.classification import (
     LogisticRegression,
     MultilayerPerceptronClassifier,
     RandomForestClassificationModel,
-    RandomForestClassifier,
 )
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeworks.functions.columns import at_threshold, finite_or_null, ref
+from gaugeworks.operators import forests
 from gaugeworks.operators.contracts import ContractError, check_model, class_counts, require_columns, with_validity
 from gaugeworks.operators.evaluation import ranking_scores
 from gaugeworks.operators.quantiles import exact_medians
@@ -43,12 +44,8 @@ DEAL = "__deal"
 VOTES = "__votes"
 # Spark's trees cannot grow deeper.
 DEEPEST_TREE = 30
-# Nodes of the trees that the driver grows or loads at once, some 400 bytes each.
+# Nodes of the trees that the driver loads at once, some 400 bytes each.
 NODES_AT_ONCE = 1_000_000
-# Between the seeds of two parts of a forest; trees of a part use some more than its own.
-SEED_STEP = 1_000_003
-# Statistics of a level that a task collects in one pass over the rows.
-FOREST_LEVEL_MB = 512
 
 
 @dataclass(frozen=True)
@@ -207,21 +204,35 @@ def constant_model(name: str, features: Sequence[str], counts: Mapping[int, int]
     return FaultModel(name, Preparation(tuple(features), {f: 0.0 for f in features}), constant=present[0])
 
 
-def _training_frame(
-    train: DataFrame, preparation: Preparation, label: str, counts: Mapping[int, int]
-) -> DataFrame:
-    """Assembled rows, dealt evenly by their values and written once: learners read them many times.
+def _dealt(rows: DataFrame, preparation: Preparation) -> DataFrame:
+    """Rows dealt evenly by their values: learners read them many times.
 
     The number of parts follows the session, never the number of rows.
     """
-    weighted = with_balanced_weight(preparation.prepared(train), label, counts)
-    parts = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = weighted.withColumn(DEAL, F.xxhash64(*[ref(name) for name in preparation.features]))
-    dealt = dealt.repartition(parts, DEAL).sortWithinPartitions(DEAL)
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.withColumn(DEAL, F.xxhash64(*[ref(name) for name in preparation.features]))
+    return dealt.repartition(parts, DEAL).sortWithinPartitions(DEAL)
+
+
+def _training_frame(
+    train: DataFrame, preparation: Preparation, label: str, counts: Mapping[int, int]
+) -> DataFrame:
+    """Assembled rows, written once."""
+    dealt = _dealt(with_balanced_weight(preparation.prepared(train), label, counts), preparation)
     frame = assemble(dealt, preparation.features).select(VECTOR, ref(label).cast("double").alias(label), WEIGHT)
     return written(frame, "training")
 
 
+def _binned(
+    train: DataFrame, preparation: Preparation, label: str, counts: Mapping[int, int], seed: int
+) -> tuple[DataFrame, list[np.ndarray]]:
+    """Rows for forests as blocks of bins, written once, and the cuts between the bins."""
+    prepared = preparation.prepared(train).select(*[ref(name) for name in preparation.features], ref(label))
+    weights = balanced_weights(counts)
+    cuts = forests.feature_cuts(prepared, preparation.features, label, (weights[0], weights[1]), sum(counts.values()), seed)
+    return forests.binned_blocks(_dealt(prepared, preparation), preparation.features, label, cuts), cuts
+
+
 def _saved(spark: SparkSession, model: Model) -> str:
     path = scratch_path(spark, "stage")
     model.write().save(path)
@@ -277,15 +288,19 @@ def train_forest(
     if fallback is not None:
         return fallback
     preparation = fit_preparation(train, features)
-    frame = _training_frame(train, preparation, label, counts)
-    return _fit_forest(frame, sum(counts.values()), preparation, label, trees, depth, leaf, seed, name)
+    blocks, cuts = _binned(train, preparation, label, counts, seed)
+    weights = balanced_weights(counts)
+    fitted = _fit_forest(blocks, cuts, sum(counts.values()), preparation, weights, trees, depth, leaf, seed, name)
+    drop_written(blocks)
+    return fitted
 
 
 def _fit_forest(
-    frame: DataFrame,
+    blocks: DataFrame,
+    cuts: Sequence[np.ndarray],
     rows: int,
     preparation: Preparation,
-    label: str,
+    weights: Mapping[int, float],
     trees: int,
     depth: int | None,
     leaf: int,
@@ -293,33 +308,21 @@ def _fit_forest(
     name: str,
     nodes_at_once: int = NODES_AT_ONCE,
 ) -> FaultModel:
-    """All trees, grown in parts of about ``nodes_at_once`` nodes.
-
-    The first part is sized by what the rows and the depth allow, the others by
-    the trees before them.  Rows keep their place in a tree from level to level,
-    so no level sends the trees out again.
-    """
-    spark = frame.sparkSession
+    """All trees, saved as models of about ``nodes_at_once`` nodes each."""
+    spark = blocks.sparkSession
     deepest = DEEPEST_TREE if depth is None else min(depth, DEEPEST_TREE)
-    most = min(2 ** (deepest + 1), 2 * rows / leaf)
+    plan = forests.ForestPlan(len(preparation.features), trees, deepest, leaf, (weights[0], weights[1]), seed)
+    described = {"impurity": "gini", "featuresCol": VECTOR, "weightCol": WEIGHT, "maxDepth": deepest, "minInstancesPerNode": leaf, "seed": seed}
     paths, sizes = [], []
-    while sum(sizes) < trees:
-        estimator = RandomForestClassifier(
-            featuresCol=VECTOR,
-            labelCol=label,
-            weightCol=WEIGHT,
-            numTrees=min(trees - sum(sizes), max(1, int(nodes_at_once // most))),
-            maxDepth=deepest,
-            minInstancesPerNode=leaf,
-            seed=seed + SEED_STEP * len(sizes),
-            maxMemoryInMB=FOREST_LEVEL_MB,
-            cacheNodeIds=True,
-        )
-        part = estimator.fit(frame)
-        paths.append(_saved(spark, part))
-        sizes.append(part.getNumTrees)
-        most = max(1.25 * part.totalNumNodes / sizes[-1], 1.0)
-        del part
+    step = forests.trees_at_once(rows, plan)
+    for start in range(0, trees, step):
+        grown = forests.grow_trees(blocks, rows, range(start, min(start + step, trees)), plan)
+        # While a part is loaded, the driver holds every node of it twice.
+        for part in _parts({tree: grown.size(tree) for tree in grown.crowns}, nodes_at_once // 2):
+            paths.append(scratch_path(spark, "stage"))
+            forests.save_forest(spark, grown, part, cuts, plan, described, paths[-1])
+            sizes.append(len(part))
+        drop_written(grown.nodes)
     if len(paths) == 1:
         model = RandomForestClassificationModel.load(paths[0])
     else:
@@ -328,6 +331,18 @@ def _fit_forest(
     return FaultModel(name, preparation, model, parameters=parameters)
 
 
+def _parts(sizes: Mapping[int, int], most: int) -> list[list[int]]:
+    """Trees in their order, in parts of at most so many nodes or one tree."""
+    parts, filled = [], most
+    for tree, size in sizes.items():
+        if filled + size > most:
+            parts.append([])
+            filled = 0
+        parts[-1].append(tree)
+        filled += size
+    return parts
+
+
 def train_network(
     train: DataFrame,
     features: Sequence[str],
@@ -390,27 +405,32 @@ def search_forest(
         raise ContractError("the search needs both classes in the training data")
     rows = sum(counts.values())
     preparation = fit_preparation(train, features)
-    frame = _training_frame(train, preparation, label, counts)
+    blocks, cuts = _binned(train, preparation, label, counts, seed)
+    weights = balanced_weights(counts)
 
-    def trial(candidate: Mapping[str, object]) -> tuple[FaultModel, dict]:
-        fitted = _fit_forest(
-            frame,
+    def fit(candidate: Mapping[str, object]) -> FaultModel:
+        return _fit_forest(
+            blocks,
+            cuts,
             rows,
             preparation,
-            label,
+            weights,
             candidate["trees"],
             candidate["depth"],
             candidate["leaf"],
             seed,
             TUNED_FOREST,
-            NODES_AT_ONCE // parallelism,
         )
-        scores = ranking_scores(fitted.score(validation), label, PROBABILITY).first()
-        return fitted, {**candidate, "pr_auc": scores["pr_auc"], "roc_auc": scores["roc_auc"]}
 
     with ThreadPoolExecutor(parallelism) as pool:
-        jobs = [pool.submit(inheritable_thread_target(train.sparkSession)(trial), c) for c in candidates]
-        results = [job.result() for job in jobs]
+        jobs = [pool.submit(inheritable_thread_target(train.sparkSession)(fit), c) for c in candidates]
+        fits = [job.result() for job in jobs]
+    drop_written(blocks)
+    # One after the other: scoring loads trees into the driver.
+    results = []
+    for candidate, fitted in zip(candidates, fits):
+        scores = ranking_scores(fitted.score(validation), label, PROBABILITY).first()
+        results.append((fitted, {**candidate, "pr_auc": scores["pr_auc"], "roc_auc": scores["roc_auc"]}))
     best, best_score = None, -1.0
     for fitted, outcome in results:
         if outcome["pr_auc"] is not None and outcome["pr_auc"] > best_score:
